@@ -6,8 +6,8 @@ Here the rows are range-partitioned on (keys, order), so a hot group is spread o
 tasks; each task numbers its rows locally and a small per-(task, key) count table gives
 every slice its starting offset. Work per task stays bounded by the partition size.
 
-The result is deterministic under retries: the range bounds come from a seeded sample of
-the same input, and the order must be total within a key (add a tie-break column).
+The order must be total within a key (add a tie-break column). The locally numbered slices
+are written once to the shared scratch folder, so retries and both consumers see one copy.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import materialize
+
 _PID = "__sonara_pid"
 _MID = "__sonara_mid"
 
@@ -36,19 +38,21 @@ def ordinal_within(df: DataFrame, keys: Sequence[str], order: Sequence[str | Col
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     key_cols = _as_cols(keys)
     order_cols = _as_cols(order)
-    ranged = (
-        df.repartitionByRange(n, *key_cols, *order_cols)
-        .sortWithinPartitions(*key_cols, *order_cols)
-        .withColumn(_PID, F.spark_partition_id())
-        .withColumn(_MID, F.monotonically_increasing_id())
-    )
-    # one row per (task, key): first local id and slice size; at most (#keys + #tasks) rows
-    slices = ranged.groupBy(_PID, *keys).agg(
-        F.min(_MID).alias("__first"), F.count(F.lit(1)).alias("__n"))
+    # range partitioning on (keys, order) cuts a hot key into many slices; inside a task
+    # the sorted rows get increasing ids. Range bounds come from a sample seeded by the RDD
+    # id, so two exchanges would disagree: the slices are written once and both branches
+    # below read the same stored ids.
+    local = (df.repartitionByRange(n, *key_cols, *order_cols)
+             .sortWithinPartitions(*key_cols, *order_cols)
+             .withColumn(_PID, F.spark_partition_id())
+             .withColumn(_MID, F.monotonically_increasing_id()))
+    local = materialize(local, "ordinal")
+    # one row per slice: at most (#keys + #tasks) rows; offsets are running slice sizes
+    slices = local.groupBy(_PID, *keys).agg(F.min(_MID).alias("__first"), F.count(F.lit(1)).alias("__n"))
     spec = Window.partitionBy(*keys) if keys else Window
     w = spec.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    slices = slices.withColumn("__offset", F.coalesce(F.sum("__n").over(w), F.lit(0)))
-    out = ranged.join(slices.drop("__n"), [_PID, *keys], "inner")
-    out = out.withColumn(
-        name, (F.col("__offset") + F.col(_MID) - F.col("__first") + F.lit(base)).cast("bigint"))
+    slices = slices.select(_PID, *keys, "__first",
+                           F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__offset"))
+    out = local.join(slices, [_PID, *keys], "inner")
+    out = out.withColumn(name, (F.col("__offset") + F.col(_MID) - F.col("__first") + F.lit(base)).cast("bigint"))
     return out.drop(_PID, _MID, "__first", "__offset")
