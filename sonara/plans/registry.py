@@ -29,5 +29,5 @@ def register(name: str, sql: str | None = None):
 
 def load_all() -> None:
     """Import every query module (each registers on import)."""
-    from . import (catalog_queries, ingest_queries, region_queries, series_queries,  # noqa: F401
-                   spectral_queries)
+    from . import (catalog_queries, event_queries, ingest_queries, region_queries,  # noqa: F401
+                   series_queries, spectral_queries)
