@@ -20,13 +20,15 @@ def _mel_to_hz(x: str) -> str:
             f"else 1000.0 * exp({_LOGSTEP} * (({x}) - {_MIN_LOG_MEL})) end)")
 
 
-def ctes(p: MelParams, upto: str = "db") -> str:
-    """CTE chain sig, fr, taps, pw, rates, edges, fb, mel, peak, db (stops at ``upto``)."""
+def ctes(p: MelParams, upto: str = "db", source: str = "v_signal", prefix: list | None = None) -> str:
+    """CTE chain sig, fr, taps, pw, rates, edges, fb, mel, peak, db (stops at ``upto``).
+    ``source`` is a relation (song_id, sr, samples); ``prefix`` adds (name, sql) CTEs first."""
     N, H, M, K = p.n_fft, p.hop, p.n_mels, p.n_bins
     hi = "sr / 2.0" if p.fmax is None else repr(float(p.fmax))
     parts = [
+        *(prefix or []),
         ("sig", "select song_id, sr, samples, cast(len(samples) as bigint) as n_samples "
-                "from v_signal where len(samples) > 0"),
+                f"from {source} where len(samples) > 0"),
         ("fr", f"select song_id, sr, samples, n_samples, unnest(range(0, n_samples // {H} + 1)) as timeseries from sig"),
         ("taps", f"""select song_id, sr, timeseries, n,
        cast(samples[(case when q < n_samples then q else per - q end) + 1] as double) as x
