@@ -11,7 +11,9 @@ Two kernels share one signature:
   * ``"hof"``: Spark higher-order functions against a literal DFT basis. Exact, JVM-side,
     O(N^2) per frame: meant for small FFT sizes (<= 256).
   * ``"arrow"``: ``mapInArrow`` with numpy ``rfft``; the path for real sizes (N = 2048).
-``"auto"`` picks the first for N <= 64 and the second otherwise.
+``"auto"`` picks the Arrow kernel: measured 2x faster even at N = 32 (higher-order functions
+run interpreted, outside whole-stage codegen). The HOF kernel remains as a cross-check and
+for clusters without Python workers.
 """
 
 from __future__ import annotations
@@ -39,16 +41,15 @@ class MelParams:
     amin: float = 1e-10
     top_db: float | None = 80.0
     frames_per_chunk: int = 256    # frames per chunk row: bounds the row size for long songs
-    kernel: str = "auto"           # "hof", "arrow" or "auto"
+    kernel: str = "auto"           # "hof", "arrow" or "auto" (= "arrow")
+    balance: bool = True           # spread chunk rows over tasks before the FFT
 
     @property
     def n_bins(self) -> int:
         return self.n_fft // 2 + 1
 
     def resolved_kernel(self) -> str:
-        if self.kernel == "auto":
-            return "hof" if self.n_fft <= 64 else "arrow"
-        return self.kernel
+        return "arrow" if self.kernel == "auto" else self.kernel
 
 
 # Parameters of the ingest job's mel call (128 bands up to 10 kHz) and the
@@ -64,13 +65,13 @@ def _sample_at(samples: Column, n: Column, p: Column, pad_mode: str) -> Column:
     if pad_mode == "constant":
         inside = (p >= 0) & (p < n)
         return F.when(inside, F.element_at(samples, F.when(inside, p + 1).otherwise(F.lit(1)))
-                      .cast("double")).otherwise(F.lit(0.0))
+                      .cast("float")).otherwise(F.lit(0.0).cast("float"))
     if pad_mode != "reflect":
         raise ValueError(f"pad_mode {pad_mode!r}")
     period = F.greatest(F.lit(1), (n - 1) * 2)
     q = F.pmod(p, period)
     idx = F.when(n <= 1, F.lit(0)).when(q < n, q).otherwise(period - q)
-    return F.element_at(samples, idx + 1).cast("double")
+    return F.element_at(samples, idx + 1).cast("float")
 
 
 def frame_count(n_samples: Column, hop: int) -> Column:
@@ -84,7 +85,10 @@ def frame_chunks(signals: DataFrame, p: MelParams, carry: dict | None = None) ->
     A chunk carries the padded samples its frames need: (nfc - 1) * hop + n_fft values
     starting at sample f0 * hop - n_fft / 2. Reflection happens only at the true song ends,
     so chunked frames equal unchunked ones. Pure projection + generate: no shuffle.
-    Output: (song_id, sr, n_samples, f0, nfc, seg array<double>).
+    Output: (song_id, sr, n_samples, f0, nfc, seg array<float>).
+
+    With ``p.balance`` the chunk rows are hash-partitioned on (song_id, f0) over the
+    session's shuffle partitions, so one long song's chunks are transformed by many tasks.
     """
     N, H, C = p.n_fft, p.hop, p.frames_per_chunk
     half = N // 2
@@ -97,17 +101,31 @@ def frame_chunks(signals: DataFrame, p: MelParams, carry: dict | None = None) ->
     nchunks = ((nf + (C - 1)) / F.lit(C)).cast("int")
     samples = F.col("samples")
 
+    empty = F.array().cast("array<float>")
+
+    def pad(lo, hi):
+        # positions lo..hi outside the signal (at most n_fft/2 of them, only at song ends)
+        return F.when(hi >= lo, F.transform(F.sequence(lo, hi), lambda pos: _sample_at(samples, L, pos, p.pad_mode))
+                      ).otherwise(empty)
+
     def chunk(c):
         f0 = c * C
         nfc = F.least(F.lit(C), nf - f0)
         start = f0 * H - half
-        seg = F.transform(F.sequence(start, start + (nfc - 1) * H + (N - 1)),
-                          lambda pos: _sample_at(samples, L, pos, p.pad_mode))
+        end = start + (nfc - 1) * H + N                  # exclusive
+        a, b = F.greatest(start, F.lit(0)), F.least(end, L)
+        # interior: one bulk slice; reflection only for the padded ends
+        middle = F.when(b > a, F.slice(samples, a + 1, b - a)).otherwise(empty)
+        seg = F.concat(pad(start, F.least(end, F.lit(0)) - 1), middle, pad(F.greatest(start, L), end - 1))
         return F.struct(f0.cast("bigint").alias("f0"), nfc.cast("int").alias("nfc"),
                         seg.alias("seg"))
 
     chunks = F.transform(F.sequence(F.lit(0), nchunks - 1), chunk)
-    return s.select("song_id", "sr", "n_samples", *carry.keys(), F.inline(chunks))
+    out = s.select("song_id", "sr", "n_samples", *carry.keys(), F.inline(chunks))
+    if p.balance:
+        n = int(signals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        out = out.repartition(n, "song_id", "f0")
+    return out
 
 
 def frame_signal(signals: DataFrame, p: MelParams, carry: dict | None = None,
@@ -168,49 +186,65 @@ def _hof_mel(power: Column, weights: Column) -> Column:
 
 # ---------------------------------------------------------------- Arrow kernel
 
-def _arrow_kernel(p: MelParams, out: str):
-    """mapInArrow function: chunk rows -> one row per frame with a packed array."""
+def _arrow_kernel(p: MelParams, out: str, max_values: int = 1 << 22):
+    """mapInArrow function: chunk rows -> one row per frame with a packed array.
+
+    Frames of consecutive rows are gathered into one (frames x N) matrix of at most
+    ``max_values`` samples and transformed with a single ``rfft`` call."""
     N, H = p.n_fft, p.hop
     window = np_hann(N)
+    width = p.n_mels if out == "mel" else p.n_bins
+    max_frames = max(1, max_values // N)
 
     def run(batches):
         import pyarrow as pa
-        from numpy.lib.stride_tricks import sliding_window_view
 
-        bank_cache: dict[int, np.ndarray] = {}
+        banks: dict[int, np.ndarray] = {}
+
+        def bank(sr: int) -> np.ndarray:
+            if sr not in banks:
+                banks[sr] = np_filterbank(sr, N, p.n_mels, p.fmin, p.fmax).T.copy()
+            return banks[sr]
+
         for rb in batches:
             if rb.num_rows == 0:
                 continue
             song = rb.column("song_id").to_numpy(zero_copy_only=False)
             srs = rb.column("sr").to_numpy(zero_copy_only=False)
             f0s = rb.column("f0").to_numpy(zero_copy_only=False)
-            nfcs = rb.column("nfc").to_numpy(zero_copy_only=False)
+            nfcs = rb.column("nfc").to_numpy(zero_copy_only=False).astype(np.int64)
             seg = rb.column("seg")
-            offs = seg.offsets.to_numpy()
+            offs = seg.offsets.to_numpy().astype(np.int64)
             flat = seg.values.to_numpy(zero_copy_only=False)
-            ids, ts, vals = [], [], []
-            for r in range(rb.num_rows):
-                x = flat[offs[r]:offs[r + 1]]
-                nfc = int(nfcs[r])
-                fr = sliding_window_view(x, N)[::H][:nfc] * window
-                pw = np.abs(np.fft.rfft(fr, axis=1)) ** 2
+            r0 = 0
+            while r0 < rb.num_rows:
+                # rows r0..r1-1: at most max_frames frames (one long row may exceed it alone)
+                csum = np.cumsum(nfcs[r0:])
+                r1 = r0 + max(1, int(np.searchsorted(csum, max_frames, side="right")))
+                cnt = nfcs[r0:r1]
+                total = int(cnt.sum())
+                row_of = np.repeat(np.arange(r0, r1), cnt)
+                local = np.arange(total) - np.repeat(np.cumsum(cnt) - cnt, cnt)
+                starts = offs[row_of] + local * H
+                frames = flat[starts[:, None] + np.arange(N)[None, :]] * window
+                val = np.abs(np.fft.rfft(frames, axis=1)) ** 2
                 if out == "mel":
-                    sr = int(srs[r])
-                    fb = bank_cache.get(sr)
-                    if fb is None:
-                        fb = bank_cache[sr] = np_filterbank(sr, N, p.n_mels, p.fmin, p.fmax)
-                    pw = pw @ fb.T
-                ids.append(np.full(nfc, song[r], dtype=np.int64))
-                ts.append(int(f0s[r]) + np.arange(nfc, dtype=np.int64))
-                vals.append(pw.reshape(-1))
-            width = p.n_mels if out == "mel" else p.n_bins
-            n_rows = sum(len(a) for a in ids)
-            values = pa.array(np.concatenate(vals), type=pa.float64())
-            offsets = pa.array(np.arange(0, (n_rows + 1) * width, width, dtype=np.int32))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate(ids)), pa.array(np.concatenate(ts)),
-                 pa.ListArray.from_arrays(offsets, values)],
-                names=["song_id", "timeseries", out])
+                    rates = srs[row_of]
+                    uniq = np.unique(rates)
+                    if len(uniq) == 1:
+                        val = val @ bank(int(uniq[0]))
+                    else:
+                        mel = np.empty((total, p.n_mels))
+                        for sr in uniq:
+                            m = rates == sr
+                            mel[m] = val[m] @ bank(int(sr))
+                        val = mel
+                offsets = pa.array(np.arange(0, (total + 1) * width, width, dtype=np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(song[row_of].astype(np.int64)), pa.array(f0s[row_of].astype(np.int64) + local),
+                     pa.ListArray.from_arrays(offsets, pa.array(val.reshape(-1), type=pa.float64()))],
+                    names=["song_id", "timeseries", out])
+                r0 = r1
 
     return run
 
