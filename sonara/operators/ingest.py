@@ -40,20 +40,23 @@ def number_files(listing: DataFrame, root: str, known_only: bool = True) -> Data
     return C.assign_song_id(keyed)
 
 
-def selected_files(spark: SparkSession, root: str, numbered: DataFrame, limit: int | None) -> DataFrame:
-    """Binary rows of the numbered files. With a limit, only the first ``limit`` files are
-    opened (their paths, at most ``limit`` of them, become the scan's input list)."""
+def selected_files(spark: SparkSession, root: str, numbered: DataFrame, limit: int | None,
+                   first_id: int = 1) -> DataFrame:
+    """Binary rows of the numbered files, with their key and id.
+
+    With a limit, only files ``first_id .. first_id + limit - 1`` are opened: their paths
+    (at most ``limit``) are the scan's input list, and their id map (at most ``limit``
+    rows, a proven bound) is broadcast, so file bytes are never shuffled. Without a limit
+    the id map grows with the listing; AQE broadcasts it when its measured size is small
+    and otherwise sort-merge joins (``ingest_batches`` keeps every map bounded instead)."""
+    ids = numbered.select("path", "s3_key", "song_id")
     if limit is not None:
-        first = C.limit_files(numbered, limit)
-        paths = [r.path for r in first.select("path").collect()]   # bounded by ``limit``
+        ids = ids.where((F.col("song_id") >= first_id) & (F.col("song_id") < first_id + limit))
+        paths = [r.path for r in ids.select("path").collect()]   # bounded by ``limit``
         if not paths:
-            return scan_binary(spark, root).where(F.lit(False))
-        content = scan_binary(spark, paths)
-    else:
-        content = scan_binary(spark, root)
-    ids = numbered.select("path", "s3_key", "song_id")
-    # one row per file on each side; AQE broadcasts the id side when its measured size is small
-    return content.join(ids, "path")
+            return scan_binary(spark, root).where(F.lit(False)).join(ids, "path")
+        return scan_binary(spark, paths).join(F.broadcast(ids), "path")
+    return scan_binary(spark, root).join(ids, "path")
 
 
 def catalog_from_headers(headers: DataFrame) -> DataFrame:
@@ -64,9 +67,11 @@ def catalog_from_headers(headers: DataFrame) -> DataFrame:
 
 
 def ingest(spark: SparkSession, root: str, params: S.MelParams = S.JOB_PARAMS,
-           limit: int | None = None, known_only: bool = True) -> Ingested:
-    numbered = number_files(list_objects(spark, root), root, known_only)
-    files = selected_files(spark, root, numbered, limit)
+           limit: int | None = None, known_only: bool = True, first_id: int = 1,
+           numbered: DataFrame | None = None) -> Ingested:
+    if numbered is None:
+        numbered = number_files(list_objects(spark, root), root, known_only)
+    files = selected_files(spark, root, numbered, limit, first_id)
     # one scan of the bytes: header fields as Spark expressions, then the Arrow decoder
     # passes them through beside the samples; staged once for the three tables
     head = ["song_id", "s3_key", "channels", "samplerate", "bitrate", "duration", "filesize"]
@@ -79,4 +84,22 @@ def ingest(spark: SparkSession, root: str, params: S.MelParams = S.JOB_PARAMS,
     return Ingested(catalog, signals, audio, spec)
 
 
+def ingest_batches(spark: SparkSession, root: str, out: str, batch_files: int,
+                   params: S.MelParams = S.JOB_PARAMS, known_only: bool = True) -> int:
+    """The whole folder in id ranges of ``batch_files`` files (the job's "files per run"):
+    each batch opens only its files, broadcasts only its bounded id map, and appends one
+    write per table (catalog, audio, spec) under ``out``. The listing is numbered once and
+    staged, so every batch sees the same ids. Returns the number of batches."""
+    numbered = materialize(number_files(list_objects(spark, root), root, known_only), "listing")
+    n = numbered.count()
+    batches = 0
+    for first in range(1, n + 1, batch_files):
+        b = ingest(spark, root, params, limit=batch_files, first_id=first, numbered=numbered)
+        b.catalog.write.mode("append").parquet(f"{out}/catalog")
+        b.audio.write.mode("append").parquet(f"{out}/audio")
+        S.spec_wide(b.spec, params.n_mels).write.mode("append").parquet(f"{out}/spec")
+        batches += 1
+    return batches
+
+
 CATALOG_COLUMNS = CATALOG_FIELDS

@@ -104,3 +104,14 @@ def test_chunked_layout_round_trip(spark, tmp_dir):
     back = spark.read.parquet(p)
     assert back.select("song_id", "timeseries", "intensity").exceptAll(audio).count() == 0
     assert back.where("chunk = 2").agg(F.min("timeseries"), F.max("timeseries")).first() == (32, 47)
+
+
+def test_ingest_batches_equal_one_run(spark, wav_dir, tmp_dir):
+    p = S.MelParams(n_fft=256, hop=64, n_mels=16)
+    out = os.path.join(tmp_dir, "batched")
+    assert I.ingest_batches(spark, wav_dir, out, 3, p) == 2
+    whole = I.ingest(spark, wav_dir, p)
+    assert spark.read.parquet(f"{out}/catalog").exceptAll(whole.catalog).count() == 0
+    assert spark.read.parquet(f"{out}/audio").count() == whole.audio.count()
+    spec = spark.read.parquet(f"{out}/spec")
+    assert spec.count() == whole.spec.count() and spec.columns[:3] == ["song_id", "timeseries", "spec1"]
