@@ -7,9 +7,15 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import regions as R
+from ..session import scratch_path
+from ..sources.csv import scan_csv as _scan_csv, write_csv
 from .registry import register
 from .views import v_facts, v_hover
 
+# Column names of the county facts file, as its header spells them.
+FACTS_CSV_SCHEMA = ("`Unnamed: 0` string, `County` string, `County Code` string, `Year` bigint, "
+                    "`Deaths` string, `Age Adjusted Rate` string")
+
 _ZF = "case when length({0}) >= 5 then {0} else lpad({0}, 5, '0') end"
 _CLEAN = "case when regexp_matches(rate, '(?i)unreliable') then '0' else rate end"
 _FACTS = f"""facts as (select {_ZF.format('code')} as code, state, county, year, deaths, rate,
@@ -162,3 +168,16 @@ def chart_rate_trend(spark, d):
 where label in (select label from (select distinct label from all_cleaned) order by label limit {R.SERIES_LIMIT})""")
 def first_500_series(spark, d):
     return R.first_series(R.clean_rate(facts(spark, d)))
+
+
+@register("scan_csv", """select state as "Unnamed: 0", county as "County", code as "County Code",
+year as "Year", cast(deaths as varchar) as "Deaths", rate as "Age Adjusted Rate" from v_facts""")
+def scan_csv(spark, d):
+    """SRC-09: the facts written as a header CSV, read back with an explicit schema."""
+    path = scratch_path(spark, "facts-csv")
+    f = v_facts(spark, d)
+    write_csv(f.select(F.col("state").alias("Unnamed: 0"), F.col("county").alias("County"),
+                       F.col("code").alias("County Code"), F.col("year").alias("Year"),
+                       F.col("deaths").cast("string").alias("Deaths"),
+                       F.col("rate").alias("Age Adjusted Rate")), path)
+    return _scan_csv(spark, path, FACTS_CSV_SCHEMA)

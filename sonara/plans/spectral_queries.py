@@ -99,6 +99,18 @@ def spec_wide(spark, d):
     return wide.select("song_id", "timeseries", *[F.round(n, 4).alias(n) for n in band_names(P.n_mels)])
 
 
+_NOKEY_SQL = ctes(P, "db") + "\nselect " + ", ".join(
+    f"round(max(case when band = {i} then db end), 4) as {n}" for i, n in enumerate(band_names(P.n_mels))
+) + "\nfrom db group by song_id, timeseries"
+
+
+@register("drop_index_cols", _NOKEY_SQL)
+def drop_index_cols(spark, d):
+    """PRJ-06: the spectrogram values without the two leading index columns."""
+    wide = S.spec_wide(S.spec_packed(v_signal(spark, d), P), P.n_mels).drop("song_id", "timeseries")
+    return wide.select(*[F.round(n, 4).alias(n) for n in band_names(P.n_mels)])
+
+
 @register("zip_index_with_values", _WIDE_SQL)
 def zip_index_with_values(spark, d):
     """JON-01: the index frame (song_id, timeseries) and the value frame joined on the key,
@@ -155,3 +167,13 @@ def points_per_song_frames(spark, d):
 
 def arrow_params():
     return replace(P, kernel="arrow")
+
+
+@register("spec_job_params")
+def spec_job_params(spark, d):
+    """The ingest job's own parameters (n_fft 2048, hop 512, 128 bands to 10 kHz) on every
+    signal, wide form. No SQL oracle: a 2048-point DFT as SQL joins is too slow on the
+    whole table; tests check it against a numpy brute force instead."""
+    wide = S.spec_wide(S.spec_packed(v_signal(spark, d), S.JOB_PARAMS), S.JOB_PARAMS.n_mels)
+    return wide.select("song_id", "timeseries",
+                       *[F.round(n, 4).alias(n) for n in band_names(S.JOB_PARAMS.n_mels)])

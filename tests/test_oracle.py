@@ -31,9 +31,12 @@ def norm(v):
     return v
 
 
+ROWS_ONLY = {"spec_job_params"}   # checked against numpy brute force in test_spectral
+
+
 def test_every_query_has_an_oracle_or_is_declared():
     assert set(ORACLE) <= set(QUERIES)
-    assert set(QUERIES) - set(ORACLE) == set()
+    assert set(QUERIES) - set(ORACLE) == ROWS_ONLY
 
 
 def test_entry_smoke(spark):
@@ -41,7 +44,7 @@ def test_entry_smoke(spark):
     assert df.count() > 0 and df.columns == ["song_id", "band", "timeseries", "db"]
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF01)
     rows = [tuple(norm(v) for v in r) for r in df.collect()]

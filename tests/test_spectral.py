@@ -137,3 +137,19 @@ def test_wide_long_round_trip(spark, arrays):
     long1 = S.spec_long(packed)
     long2 = S.wide_to_long(S.spec_wide(packed, 8), 8)
     assert long1.exceptAll(long2).count() == 0 and long2.exceptAll(long1).count() == 0
+
+
+def test_job_params_query_matches_brute_force(spark):
+    """The registered production-parameter query on a few real signals (pad > length)."""
+    import __spark_entry__ as E
+    from conftest import SF001
+    df = E.queries()["spec_job_params"](spark, SF001)
+    got = {(r.song_id, r.timeseries): r for r in df.collect()}
+    emb = {r.vec_id + 1: np.array(r.embedding, dtype=np.float32)
+           for r in spark.read.parquet(f"{SF001}/embeddings.parquet").collect()}
+    assert len(got) == sum(1 + len(x) // 512 for x in emb.values())
+    for sid in list(emb)[:20]:
+        _, _, db = brute(emb[sid], 22050, S.JOB_PARAMS)
+        for t in range(db.shape[0]):
+            row = got[(sid, t)]
+            np.testing.assert_allclose([row[f"spec{i + 1}"] for i in range(128)], db[t], atol=1.01e-4)
