@@ -336,8 +336,12 @@ def spec_packed(signals: DataFrame, p: MelParams, stage: bool = True) -> DataFra
 
 
 def spec_long(packed: DataFrame, col: str = "db") -> DataFrame:
-    """(song_id, timeseries, band, db): one row per frame and band (band 0-based)."""
-    out = packed.select("song_id", "timeseries", F.posexplode(col).alias("band", col))
+    """(song_id, timeseries, band, db): one row per frame and band (band 0-based).
+
+    ``posexplode_outer``: the arrays always hold n_mels >= 1 values, so it yields the same
+    rows, and it keeps Catalyst from inferring a ``size(db) > 0`` filter that would copy
+    the whole dB ``transform`` into the join condition below (computed twice per frame)."""
+    out = packed.select("song_id", "timeseries", F.posexplode_outer(col).alias("band", col))
     return out.withColumn("band", F.col("band").cast("bigint"))
 
 

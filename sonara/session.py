@@ -40,19 +40,16 @@ def get_session(master: str | None = None, app: str = "sonara",
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    Read from the session; only when it is unset (local tests) a fresh temp folder is set.
+    Read from the session; only when nothing is configured (local tests) a fresh temp
+    folder is set. An already active checkpoint folder is used as is.
     """
     sc = spark.sparkContext
-    path = None
-    try:
-        path = sc.getCheckpointDir()
-    except Exception:  # pragma: no cover - older API
-        path = None
-    if not path:
-        path = spark.conf.get(CHECKPOINT_KEY, None) or sc.getConf().get(CHECKPOINT_KEY, None)
+    active = sc.getCheckpointDir()
+    if active:
+        return active
+    path = spark.conf.get(CHECKPOINT_KEY, None) or sc.getConf().get(CHECKPOINT_KEY, None)
     if not path:
         path = tempfile.mkdtemp(prefix="sonara-ckpt-")
-        spark.conf.set(CHECKPOINT_KEY, path)
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 

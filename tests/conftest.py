@@ -23,8 +23,9 @@ def spark():
          .config("spark.sql.adaptive.enabled", "true")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    # tests own their checkpoint folder (on a cluster it comes from the session)
-    s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sonara-test-ckpt-"))
+    # the shared folder comes from the session; set one only where none is configured
+    if not (s.sparkContext.getCheckpointDir() or s.sparkContext.getConf().get("spark.checkpoint.dir", None)):
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="sonara-test-ckpt-"))
     yield s
 
 
