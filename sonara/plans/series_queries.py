@@ -90,7 +90,7 @@ def points_per_song(spark, d):
 @register("segment_index", f"""with {_ACCEPTED},
 seg as (select song_id, cast(floor(timeseries / {SEG_ROWS}) as bigint) as segment, cast(count(*) as bigint) as n_samples
         from v_audio group by 1, 2),
-s2 as (select seg.*, segment * 5.0 as start_s, a.s3_key as path
+s2 as (select seg.*, cast(segment * 5 as double) as start_s, a.s3_key as path
        from seg left join accepted a on a.song_id = seg.song_id)
 select song_id, segment, start_s, {_MMSS.format(s='start_s')} as label,
        {_SEEK.format(p='path', s='start_s')} as seek, n_samples from s2""")

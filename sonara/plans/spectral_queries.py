@@ -30,7 +30,7 @@ select song_id, timeseries, n, x from taps""")
 def frame_signal(spark, d):
     fr = S.frame_signal(v_signal(spark, d), P)
     out = fr.select("song_id", "timeseries", F.posexplode("frame").alias("n", "x"))
-    return out.withColumn("n", F.col("n").cast("bigint"))
+    return out.select("song_id", "timeseries", F.col("n").cast("bigint").alias("n"), F.col("x").cast("double").alias("x"))
 
 
 @register("frame_index", ctes(P, "fr") + f"""

@@ -31,6 +31,8 @@ def norm(v):
     return v
 
 
+TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "FLOAT": "float", "VARCHAR": "string",
+         "STRING": "string", "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz", "NUMBER": "double"}
 ROWS_ONLY = {"spec_job_params"}   # checked against numpy brute force in test_spectral
 
 
@@ -51,6 +53,8 @@ def test_query_matches_oracle(spark, con, name):
     res = con.execute(ORACLE[name])
     cols = [c[0] for c in res.description]
     assert sorted(cols) == sorted(df.columns)
+    types = {c: TYPES.get(str(t).split("(")[0], str(t)) for c, t in zip(cols, [d[1] for d in res.description])}
+    assert {f.name: f.dataType.simpleString() for f in df.schema.fields} == types
     idx = [cols.index(c) for c in df.columns]
     orows = [tuple(norm(r[i]) for i in idx) for r in res.fetchall()]
     assert sorted(rows, key=repr) == sorted(orows, key=repr)
