@@ -80,11 +80,17 @@ def distinct_rows(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame
 
 
 def append_new_files(stored: DataFrame, listing: DataFrame, key: str = "s3_key",
-                     id_col: str = "song_id") -> DataFrame:
+                     id_col: str = "song_id", listing_max_rows: int | None = None) -> DataFrame:
     """Rows of ``listing`` whose key is not stored yet, numbered after the stored maximum.
 
-    Anti join on the key; the maximum is a scalar subquery (one value, no join)."""
-    new = listing.join(stored.select(key), key, "left_anti")
+    Anti join on the key; the maximum is a scalar subquery (one value, no join). When the
+    listing has a known bound (a stream batch of at most ``listing_max_rows`` files), its
+    keys are broadcast to cut the stored side down first, so a growing catalog is scanned
+    but never shuffled."""
+    stored_keys = stored.select(key)
+    if listing_max_rows is not None:
+        stored_keys = stored_keys.join(F.broadcast(listing.select(key).distinct()), key, "left_semi")
+    new = listing.join(stored_keys, key, "left_anti")
     top = stored.select(F.coalesce(F.max(F.col(id_col).cast("bigint")), F.lit(0)).alias("m")).scalar()
     numbered = ordinal_within(new, [], [key], name="__n", base=1)
     return numbered.withColumn(id_col, (top + F.col("__n")).cast("bigint")).drop("__n")

@@ -76,7 +76,7 @@ def write_chunked(audio: DataFrame, path: str, chunk_size: int, num_partitions:
 
 
 def append_catalog(spark: SparkSession, path: str, listing: DataFrame, key: str = "s3_key",
-                   id_col: str = "song_id") -> DataFrame:
+                   id_col: str = "song_id", listing_max_rows: int | None = None) -> DataFrame:
     """Append only keys not stored yet, numbered after the stored maximum. Returns the rows
     appended. Running it twice with the same listing appends nothing the second time."""
     try:
@@ -85,7 +85,8 @@ def append_catalog(spark: SparkSession, path: str, listing: DataFrame, key: str
         stored = None
     if stored is None:
         stored = spark.createDataFrame([], f"{key} string, {id_col} bigint")
-    fresh = append_new_files(stored.select(key, F.col(id_col).cast("bigint").alias(id_col)), listing, key, id_col)
+    fresh = append_new_files(stored.select(key, F.col(id_col).cast("bigint").alias(id_col)), listing, key,
+                             id_col, listing_max_rows)
     fresh = fresh.select(*[c for c in listing.columns if c != id_col], id_col)
     # the new rows depend on the stored table itself: stage them before appending to it
     staged = materialize(fresh, "catalog-append")
