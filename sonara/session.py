@@ -70,3 +70,27 @@ def materialize(df: DataFrame, name: str = "stage") -> DataFrame:
     path = scratch_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Session settings sized for a data volume and a cluster (pass to the builder/submit).
+
+    * shuffle partitions: enough that each holds about ``target_partition_bytes`` of the
+      input volume (and at least 3 waves of tasks); AQE coalesces what turns out smaller and
+      splits skewed join partitions.
+    * file splits: ``target_partition_bytes`` per scan task.
+    * Arrow batches into Python workers: 64 MB at most (the FFT kernel sub-batches below it).
+    * Parquet min/max aggregates answered from footers (catalog maximum id).
+    """
+    parts = max(3 * total_cores, -(-int(input_bytes) // target_partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
+        "spark.sql.parquet.aggregatePushdown": "true",
+        "spark.ui.enabled": "false",
+    }
