@@ -10,7 +10,8 @@ from ..operators import spectral as S
 from ..schemas import CATALOG_FIELDS
 from .registry import register
 from .spectral_sql import ctes
-from .views import v_catalog, v_signal
+from .stored import spec_table
+from .views import v_catalog
 
 FILE_LIMIT = 100  # files per ingest run
 
@@ -113,7 +114,7 @@ select db.song_id, t.s3_key, t.title, db.timeseries, db.band, round(db.db, 4) as
 from db join t on db.song_id = cast(t.song_id as bigint)""")
 def catalog_spec_join(spark, d):
     """JON-02: a song's catalog row with its spectrogram; the text id is cast once."""
-    spec = S.spec_long(S.spec_packed(v_signal(spark, d), S.TEST_PARAMS))
+    spec = S.wide_to_long(spec_table(spark, d), S.TEST_PARAMS.n_mels)
     cat = C.stringify_all(records(spark, d)).select(
         F.col("song_id").cast("bigint").alias("cat_id"), "s3_key", "title")
     # catalog size grows with the number of files: AQE decides broadcast from measured size

@@ -11,6 +11,7 @@ from ..operators import series as Q
 from ..operators import spectral as S
 from .catalog_queries import _ACCEPTED
 from .registry import register
+from .stored import audio_table
 from .views import v_audio, v_catalog, v_positions, v_signal
 
 AUDIO_RATE = 2.0                      # test-scale samples per second of v_audio
@@ -45,19 +46,19 @@ def sample_ordinal(spark, d):
 @register("audio_by_song", f"""select timeseries, intensity from v_audio where song_id = {LOOKUP_SONG}
 order by timeseries""")
 def audio_by_song(spark, d):
-    return Q.audio_by_song(v_audio(spark, d), LOOKUP_SONG)
+    return Q.audio_by_song(audio_table(spark, d), LOOKUP_SONG)
 
 
 @register("segment_slice", f"""select * from v_audio
 where timeseries >= {STEP * SEG_ROWS} and timeseries < {(STEP + 1) * SEG_ROWS}""")
 def segment_slice(spark, d):
-    return Q.segment_slice(v_audio(spark, d), STEP, SEG_ROWS)
+    return Q.segment_slice(audio_table(spark, d), STEP, SEG_ROWS)
 
 
 @register("previous_segment", f"""select * from v_audio
 where timeseries >= {(STEP - 1) * SEG_ROWS} and timeseries < {STEP * SEG_ROWS}""")
 def previous_segment(spark, d):
-    return Q.previous_segment(v_audio(spark, d), STEP, SEG_ROWS)
+    return Q.previous_segment(audio_table(spark, d), STEP, SEG_ROWS)
 
 
 @register("seek_step", "select event_id, s, cast(round_even(s / 5, 0) as bigint) as step from v_positions")
@@ -79,12 +80,12 @@ def seek_uri(spark, d):
 qualify row_number() over (partition by song_id order by timeseries desc) <= {NEWEST}
 order by song_id, timeseries desc""")
 def latest_samples(spark, d):
-    return Q.latest_samples(v_audio(spark, d), NEWEST)
+    return Q.latest_samples(audio_table(spark, d), NEWEST)
 
 
 @register("points_per_song", "select song_id, cast(count(*) as bigint) as n_points from v_audio group by song_id")
 def points_per_song(spark, d):
-    return Q.points_per_song(v_audio(spark, d))
+    return Q.points_per_song(audio_table(spark, d))
 
 
 @register("segment_index", f"""with {_ACCEPTED},
@@ -97,7 +98,7 @@ select song_id, segment, start_s, {_MMSS.format(s='start_s')} as label,
 def segment_index(spark, d):
     paths = C.assign_song_id(C.filter_known_ext(v_catalog(spark, d))).select(
         "song_id", F.col("s3_key").alias("path"))
-    return Q.segment_index(v_audio(spark, d), SEG_ROWS, paths)
+    return Q.segment_index(audio_table(spark, d), SEG_ROWS, paths)
 
 
 @register("frame_timeline", f"""with fr as (select song_id, unnest(range(0, len(samples) // {S.TEST_PARAMS.hop} + 1)) as timeseries,

@@ -15,6 +15,7 @@ from ..operators import spectral as S
 from ..schemas import band_names
 from .registry import register
 from .spectral_sql import ctes
+from .stored import spec_table
 from .views import v_signal
 
 P = S.TEST_PARAMS
@@ -107,7 +108,7 @@ _NOKEY_SQL = ctes(P, "db") + "\nselect " + ", ".join(
 @register("drop_index_cols", _NOKEY_SQL)
 def drop_index_cols(spark, d):
     """PRJ-06: the spectrogram values without the two leading index columns."""
-    wide = S.spec_wide(S.spec_packed(v_signal(spark, d), P), P.n_mels).drop("song_id", "timeseries")
+    wide = spec_table(spark, d).drop("song_id", "timeseries")
     return wide.select(*[F.round(n, 4).alias(n) for n in band_names(P.n_mels)])
 
 
@@ -125,7 +126,8 @@ def zip_index_with_values(spark, d):
 @register("spec_image", ctes(P, "db") + """
 select song_id, band, timeseries, round(db, 4) as db from db order by song_id, band, timeseries""")
 def spec_image(spark, d):
-    img = S.spec_image(_db_long(spark, d))
+    """SIG-09: the display matrix of every song, from the stored spectrogram table."""
+    img = S.spec_image(S.wide_to_long(spec_table(spark, d), P.n_mels))
     return img.withColumn("db", F.round("db", 4)).orderBy("song_id", "band", "timeseries")
 
 
@@ -133,7 +135,7 @@ def spec_image(spark, d):
 select song_id, {P.n_mels - 1} - band as band, timeseries, round(db, 4) as db from db
 order by song_id, band, timeseries""")
 def spec_image_flipped(spark, d):
-    img = S.spec_image(_db_long(spark, d), flipped=True, n_mels=P.n_mels)
+    img = S.spec_image(S.wide_to_long(spec_table(spark, d), P.n_mels), flipped=True, n_mels=P.n_mels)
     return img.withColumn("db", F.round("db", 4)).orderBy("song_id", "band", "timeseries")
 
 
@@ -150,10 +152,11 @@ def mel_full_band(spark, d):
 select song_id, timeseries, band, round(db, 4) as db from db where song_id = {LOOKUP_SONG}
 order by timeseries, band""")
 def spec_by_song(spark, d):
-    """SRC-07: all frames of one song, in frame order; the filter is a typed literal."""
-    long = _db_long(spark, d)
-    return (long.where(F.col("song_id") == F.lit(LOOKUP_SONG).cast("bigint"))
-            .withColumn("db", F.round("db", 4)).orderBy("timeseries", "band"))
+    """SRC-07: all frames of one song, in frame order, read from the stored (song-clustered)
+    spectrogram table; the filter is a typed literal pushed to the Parquet scan."""
+    hit = spec_table(spark, d).where(F.col("song_id") == F.lit(LOOKUP_SONG).cast("bigint"))
+    long = S.wide_to_long(hit, P.n_mels)
+    return long.withColumn("db", F.round("db", 4)).orderBy("timeseries", "band")
 
 
 @register("points_per_song_frames", ctes(P, "fr") + """
