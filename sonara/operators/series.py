@@ -81,13 +81,17 @@ def segment_index(audio: DataFrame, n_per_segment: int, paths: DataFrame | None
                       seek_uri(F.col("path"), "start_s").alias("seek"), "n_samples")
 
 
-def frame_timeline(frames: DataFrame, duration: Column) -> DataFrame:
+def frame_timeline(frames: DataFrame, duration: Column, n_frames: Column | None = None) -> DataFrame:
     """n evenly spaced times from 0 to the duration inclusive (step d/(n-1)), rounded to whole
     seconds half to even, and the interval d/n. ``frames`` has (song_id, timeseries);
-    ``duration`` is a column on it (seconds)."""
-    counts = frames.groupBy("song_id").agg(F.count(F.lit(1)).alias("__n"))
-    j = frames.join(counts, "song_id")
-    n = F.col("__n")
+    ``duration`` is a column on it (seconds). When the frame count is known per row
+    (``n_frames``, e.g. 1 + L div hop) no aggregation is needed; otherwise it is counted per
+    song (partial aggregate) and joined back."""
+    if n_frames is not None:
+        j, n = frames, n_frames
+    else:
+        counts = frames.groupBy("song_id").agg(F.count(F.lit(1)).alias("__n"))
+        j, n = frames.join(counts, "song_id"), F.col("__n")
     t = F.when(n > 1, F.col("timeseries") * duration / (n - 1)).otherwise(F.lit(0.0))
     return j.select("song_id", "timeseries", t.alias("t"), F.bround(t, 0).alias("t_rounded"),
                     (duration / n).alias("interval"))

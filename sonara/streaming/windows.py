@@ -1,7 +1,7 @@
 """Windowed series over a stream: file source -> watermark -> tumbling-window aggregate.
 
-Event time must be ``timestamp`` (the watermark refuses ``timestamp_ntz``); the session
-zone decides the cast. Rows later than the watermark are dropped by Spark. The query runs
+Event time must be ``timestamp`` (the watermark refuses ``timestamp_ntz``); naive times
+are mapped to instants through epoch microseconds, so the session zone plays no part. Rows later than the watermark are dropped by Spark. The query runs
 in update mode into an append-only log (``foreachBatch``, one Parquet folder per batch,
 tagged with the batch id); the current result is the latest row of every window, so the
 stream's last windows are visible without waiting for a later watermark.
@@ -19,6 +19,21 @@ from ..operators.windows import GATE
 from ..session import scratch_path
 
 
+def _epoch():
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def ntz_to_instant(c):
+    """Naive time -> the instant whose UTC wall time it is, via epoch microseconds: exact
+    and independent of the session zone (no DST gaps), so stream windows align exactly as
+    the batch windows on naive time do."""
+    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch(), c))
+
+
+def instant_to_ntz(c):
+    return F.timestamp_add("MICROSECOND", F.unix_micros(c), _epoch())
+
+
 def stream_path(source: str) -> str:
     """A single table file as a one-file glob: the file source treats a plain file path as
     its base path and refuses it, a glob it lists."""
@@ -49,14 +64,14 @@ def window_series_stream(spark: SparkSession, source: str, duration: str, expect
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     ev = reader.parquet(stream_path(source)).select(
-        F.col("user_id").alias("subject_id"), F.col("ts").cast("timestamp").alias("instr_time"), "value")
+        F.col("user_id").alias("subject_id"), ntz_to_instant(F.col("ts")).alias("instr_time"), "value")
     w = F.window("instr_time", duration)
     agg = (ev.withWatermark("instr_time", watermark)
            .groupBy(w.alias("w"), "subject_id")
            .agg(F.count(F.lit(1)).alias("n"), F.collect_list(F.struct("instr_time", "value")).alias("pts")))
     out = agg.select(
-        "subject_id", F.col("w.start").cast("timestamp_ntz").alias("window_start"),
-        F.col("w.end").cast("timestamp_ntz").alias("window_end"),
+        "subject_id", instant_to_ntz(F.col("w.start")).alias("window_start"),
+        instant_to_ntz(F.col("w.end")).alias("window_end"),
         F.col("n").cast("bigint").alias("num_datapoints"),
         _indicator(F.col("pts"), F.col("n"), gate, expected).alias("indicator"))
 

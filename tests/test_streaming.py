@@ -61,3 +61,19 @@ def test_file_stream_ingests_each_file_once(spark, tmp_dir):
     ingest_stream(spark, root, cat, ck)
     got = sorted((r.s3_key, r.song_id) for r in spark.read.parquet(cat).collect())
     assert got == [("a.wav", 1), ("b.wav", 2), ("c.wav", 3)]
+
+
+def test_stream_windows_do_not_depend_on_session_zone(spark, tmp_dir):
+    src = os.path.join(tmp_dir, "tz")
+    ev = spark.read.parquet(f"{SF01}/events.parquet").where("user_id < 20")
+    ev.coalesce(1).write.parquet(os.path.join(src, "p"))
+    batch = W.window_series(ev.select(F.col("user_id").alias("subject_id"), F.col("ts").alias("instr_time"), "value"),
+                            "5 days", 10)
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+        stream = window_series_stream(spark, src + "/*", "5 days", 10, watermark="30 days")
+        rows = stream.collect()
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, batch.collect()))
