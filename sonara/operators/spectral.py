@@ -52,6 +52,8 @@ class MelParams:
         return "arrow" if self.kernel == "auto" else self.kernel
 
 
+HOF_MAX_N = 256
+
 # Parameters of the ingest job's mel call (128 bands up to 10 kHz) and the
 # small parameter set the oracle checks use.
 JOB_PARAMS = MelParams(n_mels=128, fmax=10000.0)
@@ -259,6 +261,9 @@ def _frames_packed(signals: DataFrame, p: MelParams, out: str) -> DataFrame:
         return ch.mapInArrow(_arrow_kernel(p, out), schema)
     if kernel != "hof":
         raise ValueError(f"kernel {kernel!r}")
+    if p.n_fft > HOF_MAX_N:
+        # the DFT basis is an (N/2+1) x N literal and the transform is O(N^2) per frame
+        raise ValueError(f"the hof kernel is for n_fft <= {HOF_MAX_N}; use kernel='arrow'")
     N, H = p.n_fft, p.hop
     mel = out == "mel"
     ch = frame_chunks(signals, p, {"__e": mel_edges(F.col("sr"), p.n_mels, p.fmin, p.fmax)} if mel else None)

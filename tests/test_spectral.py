@@ -169,3 +169,8 @@ def test_hot_song_is_spread_over_tasks(spark):
     db = S.spec_packed(sig, p).where("song_id = 1").orderBy("timeseries")
     got = np.array([r.db for r in db.collect()])
     np.testing.assert_allclose(got, brute(hot, 22050, p)[2], atol=1e-8)
+
+
+def test_hof_kernel_refuses_large_n(spark, arrays):
+    with pytest.raises(ValueError):
+        S.mel_spectrogram(_signals(spark, arrays), replace(S.JOB_PARAMS, kernel="hof"))
