@@ -40,15 +40,19 @@ def number_files(listing: DataFrame, root: str, known_only: bool = True) -> Data
     return C.assign_song_id(keyed)
 
 
+MAX_BROADCAST_FILES = 2_000_000   # id map entries (path, key, id): a few hundred MB at most
+
+
 def selected_files(spark: SparkSession, root: str, numbered: DataFrame, limit: int | None,
-                   first_id: int = 1) -> DataFrame:
+                   first_id: int = 1, max_broadcast_files: int = MAX_BROADCAST_FILES) -> DataFrame:
     """Binary rows of the numbered files, with their key and id.
 
     With a limit, only files ``first_id .. first_id + limit - 1`` are opened: their paths
     (at most ``limit``) are the scan's input list, and their id map (at most ``limit``
     rows, a proven bound) is broadcast, so file bytes are never shuffled. Without a limit
-    the id map grows with the listing; AQE broadcasts it when its measured size is small
-    and otherwise sort-merge joins (``ingest_batches`` keeps every map bounded instead)."""
+    the id map grows with the listing: it is counted first and broadcast only up to
+    ``max_broadcast_files`` entries; beyond that the join sort-merges (and moves file
+    bytes), which ``ingest_batches`` avoids by keeping every map bounded."""
     ids = numbered.select("path", "s3_key", "song_id")
     if limit is not None:
         ids = ids.where((F.col("song_id") >= first_id) & (F.col("song_id") < first_id + limit))
@@ -56,6 +60,10 @@ def selected_files(spark: SparkSession, root: str, numbered: DataFrame, limit: i
         if not paths:
             return scan_binary(spark, root).where(F.lit(False)).join(ids, "path")
         return scan_binary(spark, paths).join(F.broadcast(ids), "path")
+    # no limit: broadcast the id map only after checking its size (a count of the listing,
+    # which never opens a file); beyond the bound, a sort-merge join
+    if ids.count() <= max_broadcast_files:
+        return scan_binary(spark, root).join(F.broadcast(ids), "path")
     return scan_binary(spark, root).join(ids, "path")
 
 
