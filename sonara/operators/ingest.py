@@ -15,7 +15,6 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..schemas import CATALOG_FIELDS
 from ..session import materialize
 from ..sources.objects import list_objects, relative_key, scan_binary
 from ..sources.wav import decode_wav, header_fields
@@ -109,5 +108,3 @@ def ingest_batches(spark: SparkSession, root: str, out: str, batch_files: int,
         batches += 1
     return batches
 
-
-CATALOG_COLUMNS = CATALOG_FIELDS

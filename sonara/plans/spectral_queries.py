@@ -7,8 +7,6 @@ powers and weights to 10.
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import functions as F
 
 from ..operators import spectral as S
@@ -168,10 +166,6 @@ def points_per_song_frames(spark, d):
                       F.size("samples").cast("bigint").alias("n_samples"))
 
 
-def arrow_params():
-    return replace(P, kernel="arrow")
-
-
 @register("spec_job_params")
 def spec_job_params(spark, d):
     """The ingest job's own parameters (n_fft 2048, hop 512, 128 bands to 10 kHz) on every

@@ -3,6 +3,9 @@
 ``readStream.format("binaryFile")`` lists the folder on each trigger and hands only files
 it has not seen (tracked in the checkpoint) to ``foreachBatch``; each micro-batch numbers
 its accepted keys after the stored maximum and appends them to the catalog table.
+
+``foreachBatch`` is at-least-once: a batch replayed after a failure finds its keys already
+stored and appends nothing (the anti join makes the append idempotent).
 """
 
 from __future__ import annotations
