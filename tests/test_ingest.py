@@ -115,3 +115,14 @@ def test_ingest_batches_equal_one_run(spark, wav_dir, tmp_dir):
     assert spark.read.parquet(f"{out}/audio").count() == whole.audio.count()
     spec = spark.read.parquet(f"{out}/spec")
     assert spec.count() == whole.spec.count() and spec.columns[:3] == ["song_id", "timeseries", "spec1"]
+
+
+def test_chunked_layout_spreads_hot_chunk(spark, tmp_dir):
+    """Every song fills chunk 0: it is written by several tasks, not one."""
+    audio = spark.range(20000).select((F.col("id") % 400).alias("song_id"),
+                                      (F.col("id") / 400).cast("bigint").alias("timeseries"),
+                                      F.lit(0.5).cast("float").alias("intensity"))
+    p = os.path.join(tmp_dir, "hot")
+    K.write_chunked(audio, p, chunk_size=64, num_partitions=8)
+    files = [f for f in os.listdir(os.path.join(p, "chunk=0")) if f.endswith(".parquet")]
+    assert len(files) >= 4
