@@ -86,11 +86,12 @@ def frame_chunks(signals: DataFrame, p: MelParams, carry: dict | None = None) ->
 
     A chunk carries the padded samples its frames need: (nfc - 1) * hop + n_fft values
     starting at sample f0 * hop - n_fft / 2. Reflection happens only at the true song ends,
-    so chunked frames equal unchunked ones. Pure projection + generate: no shuffle.
+    so chunked frames equal unchunked ones. Cutting is a projection + generate (no shuffle).
     Output: (song_id, sr, n_samples, f0, nfc, seg array<float>).
 
-    With ``p.balance`` the chunk rows are hash-partitioned on (song_id, f0) over the
-    session's shuffle partitions, so one long song's chunks are transformed by many tasks.
+    With ``p.balance`` the chunk rows are then hash-partitioned on (song_id, f0) over the
+    session's shuffle partitions (the one exchange before the FFT), so one long song's
+    chunks are transformed by many tasks instead of the task that read its file.
     """
     N, H, C = p.n_fft, p.hop, p.frames_per_chunk
     half = N // 2
@@ -132,7 +133,7 @@ def frame_chunks(signals: DataFrame, p: MelParams, carry: dict | None = None) ->
 
 def frame_signal(signals: DataFrame, p: MelParams, carry: dict | None = None,
                  per_chunk: dict | None = None) -> DataFrame:
-    """(song_id, sr, timeseries, frame array<double>): the raw (unwindowed) frames.
+    """(song_id, sr, timeseries, frame array<float>): the raw (unwindowed) frames.
 
     ``carry`` adds per-song columns computed once before the chunk generator, and
     ``per_chunk`` columns computed from them between the two generators; generators are

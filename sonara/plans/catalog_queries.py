@@ -10,7 +10,7 @@ from ..operators import spectral as S
 from ..schemas import CATALOG_FIELDS
 from .registry import register
 from .spectral_sql import ctes
-from .stored import spec_table
+from .stored import catalog_table, spec_table
 from .views import v_catalog
 
 FILE_LIMIT = 100  # files per ingest run
@@ -78,7 +78,8 @@ def stringify_all(spark, d):
 select row_key, field, value from (select s3_key as row_key, * from t)
 unpivot (value for field in ({', '.join(CATALOG_FIELDS)}))""")
 def catalog_cells(spark, d):
-    return C.catalog_cells(records(spark, d))
+    """PRJ-09: the tooltip cells of the stored catalog."""
+    return C.catalog_cells(catalog_table(spark, d))
 
 
 _JSON_FIELDS = ", ".join(f"'{c}', {c}" for c in CATALOG_FIELDS)
@@ -87,7 +88,8 @@ _JSON_FIELDS = ", ".join(f"'{c}', {c}" for c in CATALOG_FIELDS)
 @register("rows_as_records", f"""with {_ACCEPTED}, t as (select {_STRING_COLS} from accepted)
 select s3_key as row_key, cast(json_object({_JSON_FIELDS}) as varchar) as record from t""")
 def rows_as_records(spark, d):
-    return C.rows_as_records(C.stringify_all(records(spark, d)))
+    """SNK-06: the stored catalog as one JSON record per row."""
+    return C.rows_as_records(catalog_table(spark, d))
 
 
 @register("distinct_catalog", "select distinct album, artist, genre from v_catalog")
@@ -115,8 +117,7 @@ from db join t on db.song_id = cast(t.song_id as bigint)""")
 def catalog_spec_join(spark, d):
     """JON-02: a song's catalog row with its spectrogram; the text id is cast once."""
     spec = S.wide_to_long(spec_table(spark, d), S.TEST_PARAMS.n_mels)
-    cat = C.stringify_all(records(spark, d)).select(
-        F.col("song_id").cast("bigint").alias("cat_id"), "s3_key", "title")
+    cat = catalog_table(spark, d).select(F.col("song_id").cast("bigint").alias("cat_id"), "s3_key", "title")
     # catalog size grows with the number of files: AQE decides broadcast from measured size
     j = spec.join(cat, spec.song_id == cat.cat_id)
     return j.select("song_id", "s3_key", "title", "timeseries", "band", F.round("db", 4).alias("db"))

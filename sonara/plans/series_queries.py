@@ -6,13 +6,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import text as X
-from ..operators import catalog as C
 from ..operators import series as Q
 from ..operators import spectral as S
 from .catalog_queries import _ACCEPTED
 from .registry import register
-from .stored import audio_table
-from .views import v_audio, v_catalog, v_positions, v_signal
+from .stored import audio_table, catalog_table
+from .views import v_audio, v_positions, v_signal
 
 AUDIO_RATE = 2.0                      # test-scale samples per second of v_audio
 SEG_ROWS = Q.rows_per_segment(AUDIO_RATE)   # 10 rows per 5-second segment
@@ -96,8 +95,8 @@ s2 as (select seg.*, cast(segment * 5 as double) as start_s, a.s3_key as path
 select song_id, segment, start_s, {_MMSS.format(s='start_s')} as label,
        {_SEEK.format(p='path', s='start_s')} as seek, n_samples from s2""")
 def segment_index(spark, d):
-    paths = C.assign_song_id(C.filter_known_ext(v_catalog(spark, d))).select(
-        "song_id", F.col("s3_key").alias("path"))
+    paths = catalog_table(spark, d).select(F.col("song_id").cast("bigint").alias("song_id"),
+                                           F.col("s3_key").alias("path"))
     return Q.segment_index(audio_table(spark, d), SEG_ROWS, paths)
 
 

@@ -14,21 +14,31 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..operators import catalog as C
 from ..operators import spectral as S
 from ..session import scratch_path
 from ..sinks.tables import write_clustered
-from .views import v_audio, v_signal
+from .views import v_audio, v_catalog, v_signal
 
 _PATHS: dict[tuple[str, str, str], str] = {}
 
 
-def stored(spark: SparkSession, d: str, name: str, build: Callable[[SparkSession, str], DataFrame]) -> DataFrame:
-    key = (spark.sparkContext.applicationId, d, name)
-    if key not in _PATHS:
+def stored(spark: SparkSession, d: str, name: str, build: Callable[[SparkSession, str], DataFrame],
+           key: str = "song_id", order: tuple[str, ...] = ("timeseries",)) -> DataFrame:
+    k = (spark.sparkContext.applicationId, d, name)
+    if k not in _PATHS:
         path = scratch_path(spark, f"table-{name}")
-        write_clustered(build(spark, d), path)
-        _PATHS[key] = path
-    return spark.read.parquet(_PATHS[key])
+        write_clustered(build(spark, d), path, key=key, order=order)
+        _PATHS[k] = path
+    return spark.read.parquet(_PATHS[k])
+
+
+def catalog_table(spark: SparkSession, d: str) -> DataFrame:
+    """The stored catalog: 20 text fields ('None' for missing), accepted keys numbered in key
+    order, clustered by key."""
+    def build(s, dd):
+        return C.stringify_all(C.catalog_record(C.assign_song_id(C.filter_known_ext(v_catalog(s, dd)))))
+    return stored(spark, d, "catalog", build, key="s3_key", order=())
 
 
 def audio_table(spark: SparkSession, d: str) -> DataFrame:
