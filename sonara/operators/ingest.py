@@ -17,18 +17,26 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 from ..sources.objects import list_objects, relative_key, scan_binary
-from ..sources.wav import decode_wav, header_fields
+from ..sources.wav import decode_wav, header_fields, is_wav
 from . import catalog as C
-from . import series as Q
 from . import spectral as S
 
 
 @dataclass
 class Ingested:
     catalog: DataFrame     # 20 text fields, 'None' for missing
-    signals: DataFrame     # (song_id, sr, samples)
+    pieces: DataFrame      # (song_id, sr, n_samples, k, piece): signal pieces of piece_len(params)
     audio: DataFrame       # (song_id, timeseries, intensity)
     spec: DataFrame        # (song_id, timeseries, db array)
+    piece_length: int = 0
+
+    @property
+    def signals(self) -> DataFrame:
+        """Whole signals (song_id, sr, samples): pieces reassembled in order. For checks on
+        short recordings; the pipeline itself only moves pieces."""
+        return self.pieces.groupBy("song_id", "sr").agg(
+            F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("k", "piece"))), lambda x: x["piece"]))
+            .alias("samples"))
 
 
 def number_files(listing: DataFrame, root: str, known_only: bool = True) -> DataFrame:
@@ -81,14 +89,20 @@ def ingest(spark: SparkSession, root: str, params: S.MelParams = S.JOB_PARAMS,
     files = selected_files(spark, root, numbered, limit, first_id)
     # one scan of the bytes: header fields as Spark expressions, then the Arrow decoder
     # passes them through beside the samples; staged once for the three tables
+    # the decoder cuts each signal into pieces of piece_len(params) samples: bounded rows
+    # however long a recording is, and exactly the pieces the spectral operators expect
     head = ["song_id", "s3_key", "channels", "samplerate", "bitrate", "duration", "filesize"]
-    staged = materialize(
-        decode_wav(header_fields(files, keep_content=True), keep=head, all_rows=True), "ingest")
-    catalog = catalog_from_headers(staged)
-    signals = staged.where(F.col("samples").isNotNull()).select("song_id", "sr", "samples")
-    audio = Q.audio_long(signals)
-    spec = S.spec_packed(signals, params)
-    return Ingested(catalog, signals, audio, spec)
+    P = S.piece_len(params)
+    # only WAV bytes travel to the Python decoder; other objects keep their header row
+    with_head = header_fields(files, keep_content=True)
+    with_head = with_head.withColumn("content", F.when(is_wav(F.col("content")), F.col("content")))
+    staged = materialize(decode_wav(with_head, keep=head, all_rows=True, piece=P), "ingest")
+    catalog = catalog_from_headers(staged.where(F.col("k") == 0))
+    pieces = staged.where(F.col("piece").isNotNull()).select("song_id", "sr", "n_samples", "k", "piece")
+    audio = pieces.select("song_id", "k", F.posexplode("piece").alias("pos", "intensity")).select(
+        "song_id", (F.col("k").cast("bigint") * P + F.col("pos")).alias("timeseries"), "intensity")
+    spec = S.spec_packed(pieces, params)
+    return Ingested(catalog, pieces, audio, spec, P)
 
 
 def ingest_batches(spark: SparkSession, root: str, out: str, batch_files: int,

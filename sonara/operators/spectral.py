@@ -62,18 +62,19 @@ TEST_PARAMS = MelParams(n_fft=32, hop=8, n_mels=8, fmax=10000.0)
 
 # ---------------------------------------------------------------- framing
 
-def _sample_at(samples: Column, n: Column, p: Column, pad_mode: str) -> Column:
-    """samples[p] for a position p that may fall outside [0, n) (centred framing)."""
+def _sample_at(samples: Column, n: Column, p: Column, pad_mode: str, offset=0) -> Column:
+    """Sample at song position p, which may fall outside [0, n) (centred framing);
+    ``samples`` holds the song from position ``offset`` on."""
     if pad_mode == "constant":
         inside = (p >= 0) & (p < n)
-        return F.when(inside, F.element_at(samples, F.when(inside, p + 1).otherwise(F.lit(1)))
+        return F.when(inside, F.element_at(samples, F.when(inside, p - offset + 1).otherwise(F.lit(1)))
                       .cast("float")).otherwise(F.lit(0.0).cast("float"))
     if pad_mode != "reflect":
         raise ValueError(f"pad_mode {pad_mode!r}")
     period = F.greatest(F.lit(1), (n - 1) * 2)
     q = F.pmod(p, period)
     idx = F.when(n <= 1, F.lit(0)).when(q < n, q).otherwise(period - q)
-    return F.element_at(samples, idx + 1).cast("float")
+    return F.element_at(samples, idx - offset + 1).cast("float")
 
 
 def frame_count(n_samples: Column, hop: int) -> Column:
@@ -81,54 +82,92 @@ def frame_count(n_samples: Column, hop: int) -> Column:
     return (F.floor(n_samples / F.lit(hop)) + 1).cast("int")
 
 
-def frame_chunks(signals: DataFrame, p: MelParams, carry: dict | None = None) -> DataFrame:
-    """Split each song into chunk rows of at most ``frames_per_chunk`` frames.
+def piece_len(p: MelParams) -> int:
+    """Samples per piece: frames_per_chunk hops (a multiple of hop, at least n_fft)."""
+    return max(p.frames_per_chunk, -(-p.n_fft // p.hop)) * p.hop
 
-    A chunk carries the padded samples its frames need: (nfc - 1) * hop + n_fft values
-    starting at sample f0 * hop - n_fft / 2. Reflection happens only at the true song ends,
-    so chunked frames equal unchunked ones. Cutting is a projection + generate (no shuffle).
-    Output: (song_id, sr, n_samples, f0, nfc, seg array<float>).
 
-    With ``p.balance`` the chunk rows are then hash-partitioned on (song_id, f0) over the
-    session's shuffle partitions (the one exchange before the FFT), so one long song's
-    chunks are transformed by many tasks instead of the task that read its file.
+def to_pieces(signals: DataFrame, p: MelParams, carry: dict | None = None,
+              length: int | None = None) -> DataFrame:
+    """Whole signals -> pieces of ``length`` samples (the last one shorter):
+    (song_id, sr, n_samples, k, piece, carry...). Projection + generate, no shuffle."""
+    P = length or piece_len(p)
+    carry = carry or {}
+    L = F.size("samples")
+    n = F.greatest(F.lit(1), F.ceil(L / F.lit(P)).cast("int"))
+    arr = F.transform(F.sequence(F.lit(0), n - 1),
+                      lambda k: F.struct(k.alias("k"), F.slice(F.col("samples"), k * P + 1, P).alias("piece")))
+    return signals.where(L > 0).select("song_id", "sr", L.alias("n_samples"),
+                                       *[c.alias(nm) for nm, c in carry.items()], F.inline(arr))
+
+
+def frame_chunks(signals: DataFrame, p: MelParams, carry: dict | None = None,
+                 piece_length: int | None = None) -> DataFrame:
+    """Chunk rows for the FFT kernel, one per signal piece.
+
+    Input: whole signals ``(song_id, sr, samples)`` (cut into pieces here) or pieces
+    ``(song_id, sr, n_samples, k, piece)`` of ``piece_length`` samples (a multiple of hop,
+    at least n_fft), e.g. straight from the decoder, so no row ever holds a whole long song.
+    Piece k owns the frames whose centre lies in it (the last piece also the final frame);
+    its n_fft/2 halo samples on each side come from the neighbouring pieces through two
+    shuffled-hash joins against small head/tail tables, and reflection happens only at the
+    true song ends, so chunked frames equal unchunked ones.
+
+    With ``p.balance`` the pieces are first hash-partitioned on (song_id, k) over the
+    session's shuffle partitions, the one large exchange before the FFT: a long song's
+    pieces are transformed by many tasks, and the joins reuse that partitioning.
+    Output: (song_id, sr, n_samples, f0, nfc, seg array<float>, carry...).
     """
-    N, H, C = p.n_fft, p.hop, p.frames_per_chunk
+    N, H = p.n_fft, p.hop
     half = N // 2
     carry = carry or {}
-    s = signals.where(F.size("samples") > 0).select(
-        "song_id", "sr", "samples", F.size("samples").alias("n_samples"),
-        *[c.alias(n) for n, c in carry.items()])
+    if "piece" in signals.columns:
+        P = piece_length or piece_len(p)
+        pieces = signals.select("*", *[c.alias(nm) for nm, c in carry.items()])
+    else:
+        P = piece_len(p)
+        pieces = to_pieces(signals, p, carry, P)
+    if P % H or P < N:
+        raise ValueError(f"piece length {P} must be a multiple of hop {H} and at least n_fft {N}")
+    if p.balance:
+        n = int(signals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        pieces = pieces.repartition(n, "song_id", "k")
     L = F.col("n_samples")
-    nf = frame_count(L, H)
-    nchunks = ((nf + (C - 1)) / F.lit(C)).cast("int")
-    samples = F.col("samples")
+    n_pieces = F.greatest(F.lit(1), F.ceil(L / F.lit(P)).cast("int"))
+    tails = pieces.where(F.col("k") + 1 < n_pieces).select(
+        "song_id", (F.col("k") + 1).alias("k"),
+        F.slice("piece", F.greatest(F.lit(1), F.size("piece") - half + 1), half).alias("prev_tail"))
+    heads = pieces.where(F.col("k") >= 1).select(
+        "song_id", (F.col("k") - 1).alias("k"), F.slice("piece", 1, half).alias("next_head"))
+    j = (pieces.join(tails.hint("shuffle_hash"), ["song_id", "k"], "left")
+         .join(heads.hint("shuffle_hash"), ["song_id", "k"], "left"))
 
     empty = F.array().cast("array<float>")
+    prev = F.coalesce(F.col("prev_tail"), empty)
+    ext = F.concat(prev, F.col("piece"), F.coalesce(F.col("next_head"), empty))
+    ext_start = F.col("k") * P - F.size(prev)          # song position of ext[0]
+    nf = frame_count(L, H)
+    f0 = F.col("k") * (P // H)
+    nfc = F.when(F.col("k") == n_pieces - 1, nf - f0).otherwise(F.lit(P // H))
+    start = f0 * H - half
+    end = start + (nfc - 1) * H + N                    # exclusive
+    a, b = F.greatest(start, F.lit(0)), F.least(end, L)
+
+    def at(pos):
+        # a padded position: reflect (or zero) against the true song ends, read from ext
+        if p.pad_mode == "constant":
+            return F.lit(0.0).cast("float")
+        return _sample_at(ext, L, pos, p.pad_mode, offset=ext_start)
 
     def pad(lo, hi):
         # positions lo..hi outside the signal (at most n_fft/2 of them, only at song ends)
-        return F.when(hi >= lo, F.transform(F.sequence(lo, hi), lambda pos: _sample_at(samples, L, pos, p.pad_mode))
-                      ).otherwise(empty)
-
-    def chunk(c):
-        f0 = c * C
-        nfc = F.least(F.lit(C), nf - f0)
-        start = f0 * H - half
-        end = start + (nfc - 1) * H + N                  # exclusive
-        a, b = F.greatest(start, F.lit(0)), F.least(end, L)
-        # interior: one bulk slice; reflection only for the padded ends
-        middle = F.when(b > a, F.slice(samples, a + 1, b - a)).otherwise(empty)
-        seg = F.concat(pad(start, F.least(end, F.lit(0)) - 1), middle, pad(F.greatest(start, L), end - 1))
-        return F.struct(f0.cast("bigint").alias("f0"), nfc.cast("int").alias("nfc"),
-                        seg.alias("seg"))
-
-    chunks = F.transform(F.sequence(F.lit(0), nchunks - 1), chunk)
-    out = s.select("song_id", "sr", "n_samples", *carry.keys(), F.inline(chunks))
-    if p.balance:
-        n = int(signals.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        out = out.repartition(n, "song_id", "f0")
-    return out
+        return F.when(hi >= lo, F.transform(F.sequence(lo, hi), at)).otherwise(empty)
+
+    # interior: one bulk slice of ext; reflection only for the padded ends
+    middle = F.when(b > a, F.slice(ext, a - ext_start + 1, b - a)).otherwise(empty)
+    seg = F.concat(pad(start, F.least(end, F.lit(0)) - 1), middle, pad(F.greatest(start, L), end - 1))
+    return j.select("song_id", "sr", "n_samples", *carry.keys(), f0.cast("bigint").alias("f0"),
+                    nfc.cast("int").alias("nfc"), seg.alias("seg"))
 
 
 def frame_signal(signals: DataFrame, p: MelParams, carry: dict | None = None,

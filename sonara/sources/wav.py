@@ -93,44 +93,58 @@ def _parse_wav(buf: bytes):
     return sr, mono.astype(np.float32)
 
 
-def _decoder(keep: list[str], all_rows: bool):
+def _decoder(keep: list[str], all_rows: bool, piece: int | None):
     def run(batches):
         import pyarrow as pa
 
         for rb in batches:
             contents = rb.column("content")
-            rows, out_sr, out_x = [], [], []
+            rows, out_sr, out_n, out_k, out_x = [], [], [], [], []
             for i in range(rb.num_rows):
                 buf = contents[i].as_py()
                 r = _parse_wav(buf) if buf is not None else None
-                if r is None and not all_rows:
+                if r is None:
+                    if all_rows:
+                        rows.append(i), out_sr.append(None), out_n.append(None), out_k.append(0), out_x.append(None)
                     continue
-                rows.append(i)
-                out_sr.append(None if r is None else r[0])
-                out_x.append(None if r is None else r[1])
+                sr, x = r
+                step = piece or max(1, len(x))
+                for k in range(max(1, -(-len(x) // step))):
+                    rows.append(i), out_sr.append(sr), out_n.append(len(x)), out_k.append(k)
+                    out_x.append(x[k * step:(k + 1) * step])
             if not rows:
                 continue
             lens = np.fromiter((0 if x is None else len(x) for x in out_x), dtype=np.int64, count=len(out_x))
             offsets = pa.array(np.concatenate([[0], np.cumsum(lens)]).astype(np.int32))
             parts = [x for x in out_x if x is not None]
             values = pa.array(np.concatenate(parts) if parts else np.zeros(0, np.float32), type=pa.float32())
-            mask = pa.array([x is None for x in out_x])
-            samples = pa.ListArray.from_arrays(offsets, values, mask=mask)
+            arr = pa.ListArray.from_arrays(offsets, values, mask=pa.array([x is None for x in out_x]))
             take = pa.array(rows, type=pa.int64())
-            cols = [rb.column(k).take(take) for k in keep]
-            yield pa.RecordBatch.from_arrays(
-                cols + [pa.array(out_sr, type=pa.int32()), samples], names=[*keep, "sr", "samples"])
+            cols = [rb.column(k).take(take) for k in keep] + [pa.array(out_sr, type=pa.int32())]
+            names = [*keep, "sr"]
+            if piece:
+                cols += [pa.array(out_n, type=pa.int32()), pa.array(out_k, type=pa.int32())]
+                names += ["n_samples", "k"]
+            yield pa.RecordBatch.from_arrays(cols + [arr], names=names + ["piece" if piece else "samples"])
     return run
 
 
-def decode_wav(files: DataFrame, keep: list[str] | None = None, all_rows: bool = False) -> DataFrame:
+def decode_wav(files: DataFrame, keep: list[str] | None = None, all_rows: bool = False,
+               piece: int | None = None) -> DataFrame:
     """(..., content) -> (keep..., sr, samples): native rate, channels averaged to mono,
     integer PCM scaled to [-1, 1). ``keep`` columns ride along (default: path). Files that
-    are not WAV produce no row, or a row with NULL signal when ``all_rows``."""
+    are not WAV produce no row, or one row with NULL signal when ``all_rows``.
+
+    With ``piece`` the signal leaves the decoder cut into pieces of that many samples:
+    (keep..., sr, n_samples, k, piece), so no row holds a whole long recording."""
     keep = list(keep or ["path"])
-    schema = T.StructType([files.schema[k] for k in keep] + [
-        T.StructField("sr", T.IntegerType()), T.StructField("samples", T.ArrayType(T.FloatType()))])
-    return files.select(*keep, "content").mapInArrow(_decoder(keep, all_rows), schema)
+    fields = [files.schema[k] for k in keep] + [T.StructField("sr", T.IntegerType())]
+    if piece:
+        fields += [T.StructField("n_samples", T.IntegerType()), T.StructField("k", T.IntegerType()),
+                   T.StructField("piece", T.ArrayType(T.FloatType()))]
+    else:
+        fields += [T.StructField("samples", T.ArrayType(T.FloatType()))]
+    return files.select(*keep, "content").mapInArrow(_decoder(keep, all_rows, piece), T.StructType(fields))
 
 
 # ---- encoding (fixtures: WAV files derived from a signals table) ----

@@ -174,3 +174,23 @@ def test_hot_song_is_spread_over_tasks(spark):
 def test_hof_kernel_refuses_large_n(spark, arrays):
     with pytest.raises(ValueError):
         S.mel_spectrogram(_signals(spark, arrays), replace(S.JOB_PARAMS, kernel="hof"))
+
+
+@pytest.mark.parametrize("pad", ["reflect", "constant"])
+def test_short_last_piece(spark, pad):
+    """Last piece shorter than the halo: the previous piece's frames reflect at the song end."""
+    rng = np.random.default_rng(5)
+    arrs = [rng.uniform(-0.5, 0.5, n).astype(np.float32) for n in (85, 121, 41, 80, 200)]
+    p = S.MelParams(n_fft=32, hop=8, n_mels=8, fmax=10000.0, frames_per_chunk=5, pad_mode=pad)  # pieces of 40
+    db = _collect(S.spec_packed(_signals(spark, arrs), p), "db")
+    for i, a in enumerate(arrs):
+        np.testing.assert_allclose(db[i + 1], brute(a, 22050, p)[2], atol=1e-8)
+
+
+def test_pieces_input_equals_whole_input(spark, arrays):
+    p = S.MelParams(n_fft=32, hop=8, n_mels=8, fmax=10000.0, frames_per_chunk=5)
+    sig = _signals(spark, arrays)
+    whole = _collect(S.mel_spectrogram(sig, p), "mel")
+    pieces = _collect(S.mel_spectrogram(S.to_pieces(sig, p), p), "mel")
+    for k in whole:
+        np.testing.assert_allclose(whole[k], pieces[k], rtol=1e-12)
