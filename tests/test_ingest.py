@@ -143,3 +143,15 @@ def test_decoder_pieces_equal_whole_signal_path(spark, wav_dir):
     assert a.keys() == b.keys()
     for k in a:
         np.testing.assert_allclose(a[k], b[k], atol=1e-9)
+
+
+def test_job_cli(spark, wav_dir, tmp_dir):
+    from sonara import jobs
+    out = os.path.join(tmp_dir, "job")
+    assert jobs.main(["ingest", "--input", wav_dir, "--output", out, "--batch-files", "2",
+                      "--n-fft", "256", "--hop", "64", "--n-mels", "16", "--fmax", "0"]) == 0
+    cat = spark.read.parquet(f"{out}/catalog")
+    assert cat.count() == 4 and spark.read.parquet(f"{out}/spec").columns[-1] == "spec16"
+    ck, catalog = os.path.join(tmp_dir, "ck"), os.path.join(tmp_dir, "stream-cat")
+    assert jobs.main(["stream", "--input", wav_dir, "--catalog", catalog, "--checkpoint", ck]) == 0
+    assert spark.read.parquet(catalog).count() == 4
