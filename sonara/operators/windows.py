@@ -10,9 +10,9 @@ therefore spread over many tasks.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ordinal import ordinal_within
@@ -28,15 +28,25 @@ def window_points(events: DataFrame, duration: str, time_col: str = "instr_time"
                          time_col, value)
 
 
-def successive_abs_diff(points: DataFrame, keys: Sequence[str], order: Sequence[str],
-                        value: str = "value") -> DataFrame:
-    """(keys..., sum_abs_diff, n_pairs): |x_i - x_{i-1}| over each key's time-sorted points."""
+def pairwise_reduce(points: DataFrame, keys: Sequence[str], order: Sequence[str],
+                    pair: Callable[[Column, Column], Column], value: str = "value",
+                    name: str = "total") -> DataFrame:
+    """(keys..., name, n_pairs): sum over consecutive points (in ``order``) of
+    ``pair(previous, current)``, a Column expression (JVM-side). Any reducer built from
+    consecutive pairs fits: absolute or squared successive differences, sign changes,
+    threshold crossings. Each point is joined to its predecessor on (keys, ordinal): no
+    group is gathered, and a hot key spreads over many tasks."""
     numbered = ordinal_within(points.select(*keys, *order, value), list(keys), list(order), name="__i")
     prev = numbered.select(*keys, (F.col("__i") + 1).alias("__i"), F.col(value).alias("__prev"))
     pairs = numbered.join(prev, [*keys, "__i"])
-    return pairs.groupBy(*keys).agg(
-        F.sum(F.abs(F.col(value) - F.col("__prev"))).alias("sum_abs_diff"),
-        F.count(F.lit(1)).alias("n_pairs"))
+    return pairs.groupBy(*keys).agg(F.sum(pair(F.col("__prev"), F.col(value))).alias(name),
+                                    F.count(F.lit(1)).alias("n_pairs"))
+
+
+def successive_abs_diff(points: DataFrame, keys: Sequence[str], order: Sequence[str],
+                        value: str = "value") -> DataFrame:
+    """(keys..., sum_abs_diff, n_pairs): |x_i - x_{i-1}| over each key's time-sorted points."""
+    return pairwise_reduce(points, keys, order, lambda a, b: F.abs(b - a), value, "sum_abs_diff")
 
 
 def window_series(events: DataFrame, duration: str, expected: int,

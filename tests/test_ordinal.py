@@ -30,3 +30,15 @@ def test_numbering_is_repeatable(spark):
     a = ordinal_within(df, ["k"], ["t"], name="o")
     b = ordinal_within(df, ["k"], ["t"], name="o")
     assert a.exceptAll(b).count() == 0 and a.count() == 5000
+
+
+def test_pairwise_reduce_matches_lag(spark):
+    from sonara.operators.windows import pairwise_reduce
+    df = spark.range(3000).select((F.col("id") % 4).alias("k"), ((F.col("id") * 17) % 3000).alias("t"),
+                                  F.sin(F.col("id")).alias("value"))
+    got = {r.k: (round(r.total, 9), r.n_pairs) for r in
+           pairwise_reduce(df, ["k"], ["t"], lambda a, b: (b - a) * (b - a)).collect()}
+    lag = F.lag("value").over(Window.partitionBy("k").orderBy("t"))
+    want = df.withColumn("d", F.col("value") - lag).groupBy("k").agg(
+        F.sum(F.col("d") * F.col("d")).alias("total"), F.count("d").alias("n"))
+    assert got == {r.k: (round(r.total, 9), r.n) for r in want.collect()}
