@@ -15,10 +15,15 @@ def _reader(spark: SparkSession, glob: str | None = None):
     return r
 
 
-def list_objects(spark: SparkSession, location: str, glob: str | None = None) -> DataFrame:
+def list_objects(spark: SparkSession, location: str | Sequence[str], glob: str | None = None) -> DataFrame:
     """Every key below ``location`` with its size and time. ``content`` is not selected, so
-    the scan never opens the files (ReadSchema: path, modificationTime, length)."""
-    return _reader(spark, glob).load(location).select("path", "length", "modificationTime")
+    the scan never opens the files (ReadSchema: path, modificationTime, length).
+
+    ``location`` may be a list of prefixes (e.g. the top-level folders of a bucket): with
+    more than ``spark.sql.sources.parallelPartitionDiscovery.threshold`` of them, Spark lists
+    them with a distributed job instead of on the driver alone."""
+    locs = [location] if isinstance(location, str) else list(location)
+    return _reader(spark, glob).load(locs).select("path", "length", "modificationTime")
 
 
 def scan_binary(spark: SparkSession, location: str | Sequence[str], glob: str | None = None) -> DataFrame:

@@ -155,3 +155,8 @@ def test_job_cli(spark, wav_dir, tmp_dir):
     ck, catalog = os.path.join(tmp_dir, "ck"), os.path.join(tmp_dir, "stream-cat")
     assert jobs.main(["stream", "--input", wav_dir, "--catalog", catalog, "--checkpoint", ck]) == 0
     assert spark.read.parquet(catalog).count() == 4
+
+
+def test_listing_accepts_prefixes(spark, wav_dir):
+    df = list_objects(spark, [os.path.join(wav_dir, "a"), os.path.join(wav_dir, "b")])
+    assert df.count() == 5
