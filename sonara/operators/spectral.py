@@ -396,9 +396,11 @@ def spec_wide(packed: DataFrame, n_mels: int, col: str = "db") -> DataFrame:
                          *[F.col(col)[i].alias(n) for i, n in enumerate(band_names(n_mels))])
 
 
-def wide_to_long(wide: DataFrame, n_mels: int) -> DataFrame:
+def wide_to_long(wide: DataFrame, n_mels: int, keep: list[str] | None = None) -> DataFrame:
+    """Unpivot spec1..specM to (song_id, timeseries, [keep...], band, db)."""
     names = band_names(n_mels)
-    stacked = wide.select("song_id", "timeseries", F.posexplode(F.array(*names)).alias("band", "db"))
+    stacked = wide.select("song_id", "timeseries", *(keep or []),
+                          F.posexplode(F.array(*names)).alias("band", "db"))
     return stacked.withColumn("band", F.col("band").cast("bigint"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..operators import catalog as C
 from ..operators import spectral as S
-from ..schemas import CATALOG_FIELDS
+from ..schemas import CATALOG_FIELDS, band_names
 from .registry import register
 from .spectral_sql import ctes
 from .stored import catalog_table, spec_table
@@ -115,9 +115,14 @@ def append_new_files(spark, d):
 select db.song_id, t.s3_key, t.title, db.timeseries, db.band, round(db.db, 4) as db
 from db join t on db.song_id = cast(t.song_id as bigint)""")
 def catalog_spec_join(spark, d):
-    """JON-02: a song's catalog row with its spectrogram; the text id is cast once."""
-    spec = S.wide_to_long(spec_table(spark, d), S.TEST_PARAMS.n_mels)
+    """JON-02: a song's catalog row with its spectrogram; the text id is cast once.
+
+    Joined on the wide table (one row per frame), then unpivoted: the exchange carries
+    M-times fewer rows than joining the long form. The catalog grows with the number of
+    files, so AQE decides broadcast from its measured size (skew-split merge join beyond)."""
+    wide = spec_table(spark, d)
     cat = catalog_table(spark, d).select(F.col("song_id").cast("bigint").alias("cat_id"), "s3_key", "title")
-    # catalog size grows with the number of files: AQE decides broadcast from measured size
-    j = spec.join(cat, spec.song_id == cat.cat_id)
-    return j.select("song_id", "s3_key", "title", "timeseries", "band", F.round("db", 4).alias("db"))
+    j = wide.join(cat, wide.song_id == cat.cat_id).drop("cat_id")
+    long = S.wide_to_long(j.select("song_id", "timeseries", *band_names(S.TEST_PARAMS.n_mels),
+                                   F.struct("s3_key", "title").alias("__c")), S.TEST_PARAMS.n_mels, keep=["__c"])
+    return long.select("song_id", "__c.s3_key", "__c.title", "timeseries", "band", F.round("db", 4).alias("db"))
