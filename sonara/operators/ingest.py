@@ -10,7 +10,7 @@ key order, so a retried task or a re-run produces the same rows.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,7 +25,7 @@ from . import spectral as S
 @dataclass
 class Ingested:
     catalog: DataFrame     # 20 text fields, 'None' for missing
-    pieces: DataFrame      # (song_id, sr, n_samples, k, piece): signal pieces of piece_len(params)
+    pieces: DataFrame      # (song_id, sr, n_samples, k, ext_start, ext): haloed pieces of piece_len(params)
     audio: DataFrame       # (song_id, timeseries, intensity)
     spec: DataFrame        # (song_id, timeseries, db array)
     piece_length: int = 0
@@ -34,9 +34,11 @@ class Ingested:
     def signals(self) -> DataFrame:
         """Whole signals (song_id, sr, samples): pieces reassembled in order. For checks on
         short recordings; the pipeline itself only moves pieces."""
-        return self.pieces.groupBy("song_id", "sr").agg(
-            F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("k", "piece"))), lambda x: x["piece"]))
-            .alias("samples"))
+        own = S.owned_samples(self.pieces, self.piece_length)
+        return own.groupBy("song_id").agg(
+            F.transform(F.array_sort(F.collect_list(F.struct("timeseries", "intensity"))),
+                        lambda x: x["intensity"]).alias("samples")).join(
+            self.pieces.select("song_id", "sr").distinct(), "song_id")
 
 
 def number_files(listing: DataFrame, root: str, known_only: bool = True) -> DataFrame:
@@ -96,12 +98,14 @@ def ingest(spark: SparkSession, root: str, params: S.MelParams = S.JOB_PARAMS,
     # only WAV bytes travel to the Python decoder; other objects keep their header row
     with_head = header_fields(files, keep_content=True)
     with_head = with_head.withColumn("content", F.when(is_wav(F.col("content")), F.col("content")))
-    staged = materialize(decode_wav(with_head, keep=head, all_rows=True, piece=P), "ingest")
+    staged = materialize(decode_wav(with_head, keep=head, all_rows=True, piece=P, halo=params.n_fft // 2),
+                         "ingest")
     catalog = catalog_from_headers(staged.where(F.col("k") == 0))
-    pieces = staged.where(F.col("piece").isNotNull()).select("song_id", "sr", "n_samples", "k", "piece")
-    audio = pieces.select("song_id", "k", F.posexplode("piece").alias("pos", "intensity")).select(
-        "song_id", (F.col("k").cast("bigint") * P + F.col("pos")).alias("timeseries"), "intensity")
-    spec = S.spec_packed(pieces, params)
+    pieces = staged.where(F.col("ext").isNotNull()).select("song_id", "sr", "n_samples", "k", "ext_start", "ext")
+    audio = S.owned_samples(pieces, P)
+    # the staged pieces are read back in row-group splits, which already spreads a long
+    # recording over many tasks: no balancing shuffle, no sample moves between decode and FFT
+    spec = S.spec_packed(pieces, replace(params, balance=False))
     return Ingested(catalog, pieces, audio, spec, P)
 
 

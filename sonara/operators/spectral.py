@@ -89,39 +89,56 @@ def piece_len(p: MelParams) -> int:
 
 def to_pieces(signals: DataFrame, p: MelParams, carry: dict | None = None,
               length: int | None = None) -> DataFrame:
-    """Whole signals -> pieces of ``length`` samples (the last one shorter):
-    (song_id, sr, n_samples, k, piece, carry...). Projection + generate, no shuffle."""
+    """Whole signals -> pieces of ``length`` samples, each carrying n_fft/2 halo samples
+    of its neighbours: (song_id, sr, n_samples, k, ext_start, ext, carry...), where ext holds
+    song positions [ext_start, ext_start + size(ext)). One bulk slice per piece, no shuffle."""
     P = length or piece_len(p)
+    half = p.n_fft // 2
     carry = carry or {}
     L = F.size("samples")
     n = F.greatest(F.lit(1), F.ceil(L / F.lit(P)).cast("int"))
-    arr = F.transform(F.sequence(F.lit(0), n - 1),
-                      lambda k: F.struct(k.alias("k"), F.slice(F.col("samples"), k * P + 1, P).alias("piece")))
+
+    def piece(k):
+        lo = F.greatest(k * P - half, F.lit(0))
+        hi = F.least((k + 1) * P + half, L)
+        return F.struct(k.alias("k"), lo.alias("ext_start"), F.slice(F.col("samples"), lo + 1, hi - lo).alias("ext"))
+
+    arr = F.transform(F.sequence(F.lit(0), n - 1), piece)
     return signals.where(L > 0).select("song_id", "sr", L.alias("n_samples"),
                                        *[c.alias(nm) for nm, c in carry.items()], F.inline(arr))
 
 
+def owned_samples(pieces: DataFrame, length: int) -> DataFrame:
+    """(song_id, timeseries, intensity) from haloed pieces: each piece's own samples only."""
+    P = length
+    own = F.slice(F.col("ext"), F.col("k") * P - F.col("ext_start") + 1,
+                  F.least(F.lit(P), F.col("n_samples") - F.col("k") * P))
+    out = pieces.select("song_id", "k", F.posexplode(own).alias("pos", "intensity"))
+    return out.select("song_id", (F.col("k").cast("bigint") * P + F.col("pos")).alias("timeseries"), "intensity")
+
+
 def frame_chunks(signals: DataFrame, p: MelParams, carry: dict | None = None,
                  piece_length: int | None = None) -> DataFrame:
     """Chunk rows for the FFT kernel, one per signal piece.
 
-    Input: whole signals ``(song_id, sr, samples)`` (cut into pieces here) or pieces
-    ``(song_id, sr, n_samples, k, piece)`` of ``piece_length`` samples (a multiple of hop,
-    at least n_fft), e.g. straight from the decoder, so no row ever holds a whole long song.
-    Piece k owns the frames whose centre lies in it (the last piece also the final frame);
-    its n_fft/2 halo samples on each side come from the neighbouring pieces through two
-    shuffled-hash joins against small head/tail tables, and reflection happens only at the
-    true song ends, so chunked frames equal unchunked ones.
-
-    With ``p.balance`` the pieces are first hash-partitioned on (song_id, k) over the
-    session's shuffle partitions, the one large exchange before the FFT: a long song's
-    pieces are transformed by many tasks, and the joins reuse that partitioning.
+    Input: whole signals ``(song_id, sr, samples)`` (cut into pieces here) or haloed pieces
+    ``(song_id, sr, n_samples, k, ext_start, ext)`` of ``piece_length`` samples (a multiple
+    of hop, at least n_fft), e.g. straight from the decoder, so no row ever holds a whole
+    long song. Piece k owns the frames whose centre lies in it (the last piece also the final
+    frame); its halo (n_fft/2 samples each side, cut with the piece) covers their reach, and
+    reflection happens only at the true song ends, so chunked frames equal unchunked ones.
+    No join is needed.
+
+    With ``p.balance`` the pieces are hash-partitioned on (song_id, k) over the session's
+    shuffle partitions, so a long song's pieces are transformed by many tasks even when they
+    arrive in one partition (a table read back from Parquet is already spread by row-group
+    splits, so the ingest job turns this off and moves no samples).
     Output: (song_id, sr, n_samples, f0, nfc, seg array<float>, carry...).
     """
     N, H = p.n_fft, p.hop
     half = N // 2
     carry = carry or {}
-    if "piece" in signals.columns:
+    if "ext" in signals.columns:
         P = piece_length or piece_len(p)
         pieces = signals.select("*", *[c.alias(nm) for nm, c in carry.items()])
     else:
@@ -134,18 +151,8 @@ def frame_chunks(signals: DataFrame, p: MelParams, carry: dict | None = None,
         pieces = pieces.repartition(n, "song_id", "k")
     L = F.col("n_samples")
     n_pieces = F.greatest(F.lit(1), F.ceil(L / F.lit(P)).cast("int"))
-    tails = pieces.where(F.col("k") + 1 < n_pieces).select(
-        "song_id", (F.col("k") + 1).alias("k"),
-        F.slice("piece", F.greatest(F.lit(1), F.size("piece") - half + 1), half).alias("prev_tail"))
-    heads = pieces.where(F.col("k") >= 1).select(
-        "song_id", (F.col("k") - 1).alias("k"), F.slice("piece", 1, half).alias("next_head"))
-    j = (pieces.join(tails.hint("shuffle_hash"), ["song_id", "k"], "left")
-         .join(heads.hint("shuffle_hash"), ["song_id", "k"], "left"))
-
     empty = F.array().cast("array<float>")
-    prev = F.coalesce(F.col("prev_tail"), empty)
-    ext = F.concat(prev, F.col("piece"), F.coalesce(F.col("next_head"), empty))
-    ext_start = F.col("k") * P - F.size(prev)          # song position of ext[0]
+    ext, ext_start = F.col("ext"), F.col("ext_start")
     nf = frame_count(L, H)
     f0 = F.col("k") * (P // H)
     nfc = F.when(F.col("k") == n_pieces - 1, nf - f0).otherwise(F.lit(P // H))
@@ -166,8 +173,8 @@ def frame_chunks(signals: DataFrame, p: MelParams, carry: dict | None = None,
     # interior: one bulk slice of ext; reflection only for the padded ends
     middle = F.when(b > a, F.slice(ext, a - ext_start + 1, b - a)).otherwise(empty)
     seg = F.concat(pad(start, F.least(end, F.lit(0)) - 1), middle, pad(F.greatest(start, L), end - 1))
-    return j.select("song_id", "sr", "n_samples", *carry.keys(), f0.cast("bigint").alias("f0"),
-                    nfc.cast("int").alias("nfc"), seg.alias("seg"))
+    return pieces.select("song_id", "sr", "n_samples", *carry.keys(), f0.cast("bigint").alias("f0"),
+                         nfc.cast("int").alias("nfc"), seg.alias("seg"))
 
 
 def frame_signal(signals: DataFrame, p: MelParams, carry: dict | None = None,

@@ -93,25 +93,28 @@ def _parse_wav(buf: bytes):
     return sr, mono.astype(np.float32)
 
 
-def _decoder(keep: list[str], all_rows: bool, piece: int | None):
+def _decoder(keep: list[str], all_rows: bool, piece: int | None, halo: int):
     def run(batches):
         import pyarrow as pa
 
         for rb in batches:
             contents = rb.column("content")
-            rows, out_sr, out_n, out_k, out_x = [], [], [], [], []
+            rows, out_sr, out_n, out_k, out_lo, out_x = [], [], [], [], [], []
             for i in range(rb.num_rows):
                 buf = contents[i].as_py()
                 r = _parse_wav(buf) if buf is not None else None
                 if r is None:
                     if all_rows:
-                        rows.append(i), out_sr.append(None), out_n.append(None), out_k.append(0), out_x.append(None)
+                        rows.append(i), out_sr.append(None), out_n.append(None), out_k.append(0)
+                        out_lo.append(None), out_x.append(None)
                     continue
                 sr, x = r
                 step = piece or max(1, len(x))
                 for k in range(max(1, -(-len(x) // step))):
+                    lo = max(0, k * step - halo) if piece else 0
                     rows.append(i), out_sr.append(sr), out_n.append(len(x)), out_k.append(k)
-                    out_x.append(x[k * step:(k + 1) * step])
+                    out_lo.append(lo)
+                    out_x.append(x[lo:(k + 1) * step + halo] if piece else x)
             if not rows:
                 continue
             lens = np.fromiter((0 if x is None else len(x) for x in out_x), dtype=np.int64, count=len(out_x))
@@ -123,28 +126,30 @@ def _decoder(keep: list[str], all_rows: bool, piece: int | None):
             cols = [rb.column(k).take(take) for k in keep] + [pa.array(out_sr, type=pa.int32())]
             names = [*keep, "sr"]
             if piece:
-                cols += [pa.array(out_n, type=pa.int32()), pa.array(out_k, type=pa.int32())]
-                names += ["n_samples", "k"]
-            yield pa.RecordBatch.from_arrays(cols + [arr], names=names + ["piece" if piece else "samples"])
+                cols += [pa.array(out_n, type=pa.int32()), pa.array(out_k, type=pa.int32()),
+                         pa.array(out_lo, type=pa.int32())]
+                names += ["n_samples", "k", "ext_start"]
+            yield pa.RecordBatch.from_arrays(cols + [arr], names=names + ["ext" if piece else "samples"])
     return run
 
 
 def decode_wav(files: DataFrame, keep: list[str] | None = None, all_rows: bool = False,
-               piece: int | None = None) -> DataFrame:
+               piece: int | None = None, halo: int = 0) -> DataFrame:
     """(..., content) -> (keep..., sr, samples): native rate, channels averaged to mono,
     integer PCM scaled to [-1, 1). ``keep`` columns ride along (default: path). Files that
     are not WAV produce no row, or one row with NULL signal when ``all_rows``.
 
-    With ``piece`` the signal leaves the decoder cut into pieces of that many samples:
-    (keep..., sr, n_samples, k, piece), so no row holds a whole long recording."""
+    With ``piece`` the signal leaves the decoder cut into pieces of that many samples, each
+    with ``halo`` samples of its neighbours on either side: (keep..., sr, n_samples, k,
+    ext_start, ext), so no row holds a whole long recording and no join is needed later."""
     keep = list(keep or ["path"])
     fields = [files.schema[k] for k in keep] + [T.StructField("sr", T.IntegerType())]
     if piece:
         fields += [T.StructField("n_samples", T.IntegerType()), T.StructField("k", T.IntegerType()),
-                   T.StructField("piece", T.ArrayType(T.FloatType()))]
+                   T.StructField("ext_start", T.IntegerType()), T.StructField("ext", T.ArrayType(T.FloatType()))]
     else:
         fields += [T.StructField("samples", T.ArrayType(T.FloatType()))]
-    return files.select(*keep, "content").mapInArrow(_decoder(keep, all_rows, piece), T.StructType(fields))
+    return files.select(*keep, "content").mapInArrow(_decoder(keep, all_rows, piece, halo), T.StructType(fields))
 
 
 # ---- encoding (fixtures: WAV files derived from a signals table) ----

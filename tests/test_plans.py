@@ -40,3 +40,14 @@ def test_schema_probe_folds_to_empty(spark):
     df = schema_probe(V.v_catalog(spark, SF01))
     assert "LocalTableScan" in plan(df) or "EmptyRelation" in plan(df)
     assert df.columns == ["s3_key", "album", "artist", "genre", "title", "filesize", "samplerate"]
+
+
+def test_fft_from_haloed_pieces_moves_no_samples(spark):
+    """Pieces carry their halos: framing + FFT from a stored pieces table is exchange-free."""
+    from dataclasses import replace
+    from sonara.operators import spectral as S
+    sig = V.v_signal(spark, SF01)
+    p = replace(S.TEST_PARAMS, balance=False)
+    pieces = S.to_pieces(sig, p)
+    txt = plan(S.mel_spectrogram(pieces, p))
+    assert "Exchange" not in txt and "MapInArrow" in txt
