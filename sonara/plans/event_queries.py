@@ -40,3 +40,21 @@ def per_series_reduce(spark, d):
 def window_series_stream(spark, d):
     """STM-01: the same result from Structured Streaming over the events file."""
     return _stream(spark, f"{d.rstrip('/')}/events.parquet", DURATION, EXPECTED)
+
+
+_CH_WIN = """w as (select subject_id, channel, time_bucket(interval '5 days', instr_time, timestamp '1970-01-01 00:00:00') as window_start,
+             instr_time, value from v_events),
+d as (select subject_id, channel, window_start,
+             value - lag(value) over (partition by subject_id, channel, window_start order by instr_time) as dv from w)"""
+
+
+@register("window_series_channels", f"""with {_CH_WIN},
+a as (select subject_id, channel, window_start, count(*) as n, sum(abs(dv)) as s from d group by 1, 2, 3)
+select subject_id, channel, window_start, window_start + interval '5 days' as window_end,
+       cast(n as bigint) as num_datapoints,
+       case when n >= {W.GATE * EXPECTED} then cast(round(s / (n - 1), 6) as float) end as indicator
+from a""")
+def window_series_channels(spark, d):
+    """SER-01 with the intended keys: per subject, channel and window (thin per channel, so
+    most windows stay below the gate; the rows are kept with a NULL result)."""
+    return W.window_series(v_events(spark, d), DURATION, EXPECTED, keys=("subject_id", "channel"))
