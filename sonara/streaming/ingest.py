@@ -11,7 +11,6 @@ stored and appends nothing (the anti join makes the append idempotent).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators import catalog as C
 from ..schemas import BINARY_FILE
@@ -44,5 +43,4 @@ def ingest_stream(spark: SparkSession, root: str, catalog_path: str, checkpoint:
 
 def stored_catalog(spark: SparkSession, catalog_path: str) -> DataFrame:
     """The stored catalog as the 20 text fields."""
-    stored = spark.read.parquet(catalog_path)
-    return C.stringify_all(C.catalog_record(stored.withColumn("song_id", F.col("song_id"))))
+    return C.stringify_all(C.catalog_record(spark.read.parquet(catalog_path)))
