@@ -15,7 +15,7 @@ SF01 = "/root/testdata/sf0.01"
 def spark():
     from pyspark.sql import SparkSession
 
-    s = (SparkSession.builder.master("local[*]").appName("sonara-tests")
+    s = (SparkSession.builder.master("local[*,2]").appName("sonara-tests")
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
