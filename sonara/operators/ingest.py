@@ -29,6 +29,7 @@ class Ingested:
     audio: DataFrame       # (song_id, timeseries, intensity)
     spec: DataFrame        # (song_id, timeseries, db array)
     piece_length: int = 0
+    mel: DataFrame | None = None   # staged (song_id, timeseries, mel array): wide/long dB from here
 
     @property
     def signals(self) -> DataFrame:
@@ -105,8 +106,9 @@ def ingest(spark: SparkSession, root: str, params: S.MelParams = S.JOB_PARAMS,
     audio = S.owned_samples(pieces, P)
     # the staged pieces are read back in row-group splits, which already spreads a long
     # recording over many tasks: no balancing shuffle, no sample moves between decode and FFT
-    spec = S.spec_packed(pieces, replace(params, balance=False))
-    return Ingested(catalog, pieces, audio, spec, P)
+    mel = materialize(S.mel_spectrogram(pieces, replace(params, balance=False)), "mel")
+    spec = S.power_to_db(mel, params, stage=False)
+    return Ingested(catalog, pieces, audio, spec, P, mel)
 
 
 def ingest_batches(spark: SparkSession, root: str, out: str, batch_files: int,
@@ -122,7 +124,7 @@ def ingest_batches(spark: SparkSession, root: str, out: str, batch_files: int,
         b = ingest(spark, root, params, limit=batch_files, first_id=first, numbered=numbered)
         b.catalog.write.mode("append").parquet(f"{out}/catalog")
         b.audio.write.mode("append").parquet(f"{out}/audio")
-        S.spec_wide(b.spec, params.n_mels).write.mode("append").parquet(f"{out}/spec")
+        S.spec_wide_db(b.mel, params, stage=False).write.mode("append").parquet(f"{out}/spec")
         batches += 1
     return batches
 

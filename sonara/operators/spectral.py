@@ -362,25 +362,52 @@ def song_peak(mel: DataFrame, col: str = "mel") -> DataFrame:
     return mel.groupBy("song_id").agg(F.max(F.array_max(col)).alias("peak"))
 
 
-def power_to_db(mel: DataFrame, p: MelParams, col: str = "mel", stage: bool = True) -> DataFrame:
-    """(song_id, timeseries, db array<double>) relative to the song's peak, floored at top_db.
+def db_value(x: Column, peak: Column, p: MelParams) -> Column:
+    """dB of a mel power relative to the song's peak, floored at top_db below the maximum
+    (scalar: stays inside whole-stage codegen)."""
+    amin = F.lit(p.amin)
+    ref_db = F.lit(10.0) * F.log10(F.greatest(peak, amin))
+    d = F.lit(10.0) * F.log10(F.greatest(x, amin)) - ref_db
+    if p.top_db is not None:
+        top = F.lit(10.0) * F.log10(F.greatest(peak, amin)) - ref_db
+        d = F.greatest(d, top - F.lit(float(p.top_db)))
+    return d
+
+
+def with_peak(mel: DataFrame, col: str = "mel", stage: bool = True) -> DataFrame:
+    """Mel frames joined with their song's peak.
 
     Two passes over the mel frames (peak, then values): with ``stage`` the frames are
     written once to the shared scratch folder so the FFT is not computed twice. The peak
     table has one row per song; the join lets AQE broadcast it when its measured size is
-    small and fall back to a (skew-split) sort-merge join otherwise.
-    """
+    small and fall back to a (skew-split) sort-merge join otherwise."""
     src = materialize(mel, "mel") if stage else mel
-    peaks = song_peak(src, col)
-    j = src.join(peaks, "song_id")
-    amin = F.lit(p.amin)
-    ref_db = F.lit(10.0) * F.log10(F.greatest(F.col("peak"), amin))
-    db = F.transform(F.col(col), lambda v: F.lit(10.0) * F.log10(F.greatest(v, amin)) - ref_db)
-    if p.top_db is not None:
-        top = F.lit(10.0) * F.log10(F.greatest(F.col("peak"), amin)) - ref_db
-        floor = top - F.lit(float(p.top_db))
-        db = F.transform(db, lambda d: F.greatest(d, floor))
-    return j.select("song_id", "timeseries", db.alias("db"))
+    return src.join(song_peak(src, col), "song_id")
+
+
+def power_to_db(mel: DataFrame, p: MelParams, col: str = "mel", stage: bool = True) -> DataFrame:
+    """(song_id, timeseries, db array<double>) relative to the song's peak, floored at top_db.
+    Packed form (an array ``transform``); the wide and long forms below use scalar
+    expressions instead."""
+    j = with_peak(mel, col, stage)
+    return j.select("song_id", "timeseries",
+                    F.transform(F.col(col), lambda v: db_value(v, F.col("peak"), p)).alias("db"))
+
+
+def spec_wide_db(mel: DataFrame, p: MelParams, stage: bool = True) -> DataFrame:
+    """(song_id, timeseries, spec1..specM) in dB straight from mel frames: one scalar
+    expression per band over ``mel[i]``, generated in one select (codegen, no lambdas)."""
+    j = with_peak(mel, "mel", stage)
+    return j.select("song_id", "timeseries",
+                    *[db_value(F.col("mel")[i], F.col("peak"), p).alias(n) for i, n in enumerate(band_names(p.n_mels))])
+
+
+def spec_long_db(mel: DataFrame, p: MelParams, stage: bool = True) -> DataFrame:
+    """(song_id, timeseries, band, db) straight from mel frames: explode, then a scalar dB."""
+    j = with_peak(mel, "mel", stage)
+    e = j.select("song_id", "timeseries", "peak", F.posexplode_outer("mel").alias("band", "m"))
+    return e.select("song_id", "timeseries", F.col("band").cast("bigint").alias("band"),
+                    db_value(F.col("m"), F.col("peak"), p).alias("db"))
 
 
 def spec_packed(signals: DataFrame, p: MelParams, stage: bool = True) -> DataFrame:

@@ -87,7 +87,7 @@ def per_file_extract(spark, d):
     """UDF-01: files -> decoded signals -> dB mel spectrogram, the Python boundary being
     bytes -> samples only."""
     out = I.ingest(spark, wav_folder(spark, d), S.TEST_PARAMS)
-    return S.spec_long(out.spec).withColumn("db", F.round("db", 4))
+    return S.spec_long_db(out.mel, S.TEST_PARAMS, stage=False).withColumn("db", F.round("db", 4))
 
 
 @register("write_create", f"with {_ACCEPTED} select {_STRING_COLS} from accepted")
@@ -113,7 +113,7 @@ def write_routed(spark, d):
     a, b = scratch_path(spark, "store-a"), scratch_path(spark, "store-b")
     routes = {"catalog": K.Route(f"{a}/catalog"), "spec": K.Route(f"{a}/spec"),
               "audio": K.Route(f"{b}/audio")}
-    spec = S.spec_wide(S.spec_packed(v_signal(spark, d), S.TEST_PARAMS), S.TEST_PARAMS.n_mels)
+    spec = S.spec_wide_db(S.mel_spectrogram(v_signal(spark, d), S.TEST_PARAMS), S.TEST_PARAMS)
     K.write_routed({"catalog": C.stringify_all(records(spark, d)), "spec": spec,
                     "audio": v_audio(spark, d)}, routes)
     return K.read_table(spark, routes["audio"]).select("song_id", "timeseries", "intensity")

@@ -21,7 +21,7 @@ LOOKUP_SONG = 7  # the song a lookup page asks for
 
 
 def _db_long(spark, d, p=P):
-    return S.spec_long(S.spec_packed(v_signal(spark, d), p))
+    return S.spec_long_db(S.mel_spectrogram(v_signal(spark, d), p), p)
 
 
 @register("frame_signal", ctes(P, "taps") + """
@@ -83,7 +83,7 @@ def power_to_db(spark, d):
 select song_id, timeseries, band, round(db, 4) as db from db""")
 def spec_long(spark, d):
     # long form obtained from the stored wide table (unpivot of spec1..specM)
-    wide = S.spec_wide(S.spec_packed(v_signal(spark, d), P), P.n_mels)
+    wide = S.spec_wide_db(S.mel_spectrogram(v_signal(spark, d), P), P)
     return S.wide_to_long(wide, P.n_mels).withColumn("db", F.round("db", 4))
 
 
@@ -94,7 +94,7 @@ _WIDE_SQL = ctes(P, "db") + "\nselect song_id, timeseries, " + ", ".join(
 
 @register("spec_wide", _WIDE_SQL)
 def spec_wide(spark, d):
-    wide = S.spec_wide(S.spec_packed(v_signal(spark, d), P), P.n_mels)
+    wide = S.spec_wide_db(S.mel_spectrogram(v_signal(spark, d), P), P)
     return wide.select("song_id", "timeseries", *[F.round(n, 4).alias(n) for n in band_names(P.n_mels)])
 
 
@@ -114,9 +114,8 @@ def drop_index_cols(spark, d):
 def zip_index_with_values(spark, d):
     """JON-01: the index frame (song_id, timeseries) and the value frame joined on the key,
     never by position."""
-    packed = S.spec_packed(v_signal(spark, d), P)
-    index = packed.select("song_id", "timeseries")
-    values = S.spec_wide(packed, P.n_mels)
+    values = S.spec_wide_db(S.mel_spectrogram(v_signal(spark, d), P), P)
+    index = values.select("song_id", "timeseries")
     j = index.join(values, ["song_id", "timeseries"])
     return j.select("song_id", "timeseries", *[F.round(n, 4).alias(n) for n in band_names(P.n_mels)])
 
@@ -171,6 +170,6 @@ def spec_job_params(spark, d):
     """The ingest job's own parameters (n_fft 2048, hop 512, 128 bands to 10 kHz) on every
     signal, wide form. No SQL oracle: a 2048-point DFT as SQL joins is too slow on the
     whole table; tests check it against a numpy brute force instead."""
-    wide = S.spec_wide(S.spec_packed(v_signal(spark, d), S.JOB_PARAMS), S.JOB_PARAMS.n_mels)
+    wide = S.spec_wide_db(S.mel_spectrogram(v_signal(spark, d), S.JOB_PARAMS), S.JOB_PARAMS)
     return wide.select("song_id", "timeseries",
                        *[F.round(n, 4).alias(n) for n in band_names(S.JOB_PARAMS.n_mels)])

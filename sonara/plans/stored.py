@@ -49,4 +49,4 @@ def audio_table(spark: SparkSession, d: str) -> DataFrame:
 def spec_table(spark: SparkSession, d: str, p: S.MelParams = S.TEST_PARAMS) -> DataFrame:
     """(song_id, timeseries, spec1..specM) in dB, clustered by song."""
     name = f"spec-{p.n_fft}-{p.hop}-{p.n_mels}-{p.fmax}"
-    return stored(spark, d, name, lambda s, dd: S.spec_wide(S.spec_packed(v_signal(s, dd), p), p.n_mels))
+    return stored(spark, d, name, lambda s, dd: S.spec_wide_db(S.mel_spectrogram(v_signal(s, dd), p), p))
