@@ -126,3 +126,10 @@ def catalog_spec_join(spark, d):
     long = S.wide_to_long(j.select("song_id", "timeseries", *band_names(S.TEST_PARAMS.n_mels),
                                    F.struct("s3_key", "title").alias("__c")), S.TEST_PARAMS.n_mels, keep=["__c"])
     return long.select("song_id", "__c.s3_key", "__c.title", "timeseries", "band", F.round("db", 4).alias("db"))
+
+
+@register("assign_song_id_all_keys", """select s3_key, row_number() over (order by s3_key) as song_id
+from v_catalog""")
+def assign_song_id_all_keys(spark, d):
+    """SEQ-01 variant without the extension filter: every listed key is numbered."""
+    return C.assign_song_id(v_catalog(spark, d).select("s3_key")).select("s3_key", "song_id")
