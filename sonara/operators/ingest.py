@@ -31,16 +31,6 @@ class Ingested:
     piece_length: int = 0
     mel: DataFrame | None = None   # staged (song_id, timeseries, mel array): wide/long dB from here
 
-    @property
-    def signals(self) -> DataFrame:
-        """Whole signals (song_id, sr, samples): pieces reassembled in order. For checks on
-        short recordings; the pipeline itself only moves pieces."""
-        own = S.owned_samples(self.pieces, self.piece_length)
-        return own.groupBy("song_id").agg(
-            F.transform(F.array_sort(F.collect_list(F.struct("timeseries", "intensity"))),
-                        lambda x: x["intensity"]).alias("samples")).join(
-            self.pieces.select("song_id", "sr").distinct(), "song_id")
-
 
 def number_files(listing: DataFrame, root: str, known_only: bool = True) -> DataFrame:
     """(path, s3_key, song_id): accepted keys numbered 1.. in key order."""
