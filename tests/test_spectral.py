@@ -194,3 +194,31 @@ def test_pieces_input_equals_whole_input(spark, arrays):
     pieces = _collect(S.mel_spectrogram(S.to_pieces(sig, p), p), "mel")
     for k in whole:
         np.testing.assert_allclose(whole[k], pieces[k], rtol=1e-12)
+
+
+def test_random_piece_geometry_matches_brute_force(spark):
+    """Random n_fft, hop, piece length and signal lengths (including signals shorter than
+    the halo and last pieces of every size) against the numpy reference."""
+    rng = np.random.default_rng(17)
+    for trial in range(6):
+        n_fft = int(rng.choice([16, 32, 64]))
+        hop = int(rng.choice([h for h in (4, 8, 16) if h <= n_fft]))
+        fpc = int(rng.integers(1, 9))
+        pad = "reflect" if trial % 2 == 0 else "constant"
+        p = S.MelParams(n_fft=n_fft, hop=hop, n_mels=6, fmax=8000.0, frames_per_chunk=fpc, pad_mode=pad)
+        lengths = [int(x) for x in rng.integers(n_fft // 2 + 1, 12 * n_fft, 5)] + [n_fft // 2 + 1]
+        arrs = [rng.uniform(-0.5, 0.5, n).astype(np.float32) for n in lengths]
+        db = _collect(S.spec_packed(_signals(spark, arrs, sr=16000), p), "db")
+        for i, a in enumerate(arrs):
+            np.testing.assert_allclose(db[i + 1], brute(a, 16000, p)[2], atol=1e-8,
+                                       err_msg=f"trial {trial} n_fft {n_fft} hop {hop} fpc {fpc} len {len(a)}")
+
+
+def test_signals_shorter_than_the_halo(spark):
+    """Repeated reflection (numpy's 'reflect' for pads longer than the signal)."""
+    rng = np.random.default_rng(23)
+    arrs = [rng.uniform(-0.5, 0.5, n).astype(np.float32) for n in (2, 3, 5)]
+    p = S.MelParams(n_fft=32, hop=8, n_mels=6, fmax=8000.0)
+    db = _collect(S.spec_packed(_signals(spark, arrs, sr=16000), p), "db")
+    for i, a in enumerate(arrs):
+        np.testing.assert_allclose(db[i + 1], brute(a, 16000, p)[2], atol=1e-8)
