@@ -169,3 +169,34 @@ def test_job_cli(spark, wav_dir, tmp_dir):
 def test_listing_accepts_prefixes(spark, wav_dir):
     df = list_objects(spark, [os.path.join(wav_dir, "a"), os.path.join(wav_dir, "b")])
     assert df.count() == 5
+
+
+def _wav(fmt_tag, bits, ch, sr, data, extra_chunk=b""):
+    block = ch * bits // 8
+    fmt = (fmt_tag.to_bytes(2, "little") + ch.to_bytes(2, "little") + sr.to_bytes(4, "little")
+           + (sr * block).to_bytes(4, "little") + block.to_bytes(2, "little") + bits.to_bytes(2, "little"))
+    body = b"WAVE" + b"fmt " + len(fmt).to_bytes(4, "little") + fmt + extra_chunk \
+        + b"data" + len(data).to_bytes(4, "little") + data
+    return b"RIFF" + len(body).to_bytes(4, "little") + body
+
+
+def test_decoder_sample_formats(spark, tmp_dir):
+    from sonara.sources.wav import decode_wav
+    x = np.array([0.0, 0.5, -0.5, 0.25, -1.0], dtype=np.float64)
+    i24 = np.round(x * (1 << 23)).clip(-(1 << 23), (1 << 23) - 1).astype(np.int32)
+    b24 = b"".join(int(v & 0xFFFFFF).to_bytes(3, "little") for v in i24)
+    files = {
+        "f32.wav": _wav(3, 32, 1, 8000, x.astype("<f4").tobytes()),
+        "i24.wav": _wav(1, 24, 1, 8000, b24, extra_chunk=b"LIST" + (4).to_bytes(4, "little") + b"INFO"),
+        "i32.wav": _wav(1, 32, 1, 8000, np.round(x * (1 << 31)).clip(-(1 << 31), (1 << 31) - 1).astype("<i4").tobytes()),
+        "u8.wav": _wav(1, 8, 1, 8000, np.round(x * 128 + 128).clip(0, 255).astype(np.uint8).tobytes()),
+    }
+    for k, v in files.items():
+        with open(os.path.join(tmp_dir, k), "wb") as fh:
+            fh.write(v)
+    df = spark.read.format("binaryFile").load(tmp_dir)
+    got = {os.path.basename(r.path): (r.sr, np.array(r.samples)) for r in decode_wav(df).collect()}
+    assert set(got) == set(files)
+    for k, (sr, y) in got.items():
+        assert sr == 8000
+        np.testing.assert_allclose(y, np.clip(x, -1, 1 - 1 / 128), atol=1 / 127, err_msg=k)
