@@ -12,18 +12,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Canonical 44-byte PCM WAV header offsets (0-based).
-OFF_CHANNELS = 22      # u16
-OFF_RATE = 24          # u32
-OFF_BYTE_RATE = 28     # u32
-OFF_BITS = 34          # u16
-OFF_DATA_SIZE = 40     # u32
-HEADER_BYTES = 44
-
-
-def _le_uint(content: Column, offset: int, width: int) -> Column:
-    """Little-endian unsigned integer of ``width`` bytes at ``offset``."""
-    h = F.hex(F.substring(content, offset + 1, width))
+# RIFF/WAVE layout. The chunk list starts at byte 12; inside the 'fmt '
+# chunk (after its 8-byte id and size) channels sit at +2 (u16), the sample rate at +4
+# (u32), the byte rate at +8 (u32); a chunk's size is the u32 after its id.
+
+
+def _le_uint(content: Column, offset, width: int) -> Column:
+    """Little-endian unsigned integer of ``width`` bytes at 0-based ``offset`` (int or Column)."""
+    off = offset if isinstance(offset, Column) else F.lit(offset)
+    h = F.hex(content.substr((off + 1).cast("int"), F.lit(width)))
     le = F.concat(*[F.substring(h, 2 * (width - 1 - i) + 1, 2) for i in range(width)])
     return F.conv(le, 16, 10).cast("bigint")
 
@@ -32,19 +29,44 @@ def is_wav(content: Column) -> Column:
     return (F.substring(content, 1, 4) == F.lit(b"RIFF")) & (F.substring(content, 9, 4) == F.lit(b"WAVE"))
 
 
+MAX_CHUNKS = 8   # RIFF chunks walked before 'data' (fmt, LIST, fact, ... in practice 2-4)
+
+
+def _with_chunk_offsets(files: DataFrame, c: Column) -> DataFrame:
+    """Add __fmt / __data: 0-based offsets of the 'fmt ' and 'data' chunks. The RIFF chunk
+    list is walked one chunk per projection (id, size, even padding), so extra chunks such
+    as LIST are skipped; each step reads the previous offset as a column, keeping the
+    expressions small. NULL when not found within MAX_CHUNKS (or not a WAV)."""
+    df = files.withColumn("__o0", F.when(is_wav(c), F.lit(12).cast("bigint")))
+    for i in range(MAX_CHUNKS):
+        off = F.col(f"__o{i}")
+        inside = off + 8 <= F.length(c)          # a whole chunk header left: keep walking
+        size = _le_uint(c, F.when(inside, off + 4), 4)
+        df = df.withColumn(f"__o{i + 1}", F.when(inside, off + 8 + size + (size % 2)))
+    def first(tag: bytes) -> Column:
+        def hit(o):
+            ok = o + 8 <= F.length(c)
+            return F.when(ok & (c.substr(F.when(ok, o + 1).cast("int"), F.lit(4)) == F.lit(tag)), o)
+        return F.coalesce(*[hit(F.col(f"__o{i}")) for i in range(MAX_CHUNKS)])
+    df = df.withColumn("__fmt", first(b"fmt ")).withColumn("__data", first(b"data"))
+    return df.drop(*[f"__o{i}" for i in range(MAX_CHUNKS + 1)])
+
+
 def header_fields(files: DataFrame, content: str = "content", keep_content: bool = False) -> DataFrame:
-    """Technical catalog fields from the canonical header: channels, samplerate, bitrate
-    (kbit/s), duration (s), filesize (bytes). Non-WAV objects get NULLs except the size."""
+    """Technical catalog fields from the WAV header: channels, samplerate, bitrate
+    (kbit/s), duration (s), filesize (bytes). Non-WAV objects get NULLs except the size.
+    Spark expressions only; the fmt and data chunks are found by walking the chunk list."""
     c = F.col(content)
-    wav = is_wav(c)
-    byte_rate = _le_uint(c, OFF_BYTE_RATE, 4)
-    data = _le_uint(c, OFF_DATA_SIZE, 4)
-    return files.select(
+    staged = _with_chunk_offsets(files, c)
+    f, d = F.col("__fmt"), F.col("__data")
+    byte_rate = _le_uint(c, f + 16, 4)
+    data = _le_uint(c, d + 4, 4)
+    return staged.select(
         *[x for x in files.columns if keep_content or x != content],
-        F.when(wav, _le_uint(c, OFF_CHANNELS, 2)).alias("channels"),
-        F.when(wav, _le_uint(c, OFF_RATE, 4)).alias("samplerate"),
-        F.when(wav, byte_rate * 8 / 1000.0).alias("bitrate"),
-        F.when(wav & (byte_rate > 0), data / byte_rate.cast("double")).alias("duration"),
+        _le_uint(c, f + 10, 2).alias("channels"),
+        _le_uint(c, f + 12, 4).alias("samplerate"),
+        (byte_rate * 8 / 1000.0).alias("bitrate"),
+        F.when(byte_rate > 0, data / byte_rate.cast("double")).alias("duration"),
         F.length(c).cast("bigint").alias("filesize"),
     )
 

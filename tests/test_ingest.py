@@ -200,3 +200,15 @@ def test_decoder_sample_formats(spark, tmp_dir):
     for k, (sr, y) in got.items():
         assert sr == 8000
         np.testing.assert_allclose(y, np.clip(x, -1, 1 - 1 / 128), atol=1 / 127, err_msg=k)
+
+
+def test_header_fields_skip_extra_chunks(spark, tmp_dir):
+    x = (np.arange(1000) % 50 / 100.0).astype("<f4")
+    pcm = np.round(x * 32767).astype("<i2").tobytes()
+    listc = b"LIST" + (11).to_bytes(4, "little") + b"INFOmetadat" + bytes(1)      # odd size + pad byte
+    with open(os.path.join(tmp_dir, "list.wav"), "wb") as fh:
+        fh.write(_wav(1, 16, 2, 11025, pcm + pcm, extra_chunk=listc))
+    df = spark.read.format("binaryFile").load(tmp_dir)
+    h = header_fields(df).first()
+    assert (h.channels, h.samplerate) == (2, 11025)
+    assert abs(h.duration - 1000 / 11025) < 1e-12 and h.bitrate == 11025 * 4 * 8 / 1000.0
