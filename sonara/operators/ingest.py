@@ -44,7 +44,8 @@ MAX_BROADCAST_FILES = 2_000_000   # id map entries (path, key, id): a few hundre
 
 
 def selected_files(spark: SparkSession, root: str, numbered: DataFrame, limit: int | None,
-                   first_id: int = 1, max_broadcast_files: int = MAX_BROADCAST_FILES) -> DataFrame:
+                   first_id: int = 1, max_broadcast_files: int = MAX_BROADCAST_FILES,
+                   objects: DataFrame | None = None) -> DataFrame:
     """Binary rows of the numbered files, with their key and id.
 
     With a limit, only files ``first_id .. first_id + limit - 1`` are opened: their paths
@@ -54,6 +55,13 @@ def selected_files(spark: SparkSession, root: str, numbered: DataFrame, limit: i
     ``max_broadcast_files`` entries; beyond that the join sort-merges (and moves file
     bytes), which ``ingest_batches`` avoids by keeping every map bounded."""
     ids = numbered.select("path", "s3_key", "song_id")
+    if objects is not None:
+        # an objects table (path, length, content): the same joins, no file listing
+        if limit is not None:
+            ids = ids.where((F.col("song_id") >= first_id) & (F.col("song_id") < first_id + limit))
+            return objects.join(F.broadcast(ids), "path")
+        small = ids.count() <= max_broadcast_files
+        return objects.join(F.broadcast(ids) if small else ids, "path")
     if limit is not None:
         ids = ids.where((F.col("song_id") >= first_id) & (F.col("song_id") < first_id + limit))
         paths = [r.path for r in ids.select("path").collect()]   # bounded by ``limit``
@@ -76,10 +84,13 @@ def catalog_from_headers(headers: DataFrame) -> DataFrame:
 
 def ingest(spark: SparkSession, root: str, params: S.MelParams = S.JOB_PARAMS,
            limit: int | None = None, known_only: bool = True, first_id: int = 1,
-           numbered: DataFrame | None = None) -> Ingested:
+           numbered: DataFrame | None = None, objects: DataFrame | None = None) -> Ingested:
+    """``root`` is a folder of objects, or with ``objects`` the key prefix of an objects
+    table (path, length, content), e.g. a Parquet table of packed small files."""
     if numbered is None:
-        numbered = number_files(list_objects(spark, root), root, known_only)
-    files = selected_files(spark, root, numbered, limit, first_id)
+        listing = objects.select("path", "length") if objects is not None else list_objects(spark, root)
+        numbered = number_files(listing, root, known_only)
+    files = selected_files(spark, root, numbered, limit, first_id, objects=objects)
     # one scan of the bytes: header fields as Spark expressions, then the Arrow decoder
     # passes them through beside the samples; staged once for the three tables
     # the decoder cuts each signal into pieces of piece_len(params) samples: bounded rows

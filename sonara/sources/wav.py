@@ -222,3 +222,26 @@ def export_wav(signals: DataFrame, folder: str, name_width: int = 6) -> int:
 
     out = signals.select("song_id", "sr", "samples").mapInArrow(write, "n long")
     return int(out.agg(F.sum("n")).first()[0] or 0)
+
+
+def wav_objects(signals: DataFrame, prefix: str, name_width: int = 6) -> DataFrame:
+    """Signals -> an objects table (path, length, content) of mono 16-bit WAV files named
+    <prefix>/<song_id>.wav, built in Arrow workers; write it with any DataFrame writer
+    (no file-system access from the workers)."""
+    root = prefix.rstrip("/")
+
+    def encode(batches):
+        import pyarrow as pa
+
+        for rb in batches:
+            ids = rb.column("song_id").to_pylist()
+            srs = rb.column("sr").to_pylist()
+            xs = rb.column("samples")
+            blobs = [wav_bytes(np.asarray(xs[i].values.to_numpy(zero_copy_only=False), dtype=np.float32), int(srs[i]))
+                     for i in range(len(ids))]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([f"{root}/{int(k):0{name_width}d}.wav" for k in ids]),
+                 pa.array([len(b) for b in blobs], type=pa.int64()), pa.array(blobs, type=pa.binary())],
+                names=["path", "length", "content"])
+
+    return signals.select("song_id", "sr", "samples").mapInArrow(encode, "path string, length bigint, content binary")

@@ -212,3 +212,23 @@ def test_header_fields_skip_extra_chunks(spark, tmp_dir):
     h = header_fields(df).first()
     assert (h.channels, h.samplerate) == (2, 11025)
     assert abs(h.duration - 1000 / 11025) < 1e-12 and h.bitrate == 11025 * 4 * 8 / 1000.0
+
+
+def test_ingest_from_objects_table_equals_folder(spark, wav_dir, tmp_dir):
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(wav_dir)
+    p_table = os.path.join(tmp_dir, "objects")
+    files.select("path", "length", "content").write.parquet(p_table)
+    objects = spark.read.parquet(p_table)
+    p = S.MelParams(n_fft=256, hop=64, n_mels=16)
+    a = I.ingest(spark, wav_dir, p)
+    b = I.ingest(spark, wav_dir, p, objects=objects)
+    assert a.catalog.exceptAll(b.catalog).count() == 0 and b.catalog.count() == 4
+    assert a.audio.exceptAll(b.audio).count() == 0
+
+
+def test_wav_objects_decode(spark):
+    from sonara.sources.wav import decode_wav, wav_objects
+    sig = spark.createDataFrame([(1, 8000, [0.0, 0.5, -0.5])], "song_id bigint, sr int, samples array<float>")
+    r = decode_wav(wav_objects(sig, "x")).first()
+    assert r.path == "x/000001.wav" and r.sr == 8000
+    np.testing.assert_allclose(r.samples, [0.0, 0.5, -0.5], atol=1 / 32768)
