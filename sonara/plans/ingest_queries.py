@@ -100,7 +100,8 @@ select song_id, timeseries, band, round(db, 4) as db from db""")
 def per_file_extract(spark, d):
     """UDF-01: files -> decoded signals -> dB mel spectrogram, the Python boundary being
     bytes -> samples only."""
-    out = I.ingest(spark, wav_folder(spark, d), S.TEST_PARAMS)
+    prefix, objects = wav_table(spark, d)
+    out = I.ingest(spark, prefix, S.TEST_PARAMS, objects=objects)
     return S.spec_long_db(out.mel, S.TEST_PARAMS, stage=False).withColumn("db", F.round("db", 4))
 
 
