@@ -1,13 +1,18 @@
-"""Windowed series over a stream: file source -> watermark -> tumbling-window aggregate.
+"""Windowed series over a stream: file source -> watermark -> tumbling windows.
 
-Event time must be ``timestamp`` (the watermark refuses ``timestamp_ntz``); naive times
-are mapped to instants through epoch microseconds, so the session zone plays no part. Rows later than the watermark are dropped by Spark. The query runs
-in update mode into an append-only log (``foreachBatch``, one Parquet folder per batch,
-tagged with the batch id); the current result is the latest row of every window, so the
-stream's last windows are visible without waiting for a later watermark.
+Default (``mode="staged"``): Spark's watermark drops late rows through a watermarked
+``dropDuplicatesWithinWatermark`` (state: only the keys inside the delay); each micro-batch's
+points are staged idempotently in the shared folder, and the windows are computed by the
+skew-safe batch operator (``operators.windows.window_series``), so no window's points are
+ever gathered into one list or one task.
+
+``mode="state"``: Spark's watermarked windowed aggregation in update mode into an
+append-only log (``foreachBatch``, one folder per batch id); the current result is the
+latest row of every window. Its state holds each open window's points (needed to sort
+them) until the watermark passes the window end.
 
-State holds, per open window, the window's points (needed to sort them); it is released
-when the watermark passes the window end.
+Event time must be ``timestamp`` (the watermark refuses ``timestamp_ntz``); naive times
+are mapped to instants through epoch microseconds, so the session zone plays no part.
 """
 
 from __future__ import annotations
@@ -56,9 +61,21 @@ def _indicator(points, n, gate: float, expected: int):
 def window_series_stream(spark: SparkSession, source: str, duration: str, expected: int,
                          watermark: str = "1 day", gate: float = GATE,
                          sink: str | None = None, checkpoint: str | None = None,
-                         max_files_per_trigger: int | None = None) -> DataFrame:
+                         max_files_per_trigger: int | None = None, mode: str = "staged") -> DataFrame:
     """Run the windowed-series stream over the Parquet files at ``source`` until all
-    available input is processed; return the result read back from the sink."""
+    available input is processed; return the result.
+
+    ``mode="staged"`` (default): Spark's watermark drops late rows (a watermarked
+    ``dropDuplicatesWithinWatermark`` on (subject, time, value), whose state holds only the
+    keys inside the delay); every micro-batch's points are staged idempotently (one folder
+    per batch id); the windows are then computed by the skew-safe batch operator, so no
+    window's points are ever gathered. ``mode="state"``: Spark's windowed aggregation in
+    update mode, holding each open window's points in state (see module doc)."""
+    if mode == "staged":
+        return _staged_stream(spark, source, duration, expected, watermark, gate, sink, checkpoint,
+                              max_files_per_trigger)
+    if mode != "state":
+        raise ValueError(f"mode {mode!r}")
     schema = spark.read.parquet(source).schema
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
@@ -95,3 +112,34 @@ def latest_per_window(log: DataFrame) -> DataFrame:
     latest = log.groupBy("subject_id", "window_start").agg(
         F.max_by(F.struct(*cols), F.col("batch_id")).alias("r"))
     return latest.select("subject_id", "window_start", *[F.col(f"r.{c}").alias(c) for c in cols])
+
+
+def _staged_stream(spark, source, duration, expected, watermark, gate, sink, checkpoint,
+                   max_files_per_trigger) -> DataFrame:
+    from ..operators.windows import window_series
+
+    schema = spark.read.parquet(source).schema
+    reader = spark.readStream.schema(schema)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    ev = reader.parquet(stream_path(source)).select(
+        F.col("user_id").alias("subject_id"), F.col("ts").alias("instr_time"), "value",
+        ntz_to_instant(F.col("ts")).alias("event_time"))
+    fresh = (ev.withWatermark("event_time", watermark)
+             .dropDuplicatesWithinWatermark(["subject_id", "event_time", "value"]))
+    points = sink or scratch_path(spark, "window-series-points")
+    checkpoint = checkpoint or scratch_path(spark, "window-series-ckpt")
+
+    def stage(batch: DataFrame, batch_id: int) -> None:
+        # idempotent per batch id: a replayed batch rewrites its own folder
+        batch.select("subject_id", "instr_time", "value").write.mode("overwrite").parquet(
+            f"{points}/batch={batch_id}")
+
+    q = (fresh.writeStream.outputMode("append").foreachBatch(stage)
+         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    q.awaitTermination()
+    try:
+        staged = spark.read.parquet(points).select("subject_id", "instr_time", "value")
+    except Exception:  # noqa: BLE001 - no batch produced rows
+        staged = spark.createDataFrame([], "subject_id bigint, instr_time timestamp_ntz, value double")
+    return window_series(staged, duration, expected, gate=gate)

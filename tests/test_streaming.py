@@ -2,6 +2,8 @@
 
 import os
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from sonara.operators import windows as W
@@ -12,26 +14,29 @@ from sonara.sources.wav import wav_bytes
 from conftest import SF01
 
 
-def test_stream_equals_batch(spark, tmp_dir):
+@pytest.mark.parametrize("mode", ["staged", "state"])
+def test_stream_equals_batch(spark, tmp_dir, mode):
     ev = spark.read.parquet(f"{SF01}/events.parquet")
     src = os.path.join(tmp_dir, "src")
     # two files, the second strictly later in time: nothing is late
     cut = ev.agg(F.expr("percentile_approx(ts, 0.5)")).first()[0]
     ev.where(F.col("ts") < cut).coalesce(1).write.parquet(os.path.join(src, "p1"))
     ev.where(F.col("ts") >= cut).coalesce(1).write.parquet(os.path.join(src, "p2"))
-    stream = window_series_stream(spark, src + "/*", "5 days", 10, watermark="30 days", max_files_per_trigger=1)
+    stream = window_series_stream(spark, src + "/*", "5 days", 10, watermark="30 days", max_files_per_trigger=1,
+                                  mode=mode)
     batch = W.window_series(ev.select(F.col("user_id").alias("subject_id"), F.col("ts").alias("instr_time"), "value"),
                             "5 days", 10)
     assert stream.count() == batch.count() == 1050
     assert stream.exceptAll(batch).count() == 0
 
 
-def test_late_rows_dropped(spark, tmp_dir):
+@pytest.mark.parametrize("mode", ["staged", "state"])
+def test_late_rows_dropped(spark, tmp_dir, mode):
     """Late-event filtering uses the previous batch's watermark: the late file comes third."""
     import glob
     import time
 
-    src = os.path.join(tmp_dir, "late")
+    src = os.path.join(tmp_dir, "late-" + mode)
     schema = "event_id bigint, user_id bigint, ts string, value double"
     batches = {
         "a": [(1, 1, "2024-01-20 00:00:00", 1.0), (2, 1, "2024-01-20 01:00:00", 2.0)],
@@ -44,7 +49,8 @@ def test_late_rows_dropped(spark, tmp_dir):
         df.coalesce(1).write.parquet(os.path.join(src, name))
         for f in glob.glob(os.path.join(src, name, "*.parquet")):
             os.utime(f, (t0 + 100 * k, t0 + 100 * k))
-    out = window_series_stream(spark, src + "/*", "5 days", 2, watermark="1 day", max_files_per_trigger=1)
+    out = window_series_stream(spark, src + "/*", "5 days", 2, watermark="1 day", max_files_per_trigger=1,
+                               mode=mode)
     got = out.collect()
     assert len(got) == 1 and got[0].num_datapoints == 3 and abs(got[0].indicator - 1.5) < 1e-6
 
@@ -63,8 +69,9 @@ def test_file_stream_ingests_each_file_once(spark, tmp_dir):
     assert got == [("a.wav", 1), ("b.wav", 2), ("c.wav", 3)]
 
 
-def test_stream_windows_do_not_depend_on_session_zone(spark, tmp_dir):
-    src = os.path.join(tmp_dir, "tz")
+@pytest.mark.parametrize("mode", ["staged", "state"])
+def test_stream_windows_do_not_depend_on_session_zone(spark, tmp_dir, mode):
+    src = os.path.join(tmp_dir, "tz-" + mode)
     ev = spark.read.parquet(f"{SF01}/events.parquet").where("user_id < 20")
     ev.coalesce(1).write.parquet(os.path.join(src, "p"))
     batch = W.window_series(ev.select(F.col("user_id").alias("subject_id"), F.col("ts").alias("instr_time"), "value"),
@@ -72,7 +79,7 @@ def test_stream_windows_do_not_depend_on_session_zone(spark, tmp_dir):
     old = spark.conf.get("spark.sql.session.timeZone")
     try:
         spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
-        stream = window_series_stream(spark, src + "/*", "5 days", 10, watermark="30 days")
+        stream = window_series_stream(spark, src + "/*", "5 days", 10, watermark="30 days", mode=mode)
         rows = stream.collect()
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
