@@ -81,7 +81,7 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
     * file splits: ``target_partition_bytes`` per scan task.
     * Arrow batches into Python workers: 64 MB at most (the FFT kernel sub-batches below it).
     * Parquet min/max aggregates answered from footers (catalog maximum id).
-    * RocksDB state store for the streaming windows.
+    * RocksDB state store for streaming state.
     """
     parts = max(3 * total_cores, -(-int(input_bytes) // target_partition_bytes))
     return {
@@ -93,7 +93,7 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
         "spark.sql.parquet.aggregatePushdown": "true",
-        # streaming window state (open windows' points) spills to local RocksDB, not the heap
+        # streaming state (watermark dedup keys; open windows in mode="state") in RocksDB, not the heap
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.ui.enabled": "false",
