@@ -61,7 +61,8 @@ def _indicator(points, n, gate: float, expected: int):
 def window_series_stream(spark: SparkSession, source: str, duration: str, expected: int,
                          watermark: str = "1 day", gate: float = GATE,
                          sink: str | None = None, checkpoint: str | None = None,
-                         max_files_per_trigger: int | None = None, mode: str = "staged") -> DataFrame:
+                         max_files_per_trigger: int | None = None, mode: str = "staged",
+                         finalize_each_trigger: bool = False) -> DataFrame:
     """Run the windowed-series stream over the Parquet files at ``source`` until all
     available input is processed; return the result.
 
@@ -73,7 +74,7 @@ def window_series_stream(spark: SparkSession, source: str, duration: str, expect
     update mode, holding each open window's points in state (see module doc)."""
     if mode == "staged":
         return _staged_stream(spark, source, duration, expected, watermark, gate, sink, checkpoint,
-                              max_files_per_trigger)
+                              max_files_per_trigger, finalize_each_trigger)
     if mode != "state":
         raise ValueError(f"mode {mode!r}")
     schema = spark.read.parquet(source).schema
@@ -115,7 +116,7 @@ def latest_per_window(log: DataFrame) -> DataFrame:
 
 
 def _staged_stream(spark, source, duration, expected, watermark, gate, sink, checkpoint,
-                   max_files_per_trigger) -> DataFrame:
+                   max_files_per_trigger, finalize_each_trigger: bool = False) -> DataFrame:
     from ..operators.windows import window_series
 
     schema = spark.read.parquet(source).schema
@@ -130,16 +131,51 @@ def _staged_stream(spark, source, duration, expected, watermark, gate, sink, che
     points = sink or scratch_path(spark, "window-series-points")
     checkpoint = checkpoint or scratch_path(spark, "window-series-ckpt")
 
+    results = f"{points}-results"
+    holder: dict = {}
+
+    def read_points() -> DataFrame:
+        return spark.read.parquet(points).select("subject_id", "instr_time", "value", "window_start")
+
+    def emit(keys: DataFrame, tag: str) -> None:
+        # windows of ``keys`` from the staged points, by the skew-safe batch operator
+        pts = read_points().join(keys, ["subject_id", "window_start"], "left_semi").drop("window_start")
+        window_series(pts, duration, expected, gate=gate).write.mode("overwrite").parquet(f"{results}/part={tag}")
+
+    def emitted() -> DataFrame | None:
+        try:
+            return spark.read.parquet(results).select("subject_id", "window_start")
+        except Exception:  # noqa: BLE001 - nothing emitted yet
+            return None
+
+    def pending(closed_before=None) -> DataFrame:
+        keys = read_points().select("subject_id", "window_start").distinct()
+        if closed_before is not None:
+            end = F.col("window_start") + F.expr(f"interval {duration}")
+            keys = keys.where(end <= F.lit(closed_before).cast("timestamp_ntz"))
+        done = emitted()
+        return keys if done is None else keys.join(done, ["subject_id", "window_start"], "left_anti")
+
     def stage(batch: DataFrame, batch_id: int) -> None:
         # idempotent per batch id: a replayed batch rewrites its own folder
-        batch.select("subject_id", "instr_time", "value").write.mode("overwrite").parquet(
-            f"{points}/batch={batch_id}")
+        (batch.select("subject_id", "instr_time", "value", F.window("instr_time", duration).start.alias("window_start"))
+         .write.mode("overwrite").parquet(f"{points}/batch={batch_id}"))
+        q = holder.get("q")
+        progress = q.lastProgress if q is not None else None
+        wm = (progress or {}).get("eventTime", {}).get("watermark")
+        if finalize_each_trigger and wm:
+            # windows ending at or before the watermark get no more rows (later ones are
+            # dropped as late), so they are final: emit each exactly once
+            emit(pending(wm.replace("T", " ").rstrip("Z")), f"b{batch_id}")
 
     q = (fresh.writeStream.outputMode("append").foreachBatch(stage)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    holder["q"] = q
     q.awaitTermination()
     try:
-        staged = spark.read.parquet(points).select("subject_id", "instr_time", "value")
+        read_points()
     except Exception:  # noqa: BLE001 - no batch produced rows
-        staged = spark.createDataFrame([], "subject_id bigint, instr_time timestamp_ntz, value double")
-    return window_series(staged, duration, expected, gate=gate)
+        empty = spark.createDataFrame([], "subject_id bigint, instr_time timestamp_ntz, value double")
+        return window_series(empty, duration, expected, gate=gate)
+    emit(pending(), "final")      # the windows still open when the input ran out
+    return spark.read.parquet(results).drop("part")
