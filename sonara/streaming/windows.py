@@ -115,8 +115,20 @@ def latest_per_window(log: DataFrame) -> DataFrame:
     return latest.select("subject_id", "window_start", *[F.col(f"r.{c}").alias(c) for c in cols])
 
 
+def start_window_series_service(spark: SparkSession, source: str, duration: str, expected: int,
+                                watermark: str = "1 day", gate: float = GATE, sink: str | None = None,
+                                checkpoint: str | None = None, interval: str = "1 minute",
+                                max_files_per_trigger: int | None = None):
+    """The staged stream as a long-running query: a processing-time trigger, each window
+    emitted (skew-safe) once the watermark closes it. Returns (query, results path); read
+    the results with ``spark.read.parquet(path)`` while it runs."""
+    return _staged_stream(spark, source, duration, expected, watermark, gate, sink, checkpoint,
+                          max_files_per_trigger, True, interval)
+
+
 def _staged_stream(spark, source, duration, expected, watermark, gate, sink, checkpoint,
-                   max_files_per_trigger, finalize_each_trigger: bool = False) -> DataFrame:
+                   max_files_per_trigger, finalize_each_trigger: bool = False,
+                   interval: str | None = None):
     from ..operators.windows import window_series
 
     schema = spark.read.parquet(source).schema
@@ -168,8 +180,12 @@ def _staged_stream(spark, source, duration, expected, watermark, gate, sink, che
             # dropped as late), so they are final: emit each exactly once
             emit(pending(wm.replace("T", " ").rstrip("Z")), f"b{batch_id}")
 
-    q = (fresh.writeStream.outputMode("append").foreachBatch(stage)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    writer = fresh.writeStream.outputMode("append").foreachBatch(stage).option("checkpointLocation", checkpoint)
+    if interval is not None:                    # service: keep running, emit closed windows
+        q = writer.trigger(processingTime=interval).start()
+        holder["q"] = q
+        return q, results
+    q = writer.trigger(availableNow=True).start()
     holder["q"] = q
     q.awaitTermination()
     try:
