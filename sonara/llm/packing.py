@@ -13,8 +13,6 @@ packed again; other columns are ignored; an empty table gives no pieces.
 
 from __future__ import annotations
 
-from itertools import chain, filterfalse
-
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -22,10 +20,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from . import bpe_files
 from .common import per_worker, staged
-from .rank_merge import RankMerger
+from .rank_merge import Memo, RankMerger
 from .token_counts import slices
 
 WINDOW, END_ID = 1024, 0
+BROADCAST_TASKS = 1_000_000  # totals are sent to all tasks up to so many rows (12 bytes each), else joined
 MEMO_WORDS = 500_000
 
 
@@ -39,7 +38,7 @@ class Encoder:
         self.start = np.array([spec["vocab"][chars[b]] for b in range(256)], dtype=np.int64)
         self.merger = RankMerger(spec["merges"], max(spec["vocab"].values()) + 1)
         self.find = bpe_files.finder(pattern)
-        self.memo: dict[str, bytes] = {}
+        self.memo = Memo()
 
     def learn(self, new: list[str]) -> None:
         raw = [w.encode("utf-8") for w in new]
@@ -52,23 +51,29 @@ class Encoder:
             at = e
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        if len(self.memo) > MEMO_WORDS:
+        if len(self.memo) > MEMO_WORDS or self.memo.new:  # new: left behind by a run that broke off
             self.memo.clear()
-        split, new, known = [], set(), self.memo.__contains__
-        for t in texts:
-            pieces = bpe_files.split_specials(t, self.special)
-            pieces[::2] = map(self.find, pieces[::2])
-            for ws in pieces[::2]:
-                new.update(filterfalse(known, ws))
-            split.append(pieces)
+            self.memo.new.clear()
+        memo, held, open_ = self.memo, [], []
+        get, new = memo.__getitem__, memo.new
+        for i, t in enumerate(texts):
+            parts, before = [], len(new)
+            for piece in bpe_files.split_specials(t, self.special):
+                if isinstance(piece, str):
+                    parts += map(get, self.find(piece))
+                else:
+                    parts.append(piece.to_bytes(4, "little"))
+            if len(new) == before and not open_:
+                held.append(b"".join(parts))
+            else:  # stand-ins, perhaps: once one text of the batch has a new word, later ones may repeat it
+                held.append(parts)
+                open_.append(i)
         if new:
-            self.learn(list(new))
-        get = self.memo.__getitem__
-        out = []
-        for pieces in split:
-            parts = [map(get, p) if i % 2 == 0 else [int(p).to_bytes(4, "little")] for i, p in enumerate(pieces)]
-            out.append(b"".join(chain.from_iterable(parts)))
-        return out
+            self.learn(new)
+            new.clear()
+        for i in open_:
+            held[i] = b"".join([p if p.__class__ is bytes else memo[p] for p in held[i]])
+        return held
 
 
 def pack(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID, path: str | None = None) -> DataFrame:
@@ -100,9 +105,11 @@ def pack(docs: DataFrame, window: int = WINDOW, end_id: int = END_ID, path: str
     ids = staged(rows.mapInArrow(encode, f"doc_id {kind}, part int, start_in_part long, n long, ids binary"), "packing")
 
     # one row per task: the exclusive prefix sums make partition starts global
-    totals = ids.groupBy("part").agg(F.sum("n").alias("total"))
+    totals = staged(ids.groupBy("part").agg(F.sum("n").alias("total")), "totals")
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     bases = totals.select("part", F.coalesce(F.sum("total").over(before), F.lit(0)).alias("base"))
+    if totals.count() <= BROADCAST_TASKS:
+        bases = F.broadcast(bases)
     placed = ids.join(bases, "part").select("doc_id", (F.col("base") + F.col("start_in_part")).alias("at"), "n", "ids")
 
     def cut(batches):

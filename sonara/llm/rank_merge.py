@@ -12,6 +12,19 @@ import numpy as np
 _NONE = np.int64(1) << 40
 
 
+class Memo(dict):
+    """Known words. Another word is noted in ``new`` and stands for itself until it is learned."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[str] = []
+
+    def __missing__(self, word: str) -> str:
+        self.new.append(word)
+        self[word] = word
+        return word
+
+
 class RankMerger:
     def __init__(self, merges: dict, n_ids: int):
         self.n = np.int64(n_ids)
