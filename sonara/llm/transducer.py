@@ -21,22 +21,23 @@ import mmap
 import tempfile
 import uuid
 from collections import Counter
-from itertools import chain, filterfalse
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from . import bpe_files
-from .common import per_worker
+from .common import per_worker, staged
+from .rank_merge import Memo, RankMerger
 from .token_counts import slices
 
 LEXICON_WORDS = 50_000
-MEMO_WORDS = 500_000
+MEMO_WORDS = 300_000
 
 
 class ExactMerger:
-    """Token ids of one pre-token: the lowest-rank adjacent pair is merged until none is left."""
+    """Token ids of one lexicon word: the lowest-rank adjacent pair is merged until none is left."""
 
     def __init__(self, spec: dict):
         chars = bpe_files.byte_chars()
@@ -54,18 +55,7 @@ class ExactMerger:
                     best, at = m, i
             if best is None:
                 break
-            if len(ids) < 64:
-                ids[at:at + 2] = [best[1]]
-                continue
-            pair, out, i = (ids[at], ids[at + 1]), ids[:at], at  # long words: all its occurrences in one go
-            while i < len(ids):
-                if i + 1 < len(ids) and ids[i] == pair[0] and ids[i + 1] == pair[1]:
-                    out.append(best[1])
-                    i += 2
-                else:
-                    out.append(ids[i])
-                    i += 1
-            ids = out
+            ids[at:at + 2] = [best[1]]
         return ids
 
 
@@ -134,6 +124,7 @@ class Lexicon:
         self.root, ends = int(whole[0]), 7 + np.cumsum([0, *whole[1:7]])
         self.key, self.target, self.skip, self.final, self.bounds, self.flat = (
             whole[a:b] for a, b in zip(ends, ends[1:]))
+        self.ids = self.flat.astype("<i4").tobytes()
 
     def ordinals(self, words: list[bytes]) -> np.ndarray:
         """Each word's ordinal in the lexicon, -1 outside: all words take one byte a step."""
@@ -162,14 +153,18 @@ class Lexicon:
 
 
 class Codec:
+    """Encodes through the lexicon; keeps the ids of at most about ``MEMO_WORDS`` words seen."""
+
     def __init__(self, path: str, pattern: tuple, block: bytes):
         spec = bpe_files.load(path)
+        chars = bpe_files.byte_chars()
         self.special = spec["special"]
-        self.exact = ExactMerger(spec)
+        self.start = np.array([spec["vocab"][chars[b]] for b in range(256)], dtype=np.int64)
+        self.merger = RankMerger(spec["merges"], max(spec["vocab"].values()) + 1)
         self.lexicon = Lexicon(block)
         self.find = bpe_files.finder(pattern)
-        self.memo: dict[str, list[int]] = {}
-        back = {c: b for b, c in bpe_files.byte_chars().items()}
+        self.memo = Memo()
+        back = {c: b for b, c in chars.items()}
         self.bytes_of = [b""] * (max([*spec["vocab"].values(), *self.special.values()]) + 1)
         for token, i in spec["vocab"].items():
             self.bytes_of[i] = bytes(back[c] for c in token)
@@ -177,38 +172,54 @@ class Codec:
             self.bytes_of[i] = token.encode("utf-8")
 
     def learn(self, new: list[str]) -> None:
+        """Ids of new words: from the lexicon where it has them, else by merging, all of them at once."""
         raw = [w.encode("utf-8") for w in new]
-        flat, bounds = self.lexicon.flat, self.lexicon.bounds
-        for w, b, o in zip(new, raw, self.lexicon.ordinals(raw).tolist()):
-            self.memo[w] = flat[bounds[o]:bounds[o + 1]].tolist() if o >= 0 else self.exact(b)
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        if len(self.memo) > MEMO_WORDS:
+        at = self.lexicon.ordinals(raw)
+        block, bounds = self.lexicon.ids, self.lexicon.bounds
+        for i in np.flatnonzero(at >= 0).tolist():
+            self.memo[new[i]] = block[4 * bounds[at[i]]:4 * bounds[at[i] + 1]]
+        unseen = np.flatnonzero(at < 0).tolist()
+        if unseen:
+            words = [raw[i] for i in unseen]
+            lengths = np.array([len(w) for w in words], dtype=np.int64)
+            sym, left = self.merger.merge(self.start[np.frombuffer(b"".join(words), dtype=np.uint8)], lengths)
+            block, ends, a = sym.astype("<i4").tobytes(), (4 * np.cumsum(left)).tolist(), 0
+            for i, e in zip(unseen, ends):
+                self.memo[new[i]] = block[a:e]
+                a = e
+
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Arrays of token ids."""
+        if len(self.memo) > MEMO_WORDS or self.memo.new:  # new: left behind by a run that broke off
             self.memo.clear()
-        split, new, known = [], set(), self.memo.__contains__
-        for t in texts:
-            pieces = bpe_files.split_specials(t, self.special)
-            pieces[::2] = map(self.find, pieces[::2])
-            for ws in pieces[::2]:
-                new.update(filterfalse(known, ws))
-            split.append(pieces)
+            self.memo.new.clear()
+        memo, held, open_ = self.memo, [], []
+        get, new = memo.__getitem__, memo.new
+        for i, t in enumerate(texts):
+            parts, before = [], len(new)
+            for piece in bpe_files.split_specials(t, self.special):
+                if isinstance(piece, str):
+                    parts += map(get, self.find(piece))
+                else:
+                    parts.append(piece.to_bytes(4, "little"))
+            if len(new) == before and not open_:
+                held.append(b"".join(parts))
+            else:
+                held.append(parts)
+                open_.append(i)
         if new:
-            self.learn(list(new))
-        get, out = self.memo.__getitem__, []
-        for pieces in split:
-            ids = list(chain.from_iterable(map(get, pieces[0])))
-            for special, ws in zip(pieces[1::2], pieces[2::2]):
-                ids.append(special)
-                ids.extend(chain.from_iterable(map(get, ws)))
-            out.append(ids)
-        return out
+            self.learn(new)
+            new.clear()
+        for i in open_:
+            held[i] = b"".join([p if p.__class__ is bytes else memo[p] for p in held[i]])
+        return [np.frombuffer(b, dtype="<i4") for b in held]
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids) -> str:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
 def frequent_words(docs: DataFrame, path: str, pattern: tuple, top: int) -> list[bytes]:
-    """The ``top`` most frequent pre-tokens of all texts (ties by bytes)."""
+    """The most frequent pre-tokens of all texts, at most ``top``: all above a count are taken."""
     special = bpe_files.load(path)["special"]
 
     def run(batches):
@@ -230,7 +241,16 @@ def frequent_words(docs: DataFrame, path: str, pattern: tuple, top: int) -> list
 
     counts = (docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "word binary, n long")
               .groupBy("word").agg(F.sum("n").alias("n")))
-    return [bytes(r["word"]) for r in counts.orderBy(F.desc("n"), "word").limit(top).collect()]
+    # the cut: counts in buckets an eighth of an octave wide, from the top as long as they fit
+    counts = staged(counts.withColumn("level", F.floor(F.log2("n") * 8).cast("int")), "words")
+    levels = {r["level"]: r["words"] for r in counts.groupBy("level").agg(F.count(F.lit(1)).alias("words")).collect()}
+    cut, room = max(levels, default=0) + 1, top
+    for level in sorted(levels, reverse=True):
+        room -= levels[level]
+        if room < 0:
+            break
+        cut = level
+    return [bytes(r["word"]) for r in counts.where(F.col("level") >= cut).select("word").collect()]
 
 
 def encode_decode(docs: DataFrame, path: str | None = None, lexicon_words: int = LEXICON_WORDS) -> DataFrame:
@@ -250,11 +270,11 @@ def encode_decode(docs: DataFrame, path: str | None = None, lexicon_words: int =
             for s in slices(texts):
                 ids = codec.encode(texts[s])
                 sizes = np.cumsum([0, *map(len, ids)])
-                flat = pa.array(np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(sizes[-1])))
+                flat = pa.array(np.concatenate(ids))
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(s.start, s.stop - s.start),
                      pa.ListArray.from_arrays(pa.array(sizes, pa.int32()), flat),
-                     pa.array([codec.decode(x) for x in ids], pa.string())], names=["doc_id", "ids", "decoded"])
+                     pa.array([codec.decode(x.tolist()) for x in ids], pa.string())], names=["doc_id", "ids", "decoded"])
 
     rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
