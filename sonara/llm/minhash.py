@@ -8,10 +8,10 @@
 3. Rounds of links. Within a band bucket a round compares every class with one hub only, so a
    bucket of m classes costs m pairs. Classes that are linked need no further comparison
    inside their component; buckets whose classes lie in one component are done.
-4. After ``HUB_ROUNDS`` rounds the buckets left over hold few classes outside their largest
-   component. Each of those is compared with all classes of other components in its bucket,
-   by a join whose condition holds the size test and the exact comparison, so only links
-   come out. No link between classes that share a bucket is lost.
+4. After ``HUB_ROUNDS`` rounds, classes outside the largest component of one of their buckets
+   are compared with the other classes left that share one of their rarest shingles. Sets alike
+   must share one of them (the prefix test of similarity joins), so no link between classes that
+   share a bucket is lost, while classes that only share common passages never meet.
 5. Components by smallest label, with the labels written to the shared folder every round.
 
 At the threshold of 0.8 a pair shares none of the 40 bands of 5 coordinates with a
@@ -37,7 +37,7 @@ from .token_counts import slices
 SHINGLE = 5
 THRESHOLD = 80  # percent
 BANDS, ROWS = 40, 5
-HUB_ROUNDS = 3
+HUB_ROUNDS = 2
 SEED = 0x5EED
 SHIFT = 0x9E3779B97F4A7C15  # the unit of the circular shift; odd, so 2^64 shifts come round
 
@@ -215,27 +215,25 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
         pairs = (open_members.join(hubs, ["band", "key"])
                  .where((F.col("root") != F.col("hub_root")) & near_sizes(F.col("n"), F.col("hub_n"), threshold))
                  .select(F.least("rep", "hub").alias("a"), F.greatest("rep", "hub").alias("b")).distinct())
-        links = (pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
-                 .join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
-                 .where(alike(F.col("sa"), F.col("sb"), threshold)).select("a", "b"))
+        links = _confirmed(pairs, sets, threshold)
         root, any_new = _merge(root, links)
         if not any_new:
             break
     # what is left: classes outside their bucket's largest component, against the others
     rest = _mixed(members, root)
     by_root = rest.groupBy("band", "key", "root").agg(F.count(F.lit(1)).alias("m"))
-    largest = by_root.groupBy("band", "key").agg(F.max(F.struct("m", "root")).alias("x")).select("band", "key", F.col("x.root").alias("main"))
-    outside = (rest.join(largest, ["band", "key"]).where("root != main")
-               .select("band", "key", F.col("rep").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na")))
-    inside = rest.join(largest, ["band", "key"]).select(
-        "band", "key", F.col("rep").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"), (F.col("root") == F.col("main")).alias("in_main"))
-    pairs = (outside.join(inside, ["band", "key"])
-             .where((F.col("ra") != F.col("rb")) & (F.col("in_main") | (F.col("a") < F.col("b"))) & near_sizes(F.col("na"), F.col("nb"), threshold))
+    largest = (by_root.groupBy("band", "key").agg(F.max(F.struct("m", "root")).alias("x"))
+               .select("band", "key", F.col("x.root").alias("main")))
+    left = staged(rest.join(largest, ["band", "key"]).groupBy("rep", "root", "n")
+                  .agg(F.max(F.col("root") != F.col("main")).alias("outside")), "left")
+    rare = staged(_rarest(sets.join(left.select("rep"), "rep", "left_semi"), threshold).join(left, "rep"), "rarest")
+    outside = rare.where("outside").select("token", F.col("rep").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"))
+    others = rare.select("token", F.col("rep").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"), F.col("outside").alias("ob"))
+    pairs = (outside.join(others, "token")
+             .where((F.col("ra") != F.col("rb")) & (~F.col("ob") | (F.col("a") < F.col("b")))
+                    & near_sizes(F.col("na"), F.col("nb"), threshold))
              .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    links = (pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
-             .join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
-             .where(alike(F.col("sa"), F.col("sb"), threshold)).select("a", "b"))
-    root, _ = _merge(root, links)
+    root, _ = _merge(root, _confirmed(pairs, sets, threshold))
 
     known = (classes.join(root.select(F.col("v").alias("rep"), "root"), "rep", "left")
              .select("set_key", F.col("rep").alias("class_id"), F.coalesce("root", "rep").alias("component_id")))
@@ -246,6 +244,26 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 
+def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
+    """The pairs whose whole sets are alike; the sets are part of the second join's condition."""
+    first = pairs.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
+    second = sets.select(F.col("rep").alias("r"), F.col("shingles").alias("sb"))
+    return first.join(second, (F.col("b") == F.col("r")) & alike(F.col("sa"), F.col("sb"), threshold)).select("a", "b")
+
+
+def _rarest(sets: DataFrame, threshold: int) -> DataFrame:
+    """(rep, token): the rarest shingles of each set, so many that sets alike share one of them.
+
+    Any order of all shingles serves (here: rarest first); of a set of n the first n - ceil(t n) + 1
+    are needed. Those that no other set has are left out."""
+    tokens = sets.select("rep", F.explode("shingles").alias("token"))
+    often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("f"))
+    need = F.size("ts") - F.ceil(F.size("ts") * threshold / 100).cast("int") + 1
+    return (tokens.join(often, "token").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("f", "token"))).alias("ts"))
+            .select("rep", F.explode(F.slice("ts", F.lit(1), need)).alias("t")).where("t.f > 1")
+            .select("rep", F.col("t.token").alias("token")))
+
+
 def _mixed(members: DataFrame, root: DataFrame) -> DataFrame:
     """The members of buckets that hold more than one component, with their roots."""
     placed = staged(members.join(root.withColumnRenamed("v", "rep"), "rep"), "placed")
