@@ -10,8 +10,9 @@
    inside their component; buckets whose classes lie in one component are done.
 4. After ``HUB_ROUNDS`` rounds, classes outside the largest component of one of their buckets
    are compared with the other classes left that share one of their rarest shingles. Sets alike
-   must share one of them (the prefix test of similarity joins), so no link between classes that
-   share a bucket is lost, while classes that only share common passages never meet.
+   must share one of them, early enough to leave room for the overlap (the prefix and position
+   tests of similarity joins), so no link between classes that share a bucket is lost, while
+   classes that only share common passages never meet.
 5. Components by smallest label, with the labels written to the shared folder every round.
 
 At the threshold of 0.8 a pair shares none of the 40 bands of 5 coordinates with a
@@ -227,11 +228,14 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
     left = staged(rest.join(largest, ["band", "key"]).groupBy("rep", "root", "n")
                   .agg(F.max(F.col("root") != F.col("main")).alias("outside")), "left")
     rare = staged(_rarest(sets.join(left.select("rep"), "rep", "left_semi"), threshold).join(left, "rep"), "rarest")
-    outside = rare.where("outside").select("token", F.col("rep").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"))
-    others = rare.select("token", F.col("rep").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"), F.col("outside").alias("ob"))
+    outside = rare.where("outside").select("token", F.col("rep").alias("a"), F.col("root").alias("ra"), F.col("n").alias("na"), F.col("at").alias("pa"))
+    others = rare.select("token", F.col("rep").alias("b"), F.col("root").alias("rb"), F.col("n").alias("nb"), F.col("outside").alias("ob"),
+                         F.col("at").alias("pb"))
+    # from their first common shingle on, both must have enough shingles left for the overlap needed
+    left_over = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
     pairs = (outside.join(others, "token")
              .where((F.col("ra") != F.col("rb")) & (~F.col("ob") | (F.col("a") < F.col("b")))
-                    & near_sizes(F.col("na"), F.col("nb"), threshold))
+                    & ((100 + threshold) * left_over >= threshold * (F.col("na") + F.col("nb"))))
              .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     root, _ = _merge(root, _confirmed(pairs, sets, threshold))
 
@@ -252,7 +256,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, threshold: int) -> DataFrame:
 
 
 def _rarest(sets: DataFrame, threshold: int) -> DataFrame:
-    """(rep, token): the rarest shingles of each set, so many that sets alike share one of them.
+    """(rep, at, token): the rarest shingles of each set, so many that sets alike share one of them.
 
     Any order of all shingles serves (here: rarest first); of a set of n the first n - ceil(t n) + 1
     are needed. Those that no other set has are left out."""
@@ -260,8 +264,8 @@ def _rarest(sets: DataFrame, threshold: int) -> DataFrame:
     often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("f"))
     need = F.size("ts") - F.ceil(F.size("ts") * threshold / 100).cast("int") + 1
     return (tokens.join(often, "token").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("f", "token"))).alias("ts"))
-            .select("rep", F.explode(F.slice("ts", F.lit(1), need)).alias("t")).where("t.f > 1")
-            .select("rep", F.col("t.token").alias("token")))
+            .select("rep", F.posexplode(F.slice("ts", F.lit(1), need)).alias("at", "t")).where("t.f > 1")
+            .select("rep", "at", F.col("t.token").alias("token")))
 
 
 def _mixed(members: DataFrame, root: DataFrame) -> DataFrame:
