@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import lang_id, minhash, oracles, packing, quality, sharding, token_counts, transducer
+from . import lang_id, minhash, oracles, order_minhash, packing, quality, sharding, token_counts, transducer
 from .common import table
 
 
@@ -52,6 +52,13 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = order_minhash.fingerprint_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
+                      "edited_fingerprint", "near_edited", "near_next")
+
+
 QUERIES = {f.__name__: f for f in (op1_sharding, op2_bpe_codec, op3_minhash, op4_language_id, op5_quality_rules,
-                                   op6_packing, op8_token_counts)}
+                                   op6_packing, op8_token_counts,
+                                   op10_order_minhash)}
 ORACLE = {"op3_minhash": oracles.near_duplicates_sql(), "op5_quality_rules": oracles.quality_sql()}
