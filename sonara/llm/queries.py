@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import lang_id, minhash, oracles, order_minhash, packing, quality, sharding, token_counts, transducer
+from . import html_template, lang_id, minhash, oracles, order_minhash, packing, quality, sharding, token_counts, transducer
 from .common import table
 
 
@@ -48,6 +48,10 @@ def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_template.main_text(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+
+
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -59,6 +63,6 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_sharding, op2_bpe_codec, op3_minhash, op4_language_id, op5_quality_rules,
-                                   op6_packing, op8_token_counts,
+                                   op6_packing, op7_html_extraction, op8_token_counts,
                                    op10_order_minhash)}
 ORACLE = {"op3_minhash": oracles.near_duplicates_sql(), "op5_quality_rules": oracles.quality_sql()}
