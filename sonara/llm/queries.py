@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import html_template, lang_id, minhash, oracles, order_minhash, packing, quality, sharding, token_counts, transducer
+from . import gru_lm, html_template, lang_id, minhash, oracles, order_minhash, packing, quality, sharding, token_counts, transducer
 from .common import table
 
 
@@ -56,6 +56,10 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gru_lm.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = order_minhash.fingerprint_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
@@ -63,6 +67,6 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_sharding, op2_bpe_codec, op3_minhash, op4_language_id, op5_quality_rules,
-                                   op6_packing, op7_html_extraction, op8_token_counts,
+                                   op6_packing, op7_html_extraction, op8_token_counts, op9_lm_scoring,
                                    op10_order_minhash)}
 ORACLE = {"op3_minhash": oracles.near_duplicates_sql(), "op5_quality_rules": oracles.quality_sql()}

@@ -78,7 +78,7 @@ def slices(texts: list, limit: int = 4 << 20) -> Iterator[slice]:
     """Runs of rows of about ``limit`` characters: what is held at once does not follow the batch."""
     start, size = 0, 0
     for i, t in enumerate(texts):
-        size += len(t or "")
+        size += 0 if t is None else len(t)
         if size >= limit:
             yield slice(start, i + 1)
             start, size = i + 1, 0
