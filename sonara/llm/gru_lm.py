@@ -338,8 +338,8 @@ def train(coded: DataFrame, words: int) -> dict[str, np.ndarray]:
                                               "w": pa.array([flat(trainer.w).astype(np.float64).tobytes()], pa.binary())})
 
         tasks = coded.where(learned(F.col("doc_id")) & part).select("ids").mapInArrow(run, "n long, w binary")
-        sums = tasks.rdd.map(lambda r: (r["n"], np.frombuffer(r["w"]) * r["n"])).treeReduce(
-            lambda a, b: (a[0] + b[0], a[1] + b[1]), depth=3)
+        add = lambda a, b: (a[0] + b[0], a[1] + b[1])
+        sums = tasks.rdd.map(lambda r: (r["n"], np.frombuffer(r["w"]) * r["n"])).treeAggregate((0, 0.0), add, add, depth=3)
         if sums[0]:
             weights = shaped(sums[1] / sums[0], weights)
     return weights
