@@ -30,7 +30,9 @@ def main(argv: list[str] | None = None) -> int:
     sub = ap.add_subparsers(dest="cmd", required=True)
     ing = sub.add_parser("ingest", help="folder of audio objects -> catalog, audio, spec tables")
     ing.add_argument("--input", required=True)
-    ing.add_argument("--output", required=True)
+    ing.add_argument("--output", required=True, help="folder of the tables")
+    for t in ("catalog", "audio", "spec"):
+        ing.add_argument(f"--{t}-output", help=f"another place for the {t} table")
     ing.add_argument("--batch-files", type=int, default=100_000, help="files per batch (bounded id map)")
     ing.add_argument("--all-keys", action="store_true", help="number every key, not only known extensions")
     ing.add_argument("--n-fft", type=int, default=JOB_PARAMS.n_fft)
@@ -49,7 +51,7 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = SparkSession.builder.appName(f"sonara-{a.cmd}").getOrCreate()
     if a.cmd == "ingest":
-        n = I.ingest_batches(spark, a.input, a.output, a.batch_files, _params(a), known_only=not a.all_keys)
+        n = I.ingest_batches(spark, a.input, {t: getattr(a, f"{t}_output") or f"{a.output}/{t}" for t in ("catalog", "audio", "spec")}, a.batch_files, _params(a), known_only=not a.all_keys)
         print(f"ingested {n} batch(es) into {a.output}")
     else:
         from .streaming.ingest import ingest_stream

@@ -10,13 +10,14 @@ key order, so a retried task or a re-run produces the same rows.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize
-from ..sources.objects import list_objects, relative_key, scan_binary
+from ..session import materialize, path_exists
+from ..sources.objects import list_objects, literal_path, relative_key, scan_binary
 from ..sources.wav import decode_wav, header_fields, is_wav
 from . import catalog as C
 from . import spectral as S
@@ -40,39 +41,24 @@ def number_files(listing: DataFrame, root: str, known_only: bool = True) -> Data
     return C.assign_song_id(keyed)
 
 
-MAX_BROADCAST_FILES = 2_000_000   # id map entries (path, key, id): a few hundred MB at most
-
-
 def selected_files(spark: SparkSession, root: str, numbered: DataFrame, limit: int | None,
-                   first_id: int = 1, max_broadcast_files: int = MAX_BROADCAST_FILES,
-                   objects: DataFrame | None = None) -> DataFrame:
+                   first_id: int = 1, objects: DataFrame | None = None) -> DataFrame:
     """Binary rows of the numbered files, with their key and id.
 
     With a limit, only files ``first_id .. first_id + limit - 1`` are opened: their paths
-    (at most ``limit``) are the scan's input list, and their id map (at most ``limit``
-    rows, a proven bound) is broadcast, so file bytes are never shuffled. Without a limit
-    the id map grows with the listing: it is counted first and broadcast only up to
-    ``max_broadcast_files`` entries; beyond that the join sort-merges (and moves file
-    bytes), which ``ingest_batches`` avoids by keeping every map bounded."""
+    (at most ``limit``) are the scan's input list. The id map is staged, so the planner knows
+    its bytes and broadcasts it where they are below the session's threshold."""
     ids = numbered.select("path", "s3_key", "song_id")
-    if objects is not None:
-        # an objects table (path, length, content): the same joins, no file listing
-        if limit is not None:
-            ids = ids.where((F.col("song_id") >= first_id) & (F.col("song_id") < first_id + limit))
-            return objects.join(F.broadcast(ids), "path")
-        small = ids.count() <= max_broadcast_files
-        return objects.join(F.broadcast(ids) if small else ids, "path")
     if limit is not None:
         ids = ids.where((F.col("song_id") >= first_id) & (F.col("song_id") < first_id + limit))
-        paths = [r.path for r in ids.select("path").collect()]   # bounded by ``limit``
-        if not paths:
-            return scan_binary(spark, root).where(F.lit(False)).join(ids, "path")
-        return scan_binary(spark, paths).join(F.broadcast(ids), "path")
-    # no limit: broadcast the id map only after checking its size (a count of the listing,
-    # which never opens a file); beyond the bound, a sort-merge join
-    if ids.count() <= max_broadcast_files:
-        return scan_binary(spark, root).join(F.broadcast(ids), "path")
-    return scan_binary(spark, root).join(ids, "path")
+    ids = materialize(ids, "ids")
+    if objects is not None:  # an objects table (path, length, content): no file listing
+        return objects.join(ids, "path")
+    if limit is None:
+        return scan_binary(spark, root).join(ids, "path")
+    paths = [literal_path(r.path) for r in ids.select("path").collect()]   # bounded by ``limit``
+    files = scan_binary(spark, paths) if paths else scan_binary(spark, root).where(F.lit(False))
+    return files.join(ids, "path")
 
 
 def catalog_from_headers(headers: DataFrame) -> DataFrame:
@@ -112,20 +98,32 @@ def ingest(spark: SparkSession, root: str, params: S.MelParams = S.JOB_PARAMS,
     return Ingested(catalog, pieces, audio, spec, P, mel)
 
 
-def ingest_batches(spark: SparkSession, root: str, out: str, batch_files: int,
+def ingest_batches(spark: SparkSession, root: str, out: str | Mapping[str, str], batch_files: int,
                    params: S.MelParams = S.JOB_PARAMS, known_only: bool = True) -> int:
-    """The whole folder in id ranges of ``batch_files`` files (the job's "files per run"):
-    each batch opens only its files, broadcasts only its bounded id map, and appends one
-    write per table (catalog, audio, spec) under ``out``. The listing is numbered once and
-    staged, so every batch sees the same ids. Returns the number of batches."""
-    numbered = materialize(number_files(list_objects(spark, root), root, known_only), "listing")
+    """All files that the stored catalog lacks, in id ranges of ``batch_files`` files. ``out`` is one
+    folder for the tables, or the paths of ``catalog``, ``audio`` and ``spec``.
+
+    Keys already catalogued are left alone and new ids go on after the stored maximum, so a second
+    run adds nothing. Each batch writes folders named by its first id, samples and spectra first and
+    the catalog last: a run that broke off is repeated from its unfinished batch, over the same
+    folders. Returns the number of batches."""
+    paths = {t: f"{out}/{t}" for t in ("catalog", "audio", "spec")} if isinstance(out, str) else dict(out)
+    keyed = list_objects(spark, root).select("path", relative_key("path", root).alias("s3_key"))
+    if known_only:
+        keyed = C.filter_known_ext(keyed)
+    last = 0
+    if path_exists(spark, paths["catalog"]):
+        done = spark.read.parquet(paths["catalog"])
+        last = int(done.agg(F.max(F.col("song_id").cast("bigint"))).first()[0] or 0)
+        keyed = keyed.join(done.select("s3_key"), "s3_key", "left_anti")
+    fresh = C.assign_song_id(keyed).withColumn("song_id", (F.col("song_id") + last).cast("bigint"))
+    numbered = materialize(fresh, "listing")
     n = numbered.count()
     batches = 0
-    for first in range(1, n + 1, batch_files):
+    for first in range(last + 1, last + n + 1, batch_files):
         b = ingest(spark, root, params, limit=batch_files, first_id=first, numbered=numbered)
-        b.catalog.write.mode("append").parquet(f"{out}/catalog")
-        b.audio.write.mode("append").parquet(f"{out}/audio")
-        S.spec_wide_db(b.mel, params, stage=False).write.mode("append").parquet(f"{out}/spec")
+        spec = S.spec_wide_db(b.mel, params, stage=False)
+        for table, rows in (("audio", b.audio), ("spec", spec), ("catalog", b.catalog)):
+            rows.write.mode("overwrite").parquet(f"{paths[table]}/first_id={first}")
         batches += 1
     return batches
-

@@ -32,7 +32,8 @@ def ordinal_within(df: DataFrame, keys: Sequence[str], order: Sequence[str | Col
                    num_partitions: int | None = None) -> DataFrame:
     """Add ``name`` = position (from ``base``) of each row in its ``keys`` group by ``order``.
 
-    ``keys`` may be empty for a table-wide numbering; key values must not be NULL.
+    ``keys`` may be empty for a table-wide numbering; rows whose key is NULL form one group.
+    Rows equal in ``order`` are numbered in any order: add a tie-break where that matters.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -53,6 +54,8 @@ def ordinal_within(df: DataFrame, keys: Sequence[str], order: Sequence[str | Col
     w = spec.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     slices = slices.select(_PID, *keys, "__first",
                            F.coalesce(F.sum("__n").over(w), F.lit(0)).alias("__offset"))
-    out = local.join(slices, [_PID, *keys], "inner")
+    right = slices.select(*[F.col(c).alias(f"__k{i}") for i, c in enumerate([_PID, *keys])], "__first", "__offset")
+    same = [F.col(c).eqNullSafe(F.col(f"__k{i}")) for i, c in enumerate([_PID, *keys])]
+    out = local.join(right, same, "inner").drop(*[f"__k{i}" for i in range(len(keys) + 1)])
     out = out.withColumn(name, (F.col("__offset") + F.col(_MID) - F.col("__first") + F.lit(base)).cast("bigint"))
     return out.drop(_PID, _MID, "__first", "__offset")

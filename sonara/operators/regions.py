@@ -31,12 +31,12 @@ def prepare_facts(facts: DataFrame) -> DataFrame:
     return facts.withColumn("code", zero_pad("code")).withColumn("label", region_label("state", "county"))
 
 
-def selected_codes(hover: DataFrame, offset_modulus: int | None = 1000) -> DataFrame:
+def selected_codes(hover: DataFrame, offset_modulus: int | None = None) -> DataFrame:
     """Codes picked on the map: text after the last '<br>', padded if four long.
-    ``offset_modulus`` strips the stand-in offset of the test codes (None: keep)."""
+    ``offset_modulus`` strips the stand-in offset of the test codes; codes that are no numbers stay."""
     code = pad_four(last_part("hover"))
     if offset_modulus:
-        code = zero_pad((code.cast("int") % offset_modulus).cast("string"))
+        code = F.coalesce(zero_pad((code.try_cast("bigint") % offset_modulus).cast("string")), code)
     return hover.select(code.alias("code")).distinct()
 
 

@@ -42,7 +42,7 @@ class MelParams:
     top_db: float | None = 80.0
     frames_per_chunk: int = 256    # frames per chunk row: bounds the row size for long songs
     kernel: str = "auto"           # "hof", "arrow" or "auto" (= "arrow")
-    balance: bool = True           # spread chunk rows over tasks before the FFT
+    balance: bool = False          # only for inputs in too few partitions: spread chunk rows before the FFT
 
     @property
     def n_bins(self) -> int:
@@ -52,8 +52,6 @@ class MelParams:
         return "arrow" if self.kernel == "auto" else self.kernel
 
 
-HOF_MAX_N = 256
-
 # Parameters of the ingest job's mel call (128 bands up to 10 kHz) and the
 # small parameter set the oracle checks use.
 JOB_PARAMS = MelParams(n_mels=128, fmax=10000.0)
@@ -77,6 +75,13 @@ def _sample_at(samples: Column, n: Column, p: Column, pad_mode: str, offset=0) -
     return F.element_at(samples, idx - offset + 1).cast("float")
 
 
+def frame_index(lengths: DataFrame, hop: int, *carry: str) -> DataFrame:
+    """(song_id, carry..., timeseries): the frames 0 .. n_samples div hop of rows (song_id, n_samples);
+    counted from the lengths, so no sample is read or moved."""
+    frames = F.sequence(F.lit(0).cast("bigint"), F.floor(F.col("n_samples") / hop).cast("bigint"))
+    return lengths.select("song_id", *carry, F.explode(frames).alias("timeseries"))
+
+
 def frame_count(n_samples: Column, hop: int) -> Column:
     """Centred framing: 1 + floor(L / hop) frames."""
     return (F.floor(n_samples / F.lit(hop)) + 1).cast("int")
@@ -308,9 +313,6 @@ def _frames_packed(signals: DataFrame, p: MelParams, out: str) -> DataFrame:
         return ch.mapInArrow(_arrow_kernel(p, out), schema)
     if kernel != "hof":
         raise ValueError(f"kernel {kernel!r}")
-    if p.n_fft > HOF_MAX_N:
-        # the DFT basis is an (N/2+1) x N literal and the transform is O(N^2) per frame
-        raise ValueError(f"the hof kernel is for n_fft <= {HOF_MAX_N}; use kernel='arrow'")
     N, H = p.n_fft, p.hop
     mel = out == "mel"
     ch = frame_chunks(signals, p, {"__e": mel_edges(F.col("sr"), p.n_mels, p.fmin, p.fmax)} if mel else None)

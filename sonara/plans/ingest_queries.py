@@ -122,16 +122,24 @@ def write_append(spark, d):
     return spark.read.parquet(path)
 
 
-@register("write_routed", "select song_id, timeseries, intensity from v_audio")
+@register("write_routed", ctes(S.TEST_PARAMS, "db", "v_signal") + f""", {_ACCEPTED}
+select 'audio' as store, cast(song_id as varchar) as song_id, timeseries, cast(intensity as double) as value from v_audio
+union all select 'spec', cast(song_id as varchar), timeseries, round(db, 4) from db where band = 0
+union all select 'catalog', song_id, null, null from (select {_STRING_COLS} from accepted)""")
 def write_routed(spark, d):
-    """SNK-03: catalog and spectra to one store, samples to another; one write per table."""
+    """SNK-03: catalog and spectra to one store, samples to another; all three are read back."""
     a, b = scratch_path(spark, "store-a"), scratch_path(spark, "store-b")
     routes = {"catalog": K.Route(f"{a}/catalog"), "spec": K.Route(f"{a}/spec"),
               "audio": K.Route(f"{b}/audio")}
     spec = S.spec_wide_db(S.mel_spectrogram(v_signal(spark, d), S.TEST_PARAMS), S.TEST_PARAMS)
     K.write_routed({"catalog": C.stringify_all(records(spark, d)), "spec": spec,
                     "audio": v_audio(spark, d)}, routes)
-    return K.read_table(spark, routes["audio"]).select("song_id", "timeseries", "intensity")
+    back = {t: K.read_table(spark, r) for t, r in routes.items()}
+    song = F.col("song_id").cast("string").alias("song_id")
+    audio = back["audio"].select(F.lit("audio").alias("store"), song, "timeseries", F.col("intensity").cast("double").alias("value"))
+    bands = back["spec"].select(F.lit("spec"), song, "timeseries", F.round("spec1", 4))
+    catalog = back["catalog"].select(F.lit("catalog"), song, F.lit(None).cast("bigint"), F.lit(None).cast("double"))
+    return audio.union(bands).union(catalog)
 
 
 @register("write_chunked", f"""select song_id, timeseries, intensity,

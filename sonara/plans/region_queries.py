@@ -31,13 +31,15 @@ _BINS = ", ".join(f"({i}, '{b}', '{c}')" for i, (b, c) in enumerate(zip(R.BINS,
 _DIM = f"dim as (select * from (values {_BINS}) t(bin, label, colour))"
 _BIN = "cast(least(15, greatest(0, cast(ceil(deaths * 0.2 / 2.0) as int) - 1)) as int)"
 
+CODE_MODULUS = 1000  # the stand-in hover codes are the region codes plus a multiple of this
+
 
 def facts(spark, d):
     return R.prepare_facts(v_facts(spark, d))
 
 
 def selected(spark, d):
-    return R.select_regions(facts(spark, d), R.selected_codes(v_hover(spark, d)))
+    return R.select_regions(facts(spark, d), R.selected_codes(v_hover(spark, d), CODE_MODULUS))
 
 
 @register("zero_pad_code", f"select code, {_ZF.format('code')} as padded from v_facts")
@@ -110,7 +112,7 @@ def year_bounds(spark, d):
 @register("selected_count", f"""{_PIPE} select cast(count(*) as bigint) as n_selected, count(*) > 500 as over_limit
 from sel""")
 def selected_count(spark, d):
-    return R.selection_size(R.selected_codes(v_hover(spark, d)))
+    return R.selection_size(R.selected_codes(v_hover(spark, d), CODE_MODULUS))
 
 
 @register("rate_histogram", f"""{_PIPE}, {_DIM}

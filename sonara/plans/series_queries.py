@@ -109,10 +109,11 @@ select fr.song_id, fr.timeseries,
        round(fr.duration / n.n, 12) as interval
 from fr join n on n.song_id = fr.song_id""")
 def frame_timeline(spark, d):
+    n = F.size("samples")
     sig = v_signal(spark, d).select(
-        "song_id", "sr", "samples", (F.size("samples") / F.col("sr").cast("double")).alias("duration"),
-        S.frame_count(F.size("samples"), S.TEST_PARAMS.hop).alias("n_frames"))
-    frames = S.frame_signal(sig, S.TEST_PARAMS, carry={"duration": F.col("duration"), "n_frames": F.col("n_frames")})
+        "song_id", n.alias("n_samples"), (n / F.col("sr").cast("double")).alias("duration"),
+        S.frame_count(n, S.TEST_PARAMS.hop).alias("n_frames"))
+    frames = S.frame_index(sig, S.TEST_PARAMS.hop, "duration", "n_frames")
     tl = Q.frame_timeline(frames, F.col("duration"), F.col("n_frames"))
     return tl.select("song_id", "timeseries", F.round("t", 9).alias("t"), "t_rounded",
                      F.round("interval", 12).alias("interval"))

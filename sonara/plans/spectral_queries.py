@@ -35,7 +35,7 @@ def frame_signal(spark, d):
 @register("frame_index", ctes(P, "fr") + f"""
 select song_id, timeseries, timeseries * {P.hop} - {P.n_fft // 2} as start_sample from fr""")
 def frame_index(spark, d):
-    fr = S.frame_signal(v_signal(spark, d), P)
+    fr = S.frame_index(v_signal(spark, d).select("song_id", F.size("samples").alias("n_samples")), P.hop)
     return fr.select("song_id", "timeseries",
                      (F.col("timeseries") * P.hop - P.n_fft // 2).alias("start_sample"))
 
@@ -112,10 +112,10 @@ def drop_index_cols(spark, d):
 
 @register("zip_index_with_values", _WIDE_SQL)
 def zip_index_with_values(spark, d):
-    """JON-01: the index frame (song_id, timeseries) and the value frame joined on the key,
-    never by position."""
+    """JON-01: the index frame (song_id, timeseries), built from the signals' lengths, and the
+    value frame joined on the key, never by position."""
     values = S.spec_wide_db(S.mel_spectrogram(v_signal(spark, d), P), P)
-    index = values.select("song_id", "timeseries")
+    index = S.frame_index(v_signal(spark, d).select("song_id", F.size("samples").alias("n_samples")), P.hop)
     j = index.join(values, ["song_id", "timeseries"])
     return j.select("song_id", "timeseries", *[F.round(n, 4).alias(n) for n in band_names(P.n_mels)])
 

@@ -1,7 +1,7 @@
 """Stored tables: what the ingest writes once and the lookup pages read many times.
 
 The samples table and the spectrogram table are built from the driver's tables once per
-session and data folder, written to the shared scratch folder clustered by song (range
+session and version of the data folder, written to the shared scratch folder clustered by song (range
 partitioned on (song_id, timeseries), sorted within files), and read back with Parquet
 pushdown. Queries that model reads of the stored tables (a song's series, segments, the
 newest samples, display matrices, the catalog join) use these; queries that model the
@@ -16,16 +16,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import catalog as C
 from ..operators import spectral as S
-from ..session import scratch_path
+from ..session import folder_version, scratch_path
 from ..sinks.tables import write_clustered
 from .views import v_audio, v_catalog, v_signal
 
-_PATHS: dict[tuple[str, str, str], str] = {}
+_PATHS: dict[tuple[str, str, str, str], str] = {}
 
 
 def stored(spark: SparkSession, d: str, name: str, build: Callable[[SparkSession, str], DataFrame],
            key: str = "song_id", order: tuple[str, ...] = ("timeseries",)) -> DataFrame:
-    k = (spark.sparkContext.applicationId, d, name)
+    k = (spark.sparkContext.applicationId, d, name, folder_version(spark, d))
     if k not in _PATHS:
         path = scratch_path(spark, f"table-{name}")
         write_clustered(build(spark, d), path, key=key, order=order)

@@ -49,11 +49,26 @@ def scratch_root(spark: SparkSession) -> str:
         return active
     path = spark.conf.get(CHECKPOINT_KEY, None) or sc.getConf().get(CHECKPOINT_KEY, None)
     if not path:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="sonara-ckpt-")
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether ``path`` exists in its file system; any other trouble (access, network) is raised."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
+
+
+def folder_version(spark: SparkSession, path: str) -> str:
+    """Names, sizes and times of what lies in ``path``: differs when its tables were written anew."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return ";".join(sorted(f"{x.getPath().getName()},{x.getLen()},{x.getModificationTime()}" for x in fs.listStatus(at)))
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique location below the shared scratch folder."""
     root = scratch_root(spark).rstrip("/")
@@ -93,7 +108,7 @@ def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.maxBytesPerBatch": str(64 << 20),
         "spark.sql.parquet.aggregatePushdown": "true",
-        # streaming state (watermark dedup keys; open windows in mode="state") in RocksDB, not the heap
+        # streaming state in RocksDB, not the heap
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         "spark.ui.enabled": "false",

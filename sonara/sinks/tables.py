@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.catalog import append_new_files
-from ..session import materialize
+from ..session import materialize, path_exists
 
 
 @dataclass(frozen=True)
@@ -76,17 +76,14 @@ def write_chunked(audio: DataFrame, path: str, chunk_size: int, num_partitions:
 
 
 def append_catalog(spark: SparkSession, path: str, listing: DataFrame, key: str = "s3_key",
-                   id_col: str = "song_id", listing_max_rows: int | None = None) -> DataFrame:
+                   id_col: str = "song_id") -> DataFrame:
     """Append only keys not stored yet, numbered after the stored maximum. Returns the rows
     appended. Running it twice with the same listing appends nothing the second time."""
-    try:
+    if path_exists(spark, path):
         stored = spark.read.parquet(path)
-    except Exception:  # noqa: BLE001 - first run: nothing stored
-        stored = None
-    if stored is None:
+    else:  # first run; any read error of an existing table is raised
         stored = spark.createDataFrame([], f"{key} string, {id_col} bigint")
-    fresh = append_new_files(stored.select(key, F.col(id_col).cast("bigint").alias(id_col)), listing, key,
-                             id_col, listing_max_rows)
+    fresh = append_new_files(stored.select(key, F.col(id_col).cast("bigint").alias(id_col)), listing, key, id_col)
     fresh = fresh.select(*[c for c in listing.columns if c != id_col], id_col)
     # the new rows depend on the stored table itself: stage them before appending to it
     staged = materialize(fresh, "catalog-append")

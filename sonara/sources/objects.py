@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +27,11 @@ def list_objects(spark: SparkSession, location: str | Sequence[str], glob: str |
     return _reader(spark, glob).load(locs).select("path", "length", "modificationTime")
 
 
+def literal_path(path: str) -> str:
+    """``path`` as a pattern that matches only itself: the file source reads ``[ ] { } * ? \\`` as wildcards."""
+    return re.sub(r"([\[\]{}*?\\])", r"\\\1", path)
+
+
 def scan_binary(spark: SparkSession, location: str | Sequence[str], glob: str | None = None) -> DataFrame:
     """Object bytes as rows: (path, length, modificationTime, content).
 

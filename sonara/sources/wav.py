@@ -1,5 +1,4 @@
-"""WAV files: header fields (pure Spark expressions) and decoding to mono float samples
-(``mapInArrow`` with numpy, one Arrow batch at a time).
+"""WAV files: header fields and decoding to mono float samples, both in Arrow workers.
 
 Other containers (mp3, m4a) are listed and catalogued but yield no signal row: decoding
 them needs a codec, which is out of scope.
@@ -7,7 +6,10 @@ them needs a codec, which is out of scope.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,73 +19,65 @@ from pyspark.sql import types as T
 # (u32), the byte rate at +8 (u32); a chunk's size is the u32 after its id.
 
 
-def _le_uint(content: Column, offset, width: int) -> Column:
-    """Little-endian unsigned integer of ``width`` bytes at 0-based ``offset`` (int or Column)."""
-    off = offset if isinstance(offset, Column) else F.lit(offset)
-    h = F.hex(content.substr((off + 1).cast("int"), F.lit(width)))
-    le = F.concat(*[F.substring(h, 2 * (width - 1 - i) + 1, 2) for i in range(width)])
-    return F.conv(le, 16, 10).cast("bigint")
-
-
 def is_wav(content: Column) -> Column:
     return (F.substring(content, 1, 4) == F.lit(b"RIFF")) & (F.substring(content, 9, 4) == F.lit(b"WAVE"))
 
 
-MAX_CHUNKS = 8   # RIFF chunks walked before 'data' (fmt, LIST, fact, ... in practice 2-4)
+def _chunks(buf):
+    """(id, start, stated size) of every chunk of a RIFF/WAVE buffer, however many there are."""
+    view, pos = memoryview(buf), 12
+    while pos + 8 <= len(view):
+        size = int.from_bytes(view[pos + 4:pos + 8], "little")
+        yield bytes(view[pos:pos + 4]), pos + 8, size
+        pos += 8 + size + (size & 1)
 
 
-def _with_chunk_offsets(files: DataFrame, c: Column) -> DataFrame:
-    """Add __fmt / __data: 0-based offsets of the 'fmt ' and 'data' chunks. The RIFF chunk
-    list is walked one chunk per projection (id, size, even padding), so extra chunks such
-    as LIST are skipped; each step reads the previous offset as a column, keeping the
-    expressions small. NULL when not found within MAX_CHUNKS (or not a WAV)."""
-    df = files.withColumn("__o0", F.when(is_wav(c), F.lit(12).cast("bigint")))
-    for i in range(MAX_CHUNKS):
-        off = F.col(f"__o{i}")
-        inside = off + 8 <= F.length(c)          # a whole chunk header left: keep walking
-        size = _le_uint(c, F.when(inside, off + 4), 4)
-        df = df.withColumn(f"__o{i + 1}", F.when(inside, off + 8 + size + (size % 2)))
-    def first(tag: bytes) -> Column:
-        def hit(o):
-            ok = o + 8 <= F.length(c)
-            return F.when(ok & (c.substr(F.when(ok, o + 1).cast("int"), F.lit(4)) == F.lit(tag)), o)
-        return F.coalesce(*[hit(F.col(f"__o{i}")) for i in range(MAX_CHUNKS)])
-    df = df.withColumn("__fmt", first(b"fmt ")).withColumn("__data", first(b"data"))
-    return df.drop(*[f"__o{i}" for i in range(MAX_CHUNKS + 1)])
+def _is_riff(buf) -> bool:
+    return buf is not None and len(buf) >= 12 and bytes(buf[:4]) == b"RIFF" and bytes(buf[8:12]) == b"WAVE"
+
+
+def _fields(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    """channels, samplerate, byte_rate, data of each content; NULLs where it is no WAV or lacks the chunk."""
+    for contents in batches:
+        rows = []
+        for buf in contents:
+            row = [None] * 4
+            if _is_riff(buf):
+                for name, at, size in _chunks(buf):
+                    if name == b"fmt " and row[0] is None and at + 12 <= len(buf):
+                        row[:3] = (int.from_bytes(buf[at + 2:at + 4], "little"), int.from_bytes(buf[at + 4:at + 8], "little"),
+                                   int.from_bytes(buf[at + 8:at + 12], "little"))
+                    elif name == b"data" and row[3] is None:
+                        row[3] = size
+            rows.append(row)
+        yield pd.DataFrame(rows, columns=["channels", "samplerate", "byte_rate", "data"], dtype="Int64")
 
 
 def header_fields(files: DataFrame, content: str = "content", keep_content: bool = False) -> DataFrame:
     """Technical catalog fields from the WAV header: channels, samplerate, bitrate
     (kbit/s), duration (s), filesize (bytes). Non-WAV objects get NULLs except the size.
-    Spark expressions only; the fmt and data chunks are found by walking the chunk list."""
-    c = F.col(content)
-    staged = _with_chunk_offsets(files, c)
-    f, d = F.col("__fmt"), F.col("__data")
-    byte_rate = _le_uint(c, f + 16, 4)
-    data = _le_uint(c, d + 4, 4)
-    return staged.select(
+    The chunk list is walked to its end by the same walk the decoder uses."""
+    walk = F.pandas_udf("channels bigint, samplerate bigint, byte_rate bigint, data bigint")(_fields)
+    read = files.withColumn("__head", walk(F.col(content)))
+    rate = F.col("__head.byte_rate")
+    return read.select(
         *[x for x in files.columns if keep_content or x != content],
-        _le_uint(c, f + 10, 2).alias("channels"),
-        _le_uint(c, f + 12, 4).alias("samplerate"),
-        (byte_rate * 8 / 1000.0).alias("bitrate"),
-        F.when(byte_rate > 0, data / byte_rate.cast("double")).alias("duration"),
-        F.length(c).cast("bigint").alias("filesize"),
+        "__head.channels", "__head.samplerate", (rate * 8 / 1000.0).alias("bitrate"),
+        F.when(rate > 0, F.col("__head.data") / rate.cast("double")).alias("duration"),
+        F.length(content).cast("bigint").alias("filesize"),
     )
 
 
 def _parse_wav(buf: bytes):
     """(sr, mono float32 samples) or None when the bytes are not a PCM/float WAV."""
-    if len(buf) < 12 or buf[:4] != b"RIFF" or buf[8:12] != b"WAVE":
+    if not _is_riff(buf):
         return None
-    pos, fmt, data = 12, None, None
-    while pos + 8 <= len(buf):
-        cid, size = buf[pos:pos + 4], int.from_bytes(buf[pos + 4:pos + 8], "little")
-        body = buf[pos + 8:pos + 8 + size]
-        if cid == b"fmt ":
-            fmt = body
-        elif cid == b"data":
-            data = body
-        pos += 8 + size + (size & 1)
+    fmt, data = None, None
+    for name, at, size in _chunks(buf):
+        if name == b"fmt ":
+            fmt = buf[at:at + size]
+        elif name == b"data":
+            data = memoryview(buf)[at:at + size]
     if fmt is None or data is None or len(fmt) < 16:
         return None
     tag = int.from_bytes(fmt[0:2], "little")

@@ -23,8 +23,7 @@ def ingest_stream(spark: SparkSession, root: str, catalog_path: str, checkpoint:
                   max_files_per_trigger: int = 10000) -> None:
     """Run until every available file is processed (``availableNow``), then return.
 
-    ``max_files_per_trigger`` bounds each micro-batch: its file bytes per batch, and the
-    key set broadcast against the stored catalog."""
+    ``max_files_per_trigger`` bounds each micro-batch: its file bytes per batch."""
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE)
               .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files_per_trigger))
     files = reader.load(root)
@@ -34,7 +33,7 @@ def ingest_stream(spark: SparkSession, root: str, catalog_path: str, checkpoint:
             relative_key("path", root).alias("s3_key"), "channels", "samplerate", "bitrate",
             "duration", "filesize")
         accepted = C.filter_known_ext(keyed)
-        append_catalog(spark, catalog_path, accepted, listing_max_rows=max_files_per_trigger)
+        append_catalog(spark, catalog_path, accepted)
 
     q = (files.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
          .trigger(availableNow=True).start())

@@ -1,42 +1,32 @@
-"""Windowed series over a stream: file source -> watermark -> tumbling windows.
+"""Windowed series over a stream of files.
 
-Default (``mode="staged"``): Spark's watermark drops late rows through a watermarked
-``dropDuplicatesWithinWatermark`` (state: only the keys inside the delay); each micro-batch's
-points are staged idempotently in the shared folder, and the windows are computed by the
-skew-safe batch operator (``operators.windows.window_series``), so no window's points are
-ever gathered into one list or one task.
+Every micro-batch does four writes, each a function of its batch id alone, so a replayed
+batch rewrites its own folders and nothing else:
 
-``mode="state"``: Spark's watermarked windowed aggregation in update mode into an
-append-only log (``foreachBatch``, one folder per batch id); the current result is the
-latest row of every window. Its state holds each open window's points (needed to sort
-them) until the watermark passes the window end.
+* ``points/batch=<id>``: its points (duplicates included) of windows that are not final yet;
+* ``seen/batch=<id>``: its largest event time;
+* ``windows/batch=<id>``: the windows it touched, computed by the skew-safe batch operator
+  (``operators.windows.window_series``) from the points staged up to this batch;
+* Spark's own checkpoint of the files read.
 
-Event time must be ``timestamp`` (the watermark refuses ``timestamp_ntz``); naive times
-are mapped to instants through epoch microseconds, so the session zone plays no part.
+The watermark of a batch is the largest event time of the batches before it minus the delay.
+A window that ended at or before it is final, and a row of such a window is late and dropped.
+The result is the newest row of every (keys, window); windows still open are part of it and
+are updated when more points arrive. No state store and no window's points in one task.
 """
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.windows import GATE
-from ..session import scratch_path
-
-
-def _epoch():
-    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-
+from ..operators.windows import GATE, window_series
+from ..session import path_exists, scratch_path
 
-def ntz_to_instant(c):
-    """Naive time -> the instant whose UTC wall time it is, via epoch microseconds: exact
-    and independent of the session zone (no DST gaps), so stream windows align exactly as
-    the batch windows on naive time do."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", _epoch(), c))
-
-
-def instant_to_ntz(c):
-    return F.timestamp_add("MICROSECOND", F.unix_micros(c), _epoch())
+SUBJECT = {"subject_id": "user_id"}
+SUBJECT_AND_CHANNEL = {"subject_id": "user_id", "channel": "channel"}
 
 
 def stream_path(source: str) -> str:
@@ -48,150 +38,93 @@ def stream_path(source: str) -> str:
     return source
 
 
-def _indicator(points, n, gate: float, expected: int):
-    """Mean absolute successive difference of the time-sorted values (higher-order
-    functions on the window's sorted list), gated on the point count."""
-    xs = F.transform(F.array_sort(points), lambda p: p["value"])
-    diffs = F.transform(F.sequence(F.lit(1), F.greatest(F.size(xs) - 1, F.lit(1))),
-                        lambda i: F.abs(F.element_at(xs, i + 1) - F.element_at(xs, i)))
-    total = F.aggregate(diffs, F.lit(0.0), lambda a, v: a + v)
-    return F.when(n >= F.lit(gate * expected), F.round(total / (n - 1), 6).cast("float"))
+def watermark_before(spark: SparkSession, sink: str, batch_id: int | None, delay: str):
+    """The watermark for ``batch_id`` (None: after all batches), or None before any event."""
+    if not path_exists(spark, f"{sink}/seen"):
+        return None
+    seen = spark.read.schema("max_time timestamp_ntz, batch bigint").parquet(f"{sink}/seen")
+    if batch_id is not None:
+        seen = seen.where(F.col("batch") < batch_id)
+    return seen.agg((F.max("max_time") - F.expr(f"interval {delay}")).alias("w")).first()["w"]
 
 
-def window_series_stream(spark: SparkSession, source: str, duration: str, expected: int,
-                         watermark: str = "1 day", gate: float = GATE,
-                         sink: str | None = None, checkpoint: str | None = None,
-                         max_files_per_trigger: int | None = None, mode: str = "staged",
-                         finalize_each_trigger: bool = False) -> DataFrame:
-    """Run the windowed-series stream over the Parquet files at ``source`` until all
-    available input is processed; return the result.
-
-    ``mode="staged"`` (default): Spark's watermark drops late rows (a watermarked
-    ``dropDuplicatesWithinWatermark`` on (subject, time, value), whose state holds only the
-    keys inside the delay); every micro-batch's points are staged idempotently (one folder
-    per batch id); the windows are then computed by the skew-safe batch operator, so no
-    window's points are ever gathered. ``mode="state"``: Spark's windowed aggregation in
-    update mode, holding each open window's points in state (see module doc)."""
-    if mode == "staged":
-        return _staged_stream(spark, source, duration, expected, watermark, gate, sink, checkpoint,
-                              max_files_per_trigger, finalize_each_trigger)
-    if mode != "state":
-        raise ValueError(f"mode {mode!r}")
-    schema = spark.read.parquet(source).schema
-    reader = spark.readStream.schema(schema)
+def read_windows(spark: SparkSession, sink: str, keys=("subject_id",), final_before=None) -> DataFrame:
+    """The newest row of every (keys, window); with ``final_before`` only windows that ended by then."""
+    log = spark.read.parquet(f"{sink}/windows")
+    cols = ["window_end", "num_datapoints", "indicator"]
+    rows = (log.groupBy(*keys, "window_start").agg(F.max_by(F.struct(*cols), "batch").alias("r"))
+            .select(*keys, "window_start", *[F.col(f"r.{c}").alias(c) for c in cols]))
+    return rows if final_before is None else rows.where(F.col("window_end") <= F.lit(final_before).cast("timestamp_ntz"))
+
+
+def process_batch(batch: DataFrame, batch_id: int, sink: str, duration: str, expected: int, watermark: str,
+                  gate: float = GATE, keys=("subject_id",)) -> None:
+    """One micro-batch of (keys..., instr_time, value). Running it again with the same id changes nothing."""
+    spark = batch.sparkSession
+    late = watermark_before(spark, sink, batch_id, watermark)
+    w = F.window("instr_time", duration)
+    tagged = batch.select(*keys, "instr_time", "value", w.start.cast("timestamp_ntz").alias("window_start"),
+                          w.end.cast("timestamp_ntz").alias("window_end"))
+    if late is not None:
+        tagged = tagged.where(F.col("window_end") > F.lit(late).cast("timestamp_ntz"))
+    tagged.write.mode("overwrite").parquet(f"{sink}/points/batch={batch_id}")
+    (batch.agg(F.max("instr_time").cast("timestamp_ntz").alias("max_time"))
+     .write.mode("overwrite").parquet(f"{sink}/seen/batch={batch_id}"))
+    points = spark.read.parquet(f"{sink}/points").where(F.col("batch") <= batch_id)
+    touched = points.where(F.col("batch") == batch_id).select(
+        *[F.col(k).alias(f"__{k}") for k in (*keys, "window_start")]).distinct()
+    same = [F.col(k).eqNullSafe(F.col(f"__{k}")) for k in (*keys, "window_start")]
+    again = points.join(touched, same, "left_semi").select(*keys, "instr_time", "value")
+    (window_series(again, duration, expected, keys=tuple(keys), gate=gate)
+     .write.mode("overwrite").parquet(f"{sink}/windows/batch={batch_id}"))
+
+
+def _writer(spark, source, duration, expected, watermark, gate, sink, checkpoint, max_files_per_trigger,
+            keys: Mapping[str, str], time_col: str, value_col: str):
+    reader = spark.readStream.schema(spark.read.parquet(source).schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    ev = reader.parquet(stream_path(source)).select(
-        F.col("user_id").alias("subject_id"), ntz_to_instant(F.col("ts")).alias("instr_time"), "value")
-    w = F.window("instr_time", duration)
-    agg = (ev.withWatermark("instr_time", watermark)
-           .groupBy(w.alias("w"), "subject_id")
-           .agg(F.count(F.lit(1)).alias("n"), F.collect_list(F.struct("instr_time", "value")).alias("pts")))
-    out = agg.select(
-        "subject_id", instant_to_ntz(F.col("w.start")).alias("window_start"),
-        instant_to_ntz(F.col("w.end")).alias("window_end"),
-        F.col("n").cast("bigint").alias("num_datapoints"),
-        _indicator(F.col("pts"), F.col("n"), gate, expected).alias("indicator"))
-
-    sink = sink or scratch_path(spark, "window-series-log")
-    checkpoint = checkpoint or scratch_path(spark, "window-series-ckpt")
+    events = reader.parquet(stream_path(source)).select(
+        *[F.col(c).alias(k) for k, c in keys.items()], F.col(time_col).alias("instr_time"), F.col(value_col).alias("value"))
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        # idempotent per batch id: a retried batch overwrites its own folder
-        batch.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite").parquet(
-            f"{sink}/batch={batch_id}")
+    def step(batch: DataFrame, batch_id: int) -> None:
+        process_batch(batch, batch_id, sink, duration, expected, watermark, gate, tuple(keys))
 
-    q = (out.writeStream.outputMode("update").foreachBatch(write_batch)
-         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
-    q.awaitTermination()
-    return latest_per_window(spark.read.parquet(sink))
+    return events.writeStream.outputMode("append").foreachBatch(step).option("checkpointLocation", checkpoint)
 
 
-def latest_per_window(log: DataFrame) -> DataFrame:
-    """Latest emitted row of each (subject, window) from the append-only log."""
-    cols = ["window_end", "num_datapoints", "indicator"]
-    latest = log.groupBy("subject_id", "window_start").agg(
-        F.max_by(F.struct(*cols), F.col("batch_id")).alias("r"))
-    return latest.select("subject_id", "window_start", *[F.col(f"r.{c}").alias(c) for c in cols])
+def window_series_stream(spark: SparkSession, source: str, duration: str, expected: int,
+                         watermark: str = "1 day", gate: float = GATE,
+                         sink: str | None = None, checkpoint: str | None = None,
+                         max_files_per_trigger: int | None = None, keys: Mapping[str, str] = SUBJECT,
+                         time_col: str = "ts", value_col: str = "value") -> DataFrame:
+    """Process all available Parquet files at ``source``; return the current windows.
+
+    ``keys`` maps result columns to source columns (e.g. ``SUBJECT_AND_CHANNEL``). With the same
+    ``sink`` and ``checkpoint`` a later call goes on where this one ended."""
+    sink = sink or scratch_path(spark, "window-series")
+    checkpoint = checkpoint or scratch_path(spark, "window-series-ckpt")
+    q = _writer(spark, source, duration, expected, watermark, gate, sink, checkpoint, max_files_per_trigger,
+                keys, time_col, value_col).trigger(availableNow=True).start()
+    q.awaitTermination()
+    if path_exists(spark, f"{sink}/windows"):
+        return read_windows(spark, sink, tuple(keys))
+    schema = spark.read.parquet(source).schema  # no batch so far
+    columns = ", ".join(f"`{k}` {schema[c].dataType.simpleString()}" for k, c in keys.items())
+    empty = spark.createDataFrame([], f"{columns}, instr_time timestamp_ntz, value double")
+    return window_series(empty, duration, expected, keys=tuple(keys), gate=gate)
 
 
 def start_window_series_service(spark: SparkSession, source: str, duration: str, expected: int,
                                 watermark: str = "1 day", gate: float = GATE, sink: str | None = None,
                                 checkpoint: str | None = None, interval: str = "1 minute",
-                                max_files_per_trigger: int | None = None):
-    """The staged stream as a long-running query: a processing-time trigger, each window
-    emitted (skew-safe) once the watermark closes it. Returns (query, results path); read
-    the results with ``spark.read.parquet(path)`` while it runs."""
-    return _staged_stream(spark, source, duration, expected, watermark, gate, sink, checkpoint,
-                          max_files_per_trigger, True, interval)
-
-
-def _staged_stream(spark, source, duration, expected, watermark, gate, sink, checkpoint,
-                   max_files_per_trigger, finalize_each_trigger: bool = False,
-                   interval: str | None = None):
-    from ..operators.windows import window_series
-
-    schema = spark.read.parquet(source).schema
-    reader = spark.readStream.schema(schema)
-    if max_files_per_trigger:
-        reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    ev = reader.parquet(stream_path(source)).select(
-        F.col("user_id").alias("subject_id"), F.col("ts").alias("instr_time"), "value",
-        ntz_to_instant(F.col("ts")).alias("event_time"))
-    fresh = (ev.withWatermark("event_time", watermark)
-             .dropDuplicatesWithinWatermark(["subject_id", "event_time", "value"]))
-    points = sink or scratch_path(spark, "window-series-points")
+                                max_files_per_trigger: int | None = None, keys: Mapping[str, str] = SUBJECT,
+                                time_col: str = "ts", value_col: str = "value"):
+    """The stream as a long-running query with a processing-time trigger. Returns (query, sink);
+    read ``read_windows(spark, sink, keys)`` while it runs, and with
+    ``final_before=watermark_before(spark, sink, None, delay)`` only windows that can't change."""
+    sink = sink or scratch_path(spark, "window-series")
     checkpoint = checkpoint or scratch_path(spark, "window-series-ckpt")
-
-    results = f"{points}-results"
-    holder: dict = {}
-
-    def read_points() -> DataFrame:
-        return spark.read.parquet(points).select("subject_id", "instr_time", "value", "window_start")
-
-    def emit(keys: DataFrame, tag: str) -> None:
-        # windows of ``keys`` from the staged points, by the skew-safe batch operator
-        pts = read_points().join(keys, ["subject_id", "window_start"], "left_semi").drop("window_start")
-        window_series(pts, duration, expected, gate=gate).write.mode("overwrite").parquet(f"{results}/part={tag}")
-
-    def emitted() -> DataFrame | None:
-        try:
-            return spark.read.parquet(results).select("subject_id", "window_start")
-        except Exception:  # noqa: BLE001 - nothing emitted yet
-            return None
-
-    def pending(closed_before=None) -> DataFrame:
-        keys = read_points().select("subject_id", "window_start").distinct()
-        if closed_before is not None:
-            end = F.col("window_start") + F.expr(f"interval {duration}")
-            keys = keys.where(end <= F.lit(closed_before).cast("timestamp_ntz"))
-        done = emitted()
-        return keys if done is None else keys.join(done, ["subject_id", "window_start"], "left_anti")
-
-    def stage(batch: DataFrame, batch_id: int) -> None:
-        # idempotent per batch id: a replayed batch rewrites its own folder
-        (batch.select("subject_id", "instr_time", "value", F.window("instr_time", duration).start.alias("window_start"))
-         .write.mode("overwrite").parquet(f"{points}/batch={batch_id}"))
-        q = holder.get("q")
-        progress = q.lastProgress if q is not None else None
-        wm = (progress or {}).get("eventTime", {}).get("watermark")
-        if finalize_each_trigger and wm:
-            # windows ending at or before the watermark get no more rows (later ones are
-            # dropped as late), so they are final: emit each exactly once
-            emit(pending(wm.replace("T", " ").rstrip("Z")), f"b{batch_id}")
-
-    writer = fresh.writeStream.outputMode("append").foreachBatch(stage).option("checkpointLocation", checkpoint)
-    if interval is not None:                    # service: keep running, emit closed windows
-        q = writer.trigger(processingTime=interval).start()
-        holder["q"] = q
-        return q, results
-    q = writer.trigger(availableNow=True).start()
-    holder["q"] = q
-    q.awaitTermination()
-    try:
-        read_points()
-    except Exception:  # noqa: BLE001 - no batch produced rows
-        empty = spark.createDataFrame([], "subject_id bigint, instr_time timestamp_ntz, value double")
-        return window_series(empty, duration, expected, gate=gate)
-    emit(pending(), "final")      # the windows still open when the input ran out
-    return spark.read.parquet(results).drop("part")
+    q = _writer(spark, source, duration, expected, watermark, gate, sink, checkpoint, max_files_per_trigger,
+                keys, time_col, value_col).trigger(processingTime=interval).start()
+    return q, sink

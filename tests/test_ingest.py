@@ -120,9 +120,9 @@ def test_ingest_batches_equal_one_run(spark, wav_dir, tmp_dir):
     out = os.path.join(tmp_dir, "batched")
     assert I.ingest_batches(spark, wav_dir, out, 3, p) == 2
     whole = I.ingest(spark, wav_dir, p)
-    assert spark.read.parquet(f"{out}/catalog").exceptAll(whole.catalog).count() == 0
+    assert spark.read.parquet(f"{out}/catalog").drop("first_id").exceptAll(whole.catalog).count() == 0
     assert spark.read.parquet(f"{out}/audio").count() == whole.audio.count()
-    spec = spark.read.parquet(f"{out}/spec")
+    spec = spark.read.parquet(f"{out}/spec").drop("first_id")
     assert spec.count() == whole.spec.count() and spec.columns[:3] == ["song_id", "timeseries", "spec1"]
 
 
@@ -160,7 +160,7 @@ def test_job_cli(spark, wav_dir, tmp_dir):
     assert jobs.main(["ingest", "--input", wav_dir, "--output", out, "--batch-files", "2",
                       "--n-fft", "256", "--hop", "64", "--n-mels", "16", "--fmax", "0"]) == 0
     cat = spark.read.parquet(f"{out}/catalog")
-    assert cat.count() == 4 and spark.read.parquet(f"{out}/spec").columns[-1] == "spec16"
+    assert cat.count() == 4 and spark.read.parquet(f"{out}/spec").columns[-2:] == ["spec16", "first_id"]
     ck, catalog = os.path.join(tmp_dir, "ck"), os.path.join(tmp_dir, "stream-cat")
     assert jobs.main(["stream", "--input", wav_dir, "--catalog", catalog, "--checkpoint", ck]) == 0
     assert spark.read.parquet(catalog).count() == 4
@@ -232,3 +232,66 @@ def test_wav_objects_decode(spark):
     r = decode_wav(wav_objects(sig, "x")).first()
     assert r.path == "x/000001.wav" and r.sr == 8000
     np.testing.assert_allclose(r.samples, [0.0, 0.5, -0.5], atol=1 / 32768)
+
+
+def _stored(spark, out):
+    return [sorted(map(tuple, spark.read.parquet(f"{out}/{t}").drop("first_id").collect()), key=repr) for t in ("catalog", "audio", "spec")]
+
+
+def test_ingest_can_be_repeated_and_names_are_literal(spark, tmp_dir, monkeypatch):
+    """A second run adds nothing, later files go on with the ids, a broken-off run is repeated."""
+    p = S.MelParams(n_fft=64, hop=16, n_mels=4)
+    root = os.path.join(tmp_dir, "in")
+    os.makedirs(root)
+
+    def add(*names):
+        for i, n in enumerate(names):
+            with open(os.path.join(root, n), "wb") as fh:
+                fh.write(wav_bytes(np.sin(np.arange(100 + 10 * i) / 5), 8000))
+
+    add("Song [Official Audio].wav", "a {b}.wav", "c*d?.wav", "e 100%.wav", "f.wav")
+    out, again = os.path.join(tmp_dir, "out"), os.path.join(tmp_dir, "again")
+    assert I.ingest_batches(spark, root, out, 2, p) == 3
+    first = _stored(spark, out)
+    assert len(first[0]) == 5 and I.ingest_batches(spark, root, out, 2, p) == 0 and _stored(spark, out) == first
+    add("0 new.wav", "z.wav")
+    assert I.ingest_batches(spark, root, out, 2, p) == 1
+    ids = {r.s3_key: int(r.song_id) for r in spark.read.parquet(f"{out}/catalog").collect()}
+    assert ids["0 new.wav"] == 6 and ids["z.wav"] == 7 and len(set(ids.values())) == 7
+    assert {r.song_id for r in spark.read.parquet(f"{out}/audio").select("song_id").distinct().collect()} == set(range(1, 8))
+    # a run that breaks off between the tables of its second batch
+    real, calls = S.spec_wide_db, []
+
+    def broken(*a, **k):
+        calls.append(1)
+        if len(calls) == 2:
+            raise RuntimeError("lost")
+        return real(*a, **k)
+
+    monkeypatch.setattr(S, "spec_wide_db", broken)
+    with pytest.raises(RuntimeError):
+        I.ingest_batches(spark, root, again, 3, p)
+    monkeypatch.setattr(S, "spec_wide_db", real)
+    I.ingest_batches(spark, root, again, 3, p)
+    whole = os.path.join(tmp_dir, "whole")
+    routes = {t: f"{whole}/{t}" for t in ("catalog", "audio", "spec")}
+    I.ingest_batches(spark, root, routes, 100, p)
+    assert _stored(spark, again) == _stored(spark, whole)
+
+
+def test_many_chunks_before_the_data(spark):
+    base = wav_bytes(np.arange(200) / 400.0, 8000)
+    junk = b"".join(b"junk" + (3).to_bytes(4, "little") + b"abc\0" for _ in range(20))
+    buf = base[:36] + junk + base[36:]
+    df = spark.createDataFrame([("x", bytearray(buf))], "path string, content binary")
+    h = header_fields(df).first()
+    assert (h.channels, h.samplerate, h.filesize) == (1, 8000, len(buf)) and abs(h.duration - 200 / 8000) < 1e-12
+
+
+def test_catalog_append_raises_on_a_damaged_table(spark, tmp_dir):
+    p = os.path.join(tmp_dir, "damaged")
+    os.makedirs(p)
+    with open(os.path.join(p, "part-0.parquet"), "wb") as fh:
+        fh.write(b"not parquet")
+    with pytest.raises(Exception):
+        K.append_catalog(spark, p, spark.createDataFrame([("a",)], "s3_key string"))

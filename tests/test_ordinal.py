@@ -42,3 +42,10 @@ def test_pairwise_reduce_matches_lag(spark):
     want = df.withColumn("d", F.col("value") - lag).groupBy("k").agg(
         F.sum(F.col("d") * F.col("d")).alias("total"), F.count("d").alias("n"))
     assert got == {r.k: (round(r.total, 9), r.n) for r in want.collect()}
+
+
+def test_null_keys_are_one_group(spark):
+    df = spark.range(40).select(F.when(F.col("id") % 4 > 0, F.col("id") % 3).alias("k"), "id")
+    got = ordinal_within(df, ["k"], ["id"], name="o")
+    want = df.withColumn("o", (F.row_number().over(Window.partitionBy("k").orderBy("id")) - 1).cast("bigint"))
+    assert got.count() == 40 and got.exceptAll(want.select(*got.columns)).count() == 0
