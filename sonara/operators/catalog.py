@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..schemas import CATALOG_FIELDS, KNOWN_EXTENSIONS, MISSING_TEXT
@@ -36,8 +36,15 @@ def assign_song_id(df: DataFrame, order: Sequence[str] = ("s3_key",), name: str
     return ordinal_within(df, [], list(order), name=name, base=start)
 
 
+def first_files(df: DataFrame, n: int, key: str = "s3_key", name: str = "song_id") -> DataFrame:
+    """The first n rows in key order, numbered 1..n. A top-k: every task ships at most n rows,
+    so only these n meet in the numbering window."""
+    top = df.orderBy(key).limit(n)
+    return top.withColumn(name, F.row_number().over(Window.orderBy(key)).cast("bigint"))
+
+
 def limit_files(numbered: DataFrame, n: int, id_col: str = "song_id") -> DataFrame:
-    """First n accepted files: a filter on the assigned number (not a bare ``limit``)."""
+    """First n accepted files of a numbered table: a filter on the assigned number (not a bare ``limit``)."""
     return numbered.where(F.col(id_col) <= F.lit(n))
 
 

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from ..session import materialize, path_exists
 from ..sources.objects import list_objects, literal_path, relative_key, scan_binary
-from ..sources.wav import decode_wav, header_fields, is_wav
+from ..sources.wav import TAG_FIELDS, decode_wav, header_fields, is_wav
 from . import catalog as C
 from . import spectral as S
 
@@ -62,9 +62,9 @@ def selected_files(spark: SparkSession, root: str, numbered: DataFrame, limit: i
 
 
 def catalog_from_headers(headers: DataFrame) -> DataFrame:
-    """The 20-field catalog (all text) from header fields; text tags are unknown -> 'None'."""
+    """The 20-field catalog (all text) from header fields; what a file does not state is 'None'."""
     rec = C.catalog_record(headers.select(
-        "s3_key", "song_id", "channels", "samplerate", "bitrate", "duration", "filesize"))
+        "s3_key", "song_id", "channels", "samplerate", "bitrate", "duration", "filesize", *TAG_FIELDS))
     return C.stringify_all(rec)
 
 
@@ -81,7 +81,7 @@ def ingest(spark: SparkSession, root: str, params: S.MelParams = S.JOB_PARAMS,
     # passes them through beside the samples; staged once for the three tables
     # the decoder cuts each signal into pieces of piece_len(params) samples: bounded rows
     # however long a recording is, and exactly the pieces the spectral operators expect
-    head = ["song_id", "s3_key", "channels", "samplerate", "bitrate", "duration", "filesize"]
+    head = ["song_id", "s3_key", "channels", "samplerate", "bitrate", "duration", "filesize", *TAG_FIELDS]
     P = S.piece_len(params)
     # only WAV bytes travel to the Python decoder; other objects keep their header row
     with_head = header_fields(files, keep_content=True)

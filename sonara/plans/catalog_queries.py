@@ -61,7 +61,7 @@ def assign_song_id(spark, d):
 
 @register("limit_files", f"with {_ACCEPTED} select s3_key, song_id from accepted where song_id <= {FILE_LIMIT}")
 def limit_files(spark, d):
-    return C.limit_files(accepted(spark, d), FILE_LIMIT).select("s3_key", "song_id")
+    return C.first_files(C.filter_known_ext(v_catalog(spark, d)).select("s3_key"), FILE_LIMIT)
 
 
 @register("catalog_record", f"with {_ACCEPTED} select {_RECORD_COLS} from accepted")

@@ -7,14 +7,15 @@ from pyspark.sql import functions as F
 
 from ..functions import text as X
 from ..operators import regions as R
-from ..session import scratch_path
+from ..session import materialize, scratch_path
 from ..sources.csv import scan_csv as _scan_csv, write_csv
 from .registry import register
 from .views import v_facts, v_hover
 
-# Column names of the county facts file, as its header spells them.
+# Column names of the county facts file and of the coordinates file, whose header pads some.
 FACTS_CSV_SCHEMA = ("`Unnamed: 0` string, `County` string, `County Code` string, `Year` bigint, "
                     "`Deaths` string, `Age Adjusted Rate` string")
+COORDINATES_CSV_SCHEMA = "`FIPS ` string, `Latitude ` double, `Longitude` double, `Hover` string"
 
 _ZF = "case when length({0}) >= 5 then {0} else lpad({0}, 5, '0') end"
 _CLEAN = "case when regexp_matches(rate, '(?i)unreliable') then '0' else rate end"
@@ -162,14 +163,15 @@ def sort_by_total(spark, d):
 from cleaned where label in (select label from (select distinct label from cleaned) order by label limit {R.SERIES_LIMIT})
 order by year, label""")
 def chart_rate_trend(spark, d):
-    c = R.first_series(R.clean_rate(selected(spark, d)))
+    # the cleaned facts (one row per region and year) feed both sides of the semi join
+    c = R.first_series(materialize(R.clean_rate(selected(spark, d)), "trend"))
     return c.select("label", "year", X.coerce_numeric("rate").alias("rate")).orderBy("year", "label")
 
 
 @register("first_500_series", f"""{_PIPE} select * from all_cleaned
 where label in (select label from (select distinct label from all_cleaned) order by label limit {R.SERIES_LIMIT})""")
 def first_500_series(spark, d):
-    return R.first_series(R.clean_rate(facts(spark, d)))
+    return R.first_series(materialize(R.clean_rate(facts(spark, d)), "series"))
 
 
 @register("scan_csv", """select state as "Unnamed: 0", county as "County", code as "County Code",
@@ -183,3 +185,20 @@ def scan_csv(spark, d):
                        F.col("deaths").cast("string").alias("Deaths"),
                        F.col("rate").alias("Age Adjusted Rate")), path)
     return _scan_csv(spark, path, FACTS_CSV_SCHEMA)
+
+
+_PLACE = "n_nationkey * 1.25 - 10", "n_nationkey * 2.5 - 125"  # the nations stand in for counties
+
+
+@register("scan_coordinates", f"""select {_ZF.format('code')} as "FIPS", cast(lat as double) as "Latitude",
+cast(lon as double) as "Longitude", hover as "Hover"
+from (select cast(n_nationkey as varchar) as code, {_PLACE[0]} as lat, {_PLACE[1]} as lon,
+             n_name || '<br>' || cast(n_nationkey as varchar) as hover from nation)""")
+def scan_coordinates(spark, d):
+    """SRC-09: a coordinates file whose header pads its names; the names are trimmed, the codes zero-padded."""
+    path = scratch_path(spark, "coordinates-csv")
+    code = F.col("n_nationkey").cast("string")
+    write_csv(spark.read.parquet(f"{d}/nation.parquet").select(
+        code.alias("FIPS "), F.expr(_PLACE[0]).alias("Latitude "), F.expr(_PLACE[1]).alias("Longitude"),
+        F.concat("n_name", F.lit("<br>"), code).alias("Hover")), path)
+    return _scan_csv(spark, path, COORDINATES_CSV_SCHEMA).withColumn("FIPS", X.zero_pad("FIPS"))

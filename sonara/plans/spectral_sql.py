@@ -20,9 +20,32 @@ def _mel_to_hz(x: str) -> str:
             f"else 1000.0 * exp({_LOGSTEP} * (({x}) - {_MIN_LOG_MEL})) end)")
 
 
-def ctes(p: MelParams, upto: str = "db", source: str = "v_signal", prefix: list | None = None) -> str:
+def _by_sample(N: int, H: int, K: int) -> list[tuple[str, str]]:
+    """pw by way of one table per signal length: the window and basis folded onto the samples
+    that the reflected frame reads, then one join per sample (for frames longer than the signals)."""
+    w, turn = f"(0.5 - 0.5 * cos(2 * pi() * n / {N}))", f"2 * pi() * ((k * n) % {N}) / {N}"
+    return [
+        ("basis", f"""select n_samples, t, k, (case when q < n_samples then q else per - q end) as i,
+       sum({w} * cos({turn})) as c, sum({w} * sin({turn})) as s
+from (select *, ((pos % per) + per) % per as q
+      from (select n_samples, t, n, t * {H} + n - {N // 2} as pos, greatest(1, 2 * (n_samples - 1)) as per
+            from (select n_samples, t, unnest(range(0, {N})) as n
+                  from (select n_samples, unnest(range(0, n_samples // {H} + 1)) as t
+                        from (select distinct n_samples from sig))))),
+     (select unnest(range(0, {K})) as k) kk
+group by 1, 2, 3, 4"""),
+        ("pw", """select song_id, sr, t as timeseries, k as bin, pow(sum(x * c), 2) + pow(sum(x * s), 2) as power
+from (select song_id, sr, n_samples, unnest(range(0, n_samples)) as i, cast(unnest(samples) as double) as x from sig)
+     join basis using (n_samples, i)
+group by 1, 2, 3, 4"""),
+    ]
+
+
+def ctes(p: MelParams, upto: str = "db", source: str = "v_signal", prefix: list | None = None,
+         by_sample: bool = False) -> str:
     """CTE chain sig, fr, taps, pw, rates, edges, fb, mel, peak, db (stops at ``upto``).
-    ``source`` is a relation (song_id, sr, samples); ``prefix`` adds (name, sql) CTEs first."""
+    ``source`` is a relation (song_id, sr, samples); ``prefix`` adds (name, sql) CTEs first;
+    ``by_sample`` folds the basis onto the samples instead of listing every tap."""
     N, H, M, K = p.n_fft, p.hop, p.n_mels, p.n_bins
     hi = "sr / 2.0" if p.fmax is None else repr(float(p.fmax))
     parts = [
@@ -64,6 +87,9 @@ group by pw.song_id, pw.timeseries, fb.band"""),
     db_expr = f"greatest({db_expr}{floor})" if floor else db_expr
     parts.append(("db", f"""select m.song_id, m.timeseries, m.band, {db_expr} as db
 from mel m join peak pk on pk.song_id = m.song_id"""))
+    if by_sample:
+        at = [n for n, _ in parts].index("fr")
+        parts[at:at + 3] = _by_sample(N, H, K)
     names = [n for n, _ in parts]
     parts = parts[: names.index(upto) + 1]
     return "with " + ",\n".join(f"{n} as ({q})" for n, q in parts)

@@ -17,6 +17,15 @@ from pyspark.sql import types as T
 # RIFF/WAVE layout. The chunk list starts at byte 12; inside the 'fmt '
 # chunk (after its 8-byte id and size) channels sit at +2 (u16), the sample rate at +4
 # (u32), the byte rate at +8 (u32); a chunk's size is the u32 after its id.
+# The text chunks of a 'LIST' chunk of type 'INFO', and the catalog field of each.
+INFO_TAGS = {
+    b"IPRD": "album", b"IART": "artist", b"ICMT": "comment", b"IGNR": "genre",
+    b"INAM": "title", b"ITRK": "track", b"IPRT": "track", b"ICRD": "year",
+}
+TAG_FIELDS = ["album", "artist", "comment", "genre", "title", "track", "year"]
+_NUMBERS = ["channels", "samplerate", "byte_rate", "data"]
+
+DECODE_SAMPLES = 1 << 20  # the decoder hands on a batch when its pieces reach this many samples
 
 
 def is_wav(content: Column) -> Column:
@@ -36,48 +45,76 @@ def _is_riff(buf) -> bool:
     return buf is not None and len(buf) >= 12 and bytes(buf[:4]) == b"RIFF" and bytes(buf[8:12]) == b"WAVE"
 
 
+def _text(buf) -> str:
+    """A tag's text: up to the first NUL, UTF-8 where it is valid, else Latin-1."""
+    raw = bytes(buf).split(b"\0")[0]
+    try:
+        return raw.decode("utf-8").strip()
+    except UnicodeDecodeError:
+        return raw.decode("latin-1").strip()
+
+
+def _info(buf, at: int, size: int) -> dict:
+    """Catalog field -> text of a LIST chunk of type INFO; the first non-empty text of a field counts."""
+    tags, pos, end = {}, at + 4, min(at + size, len(buf))
+    if bytes(buf[at:at + 4]) != b"INFO":
+        return tags
+    while pos + 8 <= end:
+        n = int.from_bytes(buf[pos + 4:pos + 8], "little")
+        field, text = INFO_TAGS.get(bytes(buf[pos:pos + 4])), _text(buf[pos + 8:min(pos + 8 + n, end)])
+        if field and text:
+            tags.setdefault(field, text)
+        pos += 8 + n + (n & 1)
+    return tags
+
+
 def _fields(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-    """channels, samplerate, byte_rate, data of each content; NULLs where it is no WAV or lacks the chunk."""
+    """The technical numbers and text tags of each content; NULLs where it is no WAV or lacks the chunk."""
     for contents in batches:
         rows = []
         for buf in contents:
-            row = [None] * 4
+            row = {}
             if _is_riff(buf):
                 for name, at, size in _chunks(buf):
-                    if name == b"fmt " and row[0] is None and at + 12 <= len(buf):
-                        row[:3] = (int.from_bytes(buf[at + 2:at + 4], "little"), int.from_bytes(buf[at + 4:at + 8], "little"),
-                                   int.from_bytes(buf[at + 8:at + 12], "little"))
-                    elif name == b"data" and row[3] is None:
-                        row[3] = size
-            rows.append(row)
-        yield pd.DataFrame(rows, columns=["channels", "samplerate", "byte_rate", "data"], dtype="Int64")
+                    if name == b"fmt " and "channels" not in row and at + 12 <= len(buf):
+                        row["channels"] = int.from_bytes(buf[at + 2:at + 4], "little")
+                        row["samplerate"] = int.from_bytes(buf[at + 4:at + 8], "little")
+                        row["byte_rate"] = int.from_bytes(buf[at + 8:at + 12], "little")
+                    elif name == b"data":
+                        row.setdefault("data", size)
+                    elif name == b"LIST":
+                        row = _info(buf, at, size) | row
+            rows.append([row.get(c) for c in _NUMBERS + TAG_FIELDS])
+        frame = pd.DataFrame(rows, columns=_NUMBERS + TAG_FIELDS, dtype=object)
+        yield frame.astype({c: "Int64" for c in _NUMBERS})
 
 
 def header_fields(files: DataFrame, content: str = "content", keep_content: bool = False) -> DataFrame:
     """Technical catalog fields from the WAV header: channels, samplerate, bitrate
-    (kbit/s), duration (s), filesize (bytes). Non-WAV objects get NULLs except the size.
+    (kbit/s), duration (s), filesize (bytes), and the text tags of ``TAG_FIELDS``. Non-WAV
+    objects get NULLs except the size.
     The chunk list is walked to its end by the same walk the decoder uses."""
-    walk = F.pandas_udf("channels bigint, samplerate bigint, byte_rate bigint, data bigint")(_fields)
+    walk = F.pandas_udf(", ".join([f"{c} bigint" for c in _NUMBERS] + [f"{c} string" for c in TAG_FIELDS]))(_fields)
     read = files.withColumn("__head", walk(F.col(content)))
     rate = F.col("__head.byte_rate")
     return read.select(
         *[x for x in files.columns if keep_content or x != content],
         "__head.channels", "__head.samplerate", (rate * 8 / 1000.0).alias("bitrate"),
         F.when(rate > 0, F.col("__head.data") / rate.cast("double")).alias("duration"),
-        F.length(content).cast("bigint").alias("filesize"),
+        F.length(content).cast("bigint").alias("filesize"), *[f"__head.{c}" for c in TAG_FIELDS],
     )
 
 
-def _parse_wav(buf: bytes):
-    """(sr, mono float32 samples) or None when the bytes are not a PCM/float WAV."""
+def _parse_wav(buf):
+    """(sr, channels, (tag, bits), PCM bytes, frames) or None when it is not a PCM/float WAV. No sample is read."""
     if not _is_riff(buf):
         return None
     fmt, data = None, None
     for name, at, size in _chunks(buf):
-        if name == b"fmt ":
+        if name == b"fmt " and fmt is None:
             fmt = buf[at:at + size]
-        elif name == b"data":
-            data = memoryview(buf)[at:at + size]
+        elif name == b"data" and data is None:
+            data = buf[at:at + size]
     if fmt is None or data is None or len(fmt) < 16:
         return None
     tag = int.from_bytes(fmt[0:2], "little")
@@ -86,66 +123,77 @@ def _parse_wav(buf: bytes):
     bits = int.from_bytes(fmt[14:16], "little")
     if tag == 0xFFFE and len(fmt) >= 26:   # extensible: the sub-format's first two bytes
         tag = int.from_bytes(fmt[24:26], "little")
-    width = bits // 8
-    if ch < 1 or width < 1:
+    if ch < 1 or (tag, bits) not in _PCM:
         return None
-    n = len(data) // (width * ch)
-    raw = data[: n * width * ch]
-    if tag == 3 and bits == 32:
-        x = np.frombuffer(raw, dtype="<f4").astype(np.float64)
-    elif tag == 1 and bits == 8:
-        x = (np.frombuffer(raw, dtype=np.uint8).astype(np.float64) - 128.0) / 128.0
-    elif tag == 1 and bits == 16:
-        x = np.frombuffer(raw, dtype="<i2").astype(np.float64) / 32768.0
-    elif tag == 1 and bits == 24:
-        b = np.frombuffer(raw, dtype=np.uint8).reshape(-1, 3).astype(np.int32)
-        v = b[:, 0] | (b[:, 1] << 8) | (b[:, 2] << 16)
-        x = np.where(v >= 1 << 23, v - (1 << 24), v).astype(np.float64) / float(1 << 23)
-    elif tag == 1 and bits == 32:
-        x = np.frombuffer(raw, dtype="<i4").astype(np.float64) / float(1 << 31)
-    else:
-        return None
-    mono = x.reshape(n, ch).mean(axis=1) if ch > 1 else x
-    return sr, mono.astype(np.float32)
+    return sr, ch, (tag, bits), data, len(data) // (bits // 8 * ch)
+
+
+def _pcm24(raw) -> np.ndarray:
+    b = np.frombuffer(raw, dtype=np.uint8).reshape(-1, 3).astype(np.int32)
+    v = b[:, 0] | (b[:, 1] << 8) | (b[:, 2] << 16)
+    return np.where(v >= 1 << 23, v - (1 << 24), v) / float(1 << 23)
+
+
+#: (format tag, bits) -> float64 samples of raw bytes, integers scaled to [-1, 1)
+_PCM = {
+    (3, 32): lambda raw: np.frombuffer(raw, dtype="<f4").astype(np.float64),
+    (1, 8): lambda raw: (np.frombuffer(raw, dtype=np.uint8) - 128.0) / 128.0,
+    (1, 16): lambda raw: np.frombuffer(raw, dtype="<i2") / 32768.0,
+    (1, 24): _pcm24,
+    (1, 32): lambda raw: np.frombuffer(raw, dtype="<i4") / float(1 << 31),
+}
+
+
+def _samples(parsed, lo: int, hi: int) -> np.ndarray:
+    """Mono float32 samples ``lo`` to ``hi`` (not included), decoded from their bytes alone."""
+    _, ch, kind, data, n = parsed
+    block = kind[1] // 8 * ch
+    x = _PCM[kind](data[lo * block:min(hi, n) * block])
+    return (x.reshape(-1, ch).mean(axis=1) if ch > 1 else x).astype(np.float32)
 
 
 def _decoder(keep: list[str], all_rows: bool, piece: int | None, halo: int):
-    def run(batches):
+    def pieces(rb):
+        """(row, sr, n, k, first sample, samples) of every piece, in order."""
+        contents = rb.column("content")
+        for i in range(rb.num_rows):
+            parsed = _parse_wav(memoryview(contents[i].as_buffer())) if contents[i].is_valid else None
+            if parsed is None:
+                if all_rows:
+                    yield i, None, None, 0, None, None
+                continue
+            n = parsed[-1]
+            step = piece or max(1, n)
+            for k in range(max(1, -(-n // step))):
+                lo = max(0, k * step - halo) if piece else 0
+                yield i, parsed[0], n, k, lo, _samples(parsed, lo, (k + 1) * step + (halo if piece else 0))
+
+    def batch(rb, part):
         import pyarrow as pa
 
+        rows, sr, n, k, lo, xs = zip(*part)
+        lens = np.array([0 if x is None else len(x) for x in xs], dtype=np.int64)
+        offsets = pa.array(np.concatenate([[0], np.cumsum(lens)]).astype(np.int32))  # a batch is small
+        values = pa.array(np.concatenate([np.zeros(0, np.float32), *[x for x in xs if x is not None]]), type=pa.float32())
+        arr = pa.ListArray.from_arrays(offsets, values, mask=pa.array([x is None for x in xs]))
+        take = pa.array(rows, type=pa.int64())
+        cols, names = [rb.column(c).take(take) for c in keep] + [pa.array(sr, type=pa.int32())], [*keep, "sr"]
+        if piece:
+            cols += [pa.array(v, type=pa.int32()) for v in (n, k, lo)]
+            names += ["n_samples", "k", "ext_start"]
+        return pa.RecordBatch.from_arrays(cols + [arr], names=names + ["ext" if piece else "samples"])
+
+    def run(batches):
         for rb in batches:
-            contents = rb.column("content")
-            rows, out_sr, out_n, out_k, out_lo, out_x = [], [], [], [], [], []
-            for i in range(rb.num_rows):
-                buf = contents[i].as_py()
-                r = _parse_wav(buf) if buf is not None else None
-                if r is None:
-                    if all_rows:
-                        rows.append(i), out_sr.append(None), out_n.append(None), out_k.append(0)
-                        out_lo.append(None), out_x.append(None)
-                    continue
-                sr, x = r
-                step = piece or max(1, len(x))
-                for k in range(max(1, -(-len(x) // step))):
-                    lo = max(0, k * step - halo) if piece else 0
-                    rows.append(i), out_sr.append(sr), out_n.append(len(x)), out_k.append(k)
-                    out_lo.append(lo)
-                    out_x.append(x[lo:(k + 1) * step + halo] if piece else x)
-            if not rows:
-                continue
-            lens = np.fromiter((0 if x is None else len(x) for x in out_x), dtype=np.int64, count=len(out_x))
-            offsets = pa.array(np.concatenate([[0], np.cumsum(lens)]).astype(np.int32))
-            parts = [x for x in out_x if x is not None]
-            values = pa.array(np.concatenate(parts) if parts else np.zeros(0, np.float32), type=pa.float32())
-            arr = pa.ListArray.from_arrays(offsets, values, mask=pa.array([x is None for x in out_x]))
-            take = pa.array(rows, type=pa.int64())
-            cols = [rb.column(k).take(take) for k in keep] + [pa.array(out_sr, type=pa.int32())]
-            names = [*keep, "sr"]
-            if piece:
-                cols += [pa.array(out_n, type=pa.int32()), pa.array(out_k, type=pa.int32()),
-                         pa.array(out_lo, type=pa.int32())]
-                names += ["n_samples", "k", "ext_start"]
-            yield pa.RecordBatch.from_arrays(cols + [arr], names=names + ["ext" if piece else "samples"])
+            part, held = [], 0
+            for p in pieces(rb):
+                part.append(p)
+                held += 0 if p[-1] is None else len(p[-1])
+                if held >= DECODE_SAMPLES:
+                    yield batch(rb, part)
+                    part, held = [], 0
+            if part:
+                yield batch(rb, part)
     return run
 
 

@@ -16,7 +16,7 @@ from ..operators import catalog as C
 from ..schemas import BINARY_FILE
 from ..sinks.tables import append_catalog
 from ..sources.objects import relative_key
-from ..sources.wav import header_fields
+from ..sources.wav import TAG_FIELDS, header_fields
 
 
 def ingest_stream(spark: SparkSession, root: str, catalog_path: str, checkpoint: str,
@@ -31,7 +31,7 @@ def ingest_stream(spark: SparkSession, root: str, catalog_path: str, checkpoint:
     def handle(batch: DataFrame, batch_id: int) -> None:
         keyed = header_fields(batch.select("path", "content")).select(
             relative_key("path", root).alias("s3_key"), "channels", "samplerate", "bitrate",
-            "duration", "filesize")
+            "duration", "filesize", *TAG_FIELDS)
         accepted = C.filter_known_ext(keyed)
         append_catalog(spark, catalog_path, accepted)
 

@@ -295,3 +295,67 @@ def test_catalog_append_raises_on_a_damaged_table(spark, tmp_dir):
         fh.write(b"not parquet")
     with pytest.raises(Exception):
         K.append_catalog(spark, p, spark.createDataFrame([("a",)], "s3_key string"))
+
+
+def _info_chunk(tags):
+    body = b"INFO"
+    for name, text in tags:
+        body += name + len(text).to_bytes(4, "little") + text + bytes(len(text) & 1)
+    return b"LIST" + len(body).to_bytes(4, "little") + body
+
+
+def test_text_tags_reach_the_catalog(spark, tmp_dir):
+    tags = [(b"INAM", b"A tune\0"), (b"IART", "J\u00f6rg".encode()), (b"IPRD", b"Caf\xe9"), (b"IGNR", b""), (b"ICRD", b"1999"),
+            (b"IART", b"second artist"), (b"ISFT", b"not a catalog field"), (b"ITRK", b"7")]
+    base = wav_bytes(np.arange(200) / 400.0, 8000)
+    before = base[:36] + _info_chunk(tags) + base[36:]
+    after = base + _info_chunk(tags)
+    cut = base + _info_chunk(tags)[:30]      # the file ends inside the list
+    for k, v in {"a.wav": before, "b.wav": after, "c.wav": cut, "d.wav": base}.items():
+        with open(os.path.join(tmp_dir, k), "wb") as fh:
+            fh.write(v)
+    cat = {r.s3_key: r for r in I.ingest(spark, tmp_dir, S.MelParams(n_fft=256, hop=64, n_mels=16)).catalog.collect()}
+    for k in ("a.wav", "b.wav"):
+        r = cat[k]
+        assert (r.title, r.artist, r.album, r.genre, r.year, r.track) == ("A tune", "J\u00f6rg", "Caf\u00e9", "None", "1999", "7")
+        assert (r.channels, r.samplerate) == ("1", "8000")
+    assert cat["c.wav"].title == "A tune" and cat["c.wav"].year == "None"
+    assert cat["d.wav"].title == "None"
+
+
+@pytest.mark.parametrize("ch", [1, 2])
+def test_decoder_memory_does_not_grow_with_the_file(monkeypatch, ch):
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from sonara.sources import wav as W
+    monkeypatch.setattr(W, "DECODE_SAMPLES", 1 << 14)
+    step, halo, peaks = 4096, 512, []
+    for n in (1 << 18, 1 << 21):
+        x = np.sin(np.arange(n * ch) / 50.0).reshape(n, ch)
+        rb = pa.RecordBatch.from_pydict({"path": ["a", "b"], "content": pa.array([W.wav_bytes(x, 8000, ch), b"junk"])})
+        whole = next(W._decoder(["path"], False, None, 0)([rb])).column("samples")[0].values.to_numpy()
+        tracemalloc.start()
+        start, seen = 0, 0
+        for out in W._decoder(["path"], True, step, halo)([rb]):
+            assert len(out.column("ext").flatten()) <= (1 << 14) + step + 2 * halo
+            for r in out.to_pylist() if n == 1 << 18 else ():
+                if r["ext"] is not None:
+                    np.testing.assert_array_equal(np.float32(r["ext"]), whole[r["ext_start"]:r["k"] * step + step + halo])
+                    assert r["n_samples"] == n
+                    seen += 1
+            start += out.num_rows
+        peaks.append(tracemalloc.get_traced_memory()[1])
+        tracemalloc.stop()
+        assert start == n // step + 1 and seen in (0, n // step)
+    assert peaks[1] < 4 << 20      # the long file has 4 or 8 MB of PCM bytes
+
+
+def test_first_files_is_a_top_k(spark):
+    from sonara.operators import catalog as C
+    df = spark.createDataFrame([(k,) for k in "dbeac"], "s3_key string")
+    top = C.first_files(df, 3)
+    assert sorted(top.collect()) == [("a", 1), ("b", 2), ("c", 3)]
+    assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
+    assert C.first_files(df.where("false"), 3).count() == 0

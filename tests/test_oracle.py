@@ -34,7 +34,7 @@ def norm(v):
 
 TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "FLOAT": "float", "VARCHAR": "string",
          "STRING": "string", "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz", "NUMBER": "double"}
-ROWS_ONLY = {"spec_job_params"}   # checked against numpy brute force in test_spectral
+ROWS_ONLY = set()
 
 
 def test_every_query_has_an_oracle_or_is_declared():
