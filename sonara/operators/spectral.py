@@ -244,7 +244,9 @@ def _arrow_kernel(p: MelParams, out: str, max_values: int = 1 << 22):
     """mapInArrow function: chunk rows -> one row per frame with a packed array.
 
     Frames of consecutive rows are gathered into one (frames x N) matrix of at most
-    ``max_values`` samples and transformed with a single ``rfft`` call."""
+    ``max_values`` samples and transformed with a single ``rfft`` call. A frame's result does
+    not depend on the frames it shares a matrix with: the bands are sums over each frame's own
+    bins (a matrix product would round differently with the matrix's shape)."""
     N, H = p.n_fft, p.hop
     window = np_hann(N)
     width = p.n_mels if out == "mel" else p.n_bins
@@ -253,12 +255,17 @@ def _arrow_kernel(p: MelParams, out: str, max_values: int = 1 << 22):
     def run(batches):
         import pyarrow as pa
 
-        banks: dict[int, np.ndarray] = {}
+        banks: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
 
-        def bank(sr: int) -> np.ndarray:
+        def bands(power: np.ndarray, sr: int) -> np.ndarray:
             if sr not in banks:
-                banks[sr] = np_filterbank(sr, N, p.n_mels, p.fmin, p.fmax).T.copy()
-            return banks[sr]
+                fb = np_filterbank(sr, N, p.n_mels, p.fmin, p.fmax)
+                used = fb != 0
+                used[:, 0] |= ~used.any(axis=1)  # a band without a bin is a sum of one zero
+                band, bins = np.nonzero(used)
+                banks[sr] = bins, fb[band, bins], np.searchsorted(band, np.arange(p.n_mels))
+            bins, weights, first = banks[sr]
+            return np.add.reduceat(power[:, bins] * weights, first, axis=1)
 
         for rb in batches:
             if rb.num_rows == 0:
@@ -281,17 +288,18 @@ def _arrow_kernel(p: MelParams, out: str, max_values: int = 1 << 22):
                 local = np.arange(total) - np.repeat(np.cumsum(cnt) - cnt, cnt)
                 starts = offs[row_of] + local * H
                 frames = flat[starts[:, None] + np.arange(N)[None, :]] * window
-                val = np.abs(np.fft.rfft(frames, axis=1)) ** 2
+                turn = np.fft.rfft(frames, axis=1)
+                val = turn.real ** 2 + turn.imag ** 2
                 if out == "mel":
                     rates = srs[row_of]
                     uniq = np.unique(rates)
                     if len(uniq) == 1:
-                        val = val @ bank(int(uniq[0]))
+                        val = bands(val, int(uniq[0]))
                     else:
                         mel = np.empty((total, p.n_mels))
                         for sr in uniq:
                             m = rates == sr
-                            mel[m] = val[m] @ bank(int(sr))
+                            mel[m] = bands(val[m], int(sr))
                         val = mel
                 offsets = pa.array(np.arange(0, (total + 1) * width, width, dtype=np.int32))
                 yield pa.RecordBatch.from_arrays(
