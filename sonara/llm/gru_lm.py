@@ -4,10 +4,11 @@ Counts. One job counts all training tokens (lower-cased words and one end per do
 The most frequent words (``LOOKUP_WORDS`` at most) are sent to all tasks; a document's other
 words are joined with the whole count table, so every count is exact at any vocabulary.
 
-Network. The ``MODEL_WORDS`` most frequent words have ids; all others share the rare class. A
-gated recurrent unit reads the ids; the output softmax is factored into P(class | state) times
-P(word | class, state). Inside the rare class a word has its smoothed count share, so the
-probabilities of all words sum to one. Training is truncated back-propagation over
+Network. The most frequent words have ids of their own; their number and the state grow with the
+measured vocabulary (``network_size``). All others share ``RARE`` ids by the hash of the word, so
+every token reaches the network, as input and as what is predicted. A gated recurrent unit reads
+the ids; the output softmax is factored into P(class | state) times P(id | class, state). Inside
+its rare id a word has its smoothed count share, so the probabilities of all words sum to one. Training is truncated back-propagation over
 ``STEPS``-token windows with the state carried on. In each of two rounds every task trains on
 its own documents from the same start and the weights are averaged (a tree of sums); the
 first round takes an eighth of the documents, the second the others, so each is used once.
@@ -23,6 +24,7 @@ from __future__ import annotations
 
 import math
 import re
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -33,24 +35,38 @@ from .common import LOWER, UPPER, WORD, staged
 from .token_counts import slices
 
 END = " "  # no word has a space
-LOOKUP_WORDS, MODEL_WORDS = 200_000, 512
-STATE, CLASS_WORDS, STEPS, LANES = 8, 32, 12, 1024
+LOOKUP_WORDS, MODEL_WORDS = 200_000, 512  # MODEL_WORDS: at least, see network_size
+RARE = 256  # ids that the words without an id of their own share
+STATE, CLASS_WORDS, STEPS, LANES = 8, 32, 12, 1024  # STATE, CLASS_WORDS: at least
+BLOCK = 2048  # rows of one softmax over the classes: its table stays in the cache
 RATE = 0.05
-LARGEST = 5.0  # weights stay within this, so no exponential overflows
+LARGEST = 5.0  # weights stay within this (or less, see limit), so no exponential overflows
+
+
+def network_size(vocabulary: int) -> tuple[int, int]:
+    """Model words and state for a measured vocabulary: 12 words per square root, 8 more of state per 16 times the words."""
+    model = min(LOOKUP_WORDS, max(MODEL_WORDS, 12 * math.isqrt(vocabulary)))
+    return model, STATE * max(1, round((model / MODEL_WORDS) ** 0.25))
+
+
+def limit(state: int) -> float:
+    """state + 1 products stay below 80, so their exponentials and the sums of these are finite in 32 bits."""
+    return min(LARGEST, 80.0 / (state + 1))
 
 
 # ---- the network --------------------------------------------------------------------------
 
 def start_weights(ids: int, state: int = STATE, seed: int = 5) -> dict[str, np.ndarray]:
-    """``ids``: model words and the rare id 0. Word i > 0 is number (i - 1) % CLASS_WORDS of class 1 + (i - 1) // CLASS_WORDS."""
+    """``ids``: rare id 0, model words, other rare ids. Id i > 0 is number (i - 1) % size of class 1 + (i - 1) // size."""
     r = np.random.default_rng(seed)
-    classes = 1 + -(-(ids - 1) // CLASS_WORDS)
+    size = max(CLASS_WORDS, math.isqrt(ids))  # about as many classes as places in one
+    classes = 1 + -(-(ids - 1) // size)
     shapes = {"x": (ids + 1, 3 * state), "u": (state, 3 * state), "b": (3 * state,), "c": (state, classes), "cb": (classes,),
-              "w": (classes, state, CLASS_WORDS), "wb": (classes, CLASS_WORDS)}  # the last row of x: no token yet
+              "w": (classes, state, size), "wb": (classes, size)}  # the last row of x: no token yet
     out = {k: (r.standard_normal(s) * 0.1).astype(np.float32) for k, s in shapes.items()}
     for k in ("b", "cb", "wb"):
         out[k][:] = 0
-    last = (ids - 1) % CLASS_WORDS
+    last = (ids - 1) % size
     if last and classes > 1:
         out["wb"][-1, last:] = -30  # places of the last class that no word has
     return out
@@ -78,32 +94,35 @@ def gates(w, h, x):
     return c + z * (h - c), (r, z, c, hu[:, 2 * n:])
 
 
-def class_of(y: np.ndarray) -> np.ndarray:
-    return np.where(y > 0, 1 + (y - 1) // CLASS_WORDS, 0)
+def class_of(y: np.ndarray, size: int) -> np.ndarray:
+    return np.where(y > 0, 1 + (y - 1) // size, 0).astype(np.int16)  # 16 bits: sorted by radix
 
 
 def _picked(a: np.ndarray, k: np.ndarray) -> np.ndarray:
     """ln softmax of each row at its place k."""
     at = a[np.arange(len(k)), k]
-    return at - np.log(np.exp(a, out=a).sum(axis=1))
+    return at - np.log(np.exp(a, out=a) @ np.ones(a.shape[1], a.dtype))
 
 
 def _shares(a: np.ndarray) -> np.ndarray:
     np.exp(a, out=a)
-    a /= a.sum(axis=1, keepdims=True)
+    a /= (a @ np.ones(a.shape[1], a.dtype))[:, None]
     return a
 
 
 def log_probability(w, h, y) -> np.ndarray:
     """ln P(y | h) of ids; for the rare id that of its class."""
-    k = class_of(y)
-    out = _picked(h @ w["c"] + w["cb"], k)
+    size = w["wb"].shape[1]
+    k = class_of(y, size)
+    out = np.empty(len(y), h.dtype)
+    for a in range(0, len(y), BLOCK):
+        out[a:a + BLOCK] = _picked(h[a:a + BLOCK] @ w["c"] + w["cb"], k[a:a + BLOCK])
     order = np.argsort(k, kind="stable")
     cuts = np.searchsorted(k[order], np.arange(1, w["c"].shape[1] + 1))
     for c, (a, b) in enumerate(zip(cuts, np.append(cuts[1:], len(y))), start=1):
         if a < b:
             i = order[a:b]
-            out[i] += _picked(h[i] @ w["w"][c] + w["wb"][c], (y[i] - 1) % CLASS_WORDS)
+            out[i] += _picked(h[i] @ w["w"][c] + w["wb"][c], (y[i] - 1) % size)
     return out
 
 
@@ -117,7 +136,7 @@ class Trainer:
 
     def window(self, h: np.ndarray, xs: np.ndarray, ys: np.ndarray) -> np.ndarray:
         """xs, ys: (steps, lanes), -1 where a lane has no token. The state after the window."""
-        w, steps, n = self.w, len(xs), h.shape[1]
+        w, steps, most = self.w, len(xs), limit(h.shape[1])
         states, kept = [h], []
         for x in xs:
             new, k = gates(w, states[-1], x)
@@ -129,17 +148,23 @@ class Trainer:
         dh_out = np.zeros_like(hs)
         if len(here):
             a, t = hs[here], y[here]
-            k = class_of(t)
-            p = _shares(a @ w["c"] + w["cb"])
-            p[np.arange(len(t)), k] -= 1
-            g["c"], g["cb"], da = a.T @ p, p.sum(axis=0), p @ w["c"].T
+            size = w["wb"].shape[1]
+            k = class_of(t, size)
+            da = np.empty_like(a)
+            for lo in range(0, len(t), BLOCK):
+                i = slice(lo, lo + BLOCK)
+                p = _shares(a[i] @ w["c"] + w["cb"])
+                p[np.arange(len(p)), k[i]] -= 1
+                g["c"] += a[i].T @ p
+                g["cb"] += p.sum(axis=0)
+                da[i] = p @ w["c"].T
             order = np.argsort(k, kind="stable")
             cuts = np.searchsorted(k[order], np.arange(1, w["c"].shape[1] + 1))
             for c, (lo, hi) in enumerate(zip(cuts, np.append(cuts[1:], len(t))), start=1):
                 if lo < hi:
                     i = order[lo:hi]
                     q = _shares(a[i] @ w["w"][c] + w["wb"][c])
-                    q[np.arange(hi - lo), (t[i] - 1) % CLASS_WORDS] -= 1
+                    q[np.arange(hi - lo), (t[i] - 1) % size] -= 1
                     g["w"][c], g["wb"][c] = a[i].T @ q, q.sum(axis=0)
                     da[i] += q @ w["w"][c].T
             dh_out[here] = da
@@ -165,7 +190,7 @@ class Trainer:
             np.clip(v, -1, 1, out=v)
             self.seen[k] += v * v
             w[k] -= RATE * v / np.sqrt(self.seen[k])
-            np.clip(w[k], -30 if k == "wb" else -LARGEST, LARGEST, out=w[k])
+            np.clip(w[k], -30 if k == "wb" else -most, most, out=w[k])
         x = xs.ravel()
         order = np.argsort(x, kind="stable")
         used, first = np.unique(x[order], return_index=True)
@@ -267,10 +292,28 @@ def most_frequent(totals: DataFrame, top: int) -> list[tuple[str, int]]:
     return sorted(((r["token"], r["c"]) for r in got), key=lambda x: (-x[1], x[0]))
 
 
+def rare_id(word: str, model_words: int) -> int:
+    """0, or an id behind those of the model words; the same hash as ``rare_totals``."""
+    k = zlib.crc32(word.encode("utf-8", "surrogatepass")) % RARE
+    return model_words + k if k else 0
+
+
+def rare_totals(totals: DataFrame, model: list[tuple[str, int]]) -> np.ndarray:
+    """Of each id, log10 of what its words' smoothed counts and one more sum to; 0 where a word has the id to itself."""
+    out = np.zeros(len(model) + RARE)
+    sums = np.ones(RARE)
+    for r in totals.groupBy((F.crc32(F.col("token").cast("binary")) % RARE).alias("k")).agg(F.sum(F.col("c") + 1).alias("n")).collect():
+        sums[r["k"]] += r["n"]
+    for t, c in model:
+        sums[zlib.crc32(t.encode("utf-8", "surrogatepass")) % RARE] -= c + 1
+    out[0], out[len(model) + 1:] = math.log10(sums[0]), np.log10(sums[1:])
+    return out
+
+
 def encode(docs: DataFrame, known: list[tuple[str, int]], model: list[str]) -> DataFrame:
     """row, doc_id, n_tokens, n_known, logs, rare_logs, ids and the words that ``known`` lacks with their numbers.
 
-    logs sums log10(c + 1) of the known tokens, rare_logs those of them that the network has no id for."""
+    logs sums log10(c + 1) of the known tokens, rare_logs those of them whose id is shared."""
     sent = docs.sparkSession.sparkContext.broadcast((known, model))
 
     def run(batches):
@@ -278,7 +321,8 @@ def encode(docs: DataFrame, known: list[tuple[str, int]], model: list[str]) -> D
         number = {t: i + 1 for i, t in enumerate(model)}
         place = {t: i for i, (t, _) in enumerate(known)}
         log = np.append([math.log10(c + 1) for _, c in known], 0.0)  # last: a word to be looked up
-        ids_of = np.array([number.get(t, 0) for t, _ in known] + [0], dtype=np.int16)
+        ids_of = np.array([number.get(t) or rare_id(t, len(model)) for t, _ in known] + [0], dtype=id_type(len(model)))
+        own = np.array([t in number for t, _ in known] + [False])
         none, end = len(known), place.get(END, -1)
         split, part, row = _words_of(), TaskContext.get().partitionId(), 0
         for b in batches:
@@ -294,12 +338,14 @@ def encode(docs: DataFrame, known: list[tuple[str, int]], model: list[str]) -> D
                     found: dict[str, int] = {}
                     for i in missing:
                         found[ws[i]] = found.get(ws[i], 0) + 1
+                        ids[i] = rare_id(ws[i], len(model))
                     if end < 0:
                         found[END] = 1
+                        ids[-1] = rare_id(END, len(model))
                     out["n"].append(len(at))
                     out["known"].append(int((at < none).sum()))
                     out["logs"].append(float(logs.sum()))
-                    out["rare"].append(float(logs[ids == 0].sum()))
+                    out["rare"].append(float(logs[~own[at]].sum()))
                     out["ids"].append(ids.tobytes())
                     out["words"].append(list(found.items()))
                 n = len(out["n"])
@@ -316,14 +362,18 @@ def encode(docs: DataFrame, known: list[tuple[str, int]], model: list[str]) -> D
                                 "ids binary, words map<string,long>")
 
 
-def _ids(column) -> list[np.ndarray]:
-    return [np.frombuffer(x.as_buffer(), dtype=np.int16) for x in column]
+def id_type(model_words: int) -> type:
+    return np.uint16 if model_words + RARE <= 1 << 16 else np.int32
 
 
-def train(coded: DataFrame, words: int) -> dict[str, np.ndarray]:
+def _ids(column, model_words: int) -> list[np.ndarray]:
+    return [np.frombuffer(x.as_buffer(), dtype=id_type(model_words)) for x in column]
+
+
+def train(coded: DataFrame, words: int, state: int = STATE) -> dict[str, np.ndarray]:
     """Weights after both rounds. Only one averaged vector, the size of the network, reaches the driver."""
     sc = coded.sparkSession.sparkContext
-    weights = start_weights(words + 1)
+    weights = start_weights(words + RARE, state)
     early = F.pmod(F.xxhash64(F.lit(11), "row"), F.lit(8)) == 0
     for part in (early, ~early):
         sent = sc.broadcast(weights)
@@ -331,7 +381,7 @@ def train(coded: DataFrame, words: int) -> dict[str, np.ndarray]:
         def run(batches, sent=sent):
             trainer = Trainer(sent.value)
             for b in batches:
-                docs = _ids(b.column(0))
+                docs = _ids(b.column(0), words)
                 for s in slices(docs, 1 << 21):
                     trainer.train(docs[s])
             yield pa.RecordBatch.from_pydict({"n": pa.array([trainer.tokens], pa.int64()),
@@ -345,17 +395,21 @@ def train(coded: DataFrame, words: int) -> dict[str, np.ndarray]:
     return weights
 
 
-def score(docs: DataFrame, lookup_words: int = LOOKUP_WORDS, model_words: int = MODEL_WORDS) -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
+def score(docs: DataFrame, lookup_words: int = LOOKUP_WORDS, model_words: int | None = None) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row.
+
+    ``model_words``: as many as ``network_size`` says where None."""
     sc = docs.sparkSession.sparkContext
     totals = staged(token_totals(docs), "totals")
     size = totals.agg(F.coalesce(F.sum("c"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     n, v = int(size["n"]), int(size["v"])
     known = most_frequent(totals, lookup_words)
-    model = [t for t, _ in known[:model_words]]
-    n_rare, v_rare = n - sum(c for _, c in known[:model_words]), v - len(model)
+    most, state = network_size(v)
+    model = [t for t, _ in known[:most if model_words is None else model_words]]
     coded = staged(encode(docs, known, model), "coded")
-    weights = sc.broadcast(train(coded, len(model)))
+    weights = sc.broadcast(train(coded, len(model), state))
+    shared = sc.broadcast(rare_totals(totals, known[:len(model)]))
+    n_model = len(model)
 
     # the words that were not sent: joined with the whole count table, then summed per row
     asked = coded.select("row", F.explode("words").alias("token", "times"))
@@ -365,19 +419,19 @@ def score(docs: DataFrame, lookup_words: int = LOOKUP_WORDS, model_words: int =
     def run(batches):
         w = weights.value
         for b in batches:
-            ids = _ids(b.column(1))
+            ids = _ids(b.column(1), n_model)
             lp: list[float] = []
             for s in slices(ids, 1 << 22):
                 lp += (score_documents(w, ids[s]) / math.log(10)).tolist()
-            rare = [int((x == 0).sum()) for x in ids]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lp, pa.float64()), pa.array(rare, pa.int64())],
-                                             names=["row", "net", "n_rare"])
+            rare = [float(shared.value[x].sum()) for x in ids]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lp, pa.float64()), pa.array(rare, pa.float64())],
+                                             names=["row", "net", "rare_sums"])
 
-    net = coded.select("row", "ids").mapInArrow(run, "row long, net double, n_rare long")
+    net = coded.select("row", "ids").mapInArrow(run, "row long, net double, rare_sums double")
     own = coded.select("row", "doc_id", "n_tokens", "n_known", "logs", "rare_logs")
     more = F.coalesce("more_logs", F.lit(0.0))
     return (own.join(net, "row").join(found, "row", "left")
             .select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 7 == 2).alias("held_out"), "n_tokens",
                     (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
                     (F.col("logs") + more - F.col("n_tokens") * math.log10(n + v + 1)).alias("base_score"),
-                    (F.col("net") + F.col("rare_logs") + more - F.col("n_rare") * math.log10(n_rare + v_rare + 1)).alias("score")))
+                    (F.col("net") + F.col("rare_logs") + more - F.col("rare_sums")).alias("score")))

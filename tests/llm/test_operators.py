@@ -315,3 +315,29 @@ def test_order_minhash_over_cells_and_edge_rows(spark, edge_dir, edge_rows):
         if i is not None:
             by_text.setdefault(t or "", set()).update(r["fingerprint"] for r in got if r["doc_id"] == i)
     assert all(len(v) == 1 for v in by_text.values())
+
+
+def test_lm_rare_words_reach_the_network(spark):
+    rare = [f"rare{i}" for i in range(40)]
+    text = lambda ws: " ".join(f"the {w} of" for w in ws)
+    rows = [(i, text(rare[i:i + 9])) for i in range(30)] + [(100, text(rare)), (101, text(rare[7:] + rare[:7]))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["score"] for r in gru_lm.score(docs, 200, 3).collect()}
+    assert abs(got[100] - got[101]) > 1e-6  # the same words in another order
+
+
+def test_lm_shared_ids_sum_to_one_and_the_network_grows(spark):
+    words = [("the", 9), ("of", 5)] + [(f"w{i}", 1 + i % 3) for i in range(900)]
+    sums = gru_lm.rare_totals(spark.createDataFrame(words, "token string, c long"), words[:2])
+    share = np.zeros(len(sums))
+    for w, c in words[2:]:
+        share[gru_lm.rare_id(w, 2)] += (c + 1) / 10 ** sums[gru_lm.rare_id(w, 2)]
+    here = [0, *range(3, len(sums))]  # 1 and 2 are the words' own
+    assert np.allclose(share[here] + 1 / 10 ** sums[here], 1) and (sums[1:3] == 0).all()
+    sizes = [gru_lm.network_size(v) for v in (10, 10**4, 10**5, 10**6, 10**8)]
+    assert sizes == sorted(sizes) and sizes[0] == (512, 8) and sizes[-1][0] > 100_000
+    for ids, state in ((600, 8), (70_000, 32)):  # no exponential overflows at the limits of the weights
+        w = gru_lm.start_weights(ids, state)
+        w = {k: np.full_like(v, gru_lm.limit(state)) for k, v in w.items()}
+        p = gru_lm.log_probability(w, np.ones((3, state), np.float32), np.array([0, 1, ids - 1]))
+        assert np.isfinite(p).all()
