@@ -11,8 +11,10 @@ template element that keeps nearly all text outside of menus, forms, adverts and
 its blocks are the result. Text blocks that belong to the template (nearly every page of a
 large host has them) are not data and go, unless most of the slot would go with them.
 
-Tag names and words in class, id and role say which elements are never data. A page without
-its host's main slot gives all its blocks outside such elements.
+Tag names and words in class, id and role say which elements are never data. Words do not
+condemn html, body, main and article, nor an element that holds nearly all of its host's text
+where no article or main does, nor the elements around it. A page without its host's main slot
+gives all its blocks outside elements that are never data.
 
 Defined results: null or empty html gives the empty text; a null url is the host ``""``;
 repeated pages each give a row; a literal ``<`` that opens no tag is text; other columns are
@@ -43,6 +45,7 @@ NEVER_WORDS = frozenset("ad ads advert advertisement advertising banner sponsor
                         "navigation breadcrumb breadcrumbs header footer masthead cookie cookies consent notice notices popup "
                         "modal overlay share sharing social related recommended comment comments reply replies disqus "
                         "subscribe newsletter signup login search toolbar widget copyright pagination pager skip".split())
+ROOTS = frozenset("html body main article".split())  # words never condemn these
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|"
                    r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
@@ -54,12 +57,17 @@ def host_of(url: Column) -> Column:
 
 
 class Page:
-    """Paths of a page's elements with their counts, and its text blocks in order."""
+    """Paths of a page's elements with their counts, and its text blocks in order.
 
-    def __init__(self, source: str):
+    Words do not condemn the elements whose paths are in ``spared``."""
+
+    def __init__(self, source: str, spared: frozenset = frozenset()):
+        self.spared = spared
         self.counts: dict[str, int] = {}
         self.blocks: list[tuple[str, str, bool]] = []  # path, text, never data
-        self.stack: list[tuple[str, str, bool]] = [("", "", False)]  # tag, path, never data
+        self.condemned: list[tuple[str, str, str]] = []  # of blocks that words alone condemn: path, text, innermost such element
+        # tag, path, never data by its tag, innermost element that words condemn
+        self.stack: list[tuple[str, str, bool, str]] = [("", "", False, "")]
         self.text: list[str] = []
         at, low = 0, None
         while True:
@@ -89,8 +97,10 @@ class Page:
         if self.text:
             text = " ".join(entities.unescape("".join(self.text)).split())
             if text:
-                _, path, never = self.stack[-1]
-                self.blocks.append((path, text, never))
+                _, path, never, by_words = self.stack[-1]
+                self.blocks.append((path, text, never or by_words != ""))
+                if by_words and not never:
+                    self.condemned.append((path, text, by_words))
             self.text = []
 
     def open(self, name: str, attributes: str) -> None:
@@ -108,12 +118,14 @@ class Page:
         closes = CLOSES.get(name, CLOSES["p"] if name not in INLINE else ())
         if self.stack[-1][0] in closes:
             self.stack.pop()
-        _, above, never = self.stack[-1]
+        _, above, never, by_words = self.stack[-1]
         path = f"{above}/{name}" + "".join(f".{w}" for w in sorted(set(words)))
         bad = name in NEVER_TAGS and not (name == "header" and re.search(r"/(article|main)\b", above))
         self.counts[path] = self.counts.get(path, 0) + 1
         if len(self.stack) < 200:  # deeper elements count as part of this one
-            self.stack.append((name, path, never or bad or bad_words))
+            if bad_words and name not in ROOTS and path not in self.spared:
+                by_words = path
+            self.stack.append((name, path, never or bad, by_words))
 
     def close(self, name: str) -> None:
         if name in INLINE and self.stack[-1][0] != name:
@@ -130,7 +142,9 @@ def _text_token(path: str, text: str) -> str:
 
 
 def page_tokens(pages: DataFrame) -> DataFrame:
-    """host, token, count, chars, r1, r2: every distinct token of every page, and the root token ''."""
+    """host, token, count, chars, own, r1, r2: every distinct token of every page, and the root token ''.
+
+    chars: of the text inside that may be data; own: of the text that words of this element condemn."""
 
     def run(batches):
         for b in batches:
@@ -144,6 +158,11 @@ def page_tokens(pages: DataFrame) -> DataFrame:
                         chars[path] = chars.get(path, 0) + len(text)
                         t = _text_token(path, text)
                         texts[t] = texts.get(t, 0) + 1
+                own: dict[str, int] = {}
+                for path, text, by_words in page.condemned:
+                    own[by_words] = own.get(by_words, 0) + len(text)
+                    t = _text_token(path, text)
+                    texts[t] = texts.get(t, 0) + 1
                 total: dict[str, int] = {"": 0}
                 for path, n in chars.items():
                     while path:
@@ -152,52 +171,70 @@ def page_tokens(pages: DataFrame) -> DataFrame:
                     total[""] += n
                 r1, r2 = (r & 0x7FFFFFFF) + 1, (r >> 32 & 0x7FFFFFFF) + 1
                 for token, n in [("", 1), *page.counts.items(), *texts.items()]:
-                    rows.append((host, token, n, total.get(token, 0), n * r1, n * r2))
-            cols = list(zip(*rows)) or [()] * 6
-            kinds = [pa.string(), pa.string()] + [pa.int64()] * 4
+                    rows.append((host, token, n, total.get(token, 0), own.get(token, 0), n * r1, n * r2))
+            cols = list(zip(*rows)) or [()] * 7
+            kinds = [pa.string(), pa.string()] + [pa.int64()] * 5
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                             names=["host", "token", "n", "chars", "r1", "r2"])
+                                             names=["host", "token", "n", "chars", "own", "r1", "r2"])
 
     return pages.select("host", "html", F.xxhash64("page_id", "url").alias("r")).mapInArrow(
-        run, "host string, token string, n long, chars long, r1 long, r2 long")
+        run, "host string, token string, n long, chars long, own long, r1 long, r2 long")
 
 
 def templates(tokens: DataFrame) -> DataFrame:
     """host, pages, template: the tokens of the valid classes of each host."""
     vectors = (tokens.groupBy("host", "token")
-               .agg(F.count(F.lit(1)).alias("support"), F.sum("n").alias("total"), F.sum("chars").alias("chars"),
+               .agg(F.count(F.lit(1)).alias("support"), F.sum("n").alias("total"), F.sum("chars").alias("chars"), F.sum("own").alias("own"),
                     F.sum("r1").alias("v1"), F.sum("r2").alias("v2")))
     vectors = staged(vectors.where("token = '' OR support > 1 OR NOT startswith(token, '#')"), "vectors")
     hosts = vectors.where("token = ''").select("host", F.col("support").alias("pages"))
     valid = vectors.join(hosts, "host").where("2 * support >= pages")
     # at most twice the tokens of a page remain for each host
     return valid.groupBy("host", "pages").agg(
-        F.sort_array(F.collect_list(F.struct("token", "support", "total", "chars", "v1", "v2"))).alias("template"))
+        F.sort_array(F.collect_list(F.struct("token", "support", "total", "chars", "own", "v1", "v2"))).alias("template"))
+
+
+def _tag(path: str) -> str:
+    return path.rpartition("/")[2].split(".")[0]
+
+
+def spared_elements(template: list[dict]) -> frozenset:
+    """Paths of the element that holds nearly all text though words condemn it, and of those around it."""
+    known = any(t["total"] == t["support"] and t["chars"] > 0 and _tag(t["token"]) in ("article", "main") for t in template)
+    most = max(template, key=lambda t: (t.get("own", 0), t["token"]), default={})
+    own, free = most.get("own", 0), sum(t["chars"] for t in template if t["token"] == "")
+    if known or not own or own < SLOT_SHARE * (own + free):
+        return frozenset()
+    steps = most["token"].split("/")
+    return frozenset("/".join(steps[:i]) for i in range(2, len(steps) + 1))
 
 
-def main_slot(template: list[dict], pages: int) -> tuple[str | None, frozenset]:
-    """Path of the main slot and the text blocks that belong to the template."""
+def main_slot(template: list[dict], pages: int) -> tuple[str | None, frozenset, frozenset]:
+    """Path of the main slot, the text blocks that belong to the template and the elements that words do not condemn."""
     classes: dict[tuple, list[dict]] = {}
     for t in template:
         classes.setdefault((t["v1"], t["v2"]), []).append(t)
     root = next((k for k, ts in classes.items() if any(t["token"] == "" for t in ts)), None)
     fixed = frozenset(t["token"] for t in template if t["token"].startswith("#") and t["total"] == t["support"]
                       and pages >= TEXT_PAGES and t["support"] >= TEXT_SHARE * pages)
+    spared = spared_elements(template)
+    if spared:
+        return None, fixed, spared  # chars were counted without the spared element
 
     def slots(ts: list[dict]) -> list[dict]:
         return [t for t in ts if t["token"][:1] == "/" and t["total"] == t["support"] and t["chars"] > 0
-                and t["token"].rpartition("/")[2].split(".")[0] in CONTAINERS]
+                and _tag(t["token"]) in CONTAINERS]
 
     nested = slots(classes.get(root, [])) or [s for ts in classes.values() for s in slots(ts)]
     if not nested:
-        return None, fixed
+        return None, fixed, spared
     most = max(t["chars"] for t in nested)
     deep = [t["token"] for t in nested if t["chars"] >= SLOT_SHARE * most]
-    return max(deep, key=lambda p: (p.count("/"), p)), fixed
+    return max(deep, key=lambda p: (p.count("/"), p)), fixed, spared
 
 
-def extract(source: str, slot: str | None, fixed: frozenset) -> str:
-    blocks = [(p, t) for p, t, never in Page(source).blocks if not never]
+def extract(source: str, slot: str | None, fixed: frozenset, spared: frozenset = frozenset()) -> str:
+    blocks = [(p, t) for p, t, never in Page(source, spared).blocks if not never]
     inside = [(p, t) for p, t in blocks if slot and (p == slot or p.startswith(slot + "/"))] or blocks
     if fixed:
         data = [(p, t) for p, t in inside if _text_token(p, t) not in fixed]

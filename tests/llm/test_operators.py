@@ -341,3 +341,25 @@ def test_lm_shared_ids_sum_to_one_and_the_network_grows(spark):
         w = {k: np.full_like(v, gru_lm.limit(state)) for k, v in w.items()}
         p = gru_lm.log_probability(w, np.ones((3, state), np.float32), np.array([0, 1, ids - 1]))
         assert np.isfinite(p).all()
+
+
+def texts_of(spark, pages):
+    rows = [(i, f"http://site.org/{i}", p) for i, p in enumerate(pages)]
+    got = html_template.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    return [r["text"] for r in sorted(got, key=lambda r: r["page_id"])]
+
+
+@pytest.mark.parametrize("page", [
+    "<body class='has-sidebar'><article><p>{}</p></article><div class='sidebar'>links</div>",
+    "<html id='no-sidebar'><body><main class='side'><article class='post comments-open'><p>{}</p><div class='comments'>said</div></article></main>",
+    "<body><nav>menu</nav><div class='content-with-sidebar'><article><p>{}</p></article><div class='sidebar'>links</div></div>",
+    "<body><div class='page-with-menu'><div id='post' class='comments-open'>{}</div><div class='cookie notice'>we use cookies</div></div>"])
+def test_html_words_do_not_condemn_the_main_slot(spark, page):
+    data = [f"own text of page {i}, " + " ".join(f"word{i * j}" for j in range(1, 40)) for i in range(4)]
+    assert texts_of(spark, [page.format(d) for d in data]) == data
+
+
+def test_html_words_condemn_comments_longer_than_the_article(spark):
+    said = " ".join(f"said{j}" for j in range(200))
+    pages = [f"<body><article><p>short {i}</p></article><div class='comments'>{said} {i}</div>" for i in range(3)]
+    assert texts_of(spark, pages) == [f"short {i}" for i in range(3)]
