@@ -6,9 +6,10 @@ each page). Tokens with the same vector form an equivalence class; vectors are c
 sums of (count x page hash), so no vector is ever gathered. A class is valid where it occurs
 in at least half of the host's pages. The valid classes, nested by their paths, are the host's
 template: the class of the page root holds what is once in every page, and the others hang
-below it. The slots left between template elements are data. The main slot is the deepest
-template element that keeps nearly all text outside of menus, forms, adverts and the like;
-its blocks are the result. Text blocks that belong to the template (nearly every page of a
+below it. The slots left between template elements are data. The main slot is the outermost
+article or main that keeps nearly all text outside of menus, forms, adverts and the like, or
+else the outermost such element below the body: titles and leads beside an inner element stay.
+Its blocks are the result. Text blocks that belong to the template (nearly every page of a
 large host has them) are not data and go, unless most of the slot would go with them.
 
 Tag names and words in class, id and role say which elements are never data. Words do not
@@ -229,8 +230,10 @@ def main_slot(template: list[dict], pages: int) -> tuple[str | None, frozenset,
     if not nested:
         return None, fixed, spared
     most = max(t["chars"] for t in nested)
-    deep = [t["token"] for t in nested if t["chars"] >= SLOT_SHARE * most]
-    return max(deep, key=lambda p: (p.count("/"), p)), fixed, spared
+    full = [t["token"] for t in nested if t["chars"] >= SLOT_SHARE * most]
+    named = [p for p in full if _tag(p) in ("article", "main")]
+    below = [p for p in full if _tag(p) not in ("html", "body")]
+    return min(named or below or full, key=lambda p: (p.count("/"), p)), fixed, spared
 
 
 def extract(source: str, slot: str | None, fixed: frozenset, spared: frozenset = frozenset()) -> str:

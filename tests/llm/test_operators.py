@@ -363,3 +363,12 @@ def test_html_words_condemn_comments_longer_than_the_article(spark):
     said = " ".join(f"said{j}" for j in range(200))
     pages = [f"<body><article><p>short {i}</p></article><div class='comments'>{said} {i}</div>" for i in range(3)]
     assert texts_of(spark, pages) == [f"short {i}" for i in range(3)]
+
+
+@pytest.mark.parametrize("page", [
+    "<body><nav>menu</nav><div>top</div><article><h1>{0}</h1><p>{1}</p><div class='body'><section><p>{2}</p></section></div></article>",
+    "<body><nav>menu</nav><main><h1>{0}</h1><article><p>{1}</p><div>{2}</div></article></main>",
+    "<body><nav>menu</nav><div class='post'><h1>{0}</h1><p>{1}</p><div class='body'><p>{2}</p></div></div>"])
+def test_html_title_and_lead_outside_the_body_stay(spark, page):
+    parts = [(f"Title {i}", f"lead {i}", " ".join(f"word{i * j}" for j in range(120 if i else 2))) for i in range(4)]
+    assert texts_of(spark, [page.format(*p) for p in parts]) == [" ".join(p) for p in parts]
