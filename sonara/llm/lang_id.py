@@ -3,8 +3,10 @@
 A text becomes a vector of hashed letter n-grams (1 to 3 characters, words bounded by one
 space), weighted by TF-IDF and normalised. For every label, spherical k-means on a bounded
 sample of labelled rows (``FIT_ROWS`` per label, the classifier's only bound) gives several
-centroids. The prediction is the label of the centroid with the highest cosine. A text that
-is much further from its centroid than nearly all rows of that label from theirs is rejected.
+centroids. The prediction is the label of the centroid with the highest cosine. Short texts have
+fewer n-grams and lie further off, so likeness is divided by what the label's own rows, cut to
+that many n-grams, reach (``BEGINNINGS``). A text that is then much further from its centroid
+than nearly all rows of that label from theirs is rejected.
 
 Every text is read whole, in pieces of bounded size whose counts add up.
 
@@ -27,7 +29,9 @@ from .common import per_worker
 BUCKETS = 4096
 CLUSTERS = 4
 FIT_ROWS = 400  # labelled rows per label, the ones with the smallest hashes of their ids
-REJECT_SHARE = 0.4  # of the similarity that all but 1 % of a label's own rows reach
+BEGINNINGS = (6, 12, 25, 50, 100, 200, 400, 800)  # characters of the cut rows
+CUT_ROWS = 32  # of a label's FIT_ROWS, those that are cut
+REJECT_SHARE = 0.5  # of the likeness for their length that all but 1 % of a label's own rows reach
 UNKNOWN = "und"
 PIECE = 1 << 18
 
@@ -108,16 +112,21 @@ def _centroids(x: np.ndarray, k: int, rounds: int = 15) -> np.ndarray:
     return c.astype(np.float32)
 
 
+def sizes(counts: np.ndarray) -> np.ndarray:
+    """ln of the number of distinct n-grams."""
+    return np.log(np.maximum((counts > 0).sum(axis=1), 1))
+
+
 def fit(docs: DataFrame, learn: Column, rows_per_label: int = FIT_ROWS, clusters: int = CLUSTERS) -> dict:
     """Model from ``rows_per_label`` rows of each non-null lang among the rows where ``learn`` holds.
 
-    What reaches the driver is bounded by labels x rows_per_label x BUCKETS counts."""
+    What reaches the driver is bounded by labels x (rows_per_label + CUT_ROWS x beginnings) x BUCKETS counts."""
     rows = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
     at = F.xxhash64(F.lit(3), F.col("doc_id").cast("string"))
     ids = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()  # one row per label
     if not ids:
         return {"labels": [], "idf": np.ones(BUCKETS, np.float32), "centroids": np.zeros((0, BUCKETS), np.float32),
-                "owner": np.zeros(0, np.int64), "least": np.zeros(0, np.float32)}
+                "owner": np.zeros(0, np.int64), "least": np.zeros(0, np.float32), "usual": []}
     # hashes are uniform: a threshold per label keeps about twice the rows wanted, the exact cut follows
     share = {r["lang"]: min(1.0, 2.0 * rows_per_label / r["n"]) for r in ids}
     low = -(1 << 63)
@@ -128,36 +137,48 @@ def fit(docs: DataFrame, learn: Column, rows_per_label: int = FIT_ROWS, clusters
 
     def count(batches):
         for b in batches:
-            texts = b.column(2).to_pylist()
-            for a in range(0, len(texts), 256):
-                c = gram_counts(texts[a:a + 256])
+            rows = []  # lang, h, characters (0: all), text
+            for lang, h, r, t in zip(*(b.column(i).to_pylist() for i in range(4))):
+                rows.append((lang, h, 0, t))
+                rows += [(lang, h, n, t[:n]) for n in BEGINNINGS if r <= CUT_ROWS and len(t) > n]
+            for a in range(0, len(rows), 256):
+                langs, hs, ns, texts = zip(*rows[a:a + 256])
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(a, 256), b.column(1).slice(a, 256),
-                     pa.array([x.astype("<u4").tobytes() for x in c], pa.binary())], names=["lang", "h", "counts"])
+                    [pa.array(langs, pa.string()), pa.array(hs, pa.int64()), pa.array(ns, pa.int32()),
+                     pa.array([x.astype("<u4").tobytes() for x in gram_counts(texts)], pa.binary())], names=["lang", "h", "part", "counts"])
 
     best = Window.partitionBy("lang").orderBy("h")
     got = (near.withColumn("r", F.row_number().over(best)).where(F.col("r") <= rows_per_label)
-           .select("lang", "h", "text").mapInArrow(count, "lang string, h long, counts binary").collect())
-    got = sorted(got, key=lambda r: (r["lang"], r["h"]))
+           .select("lang", "h", "r", F.col("text").cast("string")).mapInArrow(count, "lang string, h long, part int, counts binary").collect())
+    got = sorted(got, key=lambda r: (r["lang"], r["h"], r["part"]))
     labels = sorted({r["lang"] for r in got})
     counts = np.stack([np.frombuffer(r["counts"], "<u4").astype(np.float32) for r in got])
-    lang = np.array([labels.index(r["lang"]) for r in got])
-    full = counts.sum(axis=1) > 0
-    counts, lang = counts[full], lang[full]
+    lang, part = np.array([labels.index(r["lang"]) for r in got]), np.array([r["part"] for r in got])
+    some = counts.sum(axis=1) > 0
+    cut, cut_lang, cut_part = (x[some & (part > 0)] for x in (counts, lang, part))
+    counts, lang = (x[some & (part == 0)] for x in (counts, lang))
     idf = np.log((1 + len(counts)) / (1 + (counts > 0).sum(axis=0))).astype(np.float32) + 1
     x = weighted(counts, idf).astype(np.float32)
-    cs, owner, least = [], [], []
+    cs, owner, least, usual = [], [], [], []
     for i in range(len(labels)):
         own = x[lang == i]
+        usual.append(((0.0,), (1.0,)))
         if not len(own):
             continue
         c = _centroids(own, clusters)
-        near_own = (own @ c.T).max(axis=1)
+        near_own, size = (own @ c.T).max(axis=1), sizes(counts[lang == i])
+        # medians of size and likeness: whole rows, and beginnings of some; by size
+        points = [(float(np.median(size)), float(np.median(near_own)))]
+        for n in BEGINNINGS:
+            begun = cut[(cut_lang == i) & (cut_part == n)]
+            if len(begun):
+                points.append((float(np.median(sizes(begun))), float(np.median((weighted(begun, idf) @ c.T).max(axis=1)))))
+        usual[i] = tuple(zip(*sorted(points)))
         cs += list(c)
         owner += [i] * len(c)
-        least += [REJECT_SHARE * float(np.quantile(near_own, 0.01))] * len(c)
+        least += [REJECT_SHARE * float(np.quantile(near_own / np.interp(size, *usual[i]), 0.01))] * len(c)
     return {"labels": labels, "idf": idf, "centroids": np.array(cs, np.float32).reshape(-1, BUCKETS),
-            "owner": np.array(owner, np.int64), "least": np.array(least, np.float32)}
+            "owner": np.array(owner, np.int64), "least": np.array(least, np.float32), "usual": usual}
 
 
 def predict(model: dict, texts: list[str | None]) -> pd.DataFrame:
@@ -170,8 +191,9 @@ def predict(model: dict, texts: list[str | None]) -> pd.DataFrame:
             near = weighted(counts, model["idf"]) @ model["centroids"].T
             best = np.argmax(near, axis=1)
             score = np.clip(near[np.arange(len(best)), best], 0, 1)
+            likely = np.array([s / np.interp(n, *model["usual"][owner[b]]) for s, n, b in zip(score, sizes(counts), best)])
             out["lang_pred"] += [labels[owner[b]] if s else UNKNOWN for b, s in zip(best, some)]
-            out["rejected"] += [not s or bool(v < least[b]) for b, s, v in zip(best, some, score)]
+            out["rejected"] += [not s or bool(v < least[b]) for b, s, v in zip(best, some, likely)]
             out["score"] += np.where(some, score, 0.0).astype(float).tolist()
         else:
             out["lang_pred"] += [UNKNOWN] * len(counts)

@@ -372,3 +372,24 @@ def test_html_words_condemn_comments_longer_than_the_article(spark):
 def test_html_title_and_lead_outside_the_body_stay(spark, page):
     parts = [(f"Title {i}", f"lead {i}", " ".join(f"word{i * j}" for j in range(120 if i else 2))) for i in range(4)]
     assert texts_of(spark, [page.format(*p) for p in parts]) == [" ".join(p) for p in parts]
+
+
+def test_language_id_rejects_unlearned_languages_and_random_letters(spark):
+    import random
+    import string
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = lang_id.fit(docs, lang_id.learned_rows())
+    rng = random.Random(1)
+    letters = " ".join("".join(rng.choice(string.ascii_lowercase) for _ in range(rng.randint(2, 9))) for _ in range(1000))
+    italian = ("La ricerca scientifica richiede pazienza e metodo, ogni risultato deve essere verificato con cura da altri studiosi "
+               "che lavorano nello stesso campo. ")
+    finnish = ("Tieteellinen tutkimus vaatii kärsivällisyyttä ja menetelmiä, jokainen tulos täytyy tarkistaa huolellisesti muiden "
+               "tutkijoiden toimesta. ")
+    base64 = "".join(rng.choice(string.ascii_letters + string.digits + "+/") for _ in range(2000))
+    strange = [t for x in (italian, finnish, letters) for t in (x[:150], x * 5)] + [letters[:2000], base64]
+    assert lang_id.predict(model, strange)["rejected"].all()
+    held = [r["text"] for r in docs.where("crc32(cast(doc_id AS string)) % 4 = 2 AND lang IS NOT NULL").collect()]
+    for n in (80, 300, None):  # whole rows and their beginnings
+        got = lang_id.predict(model, [t[:n] for t in held])
+        assert got["rejected"].mean() <= 0.02, n
