@@ -61,7 +61,7 @@ def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = order_minhash.fingerprint_edits(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    out = order_minhash.fingerprint_edits(table(spark, sf_dir, "documents").select("doc_id", "text"), filled=True)
     return out.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
                       "edited_fingerprint", "near_edited", "near_next")
 

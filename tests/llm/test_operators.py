@@ -393,3 +393,36 @@ def test_language_id_rejects_unlearned_languages_and_random_letters(spark):
     for n in (80, 300, None):  # whole rows and their beginnings
         got = lang_id.predict(model, [t[:n] for t in held])
         assert got["rejected"].mean() <= 0.02, n
+
+
+def test_filled_order_minhash_of_short_texts_follows_the_order(spark):
+    rng = np.random.default_rng(2)
+
+    def true_likeness(a, b, coordinates=256):
+        """An own random order of all k-mers for each coordinate; the two smallest, in text order."""
+        same = 0
+        for c in range(coordinates):
+            picks = []
+            for ws in (a, b):
+                ranked = sorted((xxhash.xxh64_intdigest(f"{x} {y}", seed=c), p) for p, (x, y) in enumerate(zip(ws, ws[1:])))[:2]
+                picks.append([h for p, h in sorted((p, h) for h, p in ranked)])
+            same += picks[0] == picks[1]
+        return same / coordinates
+
+    rows, want = [], []
+    for i in range(10):
+        ws = [f"w{x}" for x in rng.permutation(10_000)[:40]]
+        swapped = ws[20:] + ws[:20]
+        rows.append((i, " ".join(ws), " ".join(swapped)))
+        want.append(true_likeness(ws, swapped))
+    d = spark.createDataFrame(rows, "i int, a string, b string")
+    near = {}
+    for filled in (False, True):
+        both = order_minhash.with_fingerprint(order_minhash.with_fingerprint(d, "a", "fa", filled), "b", "fb", filled)
+        near[filled] = np.mean([r[0] for r in both.select(order_minhash.likeness(both["fa"], both["fb"])).collect()])
+    assert abs(near[True] - np.mean(want)) < 0.1 < near[False] - np.mean(want)
+
+
+def test_order_minhash_query_is_filled(spark, edge_dir):
+    got = {r["doc_id"]: r["fingerprint"] for r in run(spark, "op10_order_minhash", edge_dir)}
+    assert len(got[4].split(",")) == len(got[9].split(",")) == 64 and got[2] == ""
