@@ -9,7 +9,7 @@ measured vocabulary (``network_size``). All others share ``RARE`` ids by the has
 every token reaches the network, as input and as what is predicted. A gated recurrent unit reads
 the ids; the output softmax is factored into P(class | state) times P(id | class, state). Inside
 its rare id a word has its smoothed count share, so the probabilities of all words sum to one. Training is truncated back-propagation over
-``STEPS``-token windows with the state carried on. In each of two rounds every task trains on
+``STEPS``-token windows with the state carried on inside a document, up to a cut between lanes. In each of two rounds every task trains on
 its own documents from the same start and the weights are averaged (a tree of sums); the
 first round takes an eighth of the documents, the second the others, so each is used once.
 
@@ -138,10 +138,12 @@ class Trainer:
         """xs, ys: (steps, lanes), -1 where a lane has no token. The state after the window."""
         w, steps, most = self.w, len(xs), limit(h.shape[1])
         states, kept = [h], []
-        for x in xs:
-            new, k = gates(w, states[-1], x)
+        inside = (xs != len(w["x"]) - 1)[:, :, None]  # not a document's first token
+        for x, i in zip(xs, inside):
+            before = states[-1] * i
+            new, k = gates(w, before, x)
             states.append(new)
-            kept.append(k)
+            kept.append((*k, before))
         hs, y = np.concatenate(states[1:]), ys.ravel()
         here = np.flatnonzero(y >= 0)
         g = {k: np.zeros_like(v) for k, v in w.items() if k not in ("x",)}
@@ -172,8 +174,7 @@ class Trainer:
         for s in range(steps - 1, -1, -1):
             lanes = len(h)
             dh = dh + dh_out[s * lanes:(s + 1) * lanes]
-            r, z, c, hn = kept[s]
-            before = states[s]
+            r, z, c, hn, before = kept[s]
             dc = dh * (1 - z) * (1 - c * c)
             dz = dh * (before - c) * z * (1 - z)
             dr = dc * hn * r * (1 - r)
@@ -181,7 +182,7 @@ class Trainer:
             dhu = np.concatenate([dr, dz, dc * r], axis=1)
             g["u"] += before.T @ dhu
             dg.append(dgate)
-            dh = dh * z + dhu @ w["u"].T
+            dh = (dh * z + dhu @ w["u"].T) * inside[s]
         dg = np.concatenate(dg[::-1])
         g["b"] = dg.sum(axis=0)
         scale = 1.0 / max(1, len(here)) * 32  # gradients of about 32 tokens
@@ -201,7 +202,9 @@ class Trainer:
         return states[-1]
 
     def train(self, docs: list[np.ndarray], steps: int = STEPS, lanes: int = LANES) -> None:
-        """All documents once: laid end to end over the lanes, the state cleared where one begins."""
+        """All documents once: laid end to end over the lanes, the state cleared where one begins.
+
+        A lane may begin inside a document; there, too, the state starts at zero."""
         start = len(self.w["x"]) - 1
         if not docs:
             return
@@ -214,7 +217,6 @@ class Trainer:
         x = np.append(x, np.full(pad, start)).reshape(lanes, length).T
         h = np.zeros((lanes, self.w["u"].shape[0]), np.float32)
         for a in range(0, length, steps):
-            h = h * (x[a] != start)[:, None]
             h = self.window(h, x[a:a + steps], y[a:a + steps])
 
 

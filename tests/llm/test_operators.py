@@ -426,3 +426,10 @@ def test_filled_order_minhash_of_short_texts_follows_the_order(spark):
 def test_order_minhash_query_is_filled(spark, edge_dir):
     got = {r["doc_id"]: r["fingerprint"] for r in run(spark, "op10_order_minhash", edge_dir)}
     assert len(got[4].split(",")) == len(got[9].split(",")) == 64 and got[2] == ""
+
+
+def test_lm_training_clears_the_state_where_a_document_begins_inside_a_window():
+    w, zero = gru_lm.start_weights(70, 5), np.zeros((1, 5), np.float32)
+    both = gru_lm.Trainer(w).window(zero, np.array([[70], [3], [70], [4]]), np.array([[3], [9], [4], [8]]))
+    alone = gru_lm.Trainer(w).window(zero, np.array([[70], [4]]), np.array([[4], [8]]))
+    assert np.allclose(both, alone)
