@@ -7,7 +7,7 @@ import pytest
 
 import __spark_entry__ as E
 
-from conftest import SF01
+from data_dirs import SF01
 
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
           "pages benchmark labels conversations").split()

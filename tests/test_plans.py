@@ -6,7 +6,7 @@ from sonara.operators import regions as R
 from sonara.operators import series as Q
 from sonara.plans import views as V
 
-from conftest import SF01
+from data_dirs import SF01
 
 
 def plan(df):

@@ -10,7 +10,7 @@ from sonara.operators import spectral as S
 from sonara.operators.ordinal import ordinal_within
 from sonara.plans import views as V
 
-from conftest import SF01
+from data_dirs import SF01
 
 
 def flaky(df):

@@ -142,7 +142,7 @@ def test_wide_long_round_trip(spark, arrays):
 def test_job_params_query_matches_brute_force(spark):
     """The registered production-parameter query on a few real signals (pad > length)."""
     import __spark_entry__ as E
-    from conftest import SF001
+    from data_dirs import SF001
     df = E.queries()["spec_job_params"](spark, SF001)
     got = {(r.song_id, r.timeseries): r for r in df.collect()}
     emb = {r.vec_id + 1: np.array(r.embedding, dtype=np.float32)

@@ -12,7 +12,7 @@ from sonara.streaming.windows import (SUBJECT_AND_CHANNEL, process_batch, read_w
                                       watermark_before, window_series_stream)
 from sonara.sources.wav import wav_bytes
 
-from conftest import SF01
+from data_dirs import SF01
 
 
 def test_stream_equals_batch(spark, tmp_dir):
