@@ -72,3 +72,50 @@ r(v, root) AS (SELECT doc_id, doc_id FROM w UNION SELECT e.b, r.root FROM r JOIN
 SELECT w.doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(r.root) AS component_id,
   w.doc_id = min(r.root) AS kept
 FROM w LEFT JOIN n USING (doc_id) JOIN r ON r.v = w.doc_id GROUP BY w.doc_id"""
+
+
+def spelling_sql(table: str = "documents", min_chars: int = 5, min_count: int = 3, drop_one_in: int = 97, times: int = 2) -> str:
+    """The CRC-32 is computed byte by byte from its polynomial; near words meet in their words with one position cut out."""
+    bit = "CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END"
+    steps = ", ".join(f"c{i} AS (SELECT b, CAST({bit} AS BIGINT) AS c FROM c{i - 1})" for i in range(1, 9))
+    return f"""
+WITH RECURSIVE c0 AS (SELECT range AS b, range AS c FROM range(256)), {steps},
+crc AS MATERIALIZED (SELECT list(c ORDER BY b) AS v FROM c8),
+runs AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '[a-z\\x{{C0}}-\\x{{FF}}]{{{min_chars},}}')) AS r
+  FROM {table}),
+per AS MATERIALIZED (SELECT doc_id, r, count(*) AS k, hex(concat(coalesce(CAST(doc_id AS VARCHAR), ''), ':', r)) AS x FROM runs GROUP BY ALL),
+hashed AS (SELECT r, k, xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+    list_transform(range(1, len(x), 2), lambda i: CAST(concat('0x', substr(x, i, 2)) AS BIGINT))),
+    lambda s, b: xor(v[xor(s, b) % 256 + 1], s // 256)), 4294967295) AS h FROM per, crc),
+w AS (SELECT CASE WHEN h % {drop_one_in} = 0 THEN concat(substr(r, 1, h % len(r)), substr(r, h % len(r) + 2)) ELSE r END AS word, k FROM hashed),
+n AS MATERIALIZED (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM w WHERE len(word) >= {min_chars} GROUP BY word HAVING sum(k) >= {min_count}),
+cut AS MATERIALIZED (SELECT word, n, i, concat(substr(word, 1, i - 1), substr(word, i + 1)) AS rest
+  FROM (SELECT word, n, unnest(range(1, len(word) + 1)) AS i FROM n)),
+pairs AS MATERIALIZED (SELECT DISTINCT a, b, bn FROM (
+  SELECT x.word AS a, y.word AS b, y.n AS bn FROM cut x JOIN cut y ON x.rest = y.rest AND x.i = y.i AND x.word <> y.word
+  UNION ALL SELECT x.word, n.word, n.n FROM cut x JOIN n ON n.word = x.rest
+  UNION ALL SELECT n.word, x.word, x.n FROM cut x JOIN n ON n.word = x.rest)),
+best AS (SELECT a, count(*) AS n_near, min(ROW(-bn, b)) AS m FROM pairs GROUP BY a),
+f AS MATERIALIZED (SELECT word, n, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near,
+  CASE WHEN -m[1] >= {times} * n THEN m[2] END AS form, CAST(CASE WHEN -m[1] >= {times} * n THEN -m[1] END AS BIGINT) AS form_n
+  FROM n LEFT JOIN best ON a = word),
+up(word, top) AS (SELECT word, word FROM f UNION ALL SELECT up.word, f.form FROM up JOIN f ON f.word = up.top WHERE f.form IS NOT NULL)
+SELECT f.word, f.form, up.top AS root, f.n, f.n_near, f.form_n
+FROM f JOIN up USING (word) JOIN f AS e ON e.word = up.top WHERE e.form IS NULL"""
+
+
+def hard_negatives_sql(table: str = "embeddings") -> str:
+    return f"""
+WITH v AS MATERIALIZED (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS q
+  FROM {table} WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS MATERIALIZED (SELECT a.vec_id AS anchor_id, c.vec_id AS id, a.label = c.label AS same, CAST(list_inner_product(a.q, c.q) AS BIGINT) AS score
+  FROM v a JOIN v c ON a.vec_id <> c.vec_id WHERE a.vec_id % 100 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.positive_id, CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id) AS INTEGER) AS rank,
+  s.id AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+  AND 30 * p.positive_score <= 100 * s.score AND 100 * s.score <= 90 * p.positive_score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.id) <= 10"""

@@ -6,7 +6,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import gru_lm, html_template, lang_id, minhash, oracles, order_minhash, packing, quality, sharding, token_counts, transducer
+from sonara.session import scratch_path
+
+from . import (gru_lm, hard_negatives, html_template, lang_id, minhash, oracles, order_minhash, packing, quality, sharding,
+               spelling, token_counts, transducer, wavelet)
 from .common import table
 
 
@@ -66,7 +69,24 @@ def op10_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
                       "edited_fingerprint", "near_edited", "near_next")
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.word_counts(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings").select("vec_id", "label", "embedding")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    wavelet.write_files(table(spark, sf_dir, "documents").select("doc_id", "text"), path)
+    return wavelet.read_ids(spark, path, digest=True)
+
+
 QUERIES = {f.__name__: f for f in (op1_sharding, op2_bpe_codec, op3_minhash, op4_language_id, op5_quality_rules,
                                    op6_packing, op7_html_extraction, op8_token_counts, op9_lm_scoring,
-                                   op10_order_minhash)}
-ORACLE = {"op3_minhash": oracles.near_duplicates_sql(), "op5_quality_rules": oracles.quality_sql()}
+                                   op10_order_minhash, op11_spelling_variants, op12_hard_negatives, op13_token_files)}
+ORACLE = {"op3_minhash": oracles.near_duplicates_sql(), "op5_quality_rules": oracles.quality_sql(),
+          "op11_spelling_variants": oracles.spelling_sql(), "op12_hard_negatives": oracles.hard_negatives_sql()}

@@ -2,6 +2,7 @@ import random
 import tempfile
 
 import pytest
+from embedding_rows import vectors
 
 TEXT_A = " ".join(f"the{i % 7} quick of brown{i} fox and jumped over a lazy dog{i}" for i in range(12))
 TEXT_B = TEXT_A.replace("brown5", "green5")
@@ -41,12 +42,14 @@ def edge_dir(spark, edge_rows):
               (0, "http://h0.org/0", page.format(0), "z"), (None, "x", "plain 1 < 2 text", "z"),
               (11, "http://h3.org/1", "<body><nav>m</nav>" + "<p>w w</p>" * 3000, "z")]
     spark.createDataFrame(pages, "page_id long, url string, html string, template string").write.parquet(f"{out}/pages.parquet")
+    spark.createDataFrame([(*v, 1, "row", [0.5]) for v in vectors()], "vec_id long, label int, embedding array<float>, row long, slot string, "
+                          "code array<double>").repartition(3).write.parquet(f"{out}/embeddings.parquet")
     return out
 
 
 @pytest.fixture(scope="session")
 def empty_dir(spark, edge_dir):
     out = tempfile.mkdtemp(prefix="sonara-llm-empty-")
-    for t in ("documents", "pages"):
+    for t in ("documents", "embeddings", "pages"):
         spark.read.parquet(f"{edge_dir}/{t}.parquet").limit(0).write.parquet(f"{out}/{t}.parquet")
     return out
