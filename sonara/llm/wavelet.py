@@ -25,6 +25,7 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types as T
 
@@ -94,20 +95,20 @@ def build(ids: np.ndarray) -> bytes:
     ids = np.ascontiguousarray(ids, dtype=np.uint32)
     planes = max(1, int(ids.max(initial=0)).bit_length())
     now = ids.astype(np.uint16) if planes <= 16 else ids
-    n, step = len(ids), BLOCK_BITS // 8
+    n, step, pack = len(ids), BLOCK_BITS // 8, zstandard.ZstdCompressor(level=1)
     head, blocks = [struct.pack(HEAD, MARK, n, planes, BLOCK_BITS)], []
     for b in range(planes - 1, -1, -1):
-        one = (now >> now.dtype.type(b) & now.dtype.type(1)).astype(bool)
+        one = (now & now.dtype.type(1 << b)).astype(bool)
         packed = np.packbits(one, bitorder="little")
         parts = [packed[i:i + step] for i in range(0, len(packed), step)]
         ones = np.array([int(np.bitwise_count(p).sum()) for p in parts], dtype=np.uint64)
-        small = [zlib.compress(p, 1) for p in parts]
+        small = [pack.compress(p) for p in parts]
         before = np.cumsum(ones) - ones
         head += [struct.pack("<Q", int(ones.sum())), before.astype("<u8").tobytes(),
                  np.array([len(s) for s in small], dtype="<u4").tobytes()]
         blocks += small
         if b:
-            now = np.concatenate([now[~one], now[one]])
+            now = np.concatenate([np.compress(~one, now), np.compress(one, now)])  # much faster than by masks
     return b"".join(head + blocks)
 
 
@@ -130,11 +131,12 @@ class WaveletMatrix:
             at += 8 + 12 * n_blocks
         ends = at + np.cumsum(np.concatenate(sizes)).reshape(self.planes, n_blocks) if n_blocks else np.zeros((self.planes, 0), np.int64)
         self.places = [list(zip((e - s).tolist(), e.tolist())) for e, s in zip(ends, sizes)]
+        self.unpack = zstandard.ZstdDecompressor().decompress
         self.open: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
 
     def _raw(self, level: int, k: int) -> np.ndarray:
         start, end = self.places[level][k]
-        return np.frombuffer(zlib.decompress(self.data[start:end]), np.uint8)
+        return np.frombuffer(self.unpack(self.data[start:end]), np.uint8)
 
     def _bits(self, level: int, k: int) -> tuple[np.ndarray, np.ndarray]:
         """(bits, ones up to each bit) of a block."""
@@ -215,10 +217,10 @@ class WaveletMatrix:
         ids = np.zeros(self.n, dtype=np.uint16 if self.planes <= 16 else np.uint32)
         for level in range(self.planes - 1, -1, -1):
             raw = [self._raw(level, k) for k in range(len(self.places[level]))]
-            one = np.unpackbits(np.concatenate(raw) if raw else np.empty(0, np.uint8), count=self.n, bitorder="little").astype(bool)
+            one = np.unpackbits(np.concatenate(raw) if raw else np.empty(0, np.uint8), count=self.n, bitorder="little").view(bool)
             above = np.empty_like(ids)
-            above[~one] = ids[:self.zeros[level]]
-            above[one] = ids[self.zeros[level]:] | ids.dtype.type(1 << (self.planes - 1 - level))
+            above[np.flatnonzero(~one)] = ids[:self.zeros[level]]
+            above[np.flatnonzero(one)] = ids[self.zeros[level]:] | ids.dtype.type(1 << (self.planes - 1 - level))
             ids = above
         return ids.astype(np.uint32)
 
