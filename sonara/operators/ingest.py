@@ -1,8 +1,8 @@
 """The ingest job: a folder of audio objects -> catalog, signals, samples, spectrogram.
 
   list keys (content pruned) -> keep known extensions -> number by key (skew-safe)
-  -> [first n only: read just those files]  -> one binary scan: header fields in Spark
-  expressions + decode in an Arrow worker -> staged once -> catalog / audio / spec.
+  -> [first n only] -> heads by seeking in each file -> byte ranges of the files, decoded
+  by as many tasks as the bytes ask for -> staged once -> catalog / audio / spec.
 
 Every table is written once per run (not once per file), and the ids are a function of the
 key order, so a retried task or a re-run produces the same rows.
@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import materialize, path_exists
-from ..sources.objects import list_objects, literal_path, relative_key, scan_binary
-from ..sources.wav import TAG_FIELDS, decode_wav, header_fields, is_wav
+from ..sources.objects import list_objects, relative_key
+from ..sources.wav import TAG_FIELDS, decode_ranges, decode_wav, file_heads, header_fields, is_wav
 from . import catalog as C
 from . import spectral as S
 
@@ -41,24 +41,12 @@ def number_files(listing: DataFrame, root: str, known_only: bool = True) -> Data
     return C.assign_song_id(keyed)
 
 
-def selected_files(spark: SparkSession, root: str, numbered: DataFrame, limit: int | None,
-                   first_id: int = 1, objects: DataFrame | None = None) -> DataFrame:
-    """Binary rows of the numbered files, with their key and id.
-
-    With a limit, only files ``first_id .. first_id + limit - 1`` are opened: their paths
-    (at most ``limit``) are the scan's input list. The id map is staged, so the planner knows
-    its bytes and broadcasts it where they are below the session's threshold."""
+def selected_files(numbered: DataFrame, limit: int | None, first_id: int = 1) -> DataFrame:
+    """(path, s3_key, song_id) of the files to open, staged; with a limit ``first_id .. first_id + limit - 1``."""
     ids = numbered.select("path", "s3_key", "song_id")
     if limit is not None:
         ids = ids.where((F.col("song_id") >= first_id) & (F.col("song_id") < first_id + limit))
-    ids = materialize(ids, "ids")
-    if objects is not None:  # an objects table (path, length, content): no file listing
-        return objects.join(ids, "path")
-    if limit is None:
-        return scan_binary(spark, root).join(ids, "path")
-    paths = [literal_path(r.path) for r in ids.select("path").collect()]   # bounded by ``limit``
-    files = scan_binary(spark, paths) if paths else scan_binary(spark, root).where(F.lit(False))
-    return files.join(ids, "path")
+    return materialize(ids, "ids")
 
 
 def catalog_from_headers(headers: DataFrame) -> DataFrame:
@@ -76,20 +64,22 @@ def ingest(spark: SparkSession, root: str, params: S.MelParams = S.JOB_PARAMS,
     if numbered is None:
         listing = objects.select("path", "length") if objects is not None else list_objects(spark, root)
         numbered = number_files(listing, root, known_only)
-    files = selected_files(spark, root, numbered, limit, first_id, objects=objects)
-    # one scan of the bytes: header fields as Spark expressions, then the Arrow decoder
-    # passes them through beside the samples; staged once for the three tables
+    ids = selected_files(numbered, limit, first_id)
     # the decoder cuts each signal into pieces of piece_len(params) samples: bounded rows
     # however long a recording is, and exactly the pieces the spectral operators expect
-    head = ["song_id", "s3_key", "channels", "samplerate", "bitrate", "duration", "filesize", *TAG_FIELDS]
-    P = S.piece_len(params)
-    # only WAV bytes travel to the Python decoder; other objects keep their header row
-    with_head = header_fields(files, keep_content=True)
-    with_head = with_head.withColumn("content", F.when(is_wav(F.col("content")), F.col("content")))
-    staged = materialize(decode_wav(with_head, keep=head, all_rows=True, piece=P, halo=params.n_fft // 2),
-                         "ingest")
-    catalog = catalog_from_headers(staged.where(F.col("k") == 0))
-    pieces = staged.where(F.col("ext").isNotNull()).select("song_id", "sr", "n_samples", "k", "ext_start", "ext")
+    P, halo = S.piece_len(params), params.n_fft // 2
+    if objects is None:  # files: heads by seeking, samples by byte ranges
+        heads = materialize(file_heads(ids), "heads")
+        catalog = catalog_from_headers(heads)
+        pieces = materialize(decode_ranges(heads, P, halo, keep=["song_id"]), "ingest")
+    else:  # small objects in a table: one scan of the bytes for the heads and the decoder
+        head = ["song_id", "s3_key", "channels", "samplerate", "bitrate", "duration", "filesize", *TAG_FIELDS]
+        # only WAV bytes travel to the Python decoder; other objects keep their header row
+        with_head = header_fields(objects.join(ids, "path"), keep_content=True)
+        with_head = with_head.withColumn("content", F.when(is_wav(F.col("content")), F.col("content")))
+        staged = materialize(decode_wav(with_head, keep=head, all_rows=True, piece=P, halo=halo), "ingest")
+        catalog = catalog_from_headers(staged.where(F.col("k") == 0))
+        pieces = staged.where(F.col("ext").isNotNull()).select("song_id", "sr", "n_samples", "k", "ext_start", "ext")
     audio = S.owned_samples(pieces, P)
     # the staged pieces are read back in row-group splits, which already spreads a long
     # recording over many tasks: no balancing shuffle, no sample moves between decode and FFT

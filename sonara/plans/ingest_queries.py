@@ -16,7 +16,7 @@ from ..operators import spectral as S
 from ..session import scratch_path
 from ..sinks import tables as K
 from ..sources.objects import list_objects as _list, relative_key, scan_binary as _scan
-from ..sources.wav import export_wav, header_fields, wav_objects
+from ..sources.wav import export_wav, file_heads
 from ..streaming.ingest import ingest_stream as _ingest_stream
 from .catalog_queries import _ACCEPTED, _STRING_COLS, records
 from .registry import register
@@ -28,18 +28,6 @@ CHUNK = 16   # samples per stored chunk of the series table
 _EXPORTS: dict[tuple[str, str], str] = {}
 
 
-def wav_table(spark, d):
-    """(prefix, objects table): the same WAV files as an objects table (path, length,
-    content) written by Spark's Parquet writer, for clusters whose shared folder is an
-    object store."""
-    key = (spark.sparkContext.applicationId, d, "table")
-    if key not in _EXPORTS:
-        path = scratch_path(spark, "wav-table")
-        wav_objects(v_signal(spark, d), "wav").write.parquet(path)
-        _EXPORTS[key] = path
-    return "wav", spark.read.parquet(_EXPORTS[key])
-
-
 def wav_folder(spark, d) -> str:
     key = (spark.sparkContext.applicationId, d)
     if key not in _EXPORTS:
@@ -79,8 +67,7 @@ from v_signal""")
 def wav_catalog(spark, d):
     root = wav_folder(spark, d)
     numbered = I.number_files(_list(spark, root), root)
-    files = I.selected_files(spark, root, numbered, None)
-    h = header_fields(files)
+    h = file_heads(numbered)
     return h.select("s3_key", "song_id", "channels", "samplerate", "bitrate",
                     F.round("duration", 9).alias("duration"), "filesize")
 
@@ -89,10 +76,8 @@ def wav_catalog(spark, d):
 select song_id, cast(i - 1 as bigint) as timeseries, samples[i] as intensity
 from (select song_id, samples, unnest(range(1, len(samples) + 1)) as i from sig)""")
 def ingest_signals(spark, d):
-    """SRC-03: decoded samples as (song_id, timeseries, intensity), from the objects table
-    (the folder path is exercised by list_objects, scan_binary, wav_catalog, ingest_stream)."""
-    prefix, objects = wav_table(spark, d)
-    return I.ingest(spark, prefix, S.TEST_PARAMS, objects=objects).audio
+    """SRC-03: decoded samples as (song_id, timeseries, intensity), read by byte ranges of the files."""
+    return I.ingest(spark, wav_folder(spark, d), S.TEST_PARAMS).audio
 
 
 @register("per_file_extract", ctes(S.TEST_PARAMS, "db", "qsig", [_QSIG]) + """
@@ -100,8 +85,7 @@ select song_id, timeseries, band, round(db, 4) as db from db""")
 def per_file_extract(spark, d):
     """UDF-01: files -> decoded signals -> dB mel spectrogram, the Python boundary being
     bytes -> samples only."""
-    prefix, objects = wav_table(spark, d)
-    out = I.ingest(spark, prefix, S.TEST_PARAMS, objects=objects)
+    out = I.ingest(spark, wav_folder(spark, d), S.TEST_PARAMS)
     return S.spec_long_db(out.mel, S.TEST_PARAMS, stage=False).withColumn("db", F.round("db", 4))
 
 

@@ -1,5 +1,10 @@
 """WAV files: header fields and decoding to mono float samples, both in Arrow workers.
 
+Two ways in. From a listing (``path``), ``file_heads`` walks each file's chunk list by seeking from chunk
+to chunk and never reads the data, and ``decode_ranges`` turns a file into byte ranges that many tasks
+read, each its own bytes; no row holds a file. From an objects table (``content``), for small objects
+packed into Parquet, the bytes are at hand already (``header_fields``, ``decode_wav``). Both share one walk.
+
 Other containers (mp3, m4a) are listed and catalogued but yield no signal row: decoding
 them needs a codec, which is out of scope.
 """
@@ -14,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .files import ReadAhead, open_file, write_file
+
 # RIFF/WAVE layout. The chunk list starts at byte 12; inside the 'fmt '
 # chunk (after its 8-byte id and size) channels sit at +2 (u16), the sample rate at +4
 # (u32), the byte rate at +8 (u32); a chunk's size is the u32 after its id.
@@ -25,6 +32,8 @@ INFO_TAGS = {
 TAG_FIELDS = ["album", "artist", "comment", "genre", "title", "track", "year"]
 _NUMBERS = ["channels", "samplerate", "byte_rate", "data"]
 
+_HEAD_FIELDS = ", ".join([f"{c} bigint" for c in _NUMBERS] + [f"{c} string" for c in TAG_FIELDS])
+
 DECODE_SAMPLES = 1 << 20  # the decoder hands on a batch when its pieces reach this many samples
 
 
@@ -32,17 +41,24 @@ def is_wav(content: Column) -> Column:
     return (F.substring(content, 1, 4) == F.lit(b"RIFF")) & (F.substring(content, 9, 4) == F.lit(b"WAVE"))
 
 
-def _chunks(buf):
-    """(id, start, stated size) of every chunk of a RIFF/WAVE buffer, however many there are."""
-    view, pos = memoryview(buf), 12
-    while pos + 8 <= len(view):
-        size = int.from_bytes(view[pos + 4:pos + 8], "little")
-        yield bytes(view[pos:pos + 4]), pos + 8, size
+def _view(buf):
+    """``read(position, n)`` over bytes at hand."""
+    view = memoryview(buf)
+    return lambda at, n: view[at:at + n]
+
+
+def _chunks(read, length: int):
+    """(id, start, stated size) of every chunk of a RIFF/WAVE file, however many there are."""
+    pos = 12
+    while pos + 8 <= length:
+        head = bytes(read(pos, 8))
+        size = int.from_bytes(head[4:], "little")
+        yield head[:4], pos + 8, size
         pos += 8 + size + (size & 1)
 
 
-def _is_riff(buf) -> bool:
-    return buf is not None and len(buf) >= 12 and bytes(buf[:4]) == b"RIFF" and bytes(buf[8:12]) == b"WAVE"
+def _is_riff(read, length: int) -> bool:
+    return length >= 12 and bytes(read(0, 4)) == b"RIFF" and bytes(read(8, 4)) == b"WAVE"
 
 
 def _text(buf) -> str:
@@ -54,37 +70,45 @@ def _text(buf) -> str:
         return raw.decode("latin-1").strip()
 
 
-def _info(buf, at: int, size: int) -> dict:
+def _info(read, length: int, at: int, size: int) -> dict:
     """Catalog field -> text of a LIST chunk of type INFO; the first non-empty text of a field counts."""
-    tags, pos, end = {}, at + 4, min(at + size, len(buf))
-    if bytes(buf[at:at + 4]) != b"INFO":
+    tags, pos, end = {}, at + 4, min(at + size, length)
+    if bytes(read(at, 4)) != b"INFO":
         return tags
     while pos + 8 <= end:
-        n = int.from_bytes(buf[pos + 4:pos + 8], "little")
-        field, text = INFO_TAGS.get(bytes(buf[pos:pos + 4])), _text(buf[pos + 8:min(pos + 8 + n, end)])
-        if field and text:
+        head = bytes(read(pos, 8))
+        n = int.from_bytes(head[4:], "little")
+        field = INFO_TAGS.get(head[:4])
+        text = _text(read(pos + 8, min(n, end - pos - 8))) if field else ""
+        if text:
             tags.setdefault(field, text)
         pos += 8 + n + (n & 1)
     return tags
 
 
+def _head(read, length: int) -> dict:
+    """The technical numbers and text tags of a file; nothing where it is no WAV or lacks the chunk."""
+    row: dict = {}
+    if not _is_riff(read, length):
+        return row
+    for name, at, size in _chunks(read, length):
+        if name == b"fmt " and "channels" not in row and at + 12 <= length:
+            fmt = bytes(read(at, 12))
+            row["channels"] = int.from_bytes(fmt[2:4], "little")
+            row["samplerate"] = int.from_bytes(fmt[4:8], "little")
+            row["byte_rate"] = int.from_bytes(fmt[8:12], "little")
+        elif name == b"data":
+            row.setdefault("data", size)
+        elif name == b"LIST":
+            row = _info(read, length, at, size) | row
+    return row
+
+
 def _fields(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
     """The technical numbers and text tags of each content; NULLs where it is no WAV or lacks the chunk."""
     for contents in batches:
-        rows = []
-        for buf in contents:
-            row = {}
-            if _is_riff(buf):
-                for name, at, size in _chunks(buf):
-                    if name == b"fmt " and "channels" not in row and at + 12 <= len(buf):
-                        row["channels"] = int.from_bytes(buf[at + 2:at + 4], "little")
-                        row["samplerate"] = int.from_bytes(buf[at + 4:at + 8], "little")
-                        row["byte_rate"] = int.from_bytes(buf[at + 8:at + 12], "little")
-                    elif name == b"data":
-                        row.setdefault("data", size)
-                    elif name == b"LIST":
-                        row = _info(buf, at, size) | row
-            rows.append([row.get(c) for c in _NUMBERS + TAG_FIELDS])
+        heads = [{} if buf is None else _head(_view(buf), len(buf)) for buf in contents]
+        rows = [[h.get(c) for c in _NUMBERS + TAG_FIELDS] for h in heads]
         frame = pd.DataFrame(rows, columns=_NUMBERS + TAG_FIELDS, dtype=object)
         yield frame.astype({c: "Int64" for c in _NUMBERS})
 
@@ -94,27 +118,31 @@ def header_fields(files: DataFrame, content: str = "content", keep_content: bool
     (kbit/s), duration (s), filesize (bytes), and the text tags of ``TAG_FIELDS``. Non-WAV
     objects get NULLs except the size.
     The chunk list is walked to its end by the same walk the decoder uses."""
-    walk = F.pandas_udf(", ".join([f"{c} bigint" for c in _NUMBERS] + [f"{c} string" for c in TAG_FIELDS]))(_fields)
+    walk = F.pandas_udf(_HEAD_FIELDS)(_fields)
     read = files.withColumn("__head", walk(F.col(content)))
-    rate = F.col("__head.byte_rate")
-    return read.select(
-        *[x for x in files.columns if keep_content or x != content],
-        "__head.channels", "__head.samplerate", (rate * 8 / 1000.0).alias("bitrate"),
-        F.when(rate > 0, F.col("__head.data") / rate.cast("double")).alias("duration"),
-        F.length(content).cast("bigint").alias("filesize"), *[f"__head.{c}" for c in TAG_FIELDS],
-    )
-
-
-def _parse_wav(buf):
-    """(sr, channels, (tag, bits), PCM bytes, frames) or None when it is not a PCM/float WAV. No sample is read."""
-    if not _is_riff(buf):
+    keep = [x for x in files.columns if keep_content or x != content]
+    return read.select(*keep, *_technical("__head."), F.length(content).cast("bigint").alias("filesize"),
+                       *[f"__head.{c}" for c in TAG_FIELDS])
+
+
+def _technical(prefix: str = "") -> list[Column]:
+    rate = F.col(f"{prefix}byte_rate")
+    return [F.col(f"{prefix}channels"), F.col(f"{prefix}samplerate"), (rate * 8 / 1000.0).alias("bitrate"),
+            F.when(rate > 0, F.col(f"{prefix}data") / rate.cast("double")).alias("duration")]
+
+
+def _layout(read, length: int):
+    """(sr, channels, (tag, bits), first data byte, frames) or None when it is not a PCM/float WAV. No sample is read."""
+    if not _is_riff(read, length):
         return None
     fmt, data = None, None
-    for name, at, size in _chunks(buf):
+    for name, at, size in _chunks(read, length):
         if name == b"fmt " and fmt is None:
-            fmt = buf[at:at + size]
+            fmt = bytes(read(at, min(size, 40)))
         elif name == b"data" and data is None:
-            data = buf[at:at + size]
+            data = at, max(0, min(size, length - at))
+        if fmt is not None and data is not None:
+            break
     if fmt is None or data is None or len(fmt) < 16:
         return None
     tag = int.from_bytes(fmt[0:2], "little")
@@ -125,7 +153,7 @@ def _parse_wav(buf):
         tag = int.from_bytes(fmt[24:26], "little")
     if ch < 1 or (tag, bits) not in _PCM:
         return None
-    return sr, ch, (tag, bits), data, len(data) // (bits // 8 * ch)
+    return sr, ch, (tag, bits), data[0], data[1] // (bits // 8 * ch)
 
 
 def _pcm24(raw) -> np.ndarray:
@@ -144,30 +172,41 @@ _PCM = {
 }
 
 
-def _samples(parsed, lo: int, hi: int) -> np.ndarray:
+def _samples(layout, read, lo: int, hi: int) -> np.ndarray:
     """Mono float32 samples ``lo`` to ``hi`` (not included), decoded from their bytes alone."""
-    _, ch, kind, data, n = parsed
+    _, ch, kind, at, n = layout
     block = kind[1] // 8 * ch
-    x = _PCM[kind](data[lo * block:min(hi, n) * block])
+    x = _PCM[kind](read(at + lo * block, (min(hi, n) - lo) * block))
     return (x.reshape(-1, ch).mean(axis=1) if ch > 1 else x).astype(np.float32)
 
 
+def _pieces(layout, read, piece: int | None, halo: int, first: int = 0, last: int | None = None):
+    """(sr, n, k, first sample, samples) of the pieces ``first`` to ``last`` (not included), in order."""
+    n = layout[-1]
+    step = piece or max(1, n)
+    for k in range(first, max(1, -(-n // step)) if last is None else last):
+        lo = max(0, k * step - halo) if piece else 0
+        yield layout[0], n, k, lo, _samples(layout, read, lo, (k + 1) * step + (halo if piece else 0))
+
+
 def _decoder(keep: list[str], all_rows: bool, piece: int | None, halo: int):
     def pieces(rb):
         """(row, sr, n, k, first sample, samples) of every piece, in order."""
         contents = rb.column("content")
         for i in range(rb.num_rows):
-            parsed = _parse_wav(memoryview(contents[i].as_buffer())) if contents[i].is_valid else None
-            if parsed is None:
-                if all_rows:
-                    yield i, None, None, 0, None, None
-                continue
-            n = parsed[-1]
-            step = piece or max(1, n)
-            for k in range(max(1, -(-n // step))):
-                lo = max(0, k * step - halo) if piece else 0
-                yield i, parsed[0], n, k, lo, _samples(parsed, lo, (k + 1) * step + (halo if piece else 0))
+            buf = memoryview(contents[i].as_buffer()) if contents[i].is_valid else b""
+            layout = _layout(_view(buf), len(buf))
+            if layout is not None:
+                for p in _pieces(layout, _view(buf), piece, halo):
+                    yield i, *p
+            elif all_rows:
+                yield i, None, None, 0, None, None
 
+    return _piece_batches(pieces, keep, piece)
+
+
+def _piece_batches(pieces, keep: list[str], piece: int | None):
+    """Arrow batches of about ``DECODE_SAMPLES`` samples from ``pieces`` of each input batch."""
     def batch(rb, part):
         import pyarrow as pa
 
@@ -207,13 +246,95 @@ def decode_wav(files: DataFrame, keep: list[str] | None = None, all_rows: bool =
     with ``halo`` samples of its neighbours on either side: (keep..., sr, n_samples, k,
     ext_start, ext), so no row holds a whole long recording and no join is needed later."""
     keep = list(keep or ["path"])
+    return files.select(*keep, "content").mapInArrow(_decoder(keep, all_rows, piece, halo), _piece_schema(files, keep, piece))
+
+
+def _piece_schema(files: DataFrame, keep: list[str], piece: int | None) -> T.StructType:
     fields = [files.schema[k] for k in keep] + [T.StructField("sr", T.IntegerType())]
     if piece:
         fields += [T.StructField("n_samples", T.IntegerType()), T.StructField("k", T.IntegerType()),
                    T.StructField("ext_start", T.IntegerType()), T.StructField("ext", T.ArrayType(T.FloatType()))]
     else:
         fields += [T.StructField("samples", T.ArrayType(T.FloatType()))]
-    return files.select(*keep, "content").mapInArrow(_decoder(keep, all_rows, piece, halo), T.StructType(fields))
+    return T.StructType(fields)
+
+
+# ---- from a listing: heads by seeking, samples by byte ranges ----
+
+RANGE_BYTES = 8 << 20    # PCM bytes that one range reads, at least a piece
+TASK_BYTES = 64 << 20    # PCM bytes of the ranges of one decoding task
+_LAYOUT = ["tag", "bits", "data_at", "frames"]
+
+
+def file_heads(files: DataFrame) -> DataFrame:
+    """(columns of ``files``, technical fields, filesize, text tags, tag, bits, data_at, frames) of the files
+    named by ``path``: what ``header_fields`` gives, and where the samples lie (NULL: no PCM or float WAV).
+
+    A file is opened, its chunk list walked by seeking, and its data left alone: what is read does not
+    depend on the length of the recording."""
+    names = files.columns
+
+    def walk(batches):
+        import pyarrow as pa
+
+        for rb in batches:
+            rows = []
+            for path in rb.column(names.index("path")).to_pylist():
+                with open_file(path) as f:
+                    rows.append(head_of(f))
+            fields = [*_NUMBERS, "filesize", *_LAYOUT]
+            columns = [pa.array([r.get(c) for r in rows], pa.int64()) for c in fields]
+            columns += [pa.array([r.get(c) for r in rows], pa.string()) for c in TAG_FIELDS]
+            yield pa.RecordBatch.from_arrays([*rb.columns, *columns], names=[*names, *fields, *TAG_FIELDS])
+
+    schema = T.StructType([*files.schema.fields, *[T.StructField(c, T.LongType()) for c in (*_NUMBERS, "filesize", *_LAYOUT)],
+                           *[T.StructField(c, T.StringType()) for c in TAG_FIELDS]])
+    return files.mapInArrow(walk, schema).select(*names, *_technical(), "filesize", *TAG_FIELDS, *_LAYOUT)
+
+
+def head_of(file) -> dict:
+    """Fields of one open file (``read_at`` and ``size``)."""
+    length, read = file.size(), ReadAhead(file)
+    row, layout = _head(read, length) | {"filesize": length}, _layout(ReadAhead(file), length)
+    if layout is not None:
+        row |= dict(zip(_LAYOUT, (*layout[2], layout[3], layout[4])))
+    return row
+
+
+def decode_ranges(heads: DataFrame, piece: int, halo: int, keep: list[str] | None = None) -> DataFrame:
+    """Pieces of the files of ``file_heads`` as ``decode_wav`` gives them: (keep..., sr, n_samples, k, ext_start, ext).
+
+    Each file becomes rows of byte ranges of about ``RANGE_BYTES``; these rows, not bytes, are dealt over as many tasks as
+    the data's bytes ask for, and a task reads its own ranges (and their halos) by seeking. A long recording is decoded
+    by many tasks, and a task holds one range. ``heads`` is used twice: stage it."""
+    keep = list(keep or ["path"])
+    block = F.col("channels") * F.col("bits") / 8
+    per = F.greatest(F.lit(1), F.floor(F.lit(RANGE_BYTES) / (block * piece))).cast("long")
+    n_pieces = F.greatest(F.lit(1), F.ceil(F.col("frames") / F.lit(piece))).cast("long")
+    wavs = heads.where("data_at IS NOT NULL")
+    ranges = wavs.select(*dict.fromkeys([*keep, "path"]), "channels", "samplerate", *_LAYOUT, per.alias("__per"), n_pieces.alias("__n"),
+                         F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n_pieces - 1) / per).cast("long"))).alias("__r"))
+    bytes_ = wavs.agg(F.sum(F.col("frames") * block)).first()[0] or 0
+    tasks = max(heads.sparkSession.sparkContext.defaultParallelism, -(-int(bytes_) // TASK_BYTES))
+    dealt = ranges.repartition(tasks, "path", "__r")
+    names = dealt.columns
+
+    def pieces(rb):
+        column = {c: rb.column(i).to_pylist() for i, c in enumerate(names) if c in {*_LAYOUT, "path", "channels", "samplerate", "__per", "__n", "__r"}}
+        for i in range(rb.num_rows):
+            v = {c: x[i] for c, x in column.items()}
+            layout = v["samplerate"], v["channels"], (v["tag"], v["bits"]), v["data_at"], v["frames"]
+            first = v["__r"] * v["__per"]
+            last = min(v["__n"], first + v["__per"])
+            size = v["bits"] // 8 * v["channels"]
+            begin = v["data_at"] + max(0, first * piece - halo) * size
+            end = v["data_at"] + min(v["frames"], last * piece + halo) * size
+            with open_file(v["path"]) as f:
+                held = memoryview(f.read_at(end - begin, begin)) if end > begin else memoryview(b"")
+            for p in _pieces(layout, lambda at, n: held[at - begin:at - begin + n], piece, halo, first, last):
+                yield i, *p
+
+    return dealt.mapInArrow(_piece_batches(pieces, keep, piece), _piece_schema(heads, keep, piece))
 
 
 # ---- encoding (fixtures: WAV files derived from a signals table) ----
@@ -238,28 +359,21 @@ def wav_bytes(samples: np.ndarray, sr: int, channels: int = 1) -> bytes:
 
 
 def export_wav(signals: DataFrame, folder: str, name_width: int = 6) -> int:
-    """Write one mono WAV per song to ``folder``/<song_id>.wav from the executors (a folder
-    every executor can reach, e.g. the shared checkpoint folder). Idempotent: a retried
-    task rewrites the same files. Returns the number of files."""
-    root = folder[len("file:"):] if folder.startswith("file:") else folder
+    """Write one mono WAV per song to ``folder``/<song_id>.wav from the executors, through
+    Arrow's file systems (local, object store, HDFS). A retried task rewrites the same files.
+    Returns the number of files."""
+    root = folder.rstrip("/")
 
     def write(batches):
-        import os
-
         import pyarrow as pa
 
-        os.makedirs(root, exist_ok=True)
         for rb in batches:
             ids = rb.column("song_id").to_pylist()
             srs = rb.column("sr").to_pylist()
             xs = rb.column("samples")
             for i, sid in enumerate(ids):
                 x = np.asarray(xs[i].values.to_numpy(zero_copy_only=False), dtype=np.float32)
-                path = os.path.join(root, f"{int(sid):0{name_width}d}.wav")
-                tmp = f"{path}.part-{os.getpid()}"
-                with open(tmp, "wb") as fh:
-                    fh.write(wav_bytes(x, int(srs[i])))
-                os.replace(tmp, path)
+                write_file(f"{root}/{int(sid):0{name_width}d}.wav", wav_bytes(x, int(srs[i])))
             yield pa.RecordBatch.from_arrays([pa.array([len(ids)], type=pa.int64())], names=["n"])
 
     out = signals.select("song_id", "sr", "samples").mapInArrow(write, "n long")

@@ -2,7 +2,8 @@
 
 ``readStream.format("binaryFile")`` lists the folder on each trigger and hands only files
 it has not seen (tracked in the checkpoint) to ``foreachBatch``; each micro-batch numbers
-its accepted keys after the stored maximum and appends them to the catalog table.
+its accepted keys after the stored maximum and appends them to the catalog table. A file is known by
+its path; its header is read by seeking, its data never.
 
 ``foreachBatch`` is at-least-once: a batch replayed after a failure finds its keys already
 stored and appends nothing (the anti join makes the append idempotent).
@@ -16,20 +17,20 @@ from ..operators import catalog as C
 from ..schemas import BINARY_FILE
 from ..sinks.tables import append_catalog
 from ..sources.objects import relative_key
-from ..sources.wav import TAG_FIELDS, header_fields
+from ..sources.wav import TAG_FIELDS, file_heads
 
 
 def ingest_stream(spark: SparkSession, root: str, catalog_path: str, checkpoint: str,
                   max_files_per_trigger: int = 10000) -> None:
     """Run until every available file is processed (``availableNow``), then return.
 
-    ``max_files_per_trigger`` bounds each micro-batch: its file bytes per batch."""
+    ``max_files_per_trigger`` bounds each micro-batch."""
     reader = (spark.readStream.format("binaryFile").schema(BINARY_FILE)
               .option("recursiveFileLookup", "true").option("maxFilesPerTrigger", max_files_per_trigger))
     files = reader.load(root)
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        keyed = header_fields(batch.select("path", "content")).select(
+        keyed = file_heads(batch.select("path")).select(
             relative_key("path", root).alias("s3_key"), "channels", "samplerate", "bitrate",
             "duration", "filesize", *TAG_FIELDS)
         accepted = C.filter_known_ext(keyed)

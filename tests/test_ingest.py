@@ -78,10 +78,11 @@ def test_ingest_tables(spark, wav_dir):
 
 def test_limit_opens_only_first_files(spark, wav_dir):
     numbered = I.number_files(list_objects(spark, wav_dir), wav_dir)
-    files = I.selected_files(spark, wav_dir, numbered, 2)
-    assert sorted(r.s3_key for r in files.select("s3_key").collect()) == ["a/mono.wav", "a/stereo.wav"]
-    opened = sorted(os.path.basename(f) for f in files.inputFiles() if not f.endswith(".parquet"))
-    assert opened == ["mono.wav", "stereo.wav"]
+    files = I.selected_files(numbered, 2)
+    assert sorted(r.s3_key for r in files.collect()) == ["a/mono.wav", "a/stereo.wav"]
+    os.remove(os.path.join(wav_dir, "b", "odd.wav"))   # a file beyond the limit is not missed
+    out = I.ingest(spark, wav_dir, S.MelParams(n_fft=64, hop=16, n_mels=4), numbered=numbered, limit=2)
+    assert sorted(r.s3_key for r in out.catalog.collect()) == ["a/mono.wav", "a/stereo.wav"]
 
 
 def test_sinks(spark, tmp_dir):
@@ -359,3 +360,97 @@ def test_first_files_is_a_top_k(spark):
     assert sorted(top.collect()) == [("a", 1), ("b", 2), ("c", 3)]
     assert "TakeOrderedAndProject" in top._jdf.queryExecution().executedPlan().toString()
     assert C.first_files(df.where("false"), 3).count() == 0
+
+
+class Counting:
+    """An open file that counts what is read."""
+
+    def __init__(self, uri):
+        from sonara.sources.files import open_file
+        self.f, self.got, self.calls = open_file(uri), 0, 0
+
+    def size(self):
+        return self.f.size()
+
+    def read_at(self, n, at):
+        data = self.f.read_at(n, at)
+        self.got += len(data)
+        self.calls += 1
+        return data
+
+
+def _sparse_wav(path, n_samples, ones_at=()):
+    """16-bit mono at 44.1 kHz whose samples are zero (a hole in the file) but for a few."""
+    head = wav_bytes(np.zeros(0), 44100)
+    data = 2 * n_samples
+    with open(path, "wb") as fh:
+        fh.write(head[:4] + (36 + data).to_bytes(4, "little") + head[8:40] + data.to_bytes(4, "little"))
+        for i in ones_at:
+            fh.seek(44 + 2 * i)
+            fh.write((16384).to_bytes(2, "little"))
+        fh.seek(44 + data)
+        fh.write(_info_chunk([(b"INAM", b"long")]))
+
+
+def test_heads_read_as_much_of_a_long_file_as_of_a_short_one(tmp_dir):
+    from sonara.sources.wav import head_of
+
+    read = []
+    for n in (1 << 20, 1500 << 20):
+        path = os.path.join(tmp_dir, f"{n}.wav")
+        _sparse_wav(path, n)
+        f = Counting("file:" + path)
+        row = head_of(f)
+        assert (row["frames"], row["data_at"], row["title"], row["samplerate"], row["data"]) == (n, 44, "long", 44100, 2 * n)
+        read.append((f.got, f.calls))
+    assert read[0] == read[1] and read[1][0] < 20_000 and read[1][1] < 8
+
+
+def test_a_file_of_three_gigabytes_is_decoded_by_many_tasks(spark, tmp_dir):
+    from sonara.sources.wav import decode_ranges, file_heads
+
+    n, piece, halo = 1500 << 20, 1 << 17, 1024
+    marks = [0, piece - 1, piece, 700_000_003, n - 1]
+    path = os.path.join(tmp_dir, "long.wav")
+    _sparse_wav(path, n, marks)
+    heads = file_heads(spark.createDataFrame([(f"file:{path}",)], "path string"))
+    out = decode_ranges(heads, piece, halo)
+    assert "BinaryFile" not in out._jdf.queryExecution().toString()
+
+    def look(batches):
+        import pyarrow as pa
+        from pyspark import TaskContext
+
+        for b in batches:
+            xs, lo = b.column(5), b.column(4).to_pylist()
+            values = xs.flatten().to_numpy()
+            sizes = xs.value_lengths().to_numpy()
+            first = np.cumsum(sizes) - sizes
+            at = [[int(lo[i] + j) for j in np.flatnonzero(values[f:f + s])] for i, (f, s) in enumerate(zip(first, sizes))]
+            yield pa.RecordBatch.from_pydict({"task": [TaskContext.get().partitionId()] * len(at), "size": sizes.astype(np.int64), "at": pa.array(at, pa.list_(pa.int64()))})
+
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20))   # this session's JVM is small
+    try:
+        found = (out.mapInArrow(look, "task long, size long, at array<long>").groupBy("task")
+                 .agg(F.count("*").alias("n"), F.sum("size").alias("size"), F.max("size").alias("most"),
+                      F.flatten(F.collect_list("at")).alias("at")).collect())
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxBytesPerBatch")
+    pieces = n // piece
+    assert sum(r.n for r in found) == pieces and len(found) >= 40 and max(r.n for r in found) <= 3 * pieces // len(found)
+    assert max(r.most for r in found) == piece + 2 * halo
+    assert sum(r["size"] for r in found) == n + 2 * halo * (pieces - 1)
+    assert sorted({x for r in found for x in r["at"]}) == marks
+
+
+def test_ranges_equal_whole_file_decoding(spark, wav_dir, monkeypatch):
+    from sonara.sources import wav as W
+
+    monkeypatch.setattr(W, "RANGE_BYTES", 3000)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(wav_dir)
+    want = W.decode_wav(files, piece=256, halo=64)
+    got = W.decode_ranges(W.file_heads(files.select("path")), 256, 64)
+    assert got.schema == want.schema and want.count() > 60
+    assert sorted(map(repr, got.collect())) == sorted(map(repr, want.collect()))
+    a, b = W.header_fields(files.select("path", "content")), W.file_heads(files.select("path"))
+    assert sorted(map(repr, a.collect())) == sorted(map(repr, b.select(*a.columns).collect()))
