@@ -62,6 +62,19 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(at)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies in ``path``, ascending; none where it does not exist."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return sorted(x.getPath().getName() for x in fs.listStatus(at)) if fs.exists(at) else []
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds, if it is there."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def folder_version(spark: SparkSession, path: str) -> str:
     """Names, sizes and times of what lies in ``path``: differs when its tables were written anew."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -1,6 +1,7 @@
 """Stream = batch for windowed series; late rows are dropped; file stream ingests once."""
 
 import os
+import random
 
 import pytest
 
@@ -158,3 +159,72 @@ def test_ties_and_null_keys(spark):
         want.setdefault(k, []).append(v)
     got = {r.subject_id: (r.num_datapoints, r.indicator) for r in W.window_series(frames[0], "5 days", 1).collect()}
     assert got == {k: (len(v), pytest.approx((max(v) - min(v)) / (len(v) - 1), abs=1e-5)) for k, v in want.items()}
+
+
+def _folder_names(sink, part):
+    import glob
+    return sorted(os.path.relpath(p, os.path.join(sink, part)) for p in glob.glob(os.path.join(sink, part, "*", "batch=*")))
+
+
+def test_work_per_batch_stays_flat_and_final_windows_settle(spark, tmp_dir, monkeypatch):
+    """A window a day, a batch half a day, some rows a day late: what a batch opens and what is kept do not grow."""
+    from sonara.streaming import windows as SW
+
+    monkeypatch.setattr(SW, "SEEN_KEPT", 3)
+    sink = os.path.join(tmp_dir, "flat")
+    day = lambda d: f"timestampadd(SECOND, cast(({d}) * 86400 as int), timestamp_ntz'2024-01-01 00:00:00')"
+    opened, parts = [], []
+    real = SW.window_series
+
+    def spy(points, *a, **k):
+        opened.append(len([f for f in points.inputFiles() if "/points/" in f]))
+        return real(points, *a, **k)
+
+    monkeypatch.setattr(SW, "window_series", spy)
+    n, kept = 14, []
+    for b in range(n):
+        rows = spark.range(40).select((F.col("id") % 3).cast("int").alias("subject_id"),
+                                      F.expr(day(f"{b} / 2 + (id % 20) / 40 - if(id % 10 = 9, 1, 0)")).alias("instr_time"),
+                                      (F.col("id") * 7 % 11 + b).cast("double").alias("value")).coalesce(1)
+        parts.append(rows)
+        process_batch(rows, b, sink, "1 day", 20, "36 hours")
+        kept.append((len(_folder_names(sink, "points")), len(_folder_names(sink, "windows")), len(os.listdir(os.path.join(sink, "seen")))))
+    assert max(opened[10:]) <= max(opened[5:10]) and max(kept[10:]) <= max(kept[5:10])
+    assert len(SW._folders(spark, f"{sink}/final", "e")) > n // 2 - 5
+    whole = parts[0]
+    for p in parts[1:]:
+        whole = whole.union(p)
+    want = sorted(map(tuple, W.window_series(whole, "1 day", 20).collect()))
+    assert sorted(map(tuple, read_windows(spark, sink).collect())) == want       # 36 hours: no row is late
+    process_batch(parts[-1], n - 1, sink, "1 day", 20, "36 hours")
+    process_batch(parts[-1], n - 1, sink, "1 day", 20, "36 hours")
+    assert sorted(map(tuple, read_windows(spark, sink).collect())) == want
+
+
+def test_a_batch_broken_between_its_writes_is_repeated(spark, tmp_dir, monkeypatch):
+    from sonara.streaming import windows as SW
+
+    ev = spark.read.parquet(f"{SF01}/events.parquet").where("user_id < 10").select(
+        F.col("user_id").alias("subject_id"), F.col("ts").alias("instr_time"), "value")
+    cuts = ["2024-01-01", "2024-01-12", "2024-01-25", "2024-02-05", "2030-01-01"]
+    parts = [ev.where(f"instr_time >= timestamp_ntz'{a} 00:00:00' and instr_time < timestamp_ntz'{b} 00:00:00'") for a, b in zip(cuts, cuts[1:])]
+    real, calls, luck = SW._write, [], random.Random(4)
+
+    def broken(*a):
+        calls.append(luck.random() < 0.4)
+        if calls[-1]:
+            raise RuntimeError("lost")
+        real(*a)
+
+    sink = os.path.join(tmp_dir, "broken")
+    monkeypatch.setattr(SW, "_write", broken)
+    for b, rows in enumerate(parts):
+        done = False
+        while not done:
+            try:
+                process_batch(rows, b, sink, "5 days", 10, "1 day")
+                done = True
+            except RuntimeError:
+                pass
+    assert 2 < sum(calls) < len(calls)
+    assert sorted(map(tuple, read_windows(spark, sink).collect())) == sorted(map(tuple, W.window_series(ev.where("instr_time >= timestamp_ntz'2024-01-01 00:00:00'"), "5 days", 10).collect()))
