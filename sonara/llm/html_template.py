@@ -7,19 +7,24 @@ sums of (count x page hash), so no vector is ever gathered. A class is valid whe
 in at least half of the host's pages. The valid classes, nested by their paths, are the host's
 template: the class of the page root holds what is once in every page, and the others hang
 below it. The slots left between template elements are data. The main slot is the outermost
-article or main that keeps nearly all text outside of menus, forms, adverts and the like, or
-else the outermost such element below the body: titles and leads beside an inner element stay.
-Its blocks are the result. Text blocks that belong to the template (nearly every page of a
-large host has them) are not data and go, unless most of the slot would go with them.
-
-Tag names and words in class, id and role say which elements are never data. Words do not
+article or main of the template that is once in a page, however short its text; without one, the
+outermost such element below the body that keeps nearly all text outside of menus, forms, adverts and the
+like. Its blocks are the result. Outside of an article or main, a text block whose occurrence vector is the
+page root's belongs to the template and goes, from two pages on, unless nothing at all would be left; inside, what
+all articles share (a passage, a signature) is their text and stays.
+
+Tag names say which elements are never data. Words in class, id and role condemn block containers
+only (``BLOCKS``), never headings, paragraphs or inline elements: where a name consists of such
+words and neutral ones (``STRICT``: "post-comments"), always; where it merely contains one
+("search-algorithms"), outside of article and main, and only an element the template holds. Words do not
 condemn html, body, main and article, nor an element that holds nearly all of its host's text
 where no article or main does, nor the elements around it. A page without its host's main slot
 gives all its blocks outside elements that are never data.
 
-Defined results: null or empty html gives the empty text; a null url is the host ``""``;
-repeated pages each give a row; a literal ``<`` that opens no tag is text; other columns are
-ignored; pages are read whole, in linear time.
+Defined results: null or empty html gives the empty text and is no page of its host's template; a null url is
+the host ``""``; repeated pages each give a row; a literal ``<`` that opens no tag is text; an element that is
+never data and has no end tag ends where the next container, heading or paragraph begins; an empty table gives
+no rows; other columns are ignored; pages are read whole, in linear time, at any depth.
 """
 
 from __future__ import annotations
@@ -47,10 +52,19 @@ NEVER_WORDS = frozenset("ad ads advert advertisement advertising banner sponsor
                         "modal overlay share sharing social related recommended comment comments reply replies disqus "
                         "subscribe newsletter signup login search toolbar widget copyright pagination pager skip".split())
 ROOTS = frozenset("html body main article".split())  # words never condemn these
+OPEN_ENDED = ("nav", "header", "footer", "aside", "form", "menu", "dialog")  # never data; their end tag may be missing
+BLOCKS = frozenset("aside center details div dl fieldset footer form header nav ol section table ul".split())  # words may condemn these
+# words that leave the sense of a name as it is: "site-menu-box"
+NEUTRAL = frozenset("area article bar block bottom box btn button buttons container entry global group holder icons inner item items left "
+                    "link links list main nav outer page panel post posts primary right row secondary section site text top "
+                    "user wrap wrapper".split())
+# where an element without an end tag that is never data ends
+RESUMES = frozenset("article center dl div fieldset h1 h2 h3 h4 h5 h6 main p pre section table".split())
+DEEPEST = 200  # paths of deeper elements are those of their ancestor
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>|"
                    r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 ATTRIBUTE = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-SLOT_SHARE, TEXT_SHARE, TEXT_PAGES = 0.9, 0.9, 10
+SLOT_SHARE = 0.9
 
 
 def host_of(url: Column) -> Column:
@@ -60,15 +74,18 @@ def host_of(url: Column) -> Column:
 class Page:
     """Paths of a page's elements with their counts, and its text blocks in order.
 
-    Words do not condemn the elements whose paths are in ``spared``."""
+    Words do not condemn the elements whose paths are in ``spared``; names that merely contain such a word
+    condemn only the paths in ``held`` (None: any)."""
 
-    def __init__(self, source: str, spared: frozenset = frozenset()):
-        self.spared = spared
+    def __init__(self, source: str, spared: frozenset = frozenset(), held: frozenset | None = None):
+        self.spared, self.held = spared, held
         self.counts: dict[str, int] = {}
         self.blocks: list[tuple[str, str, bool]] = []  # path, text, never data
         self.condemned: list[tuple[str, str, str]] = []  # of blocks that words alone condemn: path, text, innermost such element
-        # tag, path, never data by its tag, innermost element that words condemn
-        self.stack: list[tuple[str, str, bool, str]] = [("", "", False, "")]
+        # tag, path, never data by its tag, innermost element that words condemn, inside article or main
+        self.stack: list[tuple[str, str, bool, str, bool]] = [("", "", False, "", False)]
+        self.names: dict[str, int] = {}    # open elements by tag
+        self.ends: dict[str, int] = {}     # where the last end tag of a never-data tag is
         self.text: list[str] = []
         at, low = 0, None
         while True:
@@ -84,6 +101,9 @@ class Page:
             if end:
                 self.close(name)
                 continue
+            if name in RESUMES and any(self.names.get(t) for t in OPEN_ENDED):
+                low = source.lower() if low is None else low
+                self.resume(low, at)
             self.open(name, attributes)
             if name in RAW and not attributes.endswith("/"):
                 low = source.lower() if low is None else low
@@ -98,7 +118,7 @@ class Page:
         if self.text:
             text = " ".join(entities.unescape("".join(self.text)).split())
             if text:
-                _, path, never, by_words = self.stack[-1]
+                _, path, never, by_words, _ = self.stack[-1]
                 self.blocks.append((path, text, never or by_words != ""))
                 if by_words and not never:
                     self.condemned.append((path, text, by_words))
@@ -108,35 +128,54 @@ class Page:
         if name in VOID:
             self.text.append(" ")
             return
-        words = []
+        names = []
         if attributes and "=" in attributes:
             for kind, *value in ATTRIBUTE.findall(attributes):
-                words += [w for w in re.split(r"[^a-z0-9]+", "".join(value).lower()) if w]
-        bad_words = not NEVER_WORDS.isdisjoint(words)
-        if name in INLINE and not bad_words:
+                names += [[w for w in re.split(r"[^a-z0-9]+", n) if w] for n in "".join(value).lower().split()]
+        words = {w for n in names for w in n}
+        if name in INLINE:
             return
         self.flush()
-        closes = CLOSES.get(name, CLOSES["p"] if name not in INLINE else ())
-        if self.stack[-1][0] in closes:
-            self.stack.pop()
-        _, above, never, by_words = self.stack[-1]
-        path = f"{above}/{name}" + "".join(f".{w}" for w in sorted(set(words)))
-        bad = name in NEVER_TAGS and not (name == "header" and re.search(r"/(article|main)\b", above))
+        if self.stack[-1][0] in CLOSES.get(name, CLOSES["p"]):
+            self.pop(len(self.stack) - 1)
+        _, above, never, by_words, inside = self.stack[-1]
+        path = f"{above}/{name}" + "".join(f".{w}" for w in sorted(words)) if len(self.stack) < DEEPEST else above
+        bad = name in NEVER_TAGS and not (name == "header" and inside)
         self.counts[path] = self.counts.get(path, 0) + 1
-        if len(self.stack) < 200:  # deeper elements count as part of this one
-            if bad_words and name not in ROOTS and path not in self.spared:
+        if name in BLOCKS and path not in self.spared and not NEVER_WORDS.isdisjoint(words):
+            strict = any(NEUTRAL.union(NEVER_WORDS).issuperset(n) and not NEVER_WORDS.isdisjoint(n) for n in names)
+            if strict or not inside and (self.held is None or path in self.held):
                 by_words = path
-            self.stack.append((name, path, never or bad, by_words))
+        self.stack.append((name, path, never or bad, by_words, inside or name in ("article", "main")))
+        self.names[name] = self.names.get(name, 0) + 1
+
+    def pop(self, i: int) -> None:
+        """Close the elements from the ``i``-th on."""
+        for name, *_ in self.stack[i:]:
+            self.names[name] -= 1
+        del self.stack[i:]
 
     def close(self, name: str) -> None:
-        if name in INLINE and self.stack[-1][0] != name:
+        if not self.names.get(name):
             return
         for i in range(len(self.stack) - 1, 0, -1):
             if self.stack[i][0] == name:
                 self.flush()
-                del self.stack[i:]
+                self.pop(i)
                 return
 
+    def resume(self, low: str, at: int) -> None:
+        """Close the outermost open element that is never data and has no end tag from here on."""
+        for i in range(1, len(self.stack)):
+            name = self.stack[i][0]
+            if name in OPEN_ENDED:
+                if name not in self.ends:
+                    self.ends[name] = low.rfind("</" + name)
+                if self.ends[name] < at - 1:
+                    self.flush()
+                    self.pop(i)
+                    return
+
 
 def _text_token(path: str, text: str) -> str:
     return "#" + hashlib.blake2b(f"{path}\n{text}".encode("utf-8", "surrogatepass"), digest_size=12).hexdigest()
@@ -152,6 +191,8 @@ def page_tokens(pages: DataFrame) -> DataFrame:
             rows: list[tuple] = []
             for host, source, r in zip(*(b.column(i).to_pylist() for i in range(3))):
                 page = Page(source or "")
+                if not page.blocks and not page.counts:
+                    continue
                 chars: dict[str, int] = {}
                 texts: dict[str, int] = {}
                 for path, text, never in page.blocks:
@@ -210,40 +251,39 @@ def spared_elements(template: list[dict]) -> frozenset:
     return frozenset("/".join(steps[:i]) for i in range(2, len(steps) + 1))
 
 
-def main_slot(template: list[dict], pages: int) -> tuple[str | None, frozenset, frozenset]:
-    """Path of the main slot, the text blocks that belong to the template and the elements that words do not condemn."""
+def main_slot(template: list[dict], pages: int) -> tuple[str | None, frozenset, frozenset, frozenset]:
+    """Path of the main slot, the text blocks that belong to the template, the elements that words do not condemn and those
+    the template holds."""
     classes: dict[tuple, list[dict]] = {}
     for t in template:
         classes.setdefault((t["v1"], t["v2"]), []).append(t)
     root = next((k for k, ts in classes.items() if any(t["token"] == "" for t in ts)), None)
-    fixed = frozenset(t["token"] for t in template if t["token"].startswith("#") and t["total"] == t["support"]
-                      and pages >= TEXT_PAGES and t["support"] >= TEXT_SHARE * pages)
+    fixed = frozenset(t["token"] for t in classes.get(root, []) if t["token"].startswith("#") and t["total"] == t["support"] and pages > 1)
+    held = frozenset(t["token"] for t in template if t["token"][:1] == "/" and pages > 1)
     spared = spared_elements(template)
     if spared:
-        return None, fixed, spared  # chars were counted without the spared element
+        return None, fixed, spared, held  # chars were counted without the spared element
 
     def slots(ts: list[dict]) -> list[dict]:
         return [t for t in ts if t["token"][:1] == "/" and t["total"] == t["support"] and t["chars"] > 0
                 and _tag(t["token"]) in CONTAINERS]
 
-    nested = slots(classes.get(root, [])) or [s for ts in classes.values() for s in slots(ts)]
-    if not nested:
-        return None, fixed, spared
-    most = max(t["chars"] for t in nested)
-    full = [t["token"] for t in nested if t["chars"] >= SLOT_SHARE * most]
-    named = [p for p in full if _tag(p) in ("article", "main")]
-    below = [p for p in full if _tag(p) not in ("html", "body")]
-    return min(named or below or full, key=lambda p: (p.count("/"), p)), fixed, spared
+    every = [s for ts in classes.values() for s in slots(ts)]
+    named = [t["token"] for t in every if _tag(t["token"]) in ("article", "main")]
+    if not named:
+        nested = slots(classes.get(root, [])) or every
+        most = max((t["chars"] for t in nested), default=0)
+        full = [t["token"] for t in nested if t["chars"] >= SLOT_SHARE * most]
+        named = [p for p in full if _tag(p) not in ("html", "body")] or full
+    return min(named, key=lambda p: (p.count("/"), p), default=None), fixed, spared, held
 
 
-def extract(source: str, slot: str | None, fixed: frozenset, spared: frozenset = frozenset()) -> str:
-    blocks = [(p, t) for p, t, never in Page(source, spared).blocks if not never]
+def extract(source: str, slot: str | None, fixed: frozenset, spared: frozenset = frozenset(), held: frozenset | None = None) -> str:
+    blocks = [(p, t) for p, t, never in Page(source, spared, held).blocks if not never]
     inside = [(p, t) for p, t in blocks if slot and (p == slot or p.startswith(slot + "/"))] or blocks
-    if fixed:
-        data = [(p, t) for p, t in inside if _text_token(p, t) not in fixed]
-        if 2 * sum(len(t) for _, t in data) >= sum(len(t) for _, t in inside):
-            inside = data
-    return " ".join(t for _, t in inside)
+    if slot and _tag(slot) in ("article", "main") and inside is not blocks:
+        return " ".join(t for _, t in inside)
+    return " ".join(t for _, t in [(p, t) for p, t in inside if _text_token(p, t) not in fixed] or inside)
 
 
 def main_text(pages: DataFrame) -> DataFrame:
@@ -253,7 +293,7 @@ def main_text(pages: DataFrame) -> DataFrame:
     kind = rows.schema["page_id"].dataType.simpleString()
 
     def run(batches):
-        last, slot = None, (None, frozenset())
+        last, slot = None, main_slot([], 0)
         for b in batches:
             out = []
             for source, host, n, template in zip(*(b.column(i).to_pylist() for i in (2, 3, 4, 5))):

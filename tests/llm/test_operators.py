@@ -374,6 +374,37 @@ def test_html_title_and_lead_outside_the_body_stay(spark, page):
     assert texts_of(spark, [page.format(*p) for p in parts]) == [" ".join(p) for p in parts]
 
 
+MENU = "<div>Home News Sport Weather</div>"
+
+
+@pytest.mark.parametrize("n", [2, 6, 12])
+@pytest.mark.parametrize("page", [MENU + "<article><p>{}</p></article>", MENU + "<div><p>{}</p></div>", "<div>" + MENU + "<p>{}</p></div>"])
+def test_html_identical_menus_go_from_two_pages_on(spark, page, n):
+    data = [f"a short story {i}" for i in range(n)]
+    assert texts_of(spark, [f"<html><body>{page.format(d)}</body></html>" for d in data]) == data
+
+
+@pytest.mark.parametrize("n", [1, 3])
+def test_html_words_leave_headings_sections_and_inline_words(spark, n):
+    page = ("<body><nav>menu</nav><article><h1>T{0}</h1><h2 id='related-work'>Related{0}</h2><p>He sat <span class='side'>beside{0}</span> her</p>"
+            "<h2 id='skip-lists'>Lists{0}</h2><section class='search-algorithms'><p class='notice'>found{0}</p></section>"
+            "<div class='post-comments'>said</div><ul class='share-links'><li>mail</li></ul></article>")
+    want = "T{0} Related{0} He sat beside{0} her Lists{0} found{0}"
+    assert texts_of(spark, [page.format(i) for i in range(n)]) == [want.format(i) for i in range(n)]
+
+
+@pytest.mark.parametrize("page", ["<body><nav><a>menu</a><article><p>{}</p></article></body>", "<body><nav><ul><li>menu</ul><div><p>{}</p></div>",
+                                  "<body><header>top<main><p>{}</p></main>", "<body><aside>ads<h1></h1><p>{}</p>"])
+def test_html_an_element_without_an_end_tag_does_not_swallow_the_article(spark, page):
+    assert texts_of(spark, [page.format(f"story {i}") for i in range(3)]) == [f"story {i}" for i in range(3)]
+
+
+def test_html_any_depth_keeps_what_follows(spark):
+    page = "<body><article>" + "<div>" * 250 + "deep {0}" + "</div>" * 250 + "<p>behind {0}</p></article><div>tail {0}</div>"
+    assert texts_of(spark, [page.format(i) for i in range(3)]) == [f"deep {i} behind {i}" for i in range(3)]
+    html_template.Page("<div>" * 100_000 + "</p>" * 100_000)   # linear
+
+
 def test_language_id_rejects_unlearned_languages_and_random_letters(spark):
     import random
     import string
