@@ -8,12 +8,13 @@ Law ``key``: the shard depends on doc_id and the number of shards alone. It is t
 with the highest seeded hash (rendezvous), so one more shard takes rows only into itself and
 every other row stays where it is.
 
-A record's bucket inside its shard hashes the doc_id, the text and (only where a doc_id is
-null, so that no key holds many rows) nothing else; the number of buckets follows the bytes.
+A record's bucket inside its shard hashes its place in the table (partition and row), so equal doc_ids,
+equal texts and repeated rows spread over the buckets like any others; the number of buckets follows the bytes.
 
 Defined results: null text counts as empty (size 1, CRC 0); a null doc_id hashes as the text
-``<null>``; repeated rows each get a slot of their own; an empty table gives no rows; other
-columns are carried only where named in ``keep``.
+``<null>``; repeated rows each get a slot of their own; very long texts are taken whole, a bucket then holds
+its share and one more text; an empty table gives no rows; other columns are carried only where named in
+``keep``. ``docs`` must be a table or a staged frame (rows in a fixed order).
 """
 
 from __future__ import annotations
@@ -39,10 +40,9 @@ def shuffle_into_shards(docs: DataFrame, n_shards: int = 16, seed: int = 17,
     size = F.octet_length(text_or_empty()).cast("long") + 1
     total = docs.agg(F.coalesce(F.sum(size), F.lit(0)).alias("b")).first()["b"]
     n_buckets = max(1, -(-int(total) // (n_shards * bucket_bytes)))
-    # equal ids (nulls above all) are told apart by their text, so they spread over the buckets
-    home = F.pmod(F.xxhash64(F.lit(seed + 1), "doc_id", F.when(F.col("doc_id").isNull(), F.col("text"))),
-                  F.lit(n_buckets)).cast("int")
-    placed = docs.select(shard_of(F.col("doc_id"), n_shards, seed).alias("__shard"), home.alias("__bucket"), "*")
+    place = docs.withColumn("__at", F.monotonically_increasing_id())
+    home = F.pmod(F.xxhash64(F.lit(seed + 1), "__at"), F.lit(n_buckets)).cast("int")
+    placed = place.select(shard_of(F.col("doc_id"), n_shards, seed).alias("__shard"), home.alias("__bucket"), "*")
 
     sizes = placed.groupBy("__shard", "__bucket").agg(F.count(F.lit(1)).alias("__n"))
     upto = Window.partitionBy("__shard").orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -50,7 +50,7 @@ def shuffle_into_shards(docs: DataFrame, n_shards: int = 16, seed: int = 17,
                         F.coalesce(F.sum("__n").over(upto), F.lit(0)).alias("__base"))  # one row per bucket
 
     grown = F.when(F.lit(n_shards) < 1, F.lit(None)).otherwise(shard_of(F.col("doc_id"), n_shards + 1, seed))
-    record = F.struct(F.xxhash64(F.lit(seed + 2), "doc_id", "text").alias("h"), F.col("doc_id"), size.alias("size"),
+    record = F.struct(F.xxhash64(F.lit(seed + 2), "__at").alias("h"), F.col("doc_id"), size.alias("size"),
                       *[F.col(c) for c in keep], grown.alias("grown_shard"))
     buckets = (placed.select("__shard", "__bucket", record.alias("r"))
                .groupBy("__shard", "__bucket").agg(F.array_sort(F.collect_list("r")).alias("rs")))
