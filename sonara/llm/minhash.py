@@ -4,7 +4,8 @@
    128-bit fingerprint of the set, and its signature. All signature coordinates come from two
    permutations of the 64-bit numbers: the first is applied to a shingle once, the second to
    that value shifted round the circle by k for coordinate k. Only the band keys are kept.
-2. Documents with equal sets form one class; its smallest doc_id stands for it from here on.
+2. Documents with equal sets form one class, numbered when the classes are written; links, hubs and
+   components are between these numbers, and doc_ids come back at the end.
 3. Rounds of links. Within a band bucket a round compares every class with one hub only, so a
    bucket of m classes costs m pairs. Classes that are linked need no further comparison
    inside their component; buckets whose classes lie in one component are done.
@@ -19,8 +20,11 @@ At the threshold of 0.8 a pair shares none of the 40 bands of 5 coordinates with
 probability of about 1.2e-7.
 
 Defined results: null or empty text and text without a word have the empty set, link with
-nothing and are kept; repeated rows of one doc_id are one document each with the same class;
-an empty table gives no rows; other columns are ignored.
+nothing and are kept; every row is a document of its own, also where rows share a doc_id or have none: a
+class takes its text from one row, told by doc_id and text; null doc_ids come after all others, so a
+group has a null component_id (and its rows are kept) only where all its doc_ids are null; doc_ids may be of
+any type that can be ordered; very long texts are taken whole; an empty table gives no rows; other columns
+are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -105,7 +109,9 @@ class Shingler:
 
 
 def signatures(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
-    """doc_id, n_shingles, set_key (null for the empty set), bands."""
+    """doc_id, th (hash of the text), n_shingles, set_key (null for the empty set), bands."""
+    rows_ = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("th", F.xxhash64("text"))
+    kind = rows_.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
         shingler = Shingler(shingle)
@@ -116,18 +122,18 @@ def signatures(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFram
                 some = [x for x in sets if len(x)]
                 keys = iter(band_keys(some, bands, rows).view(np.int64)) if some else iter(())
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(s.start, s.stop - s.start), pa.array([len(x) for x in sets], pa.int64()),
+                    [b.column(0).slice(s.start, s.stop - s.start), b.column(2).slice(s.start, s.stop - s.start),
+                     pa.array([len(x) for x in sets], pa.int64()),
                      pa.array([hashlib.blake2b(x.tobytes(), digest_size=16).digest() if len(x) else None for x in sets],
                               pa.binary()),
                      pa.array([next(keys) if len(x) else None for x in sets], pa.list_(pa.int64()))],
-                    names=["doc_id", "n_shingles", "set_key", "bands"])
+                    names=["doc_id", "th", "n_shingles", "set_key", "bands"])
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, n_shingles long, set_key binary, bands array<long>")
+    return rows_.mapInArrow(run, f"doc_id {kind}, th long, n_shingles long, set_key binary, bands array<long>")
 
 
-def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
-    """doc_id, shingles (array of long) of rows (doc_id, text)."""
+def shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
+    """rep, shingles (array of long) of rows (rep, text)."""
 
     def run(batches):
         shingler = Shingler(shingle)
@@ -139,10 +145,9 @@ def shingle_sets(docs: DataFrame, shingle: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0).slice(s.start, s.stop - s.start),
                      pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(np.concatenate(sets)))],
-                    names=["doc_id", "shingles"])
+                    names=["rep", "shingles"])
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(
-        run, "doc_id long, shingles array<long>")
+    return texts.select("rep", "text").mapInArrow(run, "rep long, shingles array<long>")
 
 
 def near_sizes(a: Column, b: Column, threshold: int) -> Column:
@@ -192,19 +197,21 @@ def components(edges: DataFrame) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = THRESHOLD,
                     bands: int = BANDS, rows: int = ROWS, hub_rounds: int = HUB_ROUNDS) -> DataFrame:
     """doc_id, n_shingles, class_id, component_id, kept: one row per input row."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     sig = staged(signatures(docs, shingle, bands, rows), "signatures")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("th"))
     classes = staged(sig.where("set_key IS NOT NULL").groupBy("set_key")
-                     .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands")),
-                     "classes")
-    members = classes.where("rep IS NOT NULL").select("rep", "n", F.posexplode("bands").alias("band", "key"))
+                     .agg(F.min(first).alias("first"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+                     .withColumn("rep", F.monotonically_increasing_id()), "classes")
+    members = classes.select("rep", "n", F.posexplode("bands").alias("band", "key"))
     shared = members.groupBy("band", "key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("band", "key")
     members = staged(members.join(shared, ["band", "key"]), "members")  # rep, n, band, key: buckets of two and more
 
     # texts of the classes that share a bucket with another one, as shingle sets
-    wanted = members.select(F.col("rep").alias("doc_id")).distinct()
-    sets = staged(shingle_sets(docs.join(wanted, "doc_id", "left_semi").dropDuplicates(["doc_id"]), shingle)
-                  .select(F.col("doc_id").alias("rep"), "shingles"), "sets")
+    wanted = (classes.select("rep", F.col("first.id").alias("__id"), F.col("first.th").alias("__th"))
+              .join(members.select("rep").distinct(), "rep", "left_semi"))
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__th"))
+    sets = staged(shingle_sets(docs.join(wanted, same).select("rep", "text").dropDuplicates(["rep"]), shingle), "sets")
 
     root = staged(members.select(F.col("rep").alias("v"), F.col("rep").alias("root")).distinct(), "roots")
     for r in range(hub_rounds):
@@ -239,12 +246,15 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: int = TH
              .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     root, _ = _merge(root, _confirmed(pairs, sets, threshold))
 
-    known = (classes.join(root.select(F.col("v").alias("rep"), "root"), "rep", "left")
-             .select("set_key", F.col("rep").alias("class_id"), F.coalesce("root", "rep").alias("component_id")))
-    own = F.col("doc_id")
+    known = (classes.select("set_key", "rep", "first").join(root.select(F.col("v").alias("rep"), "root"), "rep", "left")
+             .select("set_key", "first", F.coalesce("root", "rep").alias("root")))
+    lowest = known.groupBy("root").agg(F.min("first").alias("low"))
+    known = known.join(lowest, "root").select("set_key", F.col("first.id").alias("class_id"), F.col("low.id").alias("component_id"),
+                                              F.lit(True).alias("in_class"))
+    own = F.col("in_class").isNull()
     return (sig.select("doc_id", "n_shingles", "set_key").join(known, "set_key", "left")
-            .select("doc_id", "n_shingles", F.coalesce("class_id", own).alias("class_id"),
-                    F.coalesce("component_id", own).alias("component_id"))
+            .select("doc_id", "n_shingles", F.when(own, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"),
+                    F.when(own, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
             .withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))))
 
 

@@ -44,6 +44,45 @@ def test_sharding(spark, edge_dir, edge_rows):
         assert home.setdefault(r["doc_id"], (r["shard"], r["grown_shard"])) == (r["shard"], r["grown_shard"])
 
 
+def test_sharding_splits_a_hot_id_over_buckets(spark, tmp_dir):
+    from pyspark.sql import functions as F
+
+    from sonara.llm import sharding
+
+    rows = [(5 if i % 3 == 0 else None if i % 9 == 1 else i, "same text" if i % 2 else f"text {i} " * 8) for i in range(6000)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(5).write.parquet(f"{tmp_dir}/docs")
+    docs = spark.read.parquet(f"{tmp_dir}/docs")
+    out = sharding.shuffle_into_shards(docs, 4, bucket_bytes=4000)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" in plan
+    total = sum(len((t or "").encode()) + 1 for _, t in rows)
+    buckets = -(-total // (4 * 4000))
+    place = F.pmod(F.xxhash64(F.lit(18), F.monotonically_increasing_id()), F.lit(buckets))
+    sizes = [r["n"] for r in docs.groupBy(sharding.shard_of(F.col("doc_id"), 4).alias("s"), place.alias("b")).agg(F.count("*").alias("n")).collect()]
+    hot = max(sizes)
+    assert hot < 8 * 6000 / (4 * buckets)                    # 2,000 rows share a doc_id
+    got = out.collect()
+    for s in range(4):
+        assert sorted(r["slot"] for r in got if r["shard"] == s) == list(range(sum(r["shard"] == s for r in got)))
+    hot_slots = sorted(r["slot"] for r in got if r["doc_id"] == 5)
+    assert hot_slots[-1] - hot_slots[0] > len(hot_slots)     # mixed with the shard's other rows
+
+
+def test_written_shards_read_back(spark, edge_dir, tmp_dir):
+    from sonara.llm import sharding
+
+    docs = spark.read.parquet(f"{edge_dir}/documents.parquet").select("doc_id", "text")
+    sharding.write_shards(docs, f"{tmp_dir}/shards", 4)
+    back = spark.read.parquet(f"{tmp_dir}/shards")
+    want = sharding.shuffle_into_shards(docs, 4)
+    cols = ["doc_id", "text", "size", "shard", "slot", "grown_shard"]
+    assert sorted(map(repr, back.select(cols).collect())) == sorted(map(repr, want.select(cols).collect()))
+    for s in range(4):   # the files of a shard, in name order, are its slots in order
+        slots = [r["slot"] for r in spark.read.parquet(f"{tmp_dir}/shards/shard={s}").select("slot").collect()] if \
+            want.where(f"shard = {s}").count() else []
+        assert sorted(slots) == list(range(len(slots)))
+
+
 @pytest.fixture(scope="module")
 def library():
     from tokenizers import Tokenizer
@@ -101,6 +140,18 @@ def test_near_duplicates(spark, edge_dir, edge_rows):
     same_rows(got, want, list(want[0]))
 
 
+@pytest.mark.parametrize("kind", ["long", "string"])
+def test_near_duplicates_of_shared_and_missing_ids(spark, kind):
+    t, u = (" ".join(f"{c}{i}" for i in range(40)) for c in "tu")
+    rows = [(None, t), (None, t + " tail"), (1, u), (1, t), (2, u + " tail"), (3, t + " other"), (None, "quite another text of seven words"),
+            (4, "quite another text of seven words"), (None, "alone " * 9), (None, None)]
+    ids = (lambda i: i) if kind == "long" else (lambda i: None if i is None else f"d{i}")
+    df = spark.createDataFrame([(ids(i), x) for i, x in rows], f"doc_id {kind}, text string")
+    got = sorted(((r["doc_id"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(df, 4, 80).collect()), key=repr)
+    want = [(None, 1, False)] * 2 + [(1, 1, True)] * 2 + [(2, 1, False), (3, 1, False), (None, 4, False), (4, 4, True), (None, None, True), (None, None, True)]
+    assert got == sorted(((ids(a), ids(b), k) for a, b, k in want), key=repr)
+
+
 def test_near_duplicates_of_a_drifting_group(spark):
     """Copies that drift away from each other word by word: links only between neighbours."""
     words = [f"w{i}" for i in range(120)]
