@@ -315,7 +315,7 @@ def test_lm_beats_the_base_on_held_out(spark):
     assert sum(r["score"] for r in got) > sum(r["base_score"] for r in got)
 
 
-def brute_fingerprint(text):
+def brute_fingerprint(text, filled=False):
     def xx(value, seed=42):
         return xxhash.xxh64_intdigest(value if isinstance(value, bytes) else (value & (2**64 - 1)).to_bytes(8, "little"), seed=seed)
 
@@ -331,6 +331,8 @@ def brute_fingerprint(text):
     for h, p in sorted(ranked):
         out.setdefault((h % 2**64) >> 58, []).append((p, h))
     prints = {}
+    if filled:  # each coordinate ranks all k-mers from its own start on, round the circle of hashes
+        out = {c: [(p, h) for h, p in sorted(ranked, key=lambda x: (x[0] - (c << 58)) % 2**64)] for c in range(64) if ranked}
     for c, members in out.items():
         state = xxhash.xxh64_intdigest(c.to_bytes(4, "little"), seed=42)
         for _, h in sorted(members[:2]):
@@ -339,22 +341,42 @@ def brute_fingerprint(text):
     return prints
 
 
-def test_order_minhash(spark, edge_dir, edge_rows):
+@pytest.mark.parametrize("filled", [False, True])
+def test_order_minhash(spark, edge_dir, edge_rows, filled):
     rows = sorted((r for r in edge_rows if r[0] is not None and r[0] != 6), key=lambda r: r[0])
     d = spark.createDataFrame([(i, t) for i, t, _ in rows], "doc_id long, text string")
-    got = sorted((r.asDict() for r in order_minhash.fingerprint_edits(d).collect()), key=lambda r: r["doc_id"])
+    got = sorted((r.asDict() for r in order_minhash.fingerprint_edits(d, filled).collect()), key=lambda r: r["doc_id"])
     texts = [t or "" for _, t, _ in rows]
     for r, t, nxt in zip(got, texts, texts[1:] + texts[:1]):
         half = len(t) // 2
         edited = t[:len(t) - half] + nxt[:half]
         assert r["n_chars"] == len(t) and r["edited"] == edited
-        a, b, c = map(brute_fingerprint, (t, edited, nxt))
+        a, b, c = (brute_fingerprint(x, filled) for x in (t, edited, nxt))
         assert r["fingerprint"] == ",".join(format(a[k], "x") for k in sorted(a))
         for x, name in ((b, "near_edited"), (c, "near_next")):
             union = a.keys() | x.keys()
             assert math.isclose(r[name], sum(a.get(k) == x.get(k) for k in union) / len(union) if union else 1.0)
 
 
+def test_order_minhash_splits_equal_ids(spark, tmp_dir):
+    rows = [(None if i % 5 == 0 else 7 if i % 3 else i, f"text {i}") for i in range(300)]
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(4).write.parquet(f"{tmp_dir}/docs")
+    d = order_minhash.beside_next(spark.read.parquet(f"{tmp_dir}/docs"), 20)
+    got = d.select("doc_id", "text", "next_text").collect()
+    after, ids = {r["text"]: r["next_text"] for r in got}, {r["text"]: r["doc_id"] for r in got}
+    chain, at = [], min(after)
+    for _ in after:
+        chain.append(at)
+        at = after[at]
+    assert len(set(chain)) == 300 and at == chain[0]           # one ring through all rows
+    order = [-1 if ids[t] is None else ids[t] for t in chain]
+    drops = [i for i in range(300) if order[i - 1] > order[i]]
+    assert len(drops) == 1                                     # ascending ids, nulls first
+    from pyspark.sql import functions as F
+    sizes = {r["n"] for r in d.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()}
+    assert max(sizes) < 300
+
+
 def test_order_minhash_over_cells_and_edge_rows(spark, edge_dir, edge_rows):
     d = spark.createDataFrame([(3 * i, f"text number {i} with words {i * i}") for i in range(50)], "doc_id long, text string")
     one, many = (sorted(tuple(r) for r in order_minhash.beside_next(d, n).select("doc_id", "text", "next_text").collect()) for n in (1000, 7))
