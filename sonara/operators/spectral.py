@@ -245,8 +245,8 @@ def _arrow_kernel(p: MelParams, out: str, max_values: int = 1 << 22):
 
     Frames of consecutive rows are gathered into one (frames x N) matrix of at most
     ``max_values`` samples and transformed with a single ``rfft`` call. A frame's result does
-    not depend on the frames it shares a matrix with: the bands are sums over each frame's own
-    bins (a matrix product would round differently with the matrix's shape)."""
+    not depend on the frames it shares a matrix with: the bands add one bin after the other over
+    all frames at once (a matrix product would round differently with the matrix's shape)."""
     N, H = p.n_fft, p.hop
     window = np_hann(N)
     width = p.n_mels if out == "mel" else p.n_bins
@@ -255,17 +255,22 @@ def _arrow_kernel(p: MelParams, out: str, max_values: int = 1 << 22):
     def run(batches):
         import pyarrow as pa
 
-        banks: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
+        banks: dict[int, list[tuple[int, np.ndarray]]] = {}
 
         def bands(power: np.ndarray, sr: int) -> np.ndarray:
             if sr not in banks:
                 fb = np_filterbank(sr, N, p.n_mels, p.fmin, p.fmax)
-                used = fb != 0
-                used[:, 0] |= ~used.any(axis=1)  # a band without a bin is a sum of one zero
-                band, bins = np.nonzero(used)
-                banks[sr] = bins, fb[band, bins], np.searchsorted(band, np.arange(p.n_mels))
-            bins, weights, first = banks[sr]
-            return np.add.reduceat(power[:, bins] * weights, first, axis=1)
+                used = [np.flatnonzero(row) for row in fb]
+                banks[sr] = [(int(u[0]), row[u[0]:u[-1] + 1]) if len(u) else (0, row[:0])
+                             for u, row in zip(used, fb)]
+            bins = np.ascontiguousarray(power.T)
+            total = np.zeros((p.n_mels, len(power)))
+            term = np.empty(len(power))
+            for band, (first, weights) in enumerate(banks[sr]):
+                for b, w in enumerate(weights, first):
+                    np.multiply(bins[b], w, out=term)
+                    total[band] += term
+            return total.T
 
         for rb in batches:
             if rb.num_rows == 0:
@@ -366,6 +371,9 @@ def mel_filterbank(rates: DataFrame, p: MelParams) -> DataFrame:
 
 # ---------------------------------------------------------------- dB
 
+PEAK_BLOCK = 4096   # frames of a song that share one row of the peak table
+
+
 def song_peak(mel: DataFrame, col: str = "mel") -> DataFrame:
     """(song_id, peak): max mel power of each song. Partial aggregation: a long song costs
     one row per task before the exchange."""
@@ -385,14 +393,22 @@ def db_value(x: Column, peak: Column, p: MelParams) -> Column:
 
 
 def with_peak(mel: DataFrame, col: str = "mel", stage: bool = True) -> DataFrame:
-    """Mel frames joined with their song's peak.
+    """Mel frames joined with their song's peak; rows without a song id are a group of their own.
 
     Two passes over the mel frames (peak, then values): with ``stage`` the frames are
-    written once to the shared scratch folder so the FFT is not computed twice. The peak
-    table has one row per song; the join lets AQE broadcast it when its measured size is
-    small and fall back to a (skew-split) sort-merge join otherwise."""
+    written once to the shared scratch folder so the FFT is not computed twice. Peaks are
+    taken per block of ``PEAK_BLOCK`` frames first and the song's peak is handed back to its
+    blocks, so the frames join on (song, block): where the block table is too large to
+    broadcast, a song holding a third of all frames is spread by the exchange itself."""
     src = materialize(mel, "mel") if stage else mel
-    return src.join(song_peak(src, col), "song_id")
+    block = F.floor(F.col("timeseries") / F.lit(PEAK_BLOCK)).cast("bigint")
+    blocks = src.groupBy("song_id", block.alias("__block")).agg(F.max(F.array_max(col)).alias("__peak"))
+    peaks = blocks.groupBy(F.col("song_id").alias("__song")).agg(F.max("__peak").alias("peak"))
+    side = blocks.join(peaks, F.col("song_id").eqNullSafe(F.col("__song"))).select(
+        "__song", F.col("__block").alias("__of"), "peak")
+    frames = src.withColumn("__block", block)
+    return frames.join(side, F.col("song_id").eqNullSafe(F.col("__song"))
+                       & F.col("__block").eqNullSafe(F.col("__of"))).drop("__song", "__of", "__block")
 
 
 def power_to_db(mel: DataFrame, p: MelParams, col: str = "mel", stage: bool = True) -> DataFrame:

@@ -217,3 +217,48 @@ def test_signals_shorter_than_the_halo(spark):
     db = _collect(S.spec_packed(_signals(spark, arrs, sr=16000), p), "db")
     for i, a in enumerate(arrs):
         np.testing.assert_allclose(db[i + 1], brute(a, 16000, p)[2], atol=1e-8)
+
+
+def test_bands_do_not_depend_on_the_rows_of_a_batch(spark):
+    """A retried task may fetch its rows in another order and in other batches: same bits."""
+    import pyarrow as pa
+    rng = np.random.default_rng(5)
+    p = S.JOB_PARAMS
+    segs = [rng.standard_normal(p.n_fft + p.hop * (n - 1)).astype(np.float32) for n in (1, 3, 7, 2, 16, 5)]
+    rows = [(i, 22050 if i % 2 else 44100, 0, (len(s) - p.n_fft) // p.hop + 1, s) for i, s in enumerate(segs)]
+
+    def run(order, max_values):
+        batch = pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in order], pa.int64()), pa.array([r[1] for r in order], pa.int32()),
+             pa.array([r[2] for r in order], pa.int64()), pa.array([r[3] for r in order], pa.int32()),
+             pa.array([r[4].tolist() for r in order], pa.list_(pa.float32()))], names=["song_id", "sr", "f0", "nfc", "seg"])
+        out = {}
+        for rb in S._arrow_kernel(p, "mel", max_values)([batch]):
+            for r in rb.to_pylist():
+                out[r["song_id"], r["timeseries"]] = r["mel"]
+        return out
+
+    want = run(rows, 1 << 22)
+    assert len(want) == sum(r[3] for r in rows)
+    assert run(rows[::-1], 1 << 22) == want and run(rows, 1) == want and run(rows[3:] + rows[:3], 8 * p.n_fft) == want
+
+
+def test_song_without_id_and_hot_song_get_their_peak(spark):
+    """Null song ids are a group; a long song's frames meet their peak in many tasks without a broadcast."""
+    long = spark.range(40000).select(F.lit(1).cast("bigint").alias("song_id"), F.col("id").alias("timeseries"),
+                                     F.array(F.col("id") * 1.0, F.lit(2.0)).alias("mel"))
+    few = spark.createDataFrame([(None, 0, [5.0, 1.0]), (None, 9000, [1.0, 7.0]), (2, 0, [3.0, 0.5])],
+                                "song_id bigint, timeseries bigint, mel array<double>")
+    key, before = "spark.sql.autoBroadcastJoinThreshold", spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    aqe = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set(key, "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        out = S.with_peak(long.unionByName(few))
+        peaks = {(r.song_id, r.peak) for r in out.select("song_id", "peak").distinct().collect()}
+        assert peaks == {(1, 39999.0), (None, 7.0), (2, 3.0)} and out.count() == 40003
+        sizes = [r["count"] for r in out.where("song_id = 1").groupBy(F.spark_partition_id()).count().collect()]
+        assert len(sizes) >= 3 and max(sizes) <= 20000
+    finally:
+        spark.conf.set(key, before)
+        spark.conf.set("spark.sql.adaptive.enabled", aqe)
