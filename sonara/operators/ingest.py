@@ -16,13 +16,16 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize, path_exists
+from ..session import add_empty_file, child_names, materialize, path_exists
 from ..sources.objects import list_objects, relative_key
 from ..sources.wav import TAG_FIELDS, decode_ranges, decode_wav, file_heads, header_fields, is_wav
 from . import catalog as C
 from . import spectral as S
 
 
+TABLES = ("catalog", "audio", "spec")
+
+
 @dataclass
 class Ingested:
     catalog: DataFrame     # 20 text fields, 'None' for missing
@@ -88,22 +91,57 @@ def ingest(spark: SparkSession, root: str, params: S.MelParams = S.JOB_PARAMS,
     return Ingested(catalog, pieces, audio, spec, P, mel)
 
 
+def table_paths(out: str | Mapping[str, str]) -> dict[str, str]:
+    """Places of ``catalog``, ``audio``, ``spec`` and of the log ``commits``: below one folder, or as
+    given. Without a place of its own the log lies beside the catalog."""
+    if isinstance(out, str):
+        out = {t: f"{out}/{t}" for t in TABLES}
+    return {"commits": f"{out['catalog'].rstrip('/')}-commits", **out}
+
+
+def committed_batches(spark: SparkSession, out: str | Mapping[str, str]) -> list[int]:
+    """First ids of the batches whose three tables are complete, ascending."""
+    names = child_names(spark, table_paths(out)["commits"])
+    return sorted(int(n.removeprefix("first_id=")) for n in names if n.startswith("first_id="))
+
+
+def read_ingested(spark: SparkSession, out: str | Mapping[str, str], table: str) -> DataFrame | None:
+    """A table of ``ingest_batches`` as of its last complete batch; None before the first.
+
+    All three tables show the same batches: a batch appears in each of them by the one file that
+    its run adds to the log after the last write."""
+    path = table_paths(out)[table].rstrip("/")
+    batches = committed_batches(spark, out)
+    if not batches:
+        return None
+    return spark.read.option("basePath", path).parquet(*[f"{path}/first_id={b}" for b in batches])
+
+
+def _adopt(spark: SparkSession, paths: dict[str, str]) -> None:
+    """Tables written before there was a log: a batch was complete once its catalog folder was."""
+    if not path_exists(spark, paths["commits"]):
+        for name in child_names(spark, paths["catalog"]):
+            if name.startswith("first_id=") and path_exists(spark, f"{paths['catalog']}/{name}/_SUCCESS"):
+                add_empty_file(spark, f"{paths['commits']}/{name}")
+
+
 def ingest_batches(spark: SparkSession, root: str, out: str | Mapping[str, str], batch_files: int,
                    params: S.MelParams = S.JOB_PARAMS, known_only: bool = True) -> int:
     """All files that the stored catalog lacks, in id ranges of ``batch_files`` files. ``out`` is one
-    folder for the tables, or the paths of ``catalog``, ``audio`` and ``spec``.
+    folder for the tables, or the paths of ``catalog``, ``audio`` and ``spec`` (and ``commits``).
 
     Keys already catalogued are left alone and new ids go on after the stored maximum, so a second
-    run adds nothing. Each batch writes folders named by its first id, samples and spectra first and
-    the catalog last: a run that broke off is repeated from its unfinished batch, over the same
-    folders. Returns the number of batches."""
-    paths = {t: f"{out}/{t}" for t in ("catalog", "audio", "spec")} if isinstance(out, str) else dict(out)
+    run adds nothing. Each batch writes folders named by its first id, then adds one file to the log:
+    ``read_ingested`` shows a batch in all three tables or in none. A run that broke off is repeated
+    from its unfinished batch, over the same folders. One run at a time. Returns the number of batches."""
+    paths = table_paths(out)
     keyed = list_objects(spark, root).select("path", relative_key("path", root).alias("s3_key"))
     if known_only:
         keyed = C.filter_known_ext(keyed)
     last = 0
-    if path_exists(spark, paths["catalog"]):
-        done = spark.read.parquet(paths["catalog"])
+    _adopt(spark, paths)
+    done = read_ingested(spark, paths, "catalog")
+    if done is not None:
         last = int(done.agg(F.max(F.col("song_id").cast("bigint"))).first()[0] or 0)
         keyed = keyed.join(done.select("s3_key"), "s3_key", "left_anti")
     fresh = C.assign_song_id(keyed).withColumn("song_id", (F.col("song_id") + last).cast("bigint"))
@@ -115,5 +153,6 @@ def ingest_batches(spark: SparkSession, root: str, out: str | Mapping[str, str],
         spec = S.spec_wide_db(b.mel, params, stage=False)
         for table, rows in (("audio", b.audio), ("spec", spec), ("catalog", b.catalog)):
             rows.write.mode("overwrite").parquet(f"{paths[table]}/first_id={first}")
+        add_empty_file(spark, f"{paths['commits']}/first_id={first}")
         batches += 1
     return batches

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from ..functions import text as X
 from ..operators import series as Q
 from ..operators import spectral as S
+from ..sinks.tables import read_latest
 from .catalog_queries import _ACCEPTED
 from .registry import register
-from .stored import audio_table, catalog_table
+from .stored import audio_table, catalog_table, chunked_audio
 from .views import v_audio, v_positions, v_signal
 
 AUDIO_RATE = 2.0                      # test-scale samples per second of v_audio
@@ -18,6 +19,7 @@ SEG_ROWS = Q.rows_per_segment(AUDIO_RATE)   # 10 rows per 5-second segment
 STEP = 3                              # the segment a seek lands on
 LOOKUP_SONG = 7
 NEWEST = 5
+CHUNK = 16   # samples per chunk of the stored layout
 PODCAST_PATH = "podcast.mp3"
 
 _MMSS = ("cast(floor({s} / 60) as bigint) || ':' || "
@@ -79,7 +81,7 @@ def seek_uri(spark, d):
 qualify row_number() over (partition by song_id order by timeseries desc) <= {NEWEST}
 order by song_id, timeseries desc""")
 def latest_samples(spark, d):
-    return Q.latest_samples(audio_table(spark, d), NEWEST)
+    return read_latest(spark, chunked_audio(spark, d, CHUNK), NEWEST)
 
 
 @register("points_per_song", "select song_id, cast(count(*) as bigint) as n_points from v_audio group by song_id")

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ..operators import catalog as C
 from ..operators import spectral as S
 from ..session import folder_version, scratch_path
-from ..sinks.tables import write_clustered
+from ..sinks.tables import write_chunked, write_clustered
 from .views import v_audio, v_catalog, v_signal
 
 _PATHS: dict[tuple[str, str, str, str], str] = {}
@@ -46,6 +46,16 @@ def audio_table(spark: SparkSession, d: str) -> DataFrame:
     return stored(spark, d, "audio", v_audio)
 
 
+def chunked_audio(spark: SparkSession, d: str, chunk_size: int) -> str:
+    """Path of the samples laid out by ordinal chunk, with the rows per song and chunk beside it."""
+    k = (spark.sparkContext.applicationId, d, f"chunked-{chunk_size}", folder_version(spark, d))
+    if k not in _PATHS:
+        path = scratch_path(spark, "table-chunked")
+        write_chunked(v_audio(spark, d), path, chunk_size)
+        _PATHS[k] = path
+    return _PATHS[k]
+
+
 def spec_table(spark: SparkSession, d: str, p: S.MelParams = S.TEST_PARAMS) -> DataFrame:
     """(song_id, timeseries, spec1..specM) in dB, clustered by song."""
     name = f"spec-{p.n_fft}-{p.hop}-{p.n_mels}-{p.fmax}"

@@ -69,6 +69,12 @@ def child_names(spark: SparkSession, path: str) -> list[str]:
     return sorted(x.getPath().getName() for x in fs.listStatus(at)) if fs.exists(at) else []
 
 
+def add_empty_file(spark: SparkSession, path: str) -> None:
+    """Create an empty file at ``path`` (and the folders above it); one that is there stays as it is."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(at, True).close()
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     """Delete a folder with all it holds, if it is there."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)

@@ -8,10 +8,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..operators.catalog import append_new_files
+from ..operators.series import latest_samples
 from ..session import materialize, path_exists
 
 
@@ -71,8 +72,49 @@ def chunked_layout(audio: DataFrame, chunk_size: int, num_partitions: int | None
 
 
 def write_chunked(audio: DataFrame, path: str, chunk_size: int, num_partitions: int | None = None) -> None:
-    """Replace the table; one folder per ordinal chunk."""
-    chunked_layout(audio, chunk_size, num_partitions).write.mode("overwrite").partitionBy("chunk").parquet(path)
+    """Replace the table; one folder per ordinal chunk. Beside it (``<path>-counts``) goes the table
+    of rows per song and chunk that newest-first reads start from."""
+    laid = chunked_layout(audio, chunk_size, num_partitions)
+    laid.write.mode("overwrite").partitionBy("chunk").parquet(path)
+    stored = audio.sparkSession.read.schema(laid.schema).parquet(path)   # an empty table has no file to ask
+    counts = stored.groupBy("song_id", "chunk").agg(F.count(F.lit(1)).alias("n"))
+    counts.write.mode("overwrite").parquet(f"{path}-counts")
+
+
+def newest_chunks(counts: DataFrame, k: int) -> DataFrame:
+    """(song_id, chunk): the chunks that hold the k newest samples of each song.
+
+    Every counted chunk holds a sample, so a song's k newest chunks suffice (group limit: at most
+    k rows per song and task are shuffled); of these, the ones before which fewer than k samples lie."""
+    newest = Window.partitionBy("song_id").orderBy(F.col("chunk").desc())
+    before = F.sum("n").over(newest.rowsBetween(Window.unboundedPreceding, -1))
+    top = counts.withColumn("__rn", F.row_number().over(newest)).where(F.col("__rn") <= k)
+    return (top.withColumn("__before", F.coalesce(before, F.lit(0))).where(F.col("__before") < k)
+            .select("song_id", "chunk"))
+
+
+def read_latest(spark: SparkSession, path: str, k: int, song_id: int | None = None) -> DataFrame:
+    """The k newest samples of every song (or of one) from a chunked table, newest first.
+
+    Only folders that hold such samples are scanned: their numbers, at most one per folder, go
+    into the partition filter. ``song_id`` is pushed to the row groups. Within the folders a semi
+    join keeps each song's own chunks. Gaps in the ordinals and missing song ids are allowed; an
+    empty table gives no rows of (song_id, timeseries, intensity)."""
+    counts = spark.read.parquet(f"{path}-counts")
+    if counts.isEmpty():
+        return counts.select("song_id", F.lit(0).cast("bigint").alias("timeseries"), F.lit(0).cast("float").alias("intensity"))
+    audio = spark.read.parquet(path)
+    if song_id is not None:
+        one = F.col("song_id") == F.lit(song_id).cast("bigint")
+        counts, audio = counts.where(one), audio.where(one)
+    need = materialize(newest_chunks(counts, k), "newest")
+    chunks = [r.chunk for r in need.select("chunk").distinct().collect()]
+    named = F.col("chunk").isin(sorted(c for c in chunks if c is not None))
+    audio = audio.where(named | F.col("chunk").isNull() if None in chunks else named)
+    need = need.select(F.col("song_id").alias("__song"), F.col("chunk").alias("__chunk"))
+    own = audio.join(need, F.col("song_id").eqNullSafe(F.col("__song"))
+                     & F.col("chunk").eqNullSafe(F.col("__chunk")), "left_semi")
+    return latest_samples(own.drop("chunk"), k)
 
 
 def append_catalog(spark: SparkSession, path: str, listing: DataFrame, key: str = "s3_key",

@@ -1,12 +1,14 @@
 """Ingest from generated WAV files: listing, header, decode, numbering, limits, sinks."""
 
 import os
+import re
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from sonara.operators import ingest as I
+from sonara.operators import series as Q
 from sonara.operators import spectral as S
 from sonara.sinks import tables as K
 from sonara.sources.objects import list_objects, relative_key
@@ -116,6 +118,79 @@ def test_chunked_layout_round_trip(spark, tmp_dir):
     assert back.where("chunk = 2").agg(F.min("timeseries"), F.max("timeseries")).first() == (32, 47)
 
 
+def test_newest_samples_read_only_their_chunks(spark, tmp_dir):
+    """Songs of many lengths, with gaps, a song without id and one longer than all others together:
+    the same rows as from the whole table, and only the folders that hold them are scanned."""
+    rows = [(s, t) for s, n in ((1, 900), (2, 40), (3, 3), (4, 17)) for t in range(n)]
+    rows += [(5, t) for t in (0, 1, 2, 130, 700)] + [(None, t) for t in range(66)]
+    audio = spark.createDataFrame(rows, "song_id bigint, timeseries bigint").withColumn(
+        "intensity", (F.col("timeseries") * 0.5).cast("float"))
+    p = os.path.join(tmp_dir, "newest")
+    K.write_chunked(audio, p, 16)
+    for k in (1, 4, 20):
+        got, want = K.read_latest(spark, p, k), Q.latest_samples(audio, k)
+        assert got.collect() == want.collect() and got.columns == want.columns
+    chunks = {t // 16 for t in (899, 898, 39, 38, 2, 1, 16, 15, 700, 130, 65, 64)}
+    read = K.read_latest(spark, p, 2)
+    assert {int(f.split("/chunk=")[1].split("/")[0]) for f in read.inputFiles() if "/chunk=" in f} >= chunks
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    named = re.search(r"PartitionFilters: \[chunk#\d+ IN \(([\d,]+)\)", plan).group(1)
+    assert {int(c) for c in named.split(",")} == chunks
+    one = K.read_latest(spark, p, 4, song_id=2)
+    assert [r.timeseries for r in one.collect()] == [39, 38, 37, 36]
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(song_id,2)" in plan and re.search(r"PartitionFilters: \[[^\]]*\(chunk#\d+ = 2\)", plan)
+    assert K.read_latest(spark, p, 4, song_id=77).collect() == []
+    K.write_chunked(audio.where("false"), os.path.join(tmp_dir, "none"), 16)
+    assert K.read_latest(spark, os.path.join(tmp_dir, "none"), 4).collect() == []
+
+
+def test_batch_shows_in_all_tables_or_none(spark, wav_dir, tmp_dir, monkeypatch):
+    """A run that breaks off before or after any of its writes: readers see the tables of the last
+    complete batch, and the next run ends with what one unbroken run writes."""
+    from pyspark.sql.readwriter import DataFrameWriter
+    p = S.MelParams(n_fft=256, hop=64, n_mels=16)
+    whole = os.path.join(tmp_dir, "unbroken")
+    I.ingest_batches(spark, wav_dir, whole, 2, p)
+    write = DataFrameWriter.parquet
+
+    def ids(out):
+        found = [I.read_ingested(spark, out, t) for t in I.TABLES]
+        return [None if f is None else sorted(int(r.song_id) for r in f.select("song_id").distinct().collect()) for f in found]
+
+    def stop_at(table, after):
+        def parquet(self, path, *args, **kwargs):
+            if path.endswith(f"/{table}/first_id=3"):
+                if after:
+                    write(self, path, *args, **kwargs)
+                raise RuntimeError("lost")
+            return write(self, path, *args, **kwargs)
+        return parquet
+
+    for n, (table, after) in enumerate([("audio", False), ("audio", True), ("spec", True), ("catalog", True)]):
+        out = os.path.join(tmp_dir, f"broken{n}")
+        assert ids(out) == [None, None, None]
+        monkeypatch.setattr(DataFrameWriter, "parquet", stop_at(table, after))
+        with pytest.raises(RuntimeError, match="lost"):
+            I.ingest_batches(spark, wav_dir, out, 2, p)
+        monkeypatch.setattr(DataFrameWriter, "parquet", write)
+        assert I.committed_batches(spark, out) == [1]
+        assert ids(out) == [[1, 2]] * 3
+        assert I.ingest_batches(spark, wav_dir, out, 2, p) == 1
+        for t in I.TABLES:
+            got, want = I.read_ingested(spark, out, t), I.read_ingested(spark, whole, t)
+            assert got.exceptAll(want).count() == 0 and got.count() == want.count()
+
+
+def test_tables_written_before_the_log_are_taken_over(spark, wav_dir, tmp_dir):
+    p = S.MelParams(n_fft=256, hop=64, n_mels=16)
+    out = os.path.join(tmp_dir, "older")
+    assert I.ingest_batches(spark, wav_dir, out, 3, p) == 2
+    os.rename(f"{out}/catalog-commits", f"{out}/set-aside")
+    assert I.ingest_batches(spark, wav_dir, out, 3, p) == 0
+    assert I.committed_batches(spark, out) == [1, 4]
+
+
 def test_ingest_batches_equal_one_run(spark, wav_dir, tmp_dir):
     p = S.MelParams(n_fft=256, hop=64, n_mels=16)
     out = os.path.join(tmp_dir, "batched")
