@@ -10,8 +10,10 @@ every token reaches the network, as input and as what is predicted. A gated recu
 the ids; the output softmax is factored into P(class | state) times P(id | class, state). Inside
 its rare id a word has its smoothed count share, so the probabilities of all words sum to one. Training is truncated back-propagation over
 ``STEPS``-token windows with the state carried on inside a document, up to a cut between lanes. In each of two rounds every task trains on
-its own documents from the same start and the weights are averaged (a tree of sums); the
-first round takes an eighth of the documents, the second the others, so each is used once.
+its own documents from the same start and the weights are averaged, block by block; the
+first round takes an eighth of the documents, the second the others, so each is used once. There
+are at most as many tasks as give each ``SHARE`` times the bytes of the weights to read, so the
+weights sent stay below the ids read, however the network grows.
 
 Scoring carries the state from a document's first token to its end.
 
@@ -39,6 +41,8 @@ LOOKUP_WORDS, MODEL_WORDS = 200_000, 512  # MODEL_WORDS: at least, see network_s
 RARE = 256  # ids that the words without an id of their own share
 STATE, CLASS_WORDS, STEPS, LANES = 8, 32, 12, 1024  # STATE, CLASS_WORDS: at least
 BLOCK = 2048  # rows of one softmax over the classes: its table stays in the cache
+SHARE = 2  # bytes of ids that a training task reads, in sizes of the weights
+WEIGHT_BLOCK = 1 << 16  # weights that are summed as one row
 RATE = 0.05
 LARGEST = 5.0  # weights stay within this (or less, see limit), so no exponential overflows
 
@@ -372,12 +376,22 @@ def _ids(column, model_words: int) -> list[np.ndarray]:
     return [np.frombuffer(x.as_buffer(), dtype=id_type(model_words)) for x in column]
 
 
+def training_tasks(id_bytes: int, weight_bytes: int) -> int:
+    """Tasks of a round: each reads at least ``SHARE`` times the bytes of the weights that it sends."""
+    return max(1, id_bytes // (SHARE * weight_bytes))
+
+
 def train(coded: DataFrame, words: int, state: int = STATE) -> dict[str, np.ndarray]:
-    """Weights after both rounds. Only one averaged vector, the size of the network, reaches the driver."""
+    """Weights after both rounds. Tasks send theirs in blocks that are summed by number; the driver
+    gets one averaged vector, the size of the network."""
     sc = coded.sparkSession.sparkContext
     weights = start_weights(words + RARE, state)
     early = F.pmod(F.xxhash64(F.lit(11), "row"), F.lit(8)) == 0
-    for part in (early, ~early):
+    used = coded.where(learned(F.col("doc_id")))
+    bytes_of = {r["early"]: r["n"] for r in used.groupBy(early.alias("early")).agg(F.sum(F.octet_length("ids")).alias("n")).collect()}
+    for first, part in ((True, early), (False, ~early)):
+        if not bytes_of.get(first):
+            continue
         sent = sc.broadcast(weights)
 
         def run(batches, sent=sent):
@@ -386,14 +400,23 @@ def train(coded: DataFrame, words: int, state: int = STATE) -> dict[str, np.ndar
                 docs = _ids(b.column(0), words)
                 for s in slices(docs, 1 << 21):
                     trainer.train(docs[s])
-            yield pa.RecordBatch.from_pydict({"n": pa.array([trainer.tokens], pa.int64()),
-                                              "w": pa.array([flat(trainer.w).astype(np.float64).tobytes()], pa.binary())})
-
-        tasks = coded.where(learned(F.col("doc_id")) & part).select("ids").mapInArrow(run, "n long, w binary")
-        add = lambda a, b: (a[0] + b[0], a[1] + b[1])
-        sums = tasks.rdd.map(lambda r: (r["n"], np.frombuffer(r["w"]) * r["n"])).treeAggregate((0, 0.0), add, add, depth=3)
-        if sums[0]:
-            weights = shaped(sums[1] / sums[0], weights)
+            if trainer.tokens:
+                w = flat(trainer.w)
+                for k, lo in enumerate(range(0, len(w), WEIGHT_BLOCK)):
+                    yield pa.RecordBatch.from_pydict({"block": pa.array([k]), "n": pa.array([trainer.tokens], pa.int64()),
+                                                      "w": pa.array([w[lo:lo + WEIGHT_BLOCK].tobytes()], pa.binary())})
+
+        def weighted(r):
+            return r["block"], (r["n"], np.frombuffer(r["w"], np.float32) * np.float32(r["n"]))
+
+        def add(a, b):
+            return a[0] + b[0], a[1] + b[1]
+
+        tasks = training_tasks(bytes_of[first], 4 * len(flat(weights)))
+        rows = used.where(part).select("ids").coalesce(tasks).mapInArrow(run, "block long, n long, w binary")
+        blocks = -(-len(flat(weights)) // WEIGHT_BLOCK)
+        sums = rows.rdd.map(weighted).reduceByKey(add, min(blocks, tasks)).collect()
+        weights = shaped(np.concatenate([w / n for _, (n, w) in sorted(sums, key=lambda x: x[0])]), weights)
     return weights
 
 

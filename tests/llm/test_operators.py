@@ -537,3 +537,66 @@ def test_lm_training_clears_the_state_where_a_document_begins_inside_a_window():
     both = gru_lm.Trainer(w).window(zero, np.array([[70], [3], [70], [4]]), np.array([[3], [9], [4], [8]]))
     alone = gru_lm.Trainer(w).window(zero, np.array([[70], [4]]), np.array([[4], [8]]))
     assert np.allclose(both, alone)
+
+
+def test_lm_gradients_equal_differences_of_the_loss():
+    r = np.random.default_rng(3)
+    w = {k: x.astype(np.float64) for k, x in gru_lm.start_weights(40, 4).items()}
+    xs = r.integers(0, 40, (5, 6))
+    xs[0] = xs[3, 2] = len(w["x"]) - 1  # documents begin
+    ys = r.integers(0, 40, (5, 6))
+    ys[4, 5] = -1
+
+    def loss(w):
+        h, out = np.zeros((6, 4)), 0.0
+        for x, y in zip(xs, ys):
+            h, _ = gru_lm.gates(w, h * (x != len(w["x"]) - 1)[:, None], x)
+            out -= gru_lm.log_probability(w, h[y >= 0], y[y >= 0]).sum()
+        return out * 32 / (ys >= 0).sum()
+
+    trainer = gru_lm.Trainer(w)
+    trainer.window(np.zeros((6, 4)), xs, ys)
+    for k in w:
+        step = (w[k] - trainer.w[k]) * np.sqrt(trainer.seen[k].astype(np.float64)) / gru_lm.RATE
+        for at in zip(*(r.integers(0, n, 12) for n in w[k].shape)):
+            ends = []
+            for d in (1e-5, -1e-5):
+                moved = {n: v.copy() for n, v in w.items()}
+                moved[k][at] += d
+                ends.append(loss(moved))
+            slope = np.clip((ends[0] - ends[1]) / 2e-5, -1, 1)
+            assert abs(step[at] - slope) < 1e-3 + 1e-3 * abs(slope), (k, at)
+
+
+@pytest.mark.parametrize("tasks", [1, 3])
+def test_lm_training_averages_what_its_tasks_learned(spark, tasks, monkeypatch):
+    r = np.random.default_rng(8)
+    rows = [(i, i if i % 5 else None, r.integers(0, 30, 40 + i).astype(np.uint16).tobytes()) for i in range(60)]
+    coded = spark.createDataFrame(rows, "row long, doc_id long, ids binary").repartition(3, "row")
+    coded = gru_lm.staged(coded.sortWithinPartitions("row"), "coded")
+    monkeypatch.setattr(gru_lm, "training_tasks", lambda *_: tasks)
+    monkeypatch.setattr(gru_lm, "WEIGHT_BLOCK", 1000)
+    got = gru_lm.train(coded, 20)
+    want = gru_lm.start_weights(20 + gru_lm.RARE, gru_lm.STATE)
+    F = gru_lm.F
+    early = F.pmod(F.xxhash64(F.lit(11), "row"), F.lit(8)) == 0
+    for part in (early, ~early):
+        dealt = coded.where(gru_lm.learned(F.col("doc_id")) & part).select("ids").coalesce(tasks)
+        groups: dict = {}
+        for x in dealt.select("ids", F.spark_partition_id().alias("p")).collect():
+            groups.setdefault(x["p"], []).append(np.frombuffer(x["ids"], np.uint16))
+        learned = []
+        for docs in groups.values():
+            trainer = gru_lm.Trainer(want)
+            trainer.train(docs)
+            learned.append((trainer.tokens, gru_lm.flat(trainer.w)))
+        assert sum(n for n, _ in learned) == sum(len(d) for docs in groups.values() for d in docs)
+        want = gru_lm.shaped(sum(n * v for n, v in learned) / sum(n for n, _ in learned), want)
+    assert all(np.allclose(got[k], want[k], atol=1e-5) for k in want)
+
+
+def test_lm_training_tasks_send_less_than_they_read():
+    for ids, weights in ((0, 10**5), (10**6, 10**6), (2 * 10**8, 3 * 10**6), (10**13, 5 * 10**7)):
+        tasks = gru_lm.training_tasks(ids, weights)
+        assert tasks == 1 or tasks * weights * gru_lm.SHARE <= ids
+    assert gru_lm.training_tasks(10**13, 5 * 10**7) == 10**5
