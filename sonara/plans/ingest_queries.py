@@ -16,8 +16,9 @@ from ..operators import spectral as S
 from ..session import scratch_path
 from ..sinks import tables as K
 from ..sources.objects import list_objects as _list, relative_key, scan_binary as _scan
+from ..sources.paged import list_in_pages
 from ..sources.wav import export_wav, file_heads
-from ..streaming.ingest import ingest_stream as _ingest_stream
+from ..streaming.ingest import ingest_pages as _ingest_pages, ingest_stream as _ingest_stream
 from .catalog_queries import _ACCEPTED, _STRING_COLS, records
 from .registry import register
 from .spectral_sql import ctes
@@ -51,6 +52,15 @@ def list_objects(spark, d):
     return _list(spark, root).select(relative_key("path", root).alias("s3_key"), "length")
 
 
+@register("list_pages", f"select {_KEY} as s3_key, cast(44 + 2 * len(samples) as bigint) as length from v_signal")
+def list_pages(spark, d):
+    """SRC-01 in pages: every key once, whatever the number of rounds."""
+    out = scratch_path(spark, "listed")
+    list_in_pages(spark, wav_folder(spark, d), scratch_path(spark, "listing"),
+                  lambda page: page.write.mode("append").parquet(out))
+    return spark.read.parquet(out).select("s3_key", "length")
+
+
 @register("scan_binary", f"""select {_KEY} as s3_key, cast(44 + 2 * len(samples) as bigint) as length,
 '5249464657415645' as magic from v_signal""")
 def scan_binary(spark, d):
@@ -143,3 +153,12 @@ def ingest_stream(spark, d):
     cat = scratch_path(spark, "catalog-stream")
     _ingest_stream(spark, root, cat, scratch_path(spark, "catalog-stream-ckpt"))
     return spark.read.parquet(cat).select("s3_key", "song_id", "channels", "samplerate", "filesize")
+
+
+@register("ingest_pages", f"""select {_KEY} as s3_key, song_id, cast(1 as bigint) as channels,
+cast(sr as bigint) as samplerate, cast(44 + 2 * len(samples) as bigint) as filesize from v_signal""")
+def ingest_pages(spark, d):
+    """STM-02 from a paged listing that keeps its position."""
+    cat = scratch_path(spark, "catalog-pages")
+    _ingest_pages(spark, wav_folder(spark, d), cat, scratch_path(spark, "catalog-pages-place"))
+    return spark.read.parquet(cat).select("s3_key", "song_id", "channels", "samplerate", "filesize")
