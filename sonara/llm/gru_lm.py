@@ -18,7 +18,8 @@ weights sent stay below the ids read, however the network grows.
 Scoring carries the state from a document's first token to its end.
 
 Defined results: null text is empty (its only token is the end); a null doc_id is not learned
-from; repeated rows are scored each; without training tokens the network is the untrained one
+from; repeated rows are counted and scored each; very long texts are scored whole, window by window; an empty
+table gives no rows; without training tokens the network is the untrained one
 and all counts are 0; other columns are ignored.
 """
 

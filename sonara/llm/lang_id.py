@@ -12,7 +12,8 @@ Every text is read whole, in pieces of bounded size whose counts add up.
 
 Defined results: null text and text without a letter get ``und`` with score 0 and are
 rejected; a fit without rows predicts ``und`` for all; rows with a null label are never
-learned from; other columns come back unchanged.
+learned from; a tie goes to the label that sorts first; a null doc_id gives a null ``held_out`` and is not
+learned from; repeated rows are predicted each; an empty table gives no rows; other columns come back unchanged.
 """
 
 from __future__ import annotations

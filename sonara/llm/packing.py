@@ -7,8 +7,8 @@ windows; a document that crosses a boundary gets one record per window it touche
 
 All sequences but the last are full, so the padding is below one window in all.
 
-Defined results: null text counts as empty (its only id is the end id); repeated rows are
-packed again; other columns are ignored; an empty table gives no pieces.
+Defined results: null text counts as empty (its only id is the end id); very long texts are
+encoded whole and lie in as many windows as they need; repeated rows are packed again; other columns are ignored; an empty table gives no pieces.
 """
 
 from __future__ import annotations

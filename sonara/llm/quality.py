@@ -11,7 +11,7 @@ Parameters are rounded to nine decimals in each step, so engines agree. All coun
 integers; the thresholds are in ``RULES``.
 
 Defined results: null or empty text has no words, fails the base rules and is not kept;
-repeated rows are counted and returned each; an empty table gives no rows; columns named in
+very long texts are taken whole; repeated rows are counted and returned each; an empty table gives no rows; columns named in
 ``keep`` come back unchanged, others are ignored.
 """
 

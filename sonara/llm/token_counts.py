@@ -5,8 +5,8 @@ the batch's distinct pre-tokens that no earlier batch had are held as ragged num
 merged together (``rank_merge``); a document's count is the sum over its pre-tokens. Special
 token strings in a text are one token each, as in the library's default.
 
-Defined results: null or empty text has 0 tokens; every other column is ignored; texts of any
-length are taken whole.
+Defined results: null or empty text has 0 tokens; repeated rows are counted each; an empty table gives
+no rows; every other column is ignored; texts of any length are taken whole.
 """
 
 from __future__ import annotations

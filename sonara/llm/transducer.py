@@ -11,8 +11,8 @@
 Decoding maps ids to bytes and reads them as UTF-8 (undecodable bytes become U+FFFD).
 
 Defined results: null text encodes as the empty text; special token strings in a text become
-their ids, as in the library's default; other columns are ignored; an empty corpus gives an
-empty lexicon, and texts are never cut.
+their ids, as in the library's default; repeated rows count again for the lexicon and give a row each;
+other columns are ignored; an empty corpus gives an empty lexicon, and texts are never cut.
 """
 
 from __future__ import annotations
