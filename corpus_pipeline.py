@@ -1,7 +1,12 @@
 """A corpus pipeline: quality rules, language identification, near-duplicates, packing.
 
 Each stage takes (spark, docs, sf_dir) and works on all that its predecessor kept; ``run``
-writes every stage's result as Parquet to the shared folder and rereads it."""
+writes every stage's result as Parquet to the shared folder and rereads it.
+
+Defined results: documents with null or empty text fail the quality rules' base and go, those without a
+letter go with the languages; of repeated rows, copies and near copies one row stays, the one of the
+smallest doc_id (null ids last; ties by place in the table); very long texts are taken whole; extra columns are
+carried to the last stage; an empty table gives no pieces."""
 
 from __future__ import annotations
 
