@@ -7,8 +7,9 @@ words are joined with the whole count table, so every count is exact at any voca
 Network. The most frequent words have ids of their own; their number and the state grow with the
 measured vocabulary (``network_size``). All others share ``RARE`` ids by the hash of the word, so
 every token reaches the network, as input and as what is predicted. A gated recurrent unit reads
-the ids; the output softmax is factored into P(class | state) times P(id | class, state). Inside
-its rare id a word has its smoothed count share, so the probabilities of all words sum to one. Training is truncated back-propagation over
+the ids. The output is a tree: P(class | state) times P(slot | class, state); frequent words and shared
+ids have a slot of their own, in another slot P(place | slot, state) tells its words apart. Each level has
+about a cube root of the ids as choices, so a token's work grows with that root. Inside its rare id a word has its smoothed count share, so the probabilities of all words sum to one. Training is truncated back-propagation over
 ``STEPS``-token windows with the state carried on inside a document, up to a cut between lanes. In each of two rounds every task trains on
 its own documents from the same start and the weights are averaged, block by block; the
 first round takes an eighth of the documents, the second the others, so each is used once. There
@@ -26,7 +27,6 @@ and all counts are 0; other columns are ignored.
 from __future__ import annotations
 
 import math
-import re
 import zlib
 
 import numpy as np
@@ -34,13 +34,15 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
-from .common import LOWER, UPPER, WORD, staged
+from .common import staged
 from .token_counts import slices
 
 END = " "  # no word has a space
 LOOKUP_WORDS, MODEL_WORDS = 200_000, 512  # MODEL_WORDS: at least, see network_size
 RARE = 256  # ids that the words without an id of their own share
-STATE, CLASS_WORDS, STEPS, LANES = 8, 32, 12, 1024  # STATE, CLASS_WORDS: at least
+STATE, STEPS, LANES = 8, 12, 1024  # STATE: at least
+BRANCH, FIRST, TILE = 1.16, 128, 8  # of the tree: width per cube root of the ids, words before the shared ids, rows of a tile
+SCORE_LANES, SCORE_TOKENS = 2048, 1 << 14  # documents and tokens that are scored side by side
 BLOCK = 2048  # rows of one softmax over the classes: its table stays in the cache
 SHARE = 2  # bytes of ids that a training task reads, in sizes of the weights
 WEIGHT_BLOCK = 1 << 16  # weights that are summed as one row
@@ -61,19 +63,44 @@ def limit(state: int) -> float:
 
 # ---- the network --------------------------------------------------------------------------
 
+def shape_of(ids: int) -> tuple[int, int, int, int]:
+    """Classes (and slots of each), slots that hold an id, groups in the other slots, places of a group."""
+    b = max(4, round(BRANCH * ids ** (1 / 3)))
+    leaves = min(ids, b * b // 2)
+    groups = max(1, min(b * b - leaves, ids - leaves))
+    return b, leaves, groups, max(1, -(-(ids - leaves) // groups))
+
+
+def codes(w: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """(slot, place in its group) of each id: frequent words and shared ids have slots of their own, other words a group's place."""
+    ids = len(w["x"]) - 1
+    _, leaves, _, size = shape_of(ids)
+    words = max(0, ids - RARE)
+    first = min(FIRST, words)
+    order = np.concatenate([np.arange(1, first + 1), [0], np.arange(words + 1, ids), np.arange(first + 1, words + 1)])
+    at = np.empty(ids, np.int64)
+    at[order] = np.arange(ids)
+    behind = np.maximum(at - leaves, 0)
+    slot = np.where(at < leaves, at, leaves + behind // size)
+    return slot.astype(np.uint16 if slot.max() < 1 << 16 else np.int64), behind % size  # 16 bits: sorted by radix
+
+
 def start_weights(ids: int, state: int = STATE, seed: int = 5) -> dict[str, np.ndarray]:
-    """``ids``: rare id 0, model words, other rare ids. Id i > 0 is number (i - 1) % size of class 1 + (i - 1) // size."""
+    """``ids``: rare id 0, model words, other rare ids; where each lies in the tree: ``codes``."""
     r = np.random.default_rng(seed)
-    size = max(CLASS_WORDS, math.isqrt(ids))  # about as many classes as places in one
-    classes = 1 + -(-(ids - 1) // size)
-    shapes = {"x": (ids + 1, 3 * state), "u": (state, 3 * state), "b": (3 * state,), "c": (state, classes), "cb": (classes,),
-              "w": (classes, state, size), "wb": (classes, size)}  # the last row of x: no token yet
+    b, leaves, groups, size = shape_of(ids)
+    shapes = {"x": (ids + 1, 3 * state), "u": (state, 3 * state), "b": (3 * state,), "c": (state, b), "cb": (b,),
+              "w": (b, state, b), "wb": (b, b), "v": (groups, state, size), "vb": (groups, size)}  # the last row of x: no token yet
     out = {k: (r.standard_normal(s) * 0.1).astype(np.float32) for k, s in shapes.items()}
-    for k in ("b", "cb", "wb"):
+    for k in ("b", "cb", "wb", "vb"):
         out[k][:] = 0
-    last = (ids - 1) % size
-    if last and classes > 1:
-        out["wb"][-1, last:] = -30  # places of the last class that no word has
+    slot, place = codes(out)
+    for k, used in (("wb", slot), ("vb", ((slot.astype(np.int64) - leaves) * size + place)[slot >= leaves])):
+        free = np.ones(out[k].size, bool)
+        free[used] = False
+        out[k].reshape(-1)[free] = -30  # slots and places that no word has
+    free = np.bincount(slot // b, minlength=b) == 0
+    out["cb"][free] = -30
     return out
 
 
@@ -89,18 +116,50 @@ def shaped(v: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     return out
 
 
+def _gates(u, b, h, g):
+    """One step, a lane per column, from inputs ``g`` (overwritten): new state and what the backward pass needs."""
+    n = len(h)
+    hu = u @ h
+    g += b
+    rz = g[:2 * n]
+    rz += hu[:2 * n]
+    rz *= 0.5
+    np.tanh(rz, out=rz)
+    rz *= 0.5
+    rz += 0.5
+    r, z, c, hn = rz[:n], rz[n:], g[2 * n:], hu[2 * n:]
+    c += r * hn
+    np.tanh(c, out=c)
+    new = h - c
+    new *= z
+    new += c
+    return new, (r, z, c, hn)
+
+
 def gates(w, h, x):
-    """One step: new state and what the backward pass needs."""
-    n = h.shape[1]
-    g, hu = w["x"][x] + w["b"], h @ w["u"]
-    rz = 0.5 * np.tanh(0.5 * (g[:, :2 * n] + hu[:, :2 * n])) + 0.5
-    r, z = rz[:, :n], rz[:, n:]
-    c = np.tanh(g[:, 2 * n:] + r * hu[:, 2 * n:])
-    return c + z * (h - c), (r, z, c, hu[:, 2 * n:])
+    """One step, a lane per row: new state and what the backward pass needs."""
+    new, kept = _gates(w["u"].T, w["b"][:, None], h.T, w["x"][x].T.copy())
+    return new.T, kept
 
 
-def class_of(y: np.ndarray, size: int) -> np.ndarray:
-    return np.where(y > 0, 1 + (y - 1) // size, 0).astype(np.int16)  # 16 bits: sorted by radix
+def _summed(a: np.ndarray) -> np.ndarray:
+    return np.ones(len(a), a.dtype) @ a
+
+
+def _runs(k: np.ndarray, count: int) -> list[tuple[int, int, int]]:
+    """(value, start, end) of the values below ``count`` in sorted ``k``."""
+    cuts = np.searchsorted(k, np.arange(count + 1)).tolist()
+    return [(c, a, b) for c, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+
+
+def _tiles(group: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows sorted by group in tiles of ``TILE`` rows of one group: each row's place, each tile's group and its number in the group."""
+    n = np.bincount(group, minlength=groups)
+    tiles = -(-n // TILE)
+    first = np.cumsum(tiles) - tiles
+    row = np.arange(len(group)) + (first * TILE - (np.cumsum(n) - n))[group]
+    of = np.repeat(np.arange(groups), tiles)
+    return row, of, np.arange(len(of)) - first[of]
 
 
 def _picked(a: np.ndarray, k: np.ndarray) -> np.ndarray:
@@ -109,26 +168,44 @@ def _picked(a: np.ndarray, k: np.ndarray) -> np.ndarray:
     return at - np.log(np.exp(a, out=a) @ np.ones(a.shape[1], a.dtype))
 
 
-def _shares(a: np.ndarray) -> np.ndarray:
+def _errors(a: np.ndarray, k: np.ndarray, scale) -> np.ndarray:
+    """``scale`` times the gradient of -ln softmax of each row at its place k."""
     np.exp(a, out=a)
-    a /= (a @ np.ones(a.shape[1], a.dtype))[:, None]
+    a *= (scale / (a @ np.ones(a.shape[1], a.dtype)))[:, None]
+    a[np.arange(len(k)), k] -= scale
     return a
 
 
-def log_probability(w, h, y) -> np.ndarray:
-    """ln P(y | h) of ids; for the rare id that of its class."""
-    size = w["wb"].shape[1]
-    k = class_of(y, size)
+def log_probability(w, h, y, code=None) -> np.ndarray:
+    """ln P(y | h) of ids; for a shared id that of all its words."""
+    b, leaves, groups, _ = shape_of(len(w["x"]) - 1)
+    slots, places = code or codes(w)
+    order = np.argsort(slots[y], kind="stable")
+    h, y = h[order], y[order]
+    slot = slots[y].astype(np.int64)
+    k = slot // b
     out = np.empty(len(y), h.dtype)
     for a in range(0, len(y), BLOCK):
         out[a:a + BLOCK] = _picked(h[a:a + BLOCK] @ w["c"] + w["cb"], k[a:a + BLOCK])
-    order = np.argsort(k, kind="stable")
-    cuts = np.searchsorted(k[order], np.arange(1, w["c"].shape[1] + 1))
-    for c, (a, b) in enumerate(zip(cuts, np.append(cuts[1:], len(y))), start=1):
-        if a < b:
-            i = order[a:b]
-            out[i] += _picked(h[i] @ w["w"][c] + w["wb"][c], (y[i] - 1) % size)
-    return out
+    slot_in = slot % b
+    for c, lo, hi in _runs(k, b):
+        for i in (slice(a, min(hi, a + BLOCK)) for a in range(lo, hi, BLOCK)):
+            out[i] += _picked(h[i] @ w["w"][c] + w["wb"][c], slot_in[i])
+    deep = int(np.searchsorted(slot, leaves))
+    step = TILE * BLOCK // 4
+    for lo in range(deep, len(y), step):
+        i = slice(lo, lo + step)
+        row, of, _ = _tiles(slot[i] - leaves, groups)
+        a = np.zeros((len(of) * TILE, h.shape[1]), h.dtype)
+        a[row] = h[i]
+        a = a.reshape(len(of), TILE, -1) @ w["v"][of]
+        a += w["vb"][of][:, None]
+        a = a.reshape(len(of) * TILE, -1)
+        at = a[row, places[y[i]]]
+        out[i] += at - np.log((np.exp(a, out=a) @ np.ones(a.shape[1], a.dtype))[row])
+    back = np.empty_like(out)
+    back[order] = out
+    return back
 
 
 class Trainer:
@@ -137,74 +214,127 @@ class Trainer:
     def __init__(self, w: dict[str, np.ndarray]):
         self.w = {k: v.copy() for k, v in w.items()}
         self.seen = {k: np.full(v.shape, 1e-3, np.float32) for k, v in w.items()}
+        self.code = codes(w)
         self.tokens = 0
 
+    def step(self, k: str, v: np.ndarray, rows: np.ndarray | None = None) -> None:
+        """Adagrad with the gradient ``v`` (overwritten) of the given rows of weights ``k``, or of all."""
+        most = limit(self.w["u"].shape[0])
+        least = -30 if k in ("cb", "wb", "vb") else -most
+        some = max(1, (1 << 15) * len(v) // v.size)  # rows at a time: they stay in the cache
+        for lo in range(0, len(v), some):
+            at = slice(lo, lo + some) if rows is None else rows[lo:lo + some]
+            d, w, seen = v[lo:lo + some], self.w[k][at], self.seen[k][at]
+            np.clip(d, -1, 1, out=d)
+            seen += d * d
+            d *= RATE
+            d /= np.sqrt(seen)
+            w -= d
+            if k != "x":
+                np.clip(w, least, most, out=w)
+            if rows is not None:
+                self.w[k][at], self.seen[k][at] = w, seen
+
+    def output(self, a: np.ndarray, t: np.ndarray, scale) -> np.ndarray:
+        """Trains the tree on states ``a`` (rows) and the ids ``t`` that followed; the states' gradients."""
+        w, (slots, places) = self.w, self.code
+        b, leaves, groups, size = shape_of(len(w["x"]) - 1)
+        order = np.argsort(slots[t], kind="stable")
+        a, t = a[order], t[order]
+        slot = slots[t].astype(np.int64)
+        k, slot_in = slot // b, slot % b
+        g = {n: np.zeros_like(w[n]) for n in ("c", "cb", "w", "wb")}
+        da = np.empty_like(a)
+        for lo in range(0, len(t), BLOCK):
+            i = slice(lo, lo + BLOCK)
+            p = _errors(a[i] @ w["c"] + w["cb"], k[i], scale)
+            g["c"] += a[i].T @ p
+            g["cb"] += _summed(p)
+            np.matmul(p, w["c"].T, out=da[i])
+        for c, lo, hi in _runs(k, b):
+            i = slice(lo, hi)
+            q = _errors(a[i] @ w["w"][c] + w["wb"][c], slot_in[i], scale)
+            g["w"][c], g["wb"][c] = a[i].T @ q, _summed(q)
+            da[i] += q @ w["w"][c].T
+        deep = int(np.searchsorted(slot, leaves))
+        if deep < len(t):
+            row, of, nth = _tiles(slot[deep:] - leaves, groups)
+            tall = np.zeros((len(of) * TILE, a.shape[1]), a.dtype)
+            tall[row] = a[deep:]
+            tall = tall.reshape(len(of), TILE, -1)
+            v = w["v"][of]
+            q = tall @ v
+            q += w["vb"][of][:, None]
+            q = q.reshape(len(of) * TILE, size)
+            np.exp(q, out=q)
+            by = np.zeros(len(q), q.dtype)  # 0 for rows that fill a tile up
+            by[row] = scale / (q @ np.ones(size, q.dtype))[row]
+            q *= by[:, None]
+            q[row, places[t[deep:]]] -= scale
+            q = q.reshape(len(of), TILE, size)
+            da[deep:] += (q @ v.transpose(0, 2, 1)).reshape(len(of) * TILE, -1)[row]
+            used, tile = np.unique(of, return_index=True)
+            for name, d in (("v", tall.transpose(0, 2, 1) @ q), ("vb", np.ones(TILE, q.dtype) @ q)):
+                self.step(name, _gathered(d, np.arange(len(of)), tile), used)
+        for n, v in g.items():
+            self.step(n, v)
+        out = np.empty_like(da)
+        out[order] = da
+        return out
+
     def window(self, h: np.ndarray, xs: np.ndarray, ys: np.ndarray) -> np.ndarray:
         """xs, ys: (steps, lanes), -1 where a lane has no token. The state after the window."""
-        w, steps, most = self.w, len(xs), limit(h.shape[1])
-        states, kept = [h], []
-        inside = (xs != len(w["x"]) - 1)[:, :, None]  # not a document's first token
-        for x, i in zip(xs, inside):
-            before = states[-1] * i
-            new, k = gates(w, before, x)
-            states.append(new)
+        w, steps, (lanes, n) = self.w, len(xs), h.shape
+        u, b, x = np.ascontiguousarray(w["u"].T), w["b"][:, None].copy(), xs.ravel()
+        g_in = w["x"][x]
+        state, states, kept = np.ascontiguousarray(h.T), [], []
+        inside = xs != len(w["x"]) - 1  # not a document's first token
+        whole = inside.all(axis=1)
+        for s in range(steps):
+            before = state if whole[s] else state * inside[s]
+            state, k = _gates(u, b, before, g_in[s * lanes:(s + 1) * lanes].T.copy())
+            states.append(state)
             kept.append((*k, before))
-        hs, y = np.concatenate(states[1:]), ys.ravel()
+        hs, y = np.concatenate([s.T for s in states]), ys.ravel()
         here = np.flatnonzero(y >= 0)
-        g = {k: np.zeros_like(v) for k, v in w.items() if k not in ("x",)}
-        dh_out = np.zeros_like(hs)
-        if len(here):
-            a, t = hs[here], y[here]
-            size = w["wb"].shape[1]
-            k = class_of(t, size)
-            da = np.empty_like(a)
-            for lo in range(0, len(t), BLOCK):
-                i = slice(lo, lo + BLOCK)
-                p = _shares(a[i] @ w["c"] + w["cb"])
-                p[np.arange(len(p)), k[i]] -= 1
-                g["c"] += a[i].T @ p
-                g["cb"] += p.sum(axis=0)
-                da[i] = p @ w["c"].T
-            order = np.argsort(k, kind="stable")
-            cuts = np.searchsorted(k[order], np.arange(1, w["c"].shape[1] + 1))
-            for c, (lo, hi) in enumerate(zip(cuts, np.append(cuts[1:], len(t))), start=1):
-                if lo < hi:
-                    i = order[lo:hi]
-                    q = _shares(a[i] @ w["w"][c] + w["wb"][c])
-                    q[np.arange(hi - lo), (t[i] - 1) % size] -= 1
-                    g["w"][c], g["wb"][c] = a[i].T @ q, q.sum(axis=0)
-                    da[i] += q @ w["w"][c].T
-            dh_out[here] = da
-        dh, dg = np.zeros_like(h), []
+        scale = hs.dtype.type(32 / max(1, len(here)))  # gradients of about 32 tokens
+        if len(here) == len(y):
+            dh_out = self.output(hs, y, scale)
+        else:
+            dh_out = np.zeros_like(hs)
+            if len(here):
+                dh_out[here] = self.output(hs[here], y[here], scale)
+        dh, dg, du = np.zeros_like(state), np.empty_like(g_in), np.zeros_like(w["u"])
         for s in range(steps - 1, -1, -1):
-            lanes = len(h)
-            dh = dh + dh_out[s * lanes:(s + 1) * lanes]
+            i = slice(s * lanes, (s + 1) * lanes)
+            dh += dh_out[i].T
             r, z, c, hn, before = kept[s]
-            dc = dh * (1 - z) * (1 - c * c)
-            dz = dh * (before - c) * z * (1 - z)
-            dr = dc * hn * r * (1 - r)
-            dgate = np.concatenate([dr, dz, dc], axis=1)
-            dhu = np.concatenate([dr, dz, dc * r], axis=1)
-            g["u"] += before.T @ dhu
-            dg.append(dgate)
-            dh = (dh * z + dhu @ w["u"].T) * inside[s]
-        dg = np.concatenate(dg[::-1])
-        g["b"] = dg.sum(axis=0)
-        scale = 1.0 / max(1, len(here)) * 32  # gradients of about 32 tokens
-        for k, v in g.items():
-            v *= scale
-            np.clip(v, -1, 1, out=v)
-            self.seen[k] += v * v
-            w[k] -= RATE * v / np.sqrt(self.seen[k])
-            np.clip(w[k], -30 if k == "wb" else -most, most, out=w[k])
-        x = xs.ravel()
+            d = np.empty((3 * n, lanes), dh.dtype)
+            dc, dz, dr = d[2 * n:], d[n:2 * n], d[:n]
+            keep = 1 - z
+            np.multiply(dh, keep, out=dc)
+            dc *= 1 - c * c
+            np.subtract(before, c, out=dz)
+            dz *= dh
+            dz *= z
+            dz *= keep
+            np.multiply(dc, hn, out=dr)
+            dr *= r
+            dr *= 1 - r
+            dg[i] = d.T
+            dc *= r
+            du += before @ d.T
+            dh *= z
+            dh += w["u"] @ d
+            if not whole[s]:
+                dh *= inside[s]
+        self.step("u", du)
+        self.step("b", _summed(dg))
         order = np.argsort(x, kind="stable")
         used, first = np.unique(x[order], return_index=True)
-        v = np.clip(np.add.reduceat(dg[order], first, axis=0) * scale, -1, 1)
-        self.seen["x"][used] += v * v
-        w["x"][used] -= RATE * v / np.sqrt(self.seen["x"][used])
+        self.step("x", _gathered(dg, order, first), used)
         self.tokens += len(here)
-        return states[-1]
+        return state.T
 
     def train(self, docs: list[np.ndarray], steps: int = STEPS, lanes: int = LANES) -> None:
         """All documents once: laid end to end over the lanes, the state cleared where one begins.
@@ -213,42 +343,67 @@ class Trainer:
         start = len(self.w["x"]) - 1
         if not docs:
             return
-        y = np.concatenate(docs).astype(np.int64)
-        x = np.concatenate([np.append(start, d[:-1]) for d in docs]).astype(np.int64)
+        y = np.concatenate(docs)
+        kind = np.uint16 if start < 1 << 16 else np.int32  # 16 bits: sorted by radix
+        x = np.append(kind(start), y[:-1]).astype(kind)
+        ends = np.cumsum([len(d) for d in docs])[:-1]
+        x[ends[ends < len(x)]] = start
         lanes = max(1, min(lanes, len(y) // (4 * steps)))
         length = -(-len(y) // lanes)
         pad = lanes * length - len(y)
-        y = np.append(y, np.full(pad, -1)).reshape(lanes, length).T
-        x = np.append(x, np.full(pad, start)).reshape(lanes, length).T
+        y = np.ascontiguousarray(np.append(y.astype(np.int32), np.full(pad, -1, np.int32)).reshape(lanes, length).T)
+        x = np.ascontiguousarray(np.append(x, np.full(pad, start, kind)).reshape(lanes, length).T)
         h = np.zeros((lanes, self.w["u"].shape[0]), np.float32)
         for a in range(0, length, steps):
             h = self.window(h, x[a:a + steps], y[a:a + steps])
 
 
-def score_documents(w: dict[str, np.ndarray], docs: list[np.ndarray], steps: int = 32) -> np.ndarray:
-    """ln P of each document's ids; the state is carried from window to window."""
+def _gathered(d: np.ndarray, order: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Sums of runs of the rows ``order``: long runs one by one, the others' first rows, then second rows, and so on together."""
+    sizes = np.diff(np.append(first, len(order)))
+    out = d[order[first]]
+    long = sizes > 16
+    for i in np.flatnonzero(long):
+        out[i] = d[order[first[i]:first[i] + sizes[i]]].sum(axis=0)
+    short = np.flatnonzero((sizes > 1) & ~long)
+    for n in range(1, 16):
+        short = short[sizes[short] > n]
+        if not len(short):
+            break
+        out[short] += d[order[first[short] + n]]
+    return out
+
+
+def score_documents(w: dict[str, np.ndarray], docs: list[np.ndarray], tokens: int = SCORE_TOKENS) -> np.ndarray:
+    """ln P of each document's ids; the state is carried from window to window.
+
+    Side by side are ``SCORE_LANES`` documents of about one length; a window ends with the step that brings it to ``tokens``."""
     start, n = len(w["x"]) - 1, w["u"].shape[0]
     lengths = np.array([len(d) for d in docs], dtype=np.int64)
-    order = np.argsort(-lengths, kind="stable")
-    sizes = lengths[order]
+    by_length = np.argsort(-lengths, kind="stable")
     out = np.zeros(len(docs))
-    all_ids = np.concatenate([docs[i] for i in order]).astype(np.int64) if len(docs) else np.empty(0, np.int64)
-    first = np.cumsum(sizes) - sizes
-    h, x = np.zeros((len(docs), n), np.float32), np.full(len(docs), start)
-    for a in range(0, int(sizes[0]) if len(sizes) else 0, steps):
-        hs, ys, rows = [], [], []
-        for s in range(a, a + steps):
+    u, b, code = np.ascontiguousarray(w["u"].T), w["b"][:, None], codes(w)
+    for lo in range(0, len(docs), SCORE_LANES):
+        order = by_length[lo:lo + SCORE_LANES]
+        sizes = lengths[order]
+        all_ids = np.concatenate([docs[i] for i in order])
+        first = np.cumsum(sizes) - sizes
+        h, x = np.zeros((n, len(order)), w["u"].dtype), np.full(len(order), start)
+        hs, ys, rows, held = [], [], [], 0
+        for s in range(int(sizes[0])):
             live = int(np.searchsorted(-sizes, -s))  # documents longer than s: a prefix
-            if not live:
-                break
-            h, x = h[:live], x[:live]
-            h, _ = gates(w, h, x)
+            if live < len(x):
+                h, x = h[:, :live].copy(), x[:live]
+            h, _ = _gates(u, b, h, w["x"][x].T.copy())
             x = all_ids[first[:live] + s]
-            hs.append(h)
+            hs.append(h.T)
             ys.append(x)
             rows.append(order[:live])
-        lp = log_probability(w, np.concatenate(hs), np.concatenate(ys))
-        out += np.bincount(np.concatenate(rows), weights=lp, minlength=len(docs))
+            held += live
+            if held >= tokens or s + 1 == sizes[0]:
+                lp = log_probability(w, np.concatenate(hs), np.concatenate(ys), code)
+                out += np.bincount(np.concatenate(rows), weights=lp, minlength=len(docs))
+                hs, ys, rows, held = [], [], [], 0
     return out
 
 
@@ -258,9 +413,11 @@ def learned(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % 7 != 2, F.lit(False))
 
 
-def _words_of():
-    find, lower = re.compile(WORD).findall, str.maketrans(UPPER, LOWER)
-    return lambda t: find(t.lower() if t.isascii() else t.translate(lower))
+def _words(text: bytes | None) -> list[bytes]:
+    """Words of a text and its end. On bytes lower() takes A-Z only, split() space and \\x09-\\x0D only."""
+    out = (text or b"").lower().split()
+    out.append(END.encode())
+    return out
 
 
 def token_totals(docs: DataFrame) -> DataFrame:
@@ -269,22 +426,23 @@ def token_totals(docs: DataFrame) -> DataFrame:
     def run(batches):
         from collections import Counter
 
-        split, seen, ends = _words_of(), Counter(), 0
+        seen = Counter()
         for b in batches:
             for t in b.column(0).to_pylist():
-                seen.update(split(t or ""))
-                ends += 1
+                seen.update(_words(t))
                 if len(seen) > 300_000:
-                    yield pa.RecordBatch.from_pydict({"token": pa.array(list(seen), pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
+                    yield pa.RecordBatch.from_arrays([strings(list(seen)), pa.array(seen.values(), pa.int64())], names=["token", "n"])
                     seen.clear()
-        if ends:
-            seen[END] = ends
-        yield pa.RecordBatch.from_pydict({"token": pa.array(list(seen), pa.string()), "n": pa.array(list(seen.values()), pa.int64())})
+        yield pa.RecordBatch.from_arrays([strings(list(seen)), pa.array(seen.values(), pa.int64())], names=["token", "n"])
 
-    rows = docs.where(learned(F.col("doc_id"))).select(F.col("text").cast("string").alias("text"))
+    rows = docs.where(learned(F.col("doc_id"))).select(F.col("text").cast("string").cast("binary").alias("text"))
     return rows.mapInArrow(run, "token string, n long").groupBy("token").agg(F.sum("n").alias("c"))
 
 
+def strings(words: list[bytes]) -> pa.Array:
+    return pa.array(words, pa.binary()).cast(pa.string())
+
+
 def most_frequent(totals: DataFrame, top: int) -> list[tuple[str, int]]:
     """At most ``top`` words, most frequent first: all whose count lies above a level that fits."""
     levels = {r["level"]: r["words"] for r in totals.groupBy(F.floor(F.log2("c") * 8).cast("int").alias("level"))
@@ -324,46 +482,47 @@ def encode(docs: DataFrame, known: list[tuple[str, int]], model: list[str]) -> D
     sent = docs.sparkSession.sparkContext.broadcast((known, model))
 
     def run(batches):
+        from collections import Counter
+        from itertools import repeat
+
         known, model = sent.value
         number = {t: i + 1 for i, t in enumerate(model)}
-        place = {t: i for i, (t, _) in enumerate(known)}
+        place = {t.encode("utf-8", "surrogatepass"): i for i, (t, _) in enumerate(known)}.get
         log = np.append([math.log10(c + 1) for _, c in known], 0.0)  # last: a word to be looked up
         ids_of = np.array([number.get(t) or rare_id(t, len(model)) for t, _ in known] + [0], dtype=id_type(len(model)))
-        own = np.array([t in number for t, _ in known] + [False])
-        none, end = len(known), place.get(END, -1)
-        split, part, row = _words_of(), TaskContext.get().partitionId(), 0
+        rare_log = np.where(np.array([t in number for t, _ in known] + [False]), 0.0, log)
+        none = len(known)
+        part, row = TaskContext.get().partitionId(), 0
         for b in batches:
             texts = b.column(1).to_pylist()
             for s in slices(texts, 1 << 20):
-                out = {k: [] for k in ("n", "known", "logs", "rare", "ids", "words")}
+                words, ends = [], []
                 for t in texts[s]:
-                    ws = split(t or "")
-                    at = np.fromiter(map(place.get, ws, [none] * len(ws)), dtype=np.int64, count=len(ws))
-                    at = np.append(at, end if end >= 0 else none)
-                    ids, logs = ids_of[at], log[at]
-                    missing = np.flatnonzero(at[:-1] == none).tolist()
-                    found: dict[str, int] = {}
-                    for i in missing:
-                        found[ws[i]] = found.get(ws[i], 0) + 1
-                        ids[i] = rare_id(ws[i], len(model))
-                    if end < 0:
-                        found[END] = 1
-                        ids[-1] = rare_id(END, len(model))
-                    out["n"].append(len(at))
-                    out["known"].append(int((at < none).sum()))
-                    out["logs"].append(float(logs.sum()))
-                    out["rare"].append(float(logs[~own[at]].sum()))
-                    out["ids"].append(ids.tobytes())
-                    out["words"].append(list(found.items()))
-                n = len(out["n"])
+                    words += _words(t)
+                    ends.append(len(words))
+                at = np.fromiter(map(place, words, repeat(none)), np.int64, len(words))
+                ids, first = ids_of[at], np.array([0, *ends[:-1]])
+                asked = np.flatnonzero(at == none)
+                missing = [words[i] for i in asked.tolist()]
+                shared = np.fromiter(map(zlib.crc32, missing), np.int64, len(missing)) % RARE
+                ids[asked] = np.where(shared > 0, shared + len(model), 0)  # as rare_id
+                keys, times, cuts, lo = [], [], [0], 0
+                for hi in np.searchsorted(asked, ends).tolist():
+                    found = Counter(missing[lo:hi])
+                    keys += found
+                    times += found.values()
+                    cuts.append(len(keys))
+                    lo = hi
+                n = len(ends)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array((part << 40) + row + np.arange(n)), b.column(0).slice(s.start, n), pa.array(out["n"], pa.int64()),
-                     pa.array(out["known"], pa.int64()), pa.array(out["logs"]), pa.array(out["rare"]), pa.array(out["ids"], pa.binary()),
-                     pa.array(out["words"], pa.map_(pa.string(), pa.int64()))],
+                    [pa.array((part << 40) + row + np.arange(n)), b.column(0).slice(s.start, n), pa.array(ends - first),
+                     pa.array(np.add.reduceat(at < none, first, dtype=np.int64)), pa.array(np.add.reduceat(log[at], first)),
+                     pa.array(np.add.reduceat(rare_log[at], first)), pa.array([ids[i:e].tobytes() for i, e in zip(first.tolist(), ends)], pa.binary()),
+                     pa.MapArray.from_arrays(pa.array(cuts, pa.int32()), strings(keys), pa.array(times, pa.int64()))],
                     names=["row", "doc_id", "n_tokens", "n_known", "logs", "rare_logs", "ids", "words"])
                 row += n
 
-    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    rows = docs.select("doc_id", F.col("text").cast("string").cast("binary").alias("text"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"row long, doc_id {kind}, n_tokens long, n_known long, logs double, rare_logs double, "
                                 "ids binary, words map<string,long>")
@@ -431,10 +590,10 @@ def score(docs: DataFrame, lookup_words: int = LOOKUP_WORDS, model_words: int |
     n, v = int(size["n"]), int(size["v"])
     known = most_frequent(totals, lookup_words)
     most, state = network_size(v)
-    model = [t for t, _ in known[:most if model_words is None else model_words]]
-    coded = staged(encode(docs, known, model), "coded")
+    model = known[:most if model_words is None else model_words]
+    coded = staged(encode(docs, known, [t for t, _ in model]), "coded")
     weights = sc.broadcast(train(coded, len(model), state))
-    shared = sc.broadcast(rare_totals(totals, known[:len(model)]))
+    shared = sc.broadcast(rare_totals(totals, model))
     n_model = len(model)
 
     # the words that were not sent: joined with the whole count table, then summed per row
@@ -445,18 +604,19 @@ def score(docs: DataFrame, lookup_words: int = LOOKUP_WORDS, model_words: int |
     def run(batches):
         w = weights.value
         for b in batches:
-            ids = _ids(b.column(1), n_model)
+            ids = _ids(b.column(6), n_model)
             lp: list[float] = []
             for s in slices(ids, 1 << 22):
                 lp += (score_documents(w, ids[s]) / math.log(10)).tolist()
             rare = [float(shared.value[x].sum()) for x in ids]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(lp, pa.float64()), pa.array(rare, pa.float64())],
-                                             names=["row", "net", "rare_sums"])
+            yield pa.RecordBatch.from_arrays([*b.columns[:6], pa.array(lp, pa.float64()), pa.array(rare, pa.float64())],
+                                             names=["row", "doc_id", "n_tokens", "n_known", "logs", "rare_logs", "net", "rare_sums"])
 
-    net = coded.select("row", "ids").mapInArrow(run, "row long, net double, rare_sums double")
-    own = coded.select("row", "doc_id", "n_tokens", "n_known", "logs", "rare_logs")
+    kind = coded.schema["doc_id"].dataType.simpleString()
+    scored = coded.select("row", "doc_id", "n_tokens", "n_known", "logs", "rare_logs", "ids").mapInArrow(
+        run, f"row long, doc_id {kind}, n_tokens long, n_known long, logs double, rare_logs double, net double, rare_sums double")
     more = F.coalesce("more_logs", F.lit(0.0))
-    return (own.join(net, "row").join(found, "row", "left")
+    return (scored.join(found, "row", "left")
             .select("doc_id", (F.crc32(F.col("doc_id").cast("string")) % 7 == 2).alias("held_out"), "n_tokens",
                     (F.col("n_known") + F.coalesce("more_known", F.lit(0))).alias("n_known"), F.lit(n).cast("long").alias("train_tokens"),
                     (F.col("logs") + more - F.col("n_tokens") * math.log10(n + v + 1)).alias("base_score"),

@@ -600,3 +600,31 @@ def test_lm_training_tasks_send_less_than_they_read():
         tasks = gru_lm.training_tasks(ids, weights)
         assert tasks == 1 or tasks * weights * gru_lm.SHARE <= ids
     assert gru_lm.training_tasks(10**13, 5 * 10**7) == 10**5
+
+
+@pytest.mark.parametrize("ids", [40, 276, 7_588, 21_040, 120_000])
+def test_lm_outputs_computed_per_token_grow_with_the_cube_root_of_the_ids(ids):
+    w = gru_lm.start_weights(ids, 8)
+    width, leaves, groups, size = gru_lm.shape_of(ids)
+    assert 2 * width + size <= 4 * 1.16 * ids ** (1 / 3) + 12  # before: two square roots
+    slot, place = gru_lm.codes(w)
+    assert len({*zip(slot.tolist(), np.where(slot < leaves, 0, place).tolist())}) == ids  # each id has a place of its own
+    h = np.random.default_rng(1).standard_normal((1, 8)).astype(np.float32) * 0.3
+    p = np.exp(gru_lm.log_probability(w, np.repeat(h, ids, axis=0), np.arange(ids)).astype(np.float64))
+    assert abs(p.sum() - 1) < 1e-4
+
+
+def test_lm_words_of_bytes_are_those_of_the_pattern():
+    text = "A\x1cB\x85c\xa0D E\x0bf\x0cg\r\nH\tÄÖ İ Σ  x  y\x1f"
+    assert [w.decode() for w in gru_lm._words(text.encode())] == [*WORD.findall(text.translate(LOW)), " "]
+    assert gru_lm._words(None) == [b" "]
+
+
+def test_lm_encodes_a_text_that_fills_a_slice_alone(spark):
+    docs = spark.createDataFrame([(1, "the of " * 160_000), (2, "the x")], "doc_id long, text string").coalesce(1)
+    got = {r["doc_id"]: r for r in gru_lm.encode(docs, [("the", 5), ("of", 2), (" ", 1)], ["the"]).collect()}
+    assert got[1]["n_tokens"] == got[1]["n_known"] == 320_001 and got[1]["words"] == {}
+    assert got[2]["n_tokens"] == 3 and got[2]["n_known"] == 2 and got[2]["words"] == {"x": 1}
+    assert abs(got[2]["logs"] - math.log10(12)) < 1e-9 and abs(got[2]["rare_logs"] - math.log10(2)) < 1e-9
+    ids = [1, gru_lm.rare_id("x", 1), gru_lm.rare_id(" ", 1)]
+    assert np.frombuffer(got[2]["ids"], np.uint16).tolist() == ids
