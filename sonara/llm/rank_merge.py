@@ -10,6 +10,7 @@ from __future__ import annotations
 import numpy as np
 
 _NONE = np.int64(1) << 40
+_SPREAD = np.uint64(0x9E3779B97F4A7C15)  # 2^64 over the golden ratio
 
 
 class Memo(dict):
@@ -33,12 +34,31 @@ class RankMerger:
         key = left * self.n + right
         order = np.argsort(key)
         self.key, self.rank, self.new = key[order], rank[order], new[order]
+        # a table of places in the merge table by the pair's hash, an eighth full at most; clashes go to the next cell
+        bits = max(8, (8 * len(key)).bit_length())
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.cells = np.full(1 << bits, -1, np.int32)
+        left_over, cell = np.arange(len(key)), self._cell(self.key)
+        while len(left_over):
+            free = np.flatnonzero(self.cells[cell] < 0)
+            first = free[np.unique(cell[free], return_index=True)[1]]
+            self.cells[cell[first]] = left_over[first]
+            left_over, cell = np.delete(left_over, first), np.delete(cell, first) + 1 & self.mask
+
+    def _cell(self, k: np.ndarray) -> np.ndarray:
+        return (k.astype(np.uint64) * _SPREAD >> self.shift).astype(np.int64)
 
     def _lookup(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Index of each pair in the merge table, -1 where it has none."""
         k = left * self.n + right
-        at = np.minimum(np.searchsorted(self.key, k), len(self.key) - 1)
-        return np.where(self.key[at] == k, at, -1)
+        cell = self._cell(k)
+        at = self.cells[cell].astype(np.int64)
+        clash = np.flatnonzero((at >= 0) & (self.key[at] != k))
+        while len(clash):
+            cell[clash] = cell[clash] + 1 & self.mask
+            at[clash] = self.cells[cell[clash]]
+            clash = clash[(at[clash] >= 0) & (self.key[at[clash]] != k[clash])]
+        return at
 
     def merge(self, flat: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(flat symbols, lengths) of sequences after all merges, in the same order."""

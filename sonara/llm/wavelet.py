@@ -19,9 +19,11 @@ ignored, whatever their names. ``docs`` must be a table or a staged frame (rows
 
 from __future__ import annotations
 
+import re
 import struct
 import unicodedata
 import zlib
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -42,8 +44,26 @@ MEMO_WORDS = 500_000
 MARK, HEAD = b"SWM1", "<4sQII"
 
 
+class Recent(Memo):
+    """Known words, and those of the generation before, which come over when they are met again."""
+
+    def __init__(self, before: dict | None = None):
+        super().__init__()
+        self.before = before or {}
+
+    def __missing__(self, word: str):
+        got = self.before.get(word, word)
+        if got is word:
+            self.new.append(word)
+        self[word] = got
+        return got
+
+
 class WordEncoder:
-    """Token ids of texts as a word-end BPE file states; ids of at most ``MEMO_WORDS`` pre-tokens are kept."""
+    """Token ids of texts as a word-end BPE file states.
+
+    No pre-token has white space, so the ids of whole words (runs without white space) are kept, and those
+    of pre-tokens: two generations of about ``MEMO_WORDS``."""
 
     def __init__(self, path: str, pattern: tuple):
         spec = bpe_files.load(path)
@@ -53,9 +73,11 @@ class WordEncoder:
         self.last = np.array([vocab[chars[b] + spec["suffix"]] for b in range(256)], dtype=np.int64)
         self.merger = RankMerger(spec["merges"], max(vocab.values()) + 1)
         self.find = bpe_files.finder(pattern)
-        self.memo = Memo()
+        self.solid = re.compile(f"[^{bpe_files.WHITE_SPACE}]+").findall
+        self.memo = Recent()
 
     def learn(self, new: list[str]) -> None:
+        """Ids of pre-tokens."""
         raw = [w.encode("utf-8") for w in new]
         lengths = np.array([len(b) for b in raw], dtype=np.int64)
         flat, ends = np.frombuffer(b"".join(raw), dtype=np.uint8), np.cumsum(lengths) - 1
@@ -67,27 +89,50 @@ class WordEncoder:
             self.memo[w] = block[at:e]
             at = e
 
+    def learn_words(self, new: list[str]) -> None:
+        memo, single, several = self.memo, [], []
+        for w in new:
+            pre = None if w.isalpha() else self.find(w)  # letters alone are one pre-token
+            if pre is None or len(pre) == 1:
+                single.append(w)
+            else:
+                several.append((w, pre))
+        noted = len(new)
+        for _, pre in several:
+            for p in pre:
+                memo[p]  # notes an unknown one
+        self.learn(single + new[noted:])
+        for w, pre in several:
+            memo[w] = b"".join([memo[p] for p in pre])
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
         if len(self.memo) > MEMO_WORDS or self.memo.new:
-            self.memo.clear()
-            self.memo.new.clear()
-        memo, held = self.memo, []
+            self.memo = Recent(None if self.memo.new else dict(self.memo))
+        memo, out, late = self.memo, [], []
         for t in texts:
             parts: list = []
             for piece in bpe_files.split_specials(t, self.special):
                 if isinstance(piece, str):
                     if not piece.isascii():  # one final form of sigma, as lower-casing char by char gives
                         piece = unicodedata.normalize("NFC", piece).replace("Σ", "σ")
-                    parts += map(memo.__getitem__, self.find(piece.lower()))
+                    piece = piece.lower()
+                    # split() parts at four more characters than white space
+                    odd = "\x1c" in piece or "\x1d" in piece or "\x1e" in piece or "\x1f" in piece
+                    parts += map(memo.__getitem__, self.solid(piece) if odd else piece.split())
                 else:
                     parts.append(piece.to_bytes(4, "little"))
-            held.append(parts)
+            try:
+                out.append(b"".join(parts))
+            except TypeError:  # words to be learned
+                late.append((len(out), parts))
+                out.append(b"")
         if memo.new:
-            self.learn(memo.new)
+            self.learn_words(memo.new)
             memo.new.clear()
-            held = [[p if p.__class__ is bytes else memo[p] for p in parts] for parts in held]
-        return [b"".join(parts) for parts in held]
+            for i, parts in late:
+                out[i] = b"".join([p if p.__class__ is bytes else memo[p] for p in parts])
+        return out
 
 
 def build(ids: np.ndarray) -> bytes:
@@ -95,20 +140,24 @@ def build(ids: np.ndarray) -> bytes:
     ids = np.ascontiguousarray(ids, dtype=np.uint32)
     planes = max(1, int(ids.max(initial=0)).bit_length())
     now = ids.astype(np.uint16) if planes <= 16 else ids
-    n, step, pack = len(ids), BLOCK_BITS // 8, zstandard.ZstdCompressor(level=1)
+    n, pack = len(ids), zstandard.ZstdCompressor(level=1)
     head, blocks = [struct.pack(HEAD, MARK, n, planes, BLOCK_BITS)], []
     for b in range(planes - 1, -1, -1):
-        one = (now & now.dtype.type(1 << b)).astype(bool)
-        packed = np.packbits(one, bitorder="little")
-        parts = [packed[i:i + step] for i in range(0, len(packed), step)]
-        ones = np.array([int(np.bitwise_count(p).sum()) for p in parts], dtype=np.uint64)
-        small = [pack.compress(p) for p in parts]
+        bit, small, ones, low, high = now.dtype.type(1 << b), [], [], [], []
+        for i in range(0, n, BLOCK_BITS):  # block by block: what is parted lies in the cache
+            part = now[i:i + BLOCK_BITS]
+            one = (part & bit).astype(bool)
+            small.append(pack.compress(np.packbits(one, bitorder="little")))
+            high.append(np.compress(one, part))  # much faster than by masks
+            low.append(np.compress(~one, part))
+            ones.append(len(high[-1]))
+        ones = np.array(ones, dtype=np.uint64)
         before = np.cumsum(ones) - ones
         head += [struct.pack("<Q", int(ones.sum())), before.astype("<u8").tobytes(),
                  np.array([len(s) for s in small], dtype="<u4").tobytes()]
         blocks += small
-        if b:
-            now = np.concatenate([np.compress(~one, now), np.compress(one, now)])  # much faster than by masks
+        if b and n:
+            now = np.concatenate(low + high)
     return b"".join(head + blocks)
 
 
@@ -216,11 +265,17 @@ class WaveletMatrix:
         """All ids, in order: the planes are joined from the last to the first."""
         ids = np.zeros(self.n, dtype=np.uint16 if self.planes <= 16 else np.uint32)
         for level in range(self.planes - 1, -1, -1):
-            raw = [self._raw(level, k) for k in range(len(self.places[level]))]
-            one = np.unpackbits(np.concatenate(raw) if raw else np.empty(0, np.uint8), count=self.n, bitorder="little").view(bool)
-            above = np.empty_like(ids)
-            above[np.flatnonzero(~one)] = ids[:self.zeros[level]]
-            above[np.flatnonzero(one)] = ids[self.zeros[level]:] | ids.dtype.type(1 << (self.planes - 1 - level))
+            bit, above = ids.dtype.type(1 << (self.planes - 1 - level)), np.empty_like(ids)
+            low, high = 0, self.zeros[level]
+            for k in range(len(self.places[level])):  # block by block: what is joined lies in the cache
+                block = above[k * self.block:(k + 1) * self.block]
+                one = np.unpackbits(self._raw(level, k), count=len(block), bitorder="little").view(bool)
+                at = np.flatnonzero(one)
+                block[at] = ids[high:high + len(at)] | bit
+                high += len(at)
+                zeros = len(block) - len(at)
+                block[np.flatnonzero(~one)] = ids[low:low + zeros]
+                low += zeros
             ids = above
         return ids.astype(np.uint32)
 

@@ -244,3 +244,32 @@ def test_encoder_like_the_library_on_odd_text(word_bpe):
     got = enc.encode(texts)
     for t, g in zip(texts, got):
         assert np.frombuffer(g, "<u4").tolist() == word_bpe.encode(t, add_special_tokens=False).ids, repr(t)
+
+
+def test_encoder_splits_no_known_word_again_and_forgets_by_generations(word_bpe, monkeypatch):
+    rng = random.Random(5)
+    odd = "aB é́ÅΣσς  \u0085\t\n\x1c\x1f　İ'sDon't 12٣½ 😀ẞ<|startoftext|>​　ﬁ—…!'s"
+    texts = ["".join(rng.choice(odd) for _ in range(rng.randint(0, 40))) for _ in range(900)] + ["it's, it's \x1d ok"]
+    want = [word_bpe.encode(t, add_special_tokens=False).ids for t in texts]
+    path, pattern = bpe_files.public_path("word_bpe_49k.json"), bpe_files.split_patterns()["bare"]
+    enc = wavelet.WordEncoder(path, pattern)
+    got = enc.encode(texts)
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == want
+    enc.find = None  # before: the pattern ran over every text
+    assert enc.encode(texts) == got
+    monkeypatch.setattr(wavelet, "MEMO_WORDS", 60)
+    enc = wavelet.WordEncoder(path, pattern)
+    assert [x for i in range(0, len(texts), 30) for x in enc.encode(texts[i:i + 30])] == got
+    assert len(enc.memo) + len(enc.memo.before) < 1500
+
+
+def test_merge_table_finds_each_pair_and_no_other():
+    from sonara.llm.rank_merge import RankMerger
+
+    r = np.random.default_rng(2)
+    pairs = sorted({(int(a), int(b)) for a, b in r.integers(0, 300, (20_000, 2))})
+    m = RankMerger({p: (i, i) for i, p in enumerate(pairs)}, 300)
+    a, b = np.divmod(np.arange(300 * 300), 300)
+    index = {p: i for i, p in enumerate(pairs)}
+    assert m._lookup(a, b).tolist() == [index.get(p, -1) for p in zip(a.tolist(), b.tolist())]
+    assert len(m.cells) >= 8 * len(pairs)
