@@ -28,9 +28,11 @@ from __future__ import annotations
 
 import math
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -41,11 +43,13 @@ END = " "  # no word has a space
 LOOKUP_WORDS, MODEL_WORDS = 200_000, 512  # MODEL_WORDS: at least, see network_size
 RARE = 256  # ids that the words without an id of their own share
 STATE, STEPS, LANES = 8, 12, 1024  # STATE: at least
-BRANCH, FIRST, TILE = 1.16, 128, 8  # of the tree: width per cube root of the ids, words before the shared ids, rows of a tile
+BRANCH, FIRST, TILE = 1.16, 128, 4  # of the tree: width per cube root of the ids, words before the shared ids, rows of the smallest batches
 SCORE_LANES, SCORE_TOKENS = 2048, 1 << 14  # documents and tokens that are scored side by side
-BLOCK = 2048  # rows of one softmax over the classes: its table stays in the cache
+BLOCK = 1024  # rows of one softmax over classes and slots: its table stays in the cache
 SHARE = 2  # bytes of ids that a training task reads, in sizes of the weights
 WEIGHT_BLOCK = 1 << 16  # weights that are summed as one row
+PIECE = 16  # rows of a run that are summed one after the other
+SLICE = 1 << 22  # bytes of text that are split at once
 RATE = 0.05
 LARGEST = 5.0  # weights stay within this (or less, see limit), so no exponential overflows
 
@@ -116,11 +120,10 @@ def shaped(v: np.ndarray, like: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
     return out
 
 
-def _gates(u, b, h, g):
-    """One step, a lane per column, from inputs ``g`` (overwritten): new state and what the backward pass needs."""
+def _gates(u, h, g):
+    """One step, a lane per column, from inputs with biases ``g`` (overwritten): new state and what the backward pass needs."""
     n = len(h)
     hu = u @ h
-    g += b
     rz = g[:2 * n]
     rz += hu[:2 * n]
     rz *= 0.5
@@ -138,7 +141,7 @@ def _gates(u, b, h, g):
 
 def gates(w, h, x):
     """One step, a lane per row: new state and what the backward pass needs."""
-    new, kept = _gates(w["u"].T, w["b"][:, None], h.T, w["x"][x].T.copy())
+    new, kept = _gates(w["u"].T, h.T, (w["x"][x] + w["b"]).T.copy())
     return new.T, kept
 
 
@@ -146,25 +149,41 @@ def _summed(a: np.ndarray) -> np.ndarray:
     return np.ones(len(a), a.dtype) @ a
 
 
-def _runs(k: np.ndarray, count: int) -> list[tuple[int, int, int]]:
-    """(value, start, end) of the values below ``count`` in sorted ``k``."""
+def _runs(k: np.ndarray, count: int) -> list[tuple[int, slice]]:
+    """(value, rows) of the values below ``count`` in sorted ``k``, at most ``BLOCK`` rows at once."""
     cuts = np.searchsorted(k, np.arange(count + 1)).tolist()
-    return [(c, a, b) for c, (a, b) in enumerate(zip(cuts, cuts[1:])) if a < b]
+    return [(c, slice(a, min(hi, a + BLOCK))) for c, (lo, hi) in enumerate(zip(cuts, cuts[1:])) for a in range(lo, hi, BLOCK)]
 
 
-def _tiles(group: np.ndarray, groups: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows sorted by group in tiles of ``TILE`` rows of one group: each row's place, each tile's group and its number in the group."""
+def _batches(group: np.ndarray, groups: int):
+    """Rows sorted by group: groups of up to ``TILE`` rows, of up to twice as many, and so on; their rows, and which of these are theirs (others fill up)."""
     n = np.bincount(group, minlength=groups)
-    tiles = -(-n // TILE)
-    first = np.cumsum(tiles) - tiles
-    row = np.arange(len(group)) + (first * TILE - (np.cumsum(n) - n))[group]
-    of = np.repeat(np.arange(groups), tiles)
-    return row, of, np.arange(len(of)) - first[of]
+    first = np.cumsum(n) - n
+    most, least = TILE, 0
+    while least < n.max():
+        alike, row = np.flatnonzero((n > least) & (n <= most)), np.arange(most)
+        some = max(1, 2 * BLOCK // most)
+        for lo in range(0, len(alike), some):
+            of = alike[lo:lo + some]
+            yield of, np.minimum(first[of, None] + row, len(group) - 1), row < n[of, None]
+        most, least = 2 * most, most
+
+
+def joined(w: dict[str, np.ndarray]) -> np.ndarray:
+    """Of each class, the weights of the first two levels side by side with their biases as a last row, for states that end in a one."""
+    b = len(w["cb"])
+    return np.concatenate([np.concatenate([np.broadcast_to(w["c"], w["w"].shape), w["w"]], axis=2),
+                           np.concatenate([np.broadcast_to(w["cb"], (b, b)), w["wb"]], axis=1)[:, None]], axis=1)
+
+
+def _flat(a: np.ndarray, k: np.ndarray) -> np.ndarray:
+    """Where the place k of each row lies in the flat ``a``."""
+    return np.arange(0, a.size, a.shape[1]) + k
 
 
 def _picked(a: np.ndarray, k: np.ndarray) -> np.ndarray:
     """ln softmax of each row at its place k."""
-    at = a[np.arange(len(k)), k]
+    at = a.take(_flat(a, k))
     return at - np.log(np.exp(a, out=a) @ np.ones(a.shape[1], a.dtype))
 
 
@@ -172,37 +191,39 @@ def _errors(a: np.ndarray, k: np.ndarray, scale) -> np.ndarray:
     """``scale`` times the gradient of -ln softmax of each row at its place k."""
     np.exp(a, out=a)
     a *= (scale / (a @ np.ones(a.shape[1], a.dtype)))[:, None]
-    a[np.arange(len(k)), k] -= scale
+    a.reshape(-1)[_flat(a, k)] -= scale
     return a
 
 
-def log_probability(w, h, y, code=None) -> np.ndarray:
-    """ln P(y | h) of ids; for a shared id that of all its words."""
+def _both(c: int, k: np.ndarray) -> np.ndarray:
+    """Of rows of class c with the place k in it, the places in their two rows of ``_errors`` or ``_picked``."""
+    out = np.full(2 * len(k), c)
+    out[1::2] = k
+    return out
+
+
+def log_probability(w, h, y, code=None, levels=None) -> np.ndarray:
+    """ln P(y | h) of ids; for a shared id that of all its words. ``levels``: ``joined(w)``, then each state ends in a one."""
     b, leaves, groups, _ = shape_of(len(w["x"]) - 1)
     slots, places = code or codes(w)
-    order = np.argsort(slots[y], kind="stable")
-    h, y = h[order], y[order]
-    slot = slots[y].astype(np.int64)
+    if levels is None:
+        levels, h = joined(w), np.concatenate([h, np.ones((len(h), 1), h.dtype)], axis=1)
+    slot = slots.take(y)
+    order = np.argsort(slot, kind="stable")
+    h, y, slot = h.take(order, axis=0), y.take(order), slot.take(order).astype(np.int64)
     k = slot // b
+    slot_in = slot - k * b
     out = np.empty(len(y), h.dtype)
-    for a in range(0, len(y), BLOCK):
-        out[a:a + BLOCK] = _picked(h[a:a + BLOCK] @ w["c"] + w["cb"], k[a:a + BLOCK])
-    slot_in = slot % b
-    for c, lo, hi in _runs(k, b):
-        for i in (slice(a, min(hi, a + BLOCK)) for a in range(lo, hi, BLOCK)):
-            out[i] += _picked(h[i] @ w["w"][c] + w["wb"][c], slot_in[i])
+    for c, i in _runs(k, b):
+        p = _picked((h[i] @ levels[c]).reshape(-1, b), _both(c, slot_in[i]))
+        np.add(p[::2], p[1::2], out=out[i])
     deep = int(np.searchsorted(slot, leaves))
-    step = TILE * BLOCK // 4
-    for lo in range(deep, len(y), step):
-        i = slice(lo, lo + step)
-        row, of, _ = _tiles(slot[i] - leaves, groups)
-        a = np.zeros((len(of) * TILE, h.shape[1]), h.dtype)
-        a[row] = h[i]
-        a = a.reshape(len(of), TILE, -1) @ w["v"][of]
-        a += w["vb"][of][:, None]
-        a = a.reshape(len(of) * TILE, -1)
-        at = a[row, places[y[i]]]
-        out[i] += at - np.log((np.exp(a, out=a) @ np.ones(a.shape[1], a.dtype))[row])
+    if deep < len(y):
+        h, place = h[deep:, :-1].copy(), places.take(y[deep:])
+        for of, row, real in _batches(slot[deep:] - leaves, groups):
+            a = h.take(row, axis=0) @ w["v"].take(of, axis=0)
+            a += w["vb"].take(of, axis=0)[:, None]
+            out[deep + row[real]] += _picked(a.reshape(row.size, -1), place.take(row.ravel()))[real.ravel()]
     back = np.empty_like(out)
     back[order] = out
     return back
@@ -221,14 +242,19 @@ class Trainer:
         """Adagrad with the gradient ``v`` (overwritten) of the given rows of weights ``k``, or of all."""
         most = limit(self.w["u"].shape[0])
         least = -30 if k in ("cb", "wb", "vb") else -most
-        some = max(1, (1 << 15) * len(v) // v.size)  # rows at a time: they stay in the cache
+        some = max(1, (1 << 14) * len(v) // v.size)  # rows at a time: they stay in the cache
         for lo in range(0, len(v), some):
-            at = slice(lo, lo + some) if rows is None else rows[lo:lo + some]
-            d, w, seen = v[lo:lo + some], self.w[k][at], self.seen[k][at]
+            d = v[lo:lo + some]
+            if rows is None:
+                w, seen = self.w[k][lo:lo + some], self.seen[k][lo:lo + some]
+            else:
+                at = rows[lo:lo + some]
+                w, seen = self.w[k].take(at, axis=0), self.seen[k].take(at, axis=0)
             np.clip(d, -1, 1, out=d)
-            seen += d * d
+            root = d * d
+            seen += root
             d *= RATE
-            d /= np.sqrt(seen)
+            d /= np.sqrt(seen, out=root if root.dtype == seen.dtype else None)
             w -= d
             if k != "x":
                 np.clip(w, least, most, out=w)
@@ -236,81 +262,88 @@ class Trainer:
                 self.w[k][at], self.seen[k][at] = w, seen
 
     def output(self, a: np.ndarray, t: np.ndarray, scale) -> np.ndarray:
-        """Trains the tree on states ``a`` (rows) and the ids ``t`` that followed; the states' gradients."""
+        """Trains the tree on states ``a`` (rows that end in a one) and the ids ``t`` that followed, -1 for none; the states' gradients."""
         w, (slots, places) = self.w, self.code
         b, leaves, groups, size = shape_of(len(w["x"]) - 1)
-        order = np.argsort(slots[t], kind="stable")
-        a, t = a[order], t[order]
-        slot = slots[t].astype(np.int64)
-        k, slot_in = slot // b, slot % b
-        g = {n: np.zeros_like(w[n]) for n in ("c", "cb", "w", "wb")}
-        da = np.empty_like(a)
-        for lo in range(0, len(t), BLOCK):
-            i = slice(lo, lo + BLOCK)
-            p = _errors(a[i] @ w["c"] + w["cb"], k[i], scale)
-            g["c"] += a[i].T @ p
-            g["cb"] += _summed(p)
-            np.matmul(p, w["c"].T, out=da[i])
-        for c, lo, hi in _runs(k, b):
-            i = slice(lo, hi)
-            q = _errors(a[i] @ w["w"][c] + w["wb"][c], slot_in[i], scale)
-            g["w"][c], g["wb"][c] = a[i].T @ q, _summed(q)
-            da[i] += q @ w["w"][c].T
+        n = a.shape[1] - 1
+        here = np.flatnonzero(t >= 0)
+        slot = slots.take(t if len(here) == len(t) else t.take(here))
+        order = np.argsort(slot, kind="stable")
+        slot = slot.take(order).astype(np.int64)
+        if len(here) < len(t):
+            order = here.take(order)
+        a = a.take(order, axis=0)
+        k = slot // b
+        slot_in = slot - k * b
+        levels = joined(w)
+        g = np.zeros_like(levels)
+        da = np.empty((len(a), n), a.dtype)
+        for c, i in _runs(k, b):
+            p = _errors((a[i] @ levels[c]).reshape(-1, b), _both(c, slot_in[i]), scale).reshape(-1, 2 * b)
+            g[c] += a[i].T @ p
+            np.matmul(p, levels[c, :n].T, out=da[i])
         deep = int(np.searchsorted(slot, leaves))
-        if deep < len(t):
-            row, of, nth = _tiles(slot[deep:] - leaves, groups)
-            tall = np.zeros((len(of) * TILE, a.shape[1]), a.dtype)
-            tall[row] = a[deep:]
-            tall = tall.reshape(len(of), TILE, -1)
-            v = w["v"][of]
-            q = tall @ v
-            q += w["vb"][of][:, None]
-            q = q.reshape(len(of) * TILE, size)
-            np.exp(q, out=q)
-            by = np.zeros(len(q), q.dtype)  # 0 for rows that fill a tile up
-            by[row] = scale / (q @ np.ones(size, q.dtype))[row]
-            q *= by[:, None]
-            q[row, places[t[deep:]]] -= scale
-            q = q.reshape(len(of), TILE, size)
-            da[deep:] += (q @ v.transpose(0, 2, 1)).reshape(len(of) * TILE, -1)[row]
-            used, tile = np.unique(of, return_index=True)
-            for name, d in (("v", tall.transpose(0, 2, 1) @ q), ("vb", np.ones(TILE, q.dtype) @ q)):
-                self.step(name, _gathered(d, np.arange(len(of)), tile), used)
-        for n, v in g.items():
-            self.step(n, v)
-        out = np.empty_like(da)
-        out[order] = da
+        if deep < len(a):
+            states, place = a[deep:, :n].copy(), places.take(t.take(order[deep:]))
+            parts, back, at = [], np.empty(len(states), np.int64), 0
+            gv, gvb = np.zeros_like(w["v"]), np.zeros_like(w["vb"])
+            for of, row, real in _batches(slot[deep:] - leaves, groups):
+                tall, v = states.take(row, axis=0), w["v"].take(of, axis=0)
+                q = tall @ v
+                q += w["vb"].take(of, axis=0)[:, None]
+                q = _errors(q.reshape(row.size, size), place.take(row.ravel()), scale)
+                q = q.reshape(*row.shape, size)
+                q[~real] = 0
+                parts.append((q @ v.transpose(0, 2, 1)).reshape(row.size, n))
+                back[row[real]] = at + np.flatnonzero(real)
+                at += row.size
+                gv[of] = tall.transpose(0, 2, 1) @ q
+                gvb[of] = np.ones(row.shape[1], q.dtype) @ q
+            da[deep:] += np.concatenate(parts).take(back, axis=0)
+            used = np.unique(slot[deep:]) - leaves
+            for name, v in (("v", gv), ("vb", gvb)):
+                if 2 * len(used) < groups:
+                    self.step(name, v.take(used, axis=0), used)
+                else:  # without a gradient nothing moves
+                    self.step(name, v)
+        first = g[:, :, :b].sum(axis=0)
+        for name, v in (("c", first[:n]), ("cb", first[n]), ("w", g[:, :n, b:]), ("wb", g[:, n, b:])):
+            self.step(name, v)
+        back = np.zeros(len(t), np.int64)
+        back[order] = np.arange(len(order))
+        out = da.take(back, axis=0)
+        if len(here) < len(t):
+            out[t < 0] = 0
         return out
 
     def window(self, h: np.ndarray, xs: np.ndarray, ys: np.ndarray) -> np.ndarray:
         """xs, ys: (steps, lanes), -1 where a lane has no token. The state after the window."""
         w, steps, (lanes, n) = self.w, len(xs), h.shape
-        u, b, x = np.ascontiguousarray(w["u"].T), w["b"][:, None].copy(), xs.ravel()
-        g_in = w["x"][x]
-        state, states, kept = np.ascontiguousarray(h.T), [], []
+        u, x = np.ascontiguousarray(w["u"].T), xs.ravel()
+        g_in = w["x"].take(x, axis=0)
+        g_in += w["b"]
+        state, kept = np.ascontiguousarray(h.T), []
+        hs = np.ones((steps * lanes, n + 1), state.dtype)
         inside = xs != len(w["x"]) - 1  # not a document's first token
         whole = inside.all(axis=1)
         for s in range(steps):
+            i = slice(s * lanes, (s + 1) * lanes)
             before = state if whole[s] else state * inside[s]
-            state, k = _gates(u, b, before, g_in[s * lanes:(s + 1) * lanes].T.copy())
-            states.append(state)
+            state, k = _gates(u, before, g_in[i].T.copy())
+            hs[i, :n] = state.T
             kept.append((*k, before))
-        hs, y = np.concatenate([s.T for s in states]), ys.ravel()
-        here = np.flatnonzero(y >= 0)
-        scale = hs.dtype.type(32 / max(1, len(here)))  # gradients of about 32 tokens
-        if len(here) == len(y):
-            dh_out = self.output(hs, y, scale)
-        else:
-            dh_out = np.zeros_like(hs)
-            if len(here):
-                dh_out[here] = self.output(hs[here], y[here], scale)
-        dh, dg, du = np.zeros_like(state), np.empty_like(g_in), np.zeros_like(w["u"])
+        y = ys.ravel()
+        tokens = int(np.count_nonzero(y >= 0))
+        scale = hs.dtype.type(32 / max(1, tokens))  # gradients of about 32 tokens
+        dh_out = self.output(hs, y, scale) if tokens else np.zeros((len(y), n), hs.dtype)
+        dh, dg, du = np.zeros_like(state), g_in, np.zeros_like(w["u"])  # the inputs' place takes their gradients
+        d = np.empty((3 * n, lanes), dh.dtype)
+        apart = np.empty((3 * n, lanes + 16), dh.dtype)[:, :lanes]  # its rows are no power of two apart, so a column's do not share a cache set
+        dc, dz, dr = d[2 * n:], d[n:2 * n], d[:n]
         for s in range(steps - 1, -1, -1):
             i = slice(s * lanes, (s + 1) * lanes)
             dh += dh_out[i].T
             r, z, c, hn, before = kept[s]
-            d = np.empty((3 * n, lanes), dh.dtype)
-            dc, dz, dr = d[2 * n:], d[n:2 * n], d[:n]
             keep = 1 - z
             np.multiply(dh, keep, out=dc)
             dc *= 1 - c * c
@@ -321,7 +354,8 @@ class Trainer:
             np.multiply(dc, hn, out=dr)
             dr *= r
             dr *= 1 - r
-            dg[i] = d.T
+            apart[:] = d
+            dg[i] = apart.T
             dc *= r
             du += before @ d.T
             dh *= z
@@ -329,11 +363,12 @@ class Trainer:
             if not whole[s]:
                 dh *= inside[s]
         self.step("u", du)
-        self.step("b", _summed(dg))
         order = np.argsort(x, kind="stable")
-        used, first = np.unique(x[order], return_index=True)
-        self.step("x", _gathered(dg, order, first), used)
-        self.tokens += len(here)
+        used, first = np.unique(x.take(order), return_index=True)
+        by, sums = _gathered(dg, order, first)
+        self.step("b", _summed(sums))
+        self.step("x", sums, used.take(by))
+        self.tokens += tokens
         return state.T
 
     def train(self, docs: list[np.ndarray], steps: int = STEPS, lanes: int = LANES) -> None:
@@ -358,52 +393,68 @@ class Trainer:
             h = self.window(h, x[a:a + steps], y[a:a + steps])
 
 
-def _gathered(d: np.ndarray, order: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Sums of runs of the rows ``order``: long runs one by one, the others' first rows, then second rows, and so on together."""
+def _gathered(d: np.ndarray, order: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Runs of the rows ``order``, long ones first, and their sums: all first rows, then second rows, and so on together; long runs by pieces."""
     sizes = np.diff(np.append(first, len(order)))
-    out = d[order[first]]
-    long = sizes > 16
-    for i in np.flatnonzero(long):
-        out[i] = d[order[first[i]:first[i] + sizes[i]]].sum(axis=0)
-    short = np.flatnonzero((sizes > 1) & ~long)
-    for n in range(1, 16):
-        short = short[sizes[short] > n]
-        if not len(short):
-            break
-        out[short] += d[order[first[short] + n]]
-    return out
+    if sizes.max() > PIECE:
+        pieces = -(-sizes // PIECE)
+        ends = np.cumsum(pieces)
+        nth = np.arange(ends[-1]) - np.repeat(ends - pieces, pieces)
+        by, sums = _gathered(d, order, np.repeat(first, pieces) + PIECE * nth)
+        return _gathered(sums, np.argsort(by), ends - pieces)
+    by = np.argsort(-sizes, kind="stable")
+    first = first.take(by)
+    out = d.take(order.take(first), axis=0)
+    more = np.searchsorted(-sizes.take(by), -np.arange(PIECE)).tolist()  # runs of more than so many rows: a prefix
+    for n in range(1, PIECE):
+        if more[n]:
+            out[:more[n]] += d.take(order.take(first[:more[n]] + n), axis=0)
+    return by, out
 
 
 def score_documents(w: dict[str, np.ndarray], docs: list[np.ndarray], tokens: int = SCORE_TOKENS) -> np.ndarray:
     """ln P of each document's ids; the state is carried from window to window.
 
     Side by side are ``SCORE_LANES`` documents of about one length; a window ends with the step that brings it to ``tokens``."""
-    start, n = len(w["x"]) - 1, w["u"].shape[0]
+    start, n, kind = len(w["x"]) - 1, w["u"].shape[0], w["u"].dtype
     lengths = np.array([len(d) for d in docs], dtype=np.int64)
     by_length = np.argsort(-lengths, kind="stable")
     out = np.zeros(len(docs))
-    u, b, code = np.ascontiguousarray(w["u"].T), w["b"][:, None], codes(w)
+    half = np.repeat(np.array([0.5, 1], kind), [2 * n, n])  # sigmoid(2 x) = (1 + tanh(x)) / 2
+    u, inputs = np.ascontiguousarray(w["u"].T) * half[:, None], (w["x"] + w["b"]) * half
+    code, levels = codes(w), joined(w)
     for lo in range(0, len(docs), SCORE_LANES):
         order = by_length[lo:lo + SCORE_LANES]
         sizes = lengths[order]
         all_ids = np.concatenate([docs[i] for i in order])
         first = np.cumsum(sizes) - sizes
-        h, x = np.zeros((n, len(order)), w["u"].dtype), np.full(len(order), start)
-        hs, ys, rows, held = [], [], [], 0
-        for s in range(int(sizes[0])):
-            live = int(np.searchsorted(-sizes, -s))  # documents longer than s: a prefix
+        h, x = np.zeros((n, len(order)), kind), np.full(len(order), start)
+        hs, ys, rows, held = np.ones((tokens + len(order), n + 1), kind), [], [], 0
+        alive = np.searchsorted(-sizes, -np.arange(int(sizes[0]))).tolist()  # documents longer than s: a prefix
+        for s, live in enumerate(alive):
             if live < len(x):
                 h, x = h[:, :live].copy(), x[:live]
-            h, _ = _gates(u, b, h, w["x"][x].T.copy())
-            x = all_ids[first[:live] + s]
-            hs.append(h.T)
+            g, hu = inputs.take(x, axis=0).T.copy(), u @ h
+            rz, c = g[:2 * n], g[2 * n:]
+            rz += hu[:2 * n]
+            np.tanh(rz, out=rz)
+            rz *= 0.5
+            rz += 0.5
+            hu[2 * n:] *= rz[:n]
+            c += hu[2 * n:]
+            np.tanh(c, out=c)
+            h -= c
+            h *= rz[n:]
+            h += c
+            x = all_ids.take(first[:live] + s)
+            hs[held:held + live, :n] = h.T
             ys.append(x)
             rows.append(order[:live])
             held += live
-            if held >= tokens or s + 1 == sizes[0]:
-                lp = log_probability(w, np.concatenate(hs), np.concatenate(ys), code)
+            if held >= tokens or s + 1 == len(alive):
+                lp = log_probability(w, hs[:held], np.concatenate(ys), code, levels)
                 out += np.bincount(np.concatenate(rows), weights=lp, minlength=len(docs))
-                hs, ys, rows, held = [], [], [], 0
+                ys, rows, held = [], [], 0
     return out
 
 
@@ -414,22 +465,57 @@ def learned(doc_id: Column) -> Column:
 
 
 def _words(text: bytes | None) -> list[bytes]:
-    """Words of a text and its end. On bytes lower() takes A-Z only, split() space and \\x09-\\x0D only."""
+    """Words of a text and its end, as ``_coded`` finds those of many texts. On bytes lower() takes A-Z only, split() space and \\x09-\\x0D only."""
     out = (text or b"").lower().split()
     out.append(END.encode())
     return out
 
 
+def _coded(texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """The ``_words`` of all texts end to end as numbers, the words that these stand for, and where each text ends."""
+    texts = texts.cast(pa.binary()).fill_null(b"")
+    kept = pa.Array.from_buffers(pa.string(), len(texts), texts.buffers(), offset=texts.offset)  # bytes are taken as they are
+    lists = pc.ascii_split_whitespace(pc.ascii_trim_whitespace(pc.ascii_lower(kept)))
+    split = lists.flatten().dictionary_encode()
+    codes, sizes = split.indices.to_numpy(), pc.list_value_length(lists).to_numpy()
+    words = split.dictionary.cast(pa.binary()).to_numpy(zero_copy_only=False).tolist()
+    if b"" in words:  # of a text without words
+        some = codes != words.index(b"")
+        first = np.cumsum(sizes) - sizes
+        sizes = sizes - ~some[first]
+        codes = codes[some]
+    ends = np.cumsum(sizes + 1, dtype=np.int64)
+    out = np.empty(len(codes) + len(ends), np.int32)
+    word = np.ones(len(out), bool)
+    word[ends - 1] = False
+    out[word], out[ends - 1] = codes, len(words)
+    return out, [*words, END.encode()], ends
+
+
+def text_slices(texts: pa.Array) -> Iterator[slice]:
+    """Runs of texts that end with the one that brings them to ``SLICE`` bytes: what is held at once does not follow the batch."""
+    upto = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    lo = 0
+    while lo < len(upto):
+        hi = int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + SLICE)) + 1
+        yield slice(lo, min(hi, len(upto)))
+        lo = hi
+
+
 def token_totals(docs: DataFrame) -> DataFrame:
     """(token, c) of all training documents."""
 
     def run(batches):
-        from collections import Counter
+        from collections import defaultdict
 
-        seen = Counter()
+        seen: dict[bytes, int] = defaultdict(int)
         for b in batches:
-            for t in b.column(0).to_pylist():
-                seen.update(_words(t))
+            texts = b.column(0)
+            for s in text_slices(texts):
+                codes, words, _ = _coded(texts[s])
+                for word, n in zip(words, np.bincount(codes, minlength=len(words)).tolist()):
+                    if n:
+                        seen[word] += n
                 if len(seen) > 300_000:
                     yield pa.RecordBatch.from_arrays([strings(list(seen)), pa.array(seen.values(), pa.int64())], names=["token", "n"])
                     seen.clear()
@@ -479,46 +565,45 @@ def encode(docs: DataFrame, known: list[tuple[str, int]], model: list[str]) -> D
     """row, doc_id, n_tokens, n_known, logs, rare_logs, ids and the words that ``known`` lacks with their numbers.
 
     logs sums log10(c + 1) of the known tokens, rare_logs those of them whose id is shared."""
-    sent = docs.sparkSession.sparkContext.broadcast((known, model))
+    number = {t: i + 1 for i, t in enumerate(model)}
+    log = np.append(np.log10(np.array([c for _, c in known]) + 1.0), 0.0)  # last: a word to be looked up
+    ids_of = np.array([number.get(t) or rare_id(t, len(model)) for t, _ in known] + [0], dtype=id_type(len(model)))
+    rare_log = np.where(np.array([t in number for t, _ in known] + [False]), 0.0, log)
+    none, model_words = len(known), len(model)
+    sent = docs.sparkSession.sparkContext.broadcast(([t.encode("utf-8", "surrogatepass") for t, _ in known], ids_of, log, rare_log))
 
     def run(batches):
-        from collections import Counter
         from itertools import repeat
 
-        known, model = sent.value
-        number = {t: i + 1 for i, t in enumerate(model)}
-        place = {t.encode("utf-8", "surrogatepass"): i for i, (t, _) in enumerate(known)}.get
-        log = np.append([math.log10(c + 1) for _, c in known], 0.0)  # last: a word to be looked up
-        ids_of = np.array([number.get(t) or rare_id(t, len(model)) for t, _ in known] + [0], dtype=id_type(len(model)))
-        rare_log = np.where(np.array([t in number for t, _ in known] + [False]), 0.0, log)
-        none = len(known)
+        words, ids_of, log, rare_log = sent.value
+        place = {t: i for i, t in enumerate(words)}.get
         part, row = TaskContext.get().partitionId(), 0
         for b in batches:
-            texts = b.column(1).to_pylist()
-            for s in slices(texts, 1 << 20):
-                words, ends = [], []
-                for t in texts[s]:
-                    words += _words(t)
-                    ends.append(len(words))
-                at = np.fromiter(map(place, words, repeat(none)), np.int64, len(words))
-                ids, first = ids_of[at], np.array([0, *ends[:-1]])
-                asked = np.flatnonzero(at == none)
+            texts = b.column(1)
+            for s in text_slices(texts):
+                codes, words, ends = _coded(texts[s])
+                where = np.fromiter(map(place, words, repeat(none)), np.int64, len(words))
+                ids = ids_of.take(where)
+                asked = np.flatnonzero(where == none)
                 missing = [words[i] for i in asked.tolist()]
                 shared = np.fromiter(map(zlib.crc32, missing), np.int64, len(missing)) % RARE
-                ids[asked] = np.where(shared > 0, shared + len(model), 0)  # as rare_id
-                keys, times, cuts, lo = [], [], [0], 0
-                for hi in np.searchsorted(asked, ends).tolist():
-                    found = Counter(missing[lo:hi])
-                    keys += found
-                    times += found.values()
-                    cuts.append(len(keys))
-                    lo = hi
+                ids[asked] = np.where(shared > 0, shared + model_words, 0)  # as rare_id
+                first, ids = np.append(0, ends[:-1]), ids.take(codes)
+                at = where.take(codes)
                 n = len(ends)
+                # the words to be looked up, once for each text and word
+                lacks = np.flatnonzero(at == none)
+                nth = np.zeros(len(words), np.int64)
+                nth[asked] = np.arange(len(asked))
+                pairs, times = np.unique(np.searchsorted(ends, lacks, "right") * max(1, len(asked)) + nth.take(codes.take(lacks)), return_counts=True)
+                doc, word = np.divmod(pairs, max(1, len(asked)))
+                cuts = np.searchsorted(doc, np.arange(n + 1))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array((part << 40) + row + np.arange(n)), b.column(0).slice(s.start, n), pa.array(ends - first),
-                     pa.array(np.add.reduceat(at < none, first, dtype=np.int64)), pa.array(np.add.reduceat(log[at], first)),
-                     pa.array(np.add.reduceat(rare_log[at], first)), pa.array([ids[i:e].tobytes() for i, e in zip(first.tolist(), ends)], pa.binary()),
-                     pa.MapArray.from_arrays(pa.array(cuts, pa.int32()), strings(keys), pa.array(times, pa.int64()))],
+                     pa.array(np.add.reduceat(at < none, first, dtype=np.int64)), pa.array(np.add.reduceat(log.take(at), first)),
+                     pa.array(np.add.reduceat(rare_log.take(at), first)),
+                     pa.array([ids[i:e].tobytes() for i, e in zip(first.tolist(), ends.tolist())], pa.binary()),
+                     pa.MapArray.from_arrays(pa.array(cuts, pa.int32()), strings(missing).take(pa.array(word)), pa.array(times, pa.int64()))],
                     names=["row", "doc_id", "n_tokens", "n_known", "logs", "rare_logs", "ids", "words"])
                 row += n
 

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 
@@ -628,3 +629,55 @@ def test_lm_encodes_a_text_that_fills_a_slice_alone(spark):
     assert abs(got[2]["logs"] - math.log10(12)) < 1e-9 and abs(got[2]["rare_logs"] - math.log10(2)) < 1e-9
     ids = [1, gru_lm.rare_id("x", 1), gru_lm.rare_id(" ", 1)]
     assert np.frombuffer(got[2]["ids"], np.uint16).tolist() == ids
+
+
+def test_lm_texts_split_together_have_the_words_of_each():
+    r = np.random.default_rng(4)
+    signs = [bytes([i]) for i in range(256)] + [b" ", b"A", b"\n", b"\t"] * 25
+    texts = [None, b"", b" \x0b"] + [b"".join(signs[i] for i in r.integers(0, len(signs), r.integers(0, 60))) for _ in range(500)] + [b"", b"\n", None]
+    for kind in (pa.binary(), pa.large_binary()):
+        for part in (slice(0, len(texts)), slice(2, 90), slice(len(texts) - 3, len(texts)), slice(0, 1)):
+            codes, words, ends = gru_lm._coded(pa.array(texts, kind)[part])
+            assert [[words[k] for k in codes[a:e]] for a, e in zip([0, *ends[:-1]], ends)] == [gru_lm._words(t) for t in texts[part]]
+
+
+def test_lm_text_slices_hold_every_text_once(monkeypatch):
+    monkeypatch.setattr(gru_lm, "SLICE", 10)
+    got = list(gru_lm.text_slices(pa.array([None, b"abc", b"x" * 30, b"", b"1234567890", b"y", None])))
+    assert got == [slice(0, 3), slice(3, 5), slice(5, 7)]
+
+
+def test_lm_encodes_words_by_their_distinct_values(spark):
+    docs = spark.createDataFrame([(1, "the of " * 700_000), (2, "x The y x"), (3, None)], "doc_id long, text string").coalesce(1)
+    for known, end in (([("the", 5), ("of", 2), (" ", 1)], {}), ([("the", 5), ("of", 2)], {" ": 1})):  # the end is looked up like a word
+        got = {r["doc_id"]: r for r in gru_lm.encode(docs, known, ["the"]).collect()}
+        assert [got[i]["n_tokens"] for i in (1, 2, 3)] == [1_400_001, 5, 1]
+        assert [got[i]["words"] for i in (1, 2, 3)] == [end, {"x": 2, "y": 1, **end}, end]
+        ids = [gru_lm.rare_id("x", 1), 1, gru_lm.rare_id("y", 1), gru_lm.rare_id("x", 1), gru_lm.rare_id(" ", 1)]
+        assert np.frombuffer(got[2]["ids"], np.uint16).tolist() == ids
+        assert len(got[1]["ids"]) == 2 * 1_400_001
+
+
+def test_lm_groups_of_like_size_share_a_batch():
+    r = np.random.default_rng(6)
+    group = np.sort(np.minimum((r.pareto(0.7, 5000) * 4).astype(np.int64), 299))
+    taken, batches = [], 0
+    for of, row, real in gru_lm._batches(group, 300):
+        assert (group[row] == of[:, None])[real].all() and row.shape == real.shape
+        assert row.shape[1] == gru_lm.TILE or (2 * real.sum(axis=1) > row.shape[1]).all()  # at least half are the group's own
+        taken += row[real].tolist()
+        batches += 1
+    assert sorted(taken) == list(range(5000))
+    assert batches <= math.log2(np.bincount(group).max()) + 5000 // gru_lm.BLOCK + 2
+
+
+def test_lm_sums_of_runs_equal_those_one_by_one():
+    r = np.random.default_rng(7)
+    x = np.minimum((r.pareto(0.6, 9000) * 3).astype(np.int64), 400)
+    d = r.standard_normal((9000, 5))
+    order = np.argsort(x, kind="stable")
+    used, first = np.unique(x[order], return_index=True)
+    assert np.bincount(x).max() > gru_lm.PIECE**2  # pieces of pieces
+    by, sums = gru_lm._gathered(d, order, first)
+    assert sorted(by.tolist()) == list(range(len(used)))
+    assert np.allclose(sums, [d[x == k].sum(axis=0) for k in used[by]])
